@@ -1,0 +1,298 @@
+"""Registered queries (one per operator family) and their DuckDB oracle SQL.
+
+Every query reads the driver tables (or frames Spark derives from them) in
+full; outputs are aliased identically on both sides.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..functions import cleaning as C
+from ..functions import prices as PR
+from ..functions import text as TX
+from ..operators import cleaning, matching, merging
+from . import pipeline, tables
+from .tables import re2, sql_str, with_views
+
+QUERIES: dict = {}
+ORACLE: dict = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql
+        return fn
+    return deco
+
+
+# ====================================================================== SQL
+def acc_sql(x: str) -> str:
+    return (f"(regexp_matches(coalesce({x}, ''), {sql_str(re2(K.ACCESSORY_PATTERN))}) OR "
+            f"regexp_matches(coalesce({x}, ''), {sql_str(re2(K.DISPLAY_PART_PATTERN))}))")
+
+
+_TIE = ["product_name", "price", "currency", "availability", "seller", "url", "category",
+        "availability_clean", "is_anomaly"]
+
+CLEANED_CTES = f"""
+norm AS ({tables.normalized_sql()}),
+med AS (SELECT category, median(price_clean) AS m FROM norm WHERE price_clean IS NOT NULL GROUP BY category),
+flagged AS (
+  SELECT norm.*, CASE WHEN price_clean IS NULL OR m IS NULL OR m <= 0 THEN false
+                      ELSE (price_clean > 3.0 * m OR price_clean < {K.ANOMALY_LOW_FACTOR!r} * m) END AS is_anomaly
+  FROM norm LEFT JOIN med USING (category)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY product_name_clean, source, price_clean
+     ORDER BY (scrape_timestamp IS NOT NULL) DESC, scrape_timestamp DESC,
+     {", ".join(c + " DESC NULLS LAST" for c in _TIE)}) AS rn
+  FROM flagged WHERE product_name_clean IS NOT NULL AND source IS NOT NULL AND price_clean IS NOT NULL),
+cleaned AS (
+  SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1
+  UNION ALL
+  SELECT * FROM flagged WHERE product_name_clean IS NULL OR source IS NULL OR price_clean IS NULL)"""
+
+RULE_CTES = f"""
+q AS (SELECT DISTINCT lower(coalesce(product_name_clean, '')) AS qname, coalesce(category, '') AS qcat FROM cleaned),
+qa AS (SELECT qname, qcat, {acc_sql('qname')} AS acc,
+              list_distinct(regexp_extract_all(qname, '([a-z0-9]+)', 1)) AS qt FROM q),
+cf AS (SELECT category, min(ord) AS cat_first FROM catalog GROUP BY category),
+cs AS (SELECT c.product_id, c.canonical_name, c.category AS pcat, c.ord, cf.cat_first,
+              list_distinct(regexp_extract_all(lower(c.canonical_name), '([a-z0-9]+)', 1)) AS sig
+       FROM catalog c JOIN cf USING (category)),
+pairs AS (SELECT qa.qname, qa.qcat, cs.*,
+                 len(list_filter(cs.sig, lambda x: list_contains(qa.qt, x)))::DOUBLE / len(cs.sig) AS score
+          FROM qa JOIN cs ON (cs.pcat = qa.qcat OR qa.qcat = '')
+          WHERE NOT qa.acc AND len(cs.sig) > 0),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qname, qcat
+                                   ORDER BY score DESC, cat_first, ord) AS rn
+                        FROM pairs WHERE score > 0) WHERE rn = 1),
+res AS (SELECT qa.qname, qa.qcat,
+          CASE WHEN NOT qa.acc AND best.score >= {K.RULE_THRESHOLD} THEN best.product_id END AS product_id,
+          CASE WHEN NOT qa.acc AND best.score >= {K.RULE_THRESHOLD} THEN best.canonical_name END AS canonical_name,
+          CASE WHEN NOT qa.acc AND best.score >= {K.RULE_THRESHOLD} THEN best.pcat END AS product_category,
+          CASE WHEN qa.acc THEN 0.0 ELSE coalesce(best.score, 0.0) END AS match_score,
+          CASE WHEN qa.acc THEN 'accessory_filter'
+               WHEN best.score >= {K.RULE_THRESHOLD} THEN 'token_overlap'
+               ELSE 'below_threshold' END AS match_method
+        FROM qa LEFT JOIN best USING (qname, qcat)),
+matched AS (SELECT cleaned.*, res.product_id, res.canonical_name, res.product_category,
+                   res.match_score, res.match_method
+            FROM cleaned JOIN res ON lower(coalesce(cleaned.product_name_clean, '')) = res.qname
+                                 AND coalesce(cleaned.category, '') = res.qcat)"""
+
+ROUND2 = "round(CAST({x} AS DECIMAL(38,10)), 2)::DOUBLE"
+
+
+# ============================================================== flagship
+@register("flagship_unified_prices", with_views(CLEANED_CTES + "," + RULE_CTES + f"""
+SELECT product_id, min(canonical_name) AS canonical_name, min(product_category) AS category,
+       min(price_clean) FILTER (WHERE NOT is_anomaly) AS price_min,
+       max(price_clean) FILTER (WHERE NOT is_anomaly) AS price_max,
+       {ROUND2.format(x="avg(price_clean) FILTER (WHERE NOT is_anomaly)")} AS price_mean,
+       count(*) AS offer_count, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+       'rule' AS matched_by
+FROM matched WHERE product_id IS NOT NULL GROUP BY product_id"""))
+def q_flagship(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.unified_prices(spark, sf)
+
+
+# ============================================================== cleaning
+@register("clean_category", with_views(f"""
+x AS (SELECT category AS raw_category,
+             {tables.category_case_sql('category', tables.LISTING_CATEGORY_MAP)} AS category
+      FROM listings_raw)
+SELECT raw_category, category, count(*) AS n FROM x GROUP BY raw_category, category"""))
+def q_clean_category(spark, sf):
+    l = tables.listings(spark, sf)
+    return (l.select(F.col("category").alias("raw_category"),
+                     C.normalize_category("category", tables.LISTING_CATEGORY_MAP).alias("category"))
+             .groupBy("raw_category", "category").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("clean_name", with_views(f"""
+x AS (SELECT DISTINCT product_name FROM listings_raw)
+SELECT product_name, nullif({tables.clean_name_sql('product_name')}, '') AS product_name_clean FROM x"""))
+def q_clean_name(spark, sf):
+    l = tables.listings(spark, sf).select("product_name").distinct()
+    return l.select("product_name", C.blank_to_null(C.clean_name("product_name")).alias("product_name_clean"))
+
+
+# Price texts in several locales, built from integer parts of lineitem.
+PRICE_TEXT_SQL = """
+CASE l_linenumber
+  WHEN 1 THEN CAST(floor(l_extendedprice / 1000) AS BIGINT)::STRING || '.'
+              || lpad((CAST(floor(l_extendedprice) AS BIGINT) % 1000)::STRING, 3, '0') || ','
+              || lpad((CAST(floor(l_extendedprice * 100) AS BIGINT) % 100)::STRING, 2, '0') || ' €'
+  WHEN 2 THEN CAST(floor(l_extendedprice / 1000) AS BIGINT)::STRING || ','
+              || lpad((CAST(floor(l_extendedprice) AS BIGINT) % 1000)::STRING, 3, '0') || '.'
+              || lpad((CAST(floor(l_extendedprice * 100) AS BIGINT) % 100)::STRING, 2, '0')
+  WHEN 3 THEN (CAST(floor(l_extendedprice) AS BIGINT) % 1000)::STRING || ','
+              || (CAST(floor(l_extendedprice * 10) AS BIGINT) % 10)::STRING
+  WHEN 4 THEN 'ca. ' || CAST(floor(l_extendedprice) AS BIGINT)::STRING
+  WHEN 5 THEN CASE WHEN l_orderkey % 2 = 0 THEN '' ELSE 'ab ' || CAST(floor(l_extendedprice / 1000) AS BIGINT)::STRING || '.'
+              || lpad((CAST(floor(l_extendedprice) AS BIGINT) % 1000)::STRING, 3, '0') || ' EUR' END
+  WHEN 6 THEN '-' || CAST(floor(l_extendedprice) AS BIGINT)::STRING
+  ELSE CAST(floor(l_extendedprice / 1000) AS BIGINT)::STRING || ' ' || '€' || ' '
+       || lpad((CAST(floor(l_extendedprice) AS BIGINT) % 1000)::STRING, 3, '0') || ',99'
+END"""
+
+DIALECT_A_SQL = """(CASE WHEN {t} IS NULL THEN NULL
+  WHEN regexp_matches({t}, '^\\s*-?[0-9]+(\\.[0-9]+)?([eE][-+]?[0-9]+)?\\s*$')
+    THEN CASE WHEN TRY_CAST(trim({t}) AS DOUBLE) >= 0 THEN TRY_CAST(trim({t}) AS DOUBLE) END
+  ELSE (WITH_TOK) END)"""
+
+
+def dialect_a_sql(t: str) -> str:
+    tok = f"regexp_extract(replace({t}, chr(160), ''), '[0-9.,]+', 0)"
+    norm = (f"CASE WHEN regexp_matches({tok}, ',[0-9]{{2}}$') "
+            f"THEN replace(replace({tok}, '.', ''), ',', '.') ELSE replace({tok}, ',', '') END")
+    v = f"TRY_CAST({norm} AS DOUBLE)"
+    inner = f"CASE WHEN {tok} <> '' AND {v} >= 0 THEN {v} END"
+    return DIALECT_A_SQL.format(t=t).replace("WITH_TOK", inner)
+
+
+def dialect_b_sql(t: str, on_fail: str | None = None, strip_prefix: bool = False) -> str:
+    s = f"trim(replace({t}, chr(160), {sql_str(' ' if on_fail is None else '')}))"
+    if strip_prefix:
+        s = f"regexp_replace({s}, '^(?i)(ab|from)\\s*', '')"
+    tok = f"regexp_extract({s}, '[0-9.,]+', 0)"
+    nc = f"(length({tok}) - length(replace({tok}, ',', '')))"
+    nd = f"(length({tok}) - length(replace({tok}, '.', '')))"
+    lc = f"(length({tok}) - strpos(reverse({tok}), ','))"
+    ld = f"(length({tok}) - strpos(reverse({tok}), '.'))"
+    norm = (f"CASE WHEN strpos({tok}, ',') > 0 AND strpos({tok}, '.') > 0 THEN "
+            f"  CASE WHEN {lc} > {ld} THEN replace(replace({tok}, '.', ''), ',', '.') ELSE replace({tok}, ',', '') END "
+            f"WHEN strpos({tok}, ',') > 0 THEN CASE WHEN {nc} = 1 AND regexp_matches({tok}, ',[0-9]{{3}}$') "
+            f"  THEN replace({tok}, ',', '') ELSE replace({tok}, ',', '.') END "
+            f"WHEN strpos({tok}, '.') > 0 THEN CASE WHEN {nd} = 1 AND regexp_matches({tok}, '\\.[0-9]{{3}}$') "
+            f"  THEN replace({tok}, '.', '') ELSE {tok} END "
+            f"ELSE {tok} END")
+    v = f"(CASE WHEN {tok} <> '' THEN TRY_CAST({norm} AS DOUBLE) END)"
+    return v if on_fail is None else f"coalesce({v}, {on_fail})"
+
+
+def _price_texts(spark, sf):
+    return tables.read(spark, sf, "lineitem").select(F.expr(PRICE_TEXT_SQL).alias("price_text"))
+
+
+@register("clean_price", f"""
+WITH x AS (SELECT DISTINCT {PRICE_TEXT_SQL} AS price_text FROM lineitem)
+SELECT price_text, {dialect_a_sql('price_text')} AS price_clean FROM x""")
+def q_clean_price(spark, sf):
+    x = _price_texts(spark, sf).distinct()
+    return x.select("price_text", C.parse_price_clean("price_text").alias("price_clean"))
+
+
+@register("price_locale", f"""
+WITH x AS (SELECT DISTINCT {PRICE_TEXT_SQL} AS price_text FROM lineitem)
+SELECT price_text, {dialect_b_sql('price_text')} AS price_html,
+       {dialect_b_sql('price_text', '0.0', True)} AS price_api FROM x""")
+def q_price_locale(spark, sf):
+    x = _price_texts(spark, sf).distinct()
+    return x.select("price_text", PR.parse_price_locale("price_text").alias("price_html"),
+                    PR.parse_price_api("price_text").alias("price_api"))
+
+
+@register("clean_availability", with_views(f"""
+x AS (SELECT availability, {tables.availability_sql('availability')} AS availability_clean FROM listings_raw)
+SELECT availability, availability_clean, count(*) AS n FROM x GROUP BY ALL"""))
+def q_clean_availability(spark, sf):
+    l = tables.listings(spark, sf)
+    return (l.select("availability", C.map_availability("availability").alias("availability_clean"))
+             .groupBy("availability", "availability_clean").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("anomaly_flags", with_views(CLEANED_CTES + """
+SELECT category, round(min(m), 6) AS category_median, count(*) AS n,
+       count(*) FILTER (WHERE is_anomaly) AS n_anomalies
+FROM flagged LEFT JOIN med USING (category) GROUP BY category"""))
+def q_anomaly_flags(spark, sf):
+    n = cleaning.normalize(tables.listings(spark, sf), tables.LISTING_CATEGORY_MAP)
+    med = cleaning.category_medians(n)
+    f = cleaning.flag_anomalies(n, medians=med)
+    return (f.groupBy("category").agg(F.count(F.lit(1)).alias("n"),
+                                      F.count_if("is_anomaly").alias("n_anomalies"))
+             .join(med.select("category", F.round("category_median", 6).alias("category_median")),
+                   "category", "left"))
+
+
+@register("dedup_latest", with_views(CLEANED_CTES + """
+SELECT product_name_clean, source, price_clean, scrape_timestamp, url, seller, category, is_anomaly
+FROM cleaned"""))
+def q_dedup_latest(spark, sf):
+    c = pipeline.cleaned_listings(spark, sf)
+    return c.select("product_name_clean", "source", "price_clean", "scrape_timestamp", "url", "seller",
+                    "category", "is_anomaly")
+
+
+# ============================================================== matching
+@register("match_rule", with_views(CLEANED_CTES + "," + RULE_CTES + """
+SELECT qname, qcat, product_id, canonical_name, match_score, match_method FROM res"""))
+def q_match_rule(spark, sf):
+    c = pipeline.cleaned_listings(spark, sf)
+    m = matching.match_queries(c, tables.catalog(spark, sf))
+    return m.select("qname", "qcat", "product_id", "canonical_name", "match_score", "match_method")
+
+
+@register("match_rule_join", ORACLE["match_rule"] if "match_rule" in ORACLE else None)
+def q_match_rule_join(spark, sf):
+    c = pipeline.cleaned_listings(spark, sf)
+    m = matching.match_queries(c, tables.catalog(spark, sf), plan="join")
+    return m.select("qname", "qcat", "product_id", "canonical_name", "match_score", "match_method")
+
+
+@register("match_excluded", with_views(CLEANED_CTES + "," + RULE_CTES + """
+SELECT match_method, count(*) AS n FROM matched GROUP BY match_method"""))
+def q_match_excluded(spark, sf):
+    m = pipeline.matched_listings(spark, sf)
+    return m.groupBy("match_method").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("match_attached", with_views(CLEANED_CTES + "," + RULE_CTES + """
+SELECT product_name_clean, source, price_clean, url, product_id, match_score
+FROM matched WHERE product_id IS NOT NULL"""))
+def q_match_attached(spark, sf):
+    m = matching.matched_only(pipeline.matched_listings(spark, sf))
+    return m.select("product_name_clean", "source", "price_clean", "url", "product_id", "match_score")
+
+
+# ============================================================== reports
+@register("funnel", with_views(CLEANED_CTES + "," + RULE_CTES + """
+SELECT (SELECT count(*) FROM listings_raw) AS raw,
+       (SELECT count(*) FROM cleaned) AS cleaned,
+       (SELECT count(*) FROM listings_raw) - (SELECT count(*) FROM cleaned) AS dropped,
+       (SELECT count(*) FROM cleaned WHERE is_anomaly) AS anomalies,
+       (SELECT count(*) FROM matched WHERE product_id IS NOT NULL) AS matched,
+       (SELECT count(*) FROM matched WHERE match_method = 'accessory_filter') AS accessories,
+       (SELECT count(*) FROM matched WHERE product_id IS NULL AND match_method <> 'accessory_filter') AS below"""))
+def q_funnel(spark, sf):
+    raw = tables.listings(spark, sf).agg(F.count(F.lit(1)).alias("raw"))
+    m = pipeline.matched_listings(spark, sf)
+    agg = m.agg(F.count(F.lit(1)).alias("cleaned"),
+                F.count_if("is_anomaly").alias("anomalies"),
+                F.count_if(F.col("product_id").isNotNull()).alias("matched"),
+                F.count_if(F.col("match_method") == "accessory_filter").alias("accessories"),
+                F.count_if(F.col("product_id").isNull() & (F.col("match_method") != "accessory_filter"))
+                 .alias("below"))
+    return raw.crossJoin(agg).select("raw", "cleaned", (F.col("raw") - F.col("cleaned")).alias("dropped"),
+                                     "anomalies", "matched", "accessories", "below")
+
+
+@register("category_counts", with_views(CLEANED_CTES + """
+SELECT category, count(*) AS n FROM cleaned GROUP BY category"""))
+def q_category_counts(spark, sf):
+    return pipeline.cleaned_listings(spark, sf).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("observations", with_views(CLEANED_CTES + "," + RULE_CTES + """
+SELECT product_category AS category, count(DISTINCT product_id) AS products, count(*) AS observations
+FROM matched WHERE product_id IS NOT NULL GROUP BY product_category"""))
+def q_observations(spark, sf):
+    u = pipeline.unified_prices(spark, sf)
+    return u.groupBy("category").agg(F.count(F.lit(1)).alias("products"),
+                                     F.sum("offer_count").alias("observations"))
