@@ -70,4 +70,5 @@ def token_cost(input_tokens, output_tokens) -> Column:
 def cost_per_product(cost, found) -> Column:
     """cost / found rounded to 6 places; 0 when nothing was found."""
     f = _col(found)
-    return F.when(f == 0, F.lit(0.0)).otherwise(F.round(_col(cost) / f, 6))
+    q = (_col(cost) / f).cast("decimal(38,12)")
+    return F.when(f == 0, F.lit(0.0)).otherwise(F.round(q, 6).cast("double"))

@@ -67,24 +67,25 @@ def dedup_latest(df: DataFrame, keys=DEDUP_KEYS, ts_col: str = "scrape_timestamp
     """W1 keep-latest: per non-null key, the row with the latest timestamp
     (null timestamps last).  Rows with any null key are all kept.
 
-    Implemented as ``groupBy(keys).agg(max(struct(...)))``: partial aggregation
-    collapses repeated keys map-side, so a hot key never lands whole in one
-    task.  Ties on the timestamp go to the greatest remaining columns, which
-    makes the result independent of partitioning and input order.
+    One ``groupBy(keys, _rid).agg(max(struct(...)))`` pass: ``_rid`` is null
+    for complete keys and a per-row id otherwise, so null-key rows form
+    singleton groups without a second scan of the input.  Partial
+    aggregation collapses repeated keys map-side, so a hot key never lands
+    whole in one task.  Ties on the timestamp go to the greatest remaining
+    columns (in input column order), independent of partitioning.
     """
     keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
+    tie_cols = [c for c in df.columns if c not in keys and c != ts_col]
     has_keys = F.lit(True)
     for k in keys:
         has_keys = has_keys & F.col(k).isNotNull()
-    order_cols = [F.col(ts_col).isNotNull().alias("_has_ts"), F.col(ts_col).alias("_ts")]
-    tie_cols = [c for c in others if c != ts_col]
-    best = F.max(F.struct(*order_cols, *[F.col(c) for c in tie_cols], F.col(ts_col).alias("_ts2")))
-    deduped = (df.where(has_keys).groupBy(*keys).agg(best.alias("_b"))
-                 .select(*keys, *[F.col("_b." + c).alias(c) for c in tie_cols],
-                         F.col("_b._ts2").alias(ts_col)))
-    rest = df.where(~has_keys)
-    return deduped.select(*df.columns).unionByName(rest.select(*df.columns))
+    order = F.struct(F.col(ts_col).isNotNull().alias("_has_ts"), F.col(ts_col).alias("_ts"),
+                     *[F.col(c) for c in tie_cols])
+    return (df.withColumn("_rid", F.when(~has_keys, F.monotonically_increasing_id()))
+              .groupBy(*keys, "_rid").agg(F.max(order).alias("_b"))
+              .select(*[F.col(c) if c in keys else
+                        (F.col("_b._ts") if c == ts_col else F.col("_b." + c)).alias(c)
+                        for c in df.columns]))
 
 
 def clean(df: DataFrame, category_map: dict | None = None, use_nfkc: bool = True,

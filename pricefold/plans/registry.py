@@ -296,3 +296,177 @@ def q_observations(spark, sf):
     u = pipeline.unified_prices(spark, sf)
     return u.groupBy("category").agg(F.count(F.lit(1)).alias("products"),
                                      F.sum("offer_count").alias("observations"))
+
+
+# ============================================================== run reports
+from ..operators import quality, reporting, vector  # noqa: E402
+
+RUNS_CTE = f"WITH runs AS ({tables.RUNS_SQL})\n"
+DR = "round(CAST({x} AS DECIMAL(38,12)), {p})::DOUBLE"
+
+
+@register("run_stats", RUNS_CTE + f"""
+SELECT scraper_name, count(*) AS runs, count(*) FILTER (WHERE success) AS successes,
+       {DR.format(x="(count(*) FILTER (WHERE success))::DOUBLE / count(*)", p=3)} AS success_rate,
+       {DR.format(x="avg(products_found)", p=1)} AS avg_products_found,
+       {DR.format(x="avg(time_seconds)", p=2)} AS avg_time_seconds,
+       {DR.format(x="sum(cost_usd)", p=6)} AS total_cost_usd
+FROM runs GROUP BY scraper_name""")
+def q_run_stats(spark, sf):
+    return reporting.approach_stats(tables.runs(spark, sf))
+
+
+@register("source_winners", RUNS_CTE + """,
+f AS (SELECT source, scraper_name, row_number() OVER (PARTITION BY source ORDER BY time_seconds, scraper_name) AS rn FROM runs),
+m AS (SELECT source, scraper_name, row_number() OVER (PARTITION BY source ORDER BY products_found DESC, scraper_name) AS rn FROM runs)
+SELECT f.source, f.scraper_name AS fastest_scraper, m.scraper_name AS most_products_scraper,
+       (SELECT max(products_found) FROM runs r WHERE r.source = f.source) AS max_products_found
+FROM f JOIN m ON f.source = m.source AND m.rn = 1 WHERE f.rn = 1""")
+def q_source_winners(spark, sf):
+    return reporting.source_winners(tables.runs(spark, sf))
+
+
+@register("report_winners", RUNS_CTE + """,
+s AS (SELECT *, CASE WHEN products_found = 0 THEN 0.0 ELSE round(CAST(cost_usd / products_found AS DECIMAL(38,12)), 6)::DOUBLE END AS cpp FROM runs WHERE success),
+f AS (SELECT source, scraper_name, row_number() OVER (PARTITION BY source ORDER BY time_seconds, scraper_name) AS rn FROM s),
+m AS (SELECT source, scraper_name, row_number() OVER (PARTITION BY source ORDER BY products_found DESC, scraper_name) AS rn FROM s),
+c AS (SELECT source, scraper_name, row_number() OVER (PARTITION BY source ORDER BY cpp, scraper_name) AS rn FROM s WHERE products_found > 0),
+src AS (SELECT DISTINCT source FROM runs)
+SELECT src.source, coalesce(f.scraper_name, 'all failed') AS fastest_scraper,
+       m.scraper_name AS most_products_scraper, c.scraper_name AS cheapest_scraper
+FROM src LEFT JOIN f ON f.source = src.source AND f.rn = 1
+         LEFT JOIN m ON m.source = src.source AND m.rn = 1
+         LEFT JOIN c ON c.source = src.source AND c.rn = 1""")
+def q_report_winners(spark, sf):
+    return reporting.report_winners(tables.runs(spark, sf))
+
+
+@register("success_text", RUNS_CTE + """
+SELECT scraper_name, CAST(count(*) FILTER (WHERE success) AS VARCHAR) || '/' || CAST(count(*) AS VARCHAR)
+       || ' (' || CAST(floor(count(*) FILTER (WHERE success) * 100 / count(*)) AS BIGINT)::VARCHAR || '%)' AS success_rate_text
+FROM runs GROUP BY scraper_name""")
+def q_success_text(spark, sf):
+    return reporting.success_text(tables.runs(spark, sf))
+
+
+@register("run_totals", RUNS_CTE + f"""
+SELECT {DR.format(x="sum(cost_usd)", p=6)} AS total_cost_usd, count(*) AS total_runs FROM runs""")
+def q_run_totals(spark, sf):
+    return reporting.run_totals(tables.runs(spark, sf))
+
+
+@register("run_rows", RUNS_CTE + """
+SELECT scraper_name, source, category, products_found, time_seconds, success, timestamp,
+       CASE WHEN products_found = 0 THEN 0.0 ELSE round(CAST(cost_usd / products_found AS DECIMAL(38,12)), 6)::DOUBLE END AS cost_per_product,
+       CASE WHEN NOT success THEN 'FAIL ' || CASE WHEN length(error_message) > 40
+                 THEN substr(error_message, 1, 40) || '…' ELSE error_message END
+            WHEN products_found = 0 THEN 'OK / 0 results' ELSE 'OK' END AS status
+FROM runs""")
+def q_run_rows(spark, sf):
+    d = reporting.with_derived(tables.runs(spark, sf))
+    return d.select("scraper_name", "source", "category", "products_found", "time_seconds", "success",
+                    "timestamp", "cost_per_product", "status")
+
+
+# ============================================================== quality
+TEST_SET_SQL = f"""
+s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY ord, product_id) AS rn
+                     FROM catalog) WHERE rn <= {K.TEST_SET_PER_CATEGORY}),
+pos AS (SELECT canonical_name AS query, category, CAST(product_id AS VARCHAR) AS expected_product_id, 'clean' AS test_type FROM s
+        UNION ALL SELECT canonical_name || '{K.NOISY_EN_SUFFIX}', category, CAST(product_id AS VARCHAR), 'noisy_en' FROM s
+        UNION ALL SELECT '{K.NOISY_DE_PREFIX}' || canonical_name || '{K.NOISY_DE_SUFFIX}', category, CAST(product_id AS VARCHAR), 'noisy_de' FROM s),
+neg AS (SELECT * FROM (VALUES {", ".join(f"({sql_str(q)}, {sql_str(c)})" for q, c in K.ACCESSORY_NEGATIVES)}) AS t(query, category)),
+cases AS (SELECT * FROM pos UNION ALL SELECT query, category, NULL, 'accessory' FROM neg)"""
+
+
+@register("test_breakdown", with_views(TEST_SET_SQL + """
+SELECT test_type, count(*) AS n FROM cases GROUP BY test_type"""))
+def q_test_breakdown(spark, sf):
+    return quality.test_breakdown(quality.build_test_set(tables.catalog(spark, sf)))
+
+
+@register("test_set", with_views(TEST_SET_SQL + """
+SELECT query, category, expected_product_id, test_type FROM cases"""))
+def q_test_set(spark, sf):
+    return quality.build_test_set(tables.catalog(spark, sf)).drop("case_id")
+
+
+def _rule_results(spark, sf):
+    cases = quality.build_test_set(tables.catalog(spark, sf))
+    m = matching.match_queries(cases, tables.catalog(spark, sf), name_col="query", category_col="category")
+    keyed = cases.select("*", *matching.query_key("query", "category"))
+    return keyed.join(m, ["qname", "qcat"], "left").select(
+        "query", "category", "expected_product_id", "test_type", "product_id",
+        F.col("product_id").isNotNull().alias("matched"), "match_score", "match_method")
+
+
+QUALITY_RULE_SQL = with_views(TEST_SET_SQL + """,
+cleaned AS (SELECT query AS product_name_clean, category FROM cases),""" + RULE_CTES.split("matched AS")[0].rstrip().rstrip(",") + """,
+r AS (SELECT cases.*, res.product_id, res.product_id IS NOT NULL AS matched FROM cases
+      JOIN res ON lower(coalesce(cases.query, '')) = res.qname AND coalesce(cases.category, '') = res.qcat)
+SELECT count(*) FILTER (WHERE test_type <> 'accessory' AND matched AND CAST(product_id AS VARCHAR) = expected_product_id) AS tp,
+       count(*) FILTER (WHERE (test_type <> 'accessory' AND matched AND CAST(product_id AS VARCHAR) <> expected_product_id)
+                           OR (test_type = 'accessory' AND matched)) AS fp,
+       count(*) FILTER (WHERE test_type <> 'accessory' AND NOT matched) AS fn,
+       count(*) FILTER (WHERE test_type = 'accessory' AND matched) AS fp_accessory,
+       count(*) FILTER (WHERE test_type = 'accessory' AND NOT matched) AS tn_accessory
+FROM r""")
+
+
+@register("match_quality", f"""
+WITH base AS ({QUALITY_RULE_SQL}),
+m AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 1.0 END AS p,
+                CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0.0 END AS r FROM base)
+SELECT tp, fp, fn, fp_accessory, tn_accessory, tp + fn AS n_positives, fp_accessory + tn_accessory AS n_negatives,
+       {DR.format(x="p", p=4)} AS precision, {DR.format(x="r", p=4)} AS recall,
+       {DR.format(x="CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END", p=4)} AS f1,
+       {DR.format(x="CASE WHEN fp_accessory + tn_accessory > 0 THEN fp_accessory::DOUBLE / (fp_accessory + tn_accessory) ELSE 0.0 END", p=4)} AS fp_rate
+FROM m""")
+def q_match_quality(spark, sf):
+    return quality.quality_metrics(_rule_results(spark, sf))
+
+
+# ============================================================== vectors
+VEC_SQL = """
+WITH q AS (SELECT vec_id AS query_id, CAST(label AS VARCHAR) AS category, embedding FROM embeddings WHERE vec_id % 2 = 1),
+c AS (SELECT vec_id AS product_id, CAST(label AS VARCHAR) AS category, vec_id AS ord, embedding FROM embeddings WHERE vec_id % 2 = 0),
+p AS (SELECT q.query_id, c.product_id, c.ord,
+             list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS s
+      FROM q JOIN c USING (category)),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, ord) AS rn FROM p) WHERE rn = 1)
+SELECT q.query_id, CASE WHEN b.s >= {t} THEN b.product_id END AS product_id,
+       round(coalesce(b.s, 0.0), 6) AS match_score,
+       CASE WHEN b.s >= {t} THEN 'cosine_similarity' ELSE 'below_threshold' END AS match_method
+FROM q LEFT JOIN b USING (query_id)"""
+
+# A lower threshold than the default also exercises the accepting branch on
+# random unit vectors; both are registered.
+VEC_LOW_THRESHOLD = 0.25
+
+
+def _vec(spark, sf, plan, threshold):
+    m = vector.match_vectors(tables.vector_queries(spark, sf), tables.vector_catalog(spark, sf),
+                             threshold=threshold, plan=plan)
+    return m.withColumn("match_score", F.round("match_score", 6))
+
+
+register("match_vector", VEC_SQL.format(t=K.VECTOR_THRESHOLD))(
+    lambda spark, sf: _vec(spark, sf, "auto", K.VECTOR_THRESHOLD))
+register("match_vector_low", VEC_SQL.format(t=VEC_LOW_THRESHOLD))(
+    lambda spark, sf: _vec(spark, sf, "auto", VEC_LOW_THRESHOLD))
+register("match_vector_join", VEC_SQL.format(t=VEC_LOW_THRESHOLD))(
+    lambda spark, sf: _vec(spark, sf, "join", VEC_LOW_THRESHOLD))
+
+
+@register("embed_increment", """
+WITH c AS (SELECT vec_id AS product_id, CAST(vec_id AS VARCHAR) AS canonical_name, label FROM embeddings WHERE vec_id % 2 = 0),
+st AS (SELECT * FROM c WHERE product_id < (SELECT max(vec_id) / 2 FROM embeddings)),
+inc AS (SELECT * FROM c ANTI JOIN st USING (product_id, canonical_name))
+SELECT label, count(*) AS to_embed FROM inc GROUP BY label""")
+def q_embed_increment(spark, sf):
+    e = tables.read(spark, sf, "embeddings")
+    c = e.where(F.col("vec_id") % 2 == 0).select(F.col("vec_id").alias("product_id"),
+                                                F.col("vec_id").cast("string").alias("canonical_name"), "label")
+    half = e.agg((F.max("vec_id") / 2).alias("h"))
+    stored = c.join(half, F.col("product_id") < F.col("h")).drop("h")
+    return vector.embedding_increment(c, stored).groupBy("label").agg(F.count(F.lit(1)).alias("to_embed"))

@@ -179,3 +179,60 @@ def with_views(body: str) -> str:
 NORMALIZED_COLUMNS = ["product_name", "price", "currency", "availability", "seller", "source",
                       "url", "scrape_timestamp", "category", "product_name_clean", "price_clean",
                       "availability_clean"]
+
+
+# ----------------------------------------------------------- run metrics
+RUN_SOURCES = 4
+RUN_CATEGORIES = ("laptops", "gpus", "phones")
+FAIL_MOD = 7
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run-metric rows (F7) from ``events``: approach = event_type, source =
+    user bucket, seconds = value, products = props.k (0 on failure)."""
+    e = read(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    ok = (k % FAIL_MOD) != 0
+    cats = F.array(*[F.lit(c) for c in RUN_CATEGORIES])
+    return e.select(
+        F.col("event_type").alias("scraper_name"),
+        F.concat(F.lit("source_"), (F.col("user_id") % RUN_SOURCES).cast("string")).alias("source"),
+        F.element_at(cats, (F.col("user_id") % len(RUN_CATEGORIES) + 1).cast("int")).alias("category"),
+        F.when(ok, k).otherwise(F.lit(0)).alias("products_found"),
+        F.col("value").alias("time_seconds"),
+        ok.alias("success"),
+        F.when(ok, F.lit("")).otherwise(F.concat(
+            F.lit("HTTP 503 Service Unavailable while fetching page "), F.col("event_id").cast("string")))
+         .alias("error_message"),
+        F.when(F.col("event_type").isin("purchase", "view"), F.col("value") / 1000.0).otherwise(F.lit(0.0))
+         .alias("cost_usd"),
+        F.when(F.col("event_type") == "view", k * 100).otherwise(F.lit(0)).alias("tokens_used"),
+        F.col("ts").alias("timestamp"))
+
+
+RUNS_SQL = f"""
+SELECT event_type AS scraper_name, 'source_' || CAST(user_id % {RUN_SOURCES} AS VARCHAR) AS source,
+       (['laptops', 'gpus', 'phones'])[CAST(user_id % 3 AS INTEGER) + 1] AS category,
+       CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % {FAIL_MOD} <> 0
+            THEN CAST(json_extract_string(props, '$.k') AS INTEGER) ELSE 0 END AS products_found,
+       value AS time_seconds,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) % {FAIL_MOD} <> 0 AS success,
+       CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % {FAIL_MOD} <> 0 THEN ''
+            ELSE 'HTTP 503 Service Unavailable while fetching page ' || CAST(event_id AS VARCHAR) END AS error_message,
+       CASE WHEN event_type IN ('purchase', 'view') THEN value / 1000.0 ELSE 0.0 END AS cost_usd,
+       CASE WHEN event_type = 'view' THEN CAST(json_extract_string(props, '$.k') AS INTEGER) * 100 ELSE 0 END AS tokens_used,
+       ts AS timestamp
+FROM events"""
+
+
+def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "embeddings")
+    return e.where(F.col("vec_id") % 2 == 1).select(
+        F.col("vec_id").alias("query_id"), F.col("label").cast("string").alias("category"), "embedding")
+
+
+def vector_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "embeddings")
+    return e.where(F.col("vec_id") % 2 == 0).select(
+        F.col("vec_id").alias("product_id"), F.col("label").cast("string").alias("category"),
+        F.col("vec_id").alias("ord"), "embedding")
