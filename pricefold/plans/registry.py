@@ -470,3 +470,291 @@ def q_embed_increment(spark, sf):
     half = e.agg((F.max("vec_id") / 2).alias("h"))
     stored = c.join(half, F.col("product_id") < F.col("h")).drop("h")
     return vector.embedding_increment(c, stored).groupBy("label").agg(F.count(F.lit(1)).alias("to_embed"))
+
+
+# ============================================================== collection side
+from ..sources import model as MODEL  # noqa: E402
+from ..sources import search as SEARCH  # noqa: E402
+
+FIXED_TS = "TIMESTAMP '2026-04-07 12:00:00'"
+
+
+def _fixed_ts():
+    return F.lit("2026-04-07 12:00:00").cast("timestamp_ntz")
+
+
+def _k():
+    return F.get_json_object("props", "$.k").cast("int")
+
+
+K_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+GERMAN_SQL = ("CAST(floor(value) AS BIGINT)::STRING || ','"
+              " || lpad((CAST(floor(value * 100) AS BIGINT) % 100)::STRING, 2, '0')")
+
+
+def shopping_items(spark, sf):
+    """Shopping-result items derived from events (F4 element shape)."""
+    e = tables.read(spark, sf, "events")
+    k = _k()
+    german = F.expr(GERMAN_SQL)
+    return e.select(
+        F.when(F.col("event_type") == "error", F.lit("")).otherwise(
+            F.concat(F.initcap("event_type"), F.lit(" item "), F.col("event_id").cast("string"))).alias("title"),
+        F.concat(F.lit("https://shop.example/p/"), F.col("event_id").cast("string")).alias("link"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("Shop "), F.col("user_id").cast("string")))
+         .alias("source"),
+        F.when(k % 2 == 0, F.concat(F.lit("ab "), german, F.lit(" €"))).otherwise(german).alias("price"),
+        F.when(k % 3 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("extracted_price"),
+        (k % 4 != 0).alias("in_stock"))
+
+
+SHOPPING_ITEMS_SQL = f"""
+items AS (SELECT CASE WHEN event_type = 'error' THEN '' ELSE upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2))
+                      || ' item ' || CAST(event_id AS VARCHAR) END AS title,
+                 'https://shop.example/p/' || CAST(event_id AS VARCHAR) AS link,
+                 CASE WHEN {K_SQL} % 5 = 0 THEN '' ELSE 'Shop ' || CAST(user_id AS VARCHAR) END AS source,
+                 CASE WHEN {K_SQL} % 2 = 0 THEN 'ab ' || {GERMAN_SQL} || ' €' ELSE {GERMAN_SQL} END AS price,
+                 CASE WHEN {K_SQL} % 3 = 0 THEN NULL ELSE value END AS extracted_price,
+                 {K_SQL} % 4 <> 0 AS in_stock
+          FROM events)"""
+
+
+@register("shopping_rows", f"""WITH {SHOPPING_ITEMS_SQL},
+p AS (SELECT *, CASE WHEN extracted_price IS NOT NULL AND extracted_price <> 0 THEN extracted_price
+                     WHEN coalesce(price, '') <> '' THEN {dialect_b_sql('price', '0.0', True)} ELSE 0.0 END AS pr
+      FROM items)
+SELECT trim(title) AS product_name, pr AS price, 'EUR' AS currency,
+       CASE WHEN coalesce(in_stock, true) AND pr > 0 THEN 'in_stock' ELSE 'unknown' END AS availability,
+       trim(CASE WHEN coalesce(source, '') <> '' THEN source ELSE 'Google Shopping' END) AS seller,
+       'google_shopping' AS source, trim(coalesce(link, '')) AS url, {FIXED_TS} AS scrape_timestamp,
+       'laptops' AS category
+FROM p WHERE trim(coalesce(title, '')) <> ''""")
+def q_shopping_rows(spark, sf):
+    return SEARCH.shopping_rows(shopping_items(spark, sf), F.lit("laptops"), _fixed_ts())
+
+
+def organic_items(spark, sf):
+    e = tables.read(spark, sf, "events")
+    k = _k()
+    german = F.expr(GERMAN_SQL)
+    return e.select(
+        F.concat(F.lit("Item "), F.col("event_id").cast("string"),
+                 F.when(k % 2 == 0, F.lit(" | Preisvergleich bei idealo")).otherwise(F.lit(""))).alias("title"),
+        F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("https://www.idealo.de/preisvergleich/"),
+                                                   F.col("event_id").cast("string")))
+         .otherwise(F.concat(F.lit("https://other.example/"), F.col("event_id").cast("string"))).alias("link"),
+        F.when(k % 3 == 0, F.concat(F.lit("ab "), german, F.lit(" € bei 12 Shops")))
+         .when(k % 3 == 1, F.concat(F.lit("Preis: "), F.floor("value").cast("string"), F.lit(" EUR")))
+         .otherwise(F.lit("kein Preis")).alias("snippet"))
+
+
+@register("organic_rows", f"""WITH items AS (
+  SELECT 'Item ' || CAST(event_id AS VARCHAR) || CASE WHEN {K_SQL} % 2 = 0 THEN ' | Preisvergleich bei idealo' ELSE '' END AS title,
+         CASE WHEN user_id % 3 = 0 THEN 'https://www.idealo.de/preisvergleich/' || CAST(event_id AS VARCHAR)
+              ELSE 'https://other.example/' || CAST(event_id AS VARCHAR) END AS link,
+         CASE WHEN {K_SQL} % 3 = 0 THEN 'ab ' || {GERMAN_SQL} || ' € bei 12 Shops'
+              WHEN {K_SQL} % 3 = 1 THEN 'Preis: ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' EUR'
+              ELSE 'kein Preis' END AS snippet
+  FROM events),
+p AS (SELECT *, trim(regexp_replace(trim(title), '\\s*\\|.*$', '')) AS name,
+             regexp_extract(trim(snippet), '(?:ab\\s*)?([0-9.,]+)\\s*(?:€|EUR)', 1) AS m FROM items),
+q AS (SELECT *, CASE WHEN m <> '' THEN {dialect_b_sql('m', '0.0', True)} ELSE 0.0 END AS pr FROM p)
+SELECT name AS product_name, pr AS price, 'EUR' AS currency,
+       CASE WHEN pr > 0 THEN 'in_stock' ELSE 'unknown' END AS availability,
+       'Idealo DE (via Google)' AS seller, 'idealo_de_serpapi' AS source, trim(link) AS url,
+       {FIXED_TS} AS scrape_timestamp, 'gpus' AS category
+FROM q WHERE trim(title) <> '' AND strpos(lower(trim(link)), 'idealo') > 0 AND name <> ''""")
+def q_organic_rows(spark, sf):
+    return SEARCH.organic_rows(organic_items(spark, sf), F.lit("gpus"), _fixed_ts())
+
+
+def model_responses(spark, sf):
+    c = tables.read(spark, sf, "conversations")
+    letters = F.trim(F.regexp_replace(F.substr("text", F.lit(1), F.lit(40)), "[^A-Za-z ]", ""))
+    item = F.concat(F.lit('{"product_name": "'), letters, F.lit('", "price": "'),
+                    F.length("text").cast("string"), F.lit(',99 €", "availability": "'),
+                    F.when(F.col("turn") % 2 == 0, F.lit("in_stock")).otherwise(F.lit("Auf Lager")),
+                    F.lit('", "url": "https://m.example/'), F.col("conv_id").cast("string"), F.lit('"}'))
+    resp = (F.when(F.col("turn") % 3 == 0, F.concat(F.lit("["), item, F.lit("]")))
+             .when(F.col("turn") % 3 == 1, F.concat(F.lit("```json\n["), item, F.lit("]\n```")))
+             .otherwise(F.col("text")))
+    return c.select(F.concat(F.lit("shop_"), (F.col("conv_id") % 3).cast("string")).alias("source"),
+                    resp.alias("response"), F.length("text").alias("input_tokens"),
+                    (F.col("turn") * 10).alias("output_tokens"), "conv_id", "turn")
+
+
+MODEL_RESP_SQL = """
+resp AS (SELECT 'shop_' || CAST(conv_id % 3 AS VARCHAR) AS source,
+  CASE WHEN turn % 3 = 0 THEN '[' || item || ']' WHEN turn % 3 = 1 THEN '```json' || chr(10) || '[' || item || ']' || chr(10) || '```'
+       ELSE text END AS response, length(text) AS input_tokens, turn * 10 AS output_tokens, conv_id, turn
+  FROM (SELECT *, '{"product_name": "' || trim(regexp_replace(substr(text, 1, 40), '[^A-Za-z ]', '', 'g'))
+              || '", "price": "' || CAST(length(text) AS VARCHAR) || ',99 €", "availability": "'
+              || CASE WHEN turn % 2 = 0 THEN 'in_stock' ELSE 'Auf Lager' END
+              || '", "url": "https://m.example/' || CAST(conv_id AS VARCHAR) || '"}' AS item
+        FROM conversations))"""
+
+
+@register("model_rows", f"""WITH {MODEL_RESP_SQL},
+t AS (SELECT source, trim(regexp_replace(response, '```(?:json)?|```', '', 'g')) AS t FROM resp),
+j AS (SELECT source, unnest(from_json(t, '[{{"product_name":"VARCHAR","price":"VARCHAR","currency":"VARCHAR","availability":"VARCHAR","url":"VARCHAR"}}]')) AS it
+      FROM t WHERE starts_with(t, '[') AND json_valid(t)),
+x AS (SELECT source, trim(coalesce(it.product_name, '')) AS name, it.price AS price,
+             lower(coalesce(it.availability, 'unknown')) AS a, it.currency AS cur, trim(coalesce(it.url, '')) AS url FROM j)
+SELECT name AS product_name, CASE WHEN coalesce(price, '') <> '' THEN {dialect_b_sql('price', '0.0', True)} ELSE 0.0 END AS price,
+       CASE WHEN coalesce(cur, '') <> '' THEN cur ELSE 'EUR' END AS currency,
+       CASE WHEN a IN ('in_stock', 'out_of_stock', 'unknown') THEN a ELSE 'unknown' END AS availability,
+       upper(substr(replace(source, '_', ' '), 1, 1)) || lower(substr(replace(source, '_', ' '), 2)) AS seller,
+       source, url, {FIXED_TS} AS scrape_timestamp, 'phones' AS category
+FROM x WHERE name <> ''""")
+def q_model_rows(spark, sf):
+    return MODEL.model_rows(model_responses(spark, sf), F.lit("phones"), _fixed_ts())
+
+
+@register("token_cost", f"""WITH {MODEL_RESP_SQL}
+SELECT conv_id, turn, (input_tokens * 0.59::DOUBLE + output_tokens * 0.79::DOUBLE) / 1000000.0::DOUBLE AS cost_usd FROM resp""")
+def q_token_cost(spark, sf):
+    r = MODEL.call_cost(model_responses(spark, sf))
+    return r.select("conv_id", "turn", "cost_usd")
+
+
+@register("text_window", """
+WITH t AS (SELECT conv_id, turn, coalesce(text, '') AS x FROM conversations),
+w AS (SELECT conv_id, turn, x,
+        CASE WHEN strpos(x, '€') > 0 THEN strpos(x, '€') WHEN strpos(x, 'EUR') > 0 THEN strpos(x, 'EUR')
+             WHEN strpos(x, ' CHF') > 0 THEN strpos(x, ' CHF') WHEN strpos(x, 'Price') > 0 THEN strpos(x, 'Price') END AS pos FROM t)
+SELECT conv_id, turn, CASE WHEN pos IS NULL THEN substr(x, 1, 5000)
+                           ELSE substr(x, greatest(pos - 1 - 200, 0) + 1, 5000) END AS window FROM w""")
+def q_text_window(spark, sf):
+    c = tables.read(spark, sf, "conversations")
+    return MODEL.window_text(c, "text").select("conv_id", "turn", "window")
+
+
+@register("page_blocked", """
+SELECT length(html) < 10000 AND strpos(html, 'Something has gone wrong') > 0 AS blocked, count(*) AS n
+FROM pages GROUP BY ALL""")
+def q_page_blocked(spark, sf):
+    p = tables.read(spark, sf, "pages")
+    return p.groupBy(TX.is_blocked_page("html").alias("blocked")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("search_urls", """
+SELECT p_partkey, replace('https://www.amazon.de/s?k={query}&language=de_DE', '{query}',
+       replace(url_encode(coalesce(p_brand || ' ' || p_name, p_name, '')), '%20', '+')) AS search_url
+FROM part""")
+def q_search_urls(spark, sf):
+    p = tables.read(spark, sf, "part")
+    return p.select("p_partkey", TX.search_url(F.lit("https://www.amazon.de/s?k={query}&language=de_DE"),
+                                               F.concat_ws(" ", "p_brand", "p_name"), F.col("p_name"))
+                    .alias("search_url"))
+
+
+@register("accessory_flag", with_views(f"""
+x AS (SELECT DISTINCT lower(coalesce(product_name, '')) AS name FROM listings_raw)
+SELECT name, {acc_sql('name')} AS is_accessory FROM x"""))
+def q_accessory_flag(spark, sf):
+    l = tables.listings(spark, sf).select(F.lower(F.coalesce("product_name", F.lit(""))).alias("name")).distinct()
+    return l.select("name", TX.is_accessory(F.col("name")).alias("is_accessory"))
+
+
+@register("token_signature", with_views("""
+x AS (SELECT DISTINCT product_name FROM listings_raw)
+SELECT product_name, array_to_string(list_sort(list_distinct(regexp_extract_all(lower(coalesce(product_name, '')), '([a-z0-9]+)', 1))), ' ') AS signature
+FROM x"""))
+def q_token_signature(spark, sf):
+    l = tables.listings(spark, sf).select("product_name").distinct()
+    return l.select("product_name", F.array_join(F.array_sort(TX.token_signature("product_name")), " ")
+                    .alias("signature"))
+
+
+FUZZY_NORM_SQL = "lower(trim(regexp_replace(coalesce({x}, ''), '[^\\p{{L}}\\p{{N}}]', ' ', 'g')))"
+
+
+@register("fuzzy_normalise", with_views(f"""
+x AS (SELECT DISTINCT product_name FROM listings_raw)
+SELECT product_name, {FUZZY_NORM_SQL.format(x='product_name')} AS processed FROM x"""))
+def q_fuzzy_normalise(spark, sf):
+    l = tables.listings(spark, sf).select("product_name").distinct()
+    return l.select("product_name", TX.fuzzy_normalize("product_name").alias("processed"))
+
+
+@register("fuzzy_normalise_documents", f"""
+SELECT doc_id, {FUZZY_NORM_SQL.format(x='text')} AS processed FROM documents""")
+def q_fuzzy_normalise_documents(spark, sf):
+    d = tables.read(spark, sf, "documents")
+    return d.select("doc_id", TX.fuzzy_normalize("text").alias("processed"))
+
+
+def noise_strip_sql(name: str, cat: str) -> str:
+    s1 = f"regexp_replace(coalesce({name}, ''), {sql_str(re2(K.SPEC_NOISE_PATTERN))}, ' ', 'g')"
+    s2 = (f"CASE WHEN {cat} IN ('laptop', 'phone') THEN "
+          f"regexp_replace({s1}, {sql_str(re2(K.COMPONENT_NOISE_PATTERN))}, ' ', 'g') ELSE {s1} END")
+    s3 = f"trim(regexp_replace({s2}, '\\s{{2,}}', ' ', 'g'))"
+    toks = f"list_filter(regexp_split_to_array({s3}, '\\s+'), lambda t: t <> '')"
+    dedup = (f"array_to_string(list_filter({toks}, lambda t, i: "
+             f"list_position(list_transform({toks}, lambda u: lower(u)), lower(t)) = i), ' ')")
+    return f"coalesce(nullif({dedup}, ''), coalesce({name}, ''))"
+
+
+@register("noise_strip", with_views(f"""
+x AS (SELECT DISTINCT product_name, {tables.category_case_sql('category', tables.LISTING_CATEGORY_MAP)} AS category
+      FROM listings_raw),
+y AS (SELECT product_name, CASE WHEN category = 'standard' THEN 'laptop' WHEN category = 'small' THEN 'phone'
+                                ELSE category END AS category FROM x)
+SELECT product_name, category, {noise_strip_sql('product_name', 'category')} AS encoder_text FROM y"""))
+def q_noise_strip(spark, sf):
+    l = tables.listings(spark, sf)
+    x = l.select("product_name", C.normalize_category("category", tables.LISTING_CATEGORY_MAP).alias("category"))\
+         .distinct()
+    # two part types stand in for the categories that get the component-noise pass
+    y = x.select("product_name", F.when(F.col("category") == "standard", F.lit("laptop"))
+                 .when(F.col("category") == "small", F.lit("phone")).otherwise(F.col("category")).alias("category"))
+    return y.select("product_name", "category", TX.encoder_text(F.col("product_name"), F.col("category"))
+                    .alias("encoder_text"))
+
+
+@register("offer_defaults", with_views(CLEANED_CTES + """
+SELECT CASE WHEN source <> '' THEN source END AS source, price_clean AS price,
+       coalesce(nullif(currency, ''), 'EUR') AS currency,
+       coalesce(nullif(availability_clean, ''), 'unknown') AS availability,
+       seller, url, strftime(scrape_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS scrape_timestamp,
+       coalesce(is_anomaly, false) AS is_anomaly,
+       CASE WHEN price_clean IS NOT NULL AND price_clean <> 0 THEN 'in_stock' ELSE 'out_of_stock' END AS availability_from_price,
+       strpos(lower(coalesce(seller, '')), 'supplier#00000001') > 0 OR strpos(lower(coalesce(url, '')), 'supplier#00000001') > 0 AS covered
+FROM cleaned"""))
+def q_offer_defaults(spark, sf):
+    c = pipeline.cleaned_listings(spark, sf)
+    o = c.select(merging.offer_struct().alias("o"),
+                 TX.availability_from_price(F.col("price_clean")).alias("availability_from_price"),
+                 TX.coverage_filter(F.col("seller"), F.col("url"), "Supplier#00000001").alias("covered"))
+    return TX.sanitize_frame(o.select("o.*", "availability_from_price", "covered"))
+
+
+@register("null_sanitise", """
+WITH x AS (SELECT CASE WHEN l_discount = 0 THEN 'inf'::DOUBLE WHEN l_tax = 0 THEN 'nan'::DOUBLE
+                       ELSE l_extendedprice END AS v, l_shipdate AS ts FROM lineitem)
+SELECT CASE WHEN isnan(v) OR isinf(v) THEN NULL ELSE v END AS v,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts FROM x""")
+def q_null_sanitise(spark, sf):
+    l = tables.read(spark, sf, "lineitem")
+    x = l.select(F.when(F.col("l_discount") == 0, F.lit(float("inf")))
+                  .when(F.col("l_tax") == 0, F.lit(float("nan")))
+                  .otherwise(F.col("l_extendedprice")).alias("v"), F.col("l_shipdate").alias("ts"))
+    return TX.sanitize_frame(x)
+
+
+@register("category_fallback", with_views(f"""
+x AS (SELECT {tables.category_case_sql('category', tables.LISTING_CATEGORY_MAP)} AS category FROM listings_raw)
+SELECT category, count(*) AS n FROM x GROUP BY category"""))
+def q_category_fallback(spark, sf):
+    l = tables.listings(spark, sf).withColumnRenamed("category", "_category")
+    f = C.category_fallback(l)
+    return (f.select(C.normalize_category("category", tables.LISTING_CATEGORY_MAP).alias("category"))
+             .groupBy("category").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("display_names", """
+SELECT DISTINCT n_name, upper(substr(replace(lower(n_name), '_', ' '), 1, 1))
+       || substr(replace(lower(n_name), '_', ' '), 2) AS display_name FROM nation""")
+def q_display_names(spark, sf):
+    n = tables.read(spark, sf, "nation")
+    return n.select("n_name", TX.display_name(F.col("n_name")).alias("display_name")).distinct()

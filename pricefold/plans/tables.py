@@ -127,7 +127,8 @@ def re2(pattern: str) -> str:
     for java, r in (("(?iusU)", "(?is)"), ("(?iuU)", "(?i)"), ("(?iU)", "(?i)"), ("(?U)", ""),
                     ("(?iu)", "(?i)")):
         pattern = pattern.replace(java, r)
-    return pattern
+    # RE2's \w is ASCII-only; Java's (?U)\w covers all letters and digits.
+    return pattern.replace("\\w", "[\\p{L}\\p{N}_]")
 
 
 def sql_str(s: str) -> str:
