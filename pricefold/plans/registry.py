@@ -758,3 +758,166 @@ SELECT DISTINCT n_name, upper(substr(replace(lower(n_name), '_', ' '), 1, 1))
 def q_display_names(spark, sf):
     n = tables.read(spark, sf, "nation")
     return n.select("n_name", TX.display_name(F.col("n_name")).alias("display_name")).distinct()
+
+
+# ============================================================== fuzzy / W4 / A11
+from ..operators import fuzzy as FZ  # noqa: E402
+from ..operators import partitions as PARTS  # noqa: E402
+from ..sources import raw as RAW  # noqa: E402
+
+
+@register("match_fuzzy")
+def q_match_fuzzy(spark, sf):
+    c = pipeline.cleaned_listings(spark, sf)
+    return FZ.match_queries(c, tables.catalog(spark, sf))
+
+
+@register("catalog_first", f"""
+WITH c AS (SELECT *, {FUZZY_NORM_SQL.format(x='canonical_name')} AS choice FROM ({tables.CATALOG_SQL}))
+SELECT category, choice, product_id, canonical_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY category, choice ORDER BY ord) AS rn FROM c) WHERE rn = 1""")
+def q_catalog_first(spark, sf):
+    ch = FZ.choices(tables.catalog(spark, sf)).where(F.col("key") != matching.POOL_KEY)
+    return ch.select(F.col("key").alias("category"), "choice", "product_id", "canonical_name")
+
+
+def _fuzzy_cases(spark, sf):
+    cases = quality.build_test_set(tables.catalog(spark, sf))
+    m = FZ.match_queries(cases, tables.catalog(spark, sf), threshold=0.0, name_col="query")
+    keyed = cases.select("*", TX.fuzzy_normalize(F.col("query")).alias("qproc"),
+                         F.coalesce(F.col("category"), F.lit("")).alias("qcat"))
+    return keyed.join(m, ["qproc", "qcat"], "left")
+
+
+@register("threshold_sweep")
+def q_threshold_sweep(spark, sf):
+    """Fuzzy scores computed once (threshold 0) for the labelled set;
+    non-accessory positives vs accessory negatives, thresholds 60..95."""
+    r = _fuzzy_cases(spark, sf)
+    scored = r.select((F.col("test_type") != "accessory").alias("is_positive"), "raw_score")
+    return quality.threshold_sweep(scored)
+
+
+@register("match_quality_fuzzy")
+def q_match_quality_fuzzy(spark, sf):
+    r = _fuzzy_cases(spark, sf)
+    res = r.select("test_type", "expected_product_id", "product_id",
+                   (F.col("raw_score") >= K.FUZZY_THRESHOLD).alias("matched"))
+    return quality.quality_metrics(res.withColumn(
+        "product_id", F.when(F.col("matched"), F.col("product_id"))))
+
+
+@register("match_quality_vector")
+def q_match_quality_vector(spark, sf):
+    """A10 for the cosine matcher: query vectors whose label is known; the
+    expected product is the first catalog vector of the same label."""
+    qv = tables.vector_queries(spark, sf)
+    cv = tables.vector_catalog(spark, sf)
+    m = vector.match_vectors(qv, cv, threshold=VEC_LOW_THRESHOLD)
+    exp = cv.groupBy("category").agg(F.min("product_id").cast("string").alias("expected_product_id"))
+    r = (qv.join(exp, "category", "left").join(m, "query_id")
+           .select(F.lit("positive").alias("test_type"), "expected_product_id", "product_id",
+                   F.col("product_id").isNotNull().alias("matched")))
+    return quality.quality_metrics(r)
+
+
+@register("latest_partition", """
+WITH e AS (SELECT 'source_' || CAST(user_id % 4 AS VARCHAR) AS source, event_type AS category,
+                  CAST(ts AS DATE) AS run_date FROM events),
+m AS (SELECT source, category, max(run_date) AS run_date FROM e GROUP BY ALL)
+SELECT source, category, run_date, count(*) AS n FROM e JOIN m USING (source, category, run_date) GROUP BY ALL""")
+def q_latest_partition(spark, sf):
+    e = tables.read(spark, sf, "events").select(
+        F.concat(F.lit("source_"), (F.col("user_id") % 4).cast("string")).alias("source"),
+        F.col("event_type").alias("category"), F.to_date("ts").alias("run_date"))
+    return (PARTS.latest_partition(e, ["source", "category"], "run_date")
+            .groupBy("source", "category", "run_date").agg(F.count(F.lit(1)).alias("n")))
+
+
+UPSERT_BASE_SQL = f"""
+b AS (SELECT CASE WHEN l_orderkey % {tables.BLANK_URL_MOD} = 0 THEN ''
+                  ELSE '{tables.URL_PREFIX}' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS url,
+             l_extendedprice AS price, 'Supplier ' || CAST(l_suppkey AS VARCHAR) AS seller,
+             l_orderkey * 8 + l_linenumber AS p, l_shipdate >= TIMESTAMP '1998-01-01' AS is_new FROM lineitem)"""
+
+
+def _upsert_frames(spark, sf):
+    l = tables.read(spark, sf, "lineitem")
+    url = F.when(F.col("l_orderkey") % tables.BLANK_URL_MOD == 0, F.lit("")).otherwise(
+        F.concat(F.lit(tables.URL_PREFIX), F.col("l_orderkey").cast("string"), F.lit("-"),
+                 F.col("l_linenumber").cast("string")))
+    b = l.select(url.alias("url"), F.col("l_extendedprice").alias("price"),
+                 F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")).alias("seller"),
+                 (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_pos"),
+                 (F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).alias("is_new"))
+    return b.where(~F.col("is_new")).drop("is_new"), b.where(F.col("is_new")).drop("is_new")
+
+
+@register("url_upsert", f"""
+WITH {UPSERT_BASE_SQL},
+u AS (SELECT url, price, seller, p, CASE WHEN is_new THEN 1 ELSE 0 END AS seq, trim(coalesce(url, '')) AS k FROM b),
+le AS (SELECT k, max(p) FILTER (WHERE seq = 0) AS last_e FROM u WHERE k <> '' GROUP BY k),
+ku AS (SELECT u.*, le.last_e FROM u JOIN le USING (k)),
+slot AS (SELECT * FROM ku WHERE seq = 1 OR p = last_e),
+win AS (SELECT k, url, price, seller FROM (SELECT *, row_number() OVER (PARTITION BY k
+          ORDER BY seq DESC, p DESC, url DESC NULLS LAST, price DESC NULLS LAST, seller DESC NULLS LAST) AS rn FROM slot) WHERE rn = 1),
+pos AS (SELECT k, arg_min(seq, seq * 10000000000 + p) AS s, arg_min(p, seq * 10000000000 + p) AS pp FROM slot GROUP BY k)
+SELECT url, price, seller, s AS _seq, pp AS _pos FROM win JOIN pos USING (k)
+UNION ALL SELECT url, price, seller, seq, p FROM ku WHERE NOT (seq = 1 OR p = last_e)
+UNION ALL SELECT url, price, seller, seq, p FROM u WHERE k = ''""")
+def q_url_upsert(spark, sf):
+    existing, incoming = _upsert_frames(spark, sf)
+    return RAW.upsert(existing, incoming).select("url", "price", "seller", "_seq", "_pos")
+
+
+ORDERS_REC_SQL = """
+rec AS (SELECT o_orderkey AS row_id, o_orderkey AS pos,
+               'Order ' || CAST(o_orderkey AS VARCHAR) || CASE WHEN o_orderstatus = 'F' THEN ' (fulfilled)' ELSE '' END AS product_name,
+               CASE WHEN o_custkey % 3 = 0 THEN NULL WHEN o_custkey % 3 = 1 THEN '' ELSE 'EUR' END AS currency,
+               o_totalprice AS price, o_custkey, o_orderstatus, o_orderpriority, o_orderdate FROM orders),
+grp AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) AS group_id, row_id FROM rec JOIN customer ON o_custkey = c_custkey
+        WHERE c_mktsegment = 'BUILDING'
+        UNION ALL
+        SELECT 'p' || o_orderpriority || '-' || CAST(year(o_orderdate) AS VARCHAR), row_id FROM rec WHERE o_orderstatus = 'P')"""
+
+
+def _orders_records(spark, sf):
+    o = tables.read(spark, sf, "orders")
+    cur = (F.when(F.col("o_custkey") % 3 == 0, F.lit(None).cast("string"))
+            .when(F.col("o_custkey") % 3 == 1, F.lit("")).otherwise(F.lit("EUR")))
+    rec = o.select(F.col("o_orderkey").alias("row_id"), F.col("o_orderkey").alias("pos"),
+                   F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"),
+                            F.when(F.col("o_orderstatus") == "F", F.lit(" (fulfilled)")).otherwise(F.lit("")))
+                    .alias("product_name"),
+                   cur.alias("currency"), F.col("o_totalprice").alias("price"),
+                   F.concat(F.lit("cust"), F.col("o_custkey").cast("string")).alias("seller"),
+                   F.col("o_orderpriority").alias("source"), F.lit(None).cast("string").alias("url"),
+                   F.col("o_orderstatus").alias("availability"), F.col("o_orderdate").alias("scrape_timestamp"),
+                   "o_custkey", "o_orderdate")
+    cust = tables.read(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING").select("c_custkey")
+    g1 = rec.join(cust, rec.o_custkey == cust.c_custkey, "left_semi").select(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("group_id"), "row_id")
+    g2 = rec.where(F.col("availability") == "P").select(
+        F.concat(F.lit("p"), F.col("source"), F.lit("-"), F.year("o_orderdate").cast("string")).alias("group_id"),
+        "row_id")
+    return rec.drop("o_custkey", "o_orderdate"), g1.unionByName(g2)
+
+
+@register("merged_groups", f"""
+WITH {ORDERS_REC_SQL},
+g AS (SELECT group_id, rec.* FROM grp JOIN rec USING (row_id)),
+s AS (SELECT 'single-' || CAST(row_id AS VARCHAR) AS group_id, * FROM rec WHERE row_id NOT IN (SELECT row_id FROM grp)),
+a AS (SELECT *, 'x' AS kind FROM g UNION ALL SELECT *, 'none' FROM s)
+SELECT group_id,
+       arg_max(product_name, length(product_name) * 100000000 - pos) AS product_name,
+       coalesce(arg_min(currency, pos) FILTER (WHERE coalesce(currency, '') <> ''), 'EUR') AS currency,
+       min(price) AS price_min, max(price) AS price_max,
+       round(CAST(avg(price) AS DECIMAL(38,10)), 2)::DOUBLE AS price_mean,
+       count(*) AS offer_count,
+       CASE WHEN min(kind) = 'none' THEN 'none' ELSE 'orders' END AS matched_by
+FROM a GROUP BY group_id""")
+def q_merged_groups(spark, sf):
+    rec, groups = _orders_records(spark, sf)
+    m = merging.merge_groups(rec, groups, matched_by="orders")
+    return m.select("group_id", "product_name", "currency", "price_min", "price_max", "price_mean",
+                    "offer_count", "matched_by")
