@@ -18,6 +18,7 @@ LCS).  The argmax is a partial-aggregable ``max(struct)``.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as TX
+from .joins import spread
 from .matching import POOL_KEY
 
 
@@ -139,15 +141,131 @@ def score_pairs(pairs: DataFrame, q_col: str = "qproc", c_col: str = "choice") -
     p = p.withColumn("_known", known).withColumn("_ub", ub).withColumn("_T", F.max("_known").over(w))
     need = (~F.col("_empty") & ~F.col("_subset") & (F.col("_ub") >= F.col("_T"))
             & (F.col("_r1ub") > F.col("_base")) & (F.col("_r1ub") > F.col("_r1lb")))
+    p = p.withColumn("_need", need)
+    tmp = ["_A", "_B", "_I", "_ab", "_ba", "_sect", "_empty", "_subset", "_lensum", "_base", "_r1ub",
+           "_r1lb", "_known", "_ub", "_T", "_need"]
+    # The Arrow UDF only sees the pairs that can still reach the per-query
+    # best; both branches reuse the same exchange.
     exact = F.greatest(F.col("_base"), _indel_ratio(F.col("_ab"), F.col("_ba"), F.col("_lensum").cast("double")))
-    score = F.when(need, exact).otherwise(F.col("_known"))
-    return p.withColumn("raw_score", score).drop(
-        "_A", "_B", "_I", "_ab", "_ba", "_sect", "_empty", "_subset", "_lensum", "_base", "_r1ub", "_r1lb",
-        "_known", "_ub", "_T")
+    hard = p.where(F.col("_need")).withColumn("raw_score", exact)
+    easy = p.where(~F.col("_need")).withColumn("raw_score", F.col("_known"))
+    return hard.unionByName(easy).drop(*tmp)
+
+
+def _prepare_pool(rows) -> dict:
+    """Per category key: ordered choices with an inverted index over tokens."""
+    by_key: dict = {}
+    for r in sorted(rows, key=lambda r: (r["key"], r["o1"], r["o2"])):
+        by_key.setdefault(r["key"], []).append(r)
+    pools = {}
+    for key, rs in by_key.items():
+        sets = [frozenset(r["choice"].split()) for r in rs]
+        postings: dict = {}
+        for i, ts in enumerate(sets):
+            for t in ts:
+                postings.setdefault(t, []).append(i)
+        pools[key] = {
+            "sets": sets,
+            "sizes": np.array([len(x) for x in sets], dtype=np.int64),
+            "lens": np.array([sum(len(t) for t in x) for x in sets], dtype=np.int64),
+            "post": {t: np.asarray(v, dtype=np.int64) for t, v in postings.items()},
+            "rows": [(r["product_id"], r["canonical_name"], r["pcat"]) for r in rs],
+        }
+    return pools
+
+
+def best_in_pool(q: str, pool: dict):
+    """Exact first-maximum of token_set_ratio over an ordered pool.
+
+    Intersection sizes / lengths for every candidate come from the postings
+    (numpy ``bincount``); the first subset candidate answers 100 at once (no
+    other candidate can reach 100); otherwise LCS runs only for candidates,
+    in decreasing upper-bound order, whose bound reaches the running best.
+    Returns (score, index or None)."""
+    n = len(pool["sets"]) if pool else 0
+    if n == 0:
+        return 0.0, None
+    qa = frozenset(q.split()) if q else frozenset()
+    if not qa:
+        return 0.0, 0
+    sizes, lens = pool["sizes"], pool["lens"]
+    hit_idx = [pool["post"][t] for t in qa if t in pool["post"]]
+    if hit_idx:
+        idx = np.concatenate(hit_idx)
+        w = np.concatenate([np.full(len(pool["post"][t]), len(t), dtype=np.float64)
+                            for t in qa if t in pool["post"]])
+        hits = np.bincount(idx, minlength=n)
+        ilen = np.bincount(idx, weights=w, minlength=n).astype(np.int64)
+    else:
+        hits = np.zeros(n, dtype=np.int64)
+        ilen = np.zeros(n, dtype=np.int64)
+    nq, qlen = len(qa), sum(len(t) for t in qa)
+    na, nb = nq - hits, sizes - hits
+    empty = sizes == 0
+    subset = (hits > 0) & ((na == 0) | (nb == 0)) & ~empty
+    if subset.any():
+        return 100.0, int(np.argmax(subset))
+    sect = np.where(hits > 0, ilen + hits - 1, 0)
+    la = np.where(na > 0, qlen - ilen + na - 1, 0)
+    lb = np.where(nb > 0, lens - ilen + nb - 1, 0)
+    has = (sect > 0).astype(np.int64)
+    sab, sba = sect + has + la, sect + has + lb
+    lensum = sab + sba
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r2 = np.where(sect > 0, 100 - 100 * (has + la) / (sect + sab), 0.0)
+        r3 = np.where(sect > 0, 100 - 100 * (has + lb) / (sect + sba), 0.0)
+        r1_ub = np.where(lensum > 0, 100 - 100 * np.abs(la - lb) / lensum, 100.0)
+        r1_lb = np.where(lensum > 0, 100 - 100 * (la + lb) / lensum, 100.0)
+    base = np.maximum(r2, r3)
+    known = np.where(empty, 0.0, np.maximum(base, r1_lb))
+    ub = np.where(empty, 0.0, np.maximum(base, r1_ub))
+    best = known.max()
+    need = np.nonzero(~empty & (r1_ub > base) & (r1_ub > r1_lb) & (ub >= best))[0]
+    scores = known.copy()
+    for i in need[np.argsort(-ub[need], kind="stable")]:
+        if ub[i] < best:
+            break
+        cb = pool["sets"][i]
+        ab = " ".join(sorted(qa - cb))
+        ba = " ".join(sorted(cb - qa))
+        d = int(la[i] + lb[i]) - 2 * lcs_length(ab, ba)
+        r1 = 100 - 100 * d / int(lensum[i])
+        scores[i] = max(float(base[i]), r1)
+        best = max(best, scores[i])
+    j = int(np.argmax(scores))
+    return float(scores[j]), j
+
+
+def _best_broadcast(q: DataFrame, ch: DataFrame, id_type: str) -> DataFrame:
+    spark = q.sparkSession
+    bc = spark.sparkContext.broadcast(_prepare_pool([r.asDict() for r in ch.collect()]))
+    schema = (f"qcat string, qproc string, raw_score double, best_product_id {id_type}, "
+              "best_canonical_name string, best_category string")
+
+    def score(batches):
+        pools = bc.value
+        for b in batches:
+            out = []
+            for cat, qp in zip(b["qcat"], b["qproc"]):
+                pool = pools.get(cat)
+                s, i = best_in_pool(qp, pool)
+                if i is None:
+                    out.append((cat, qp, s, None, None, None))
+                else:
+                    c = pool["rows"][i]
+                    out.append((cat, qp, s, c[0], c[1], c[2]))
+            yield pd.DataFrame(out, columns=["qcat", "qproc", "raw_score", "best_product_id",
+                                             "best_canonical_name", "best_category"])
+
+    return spread(q.select("qcat", "qproc"), "qproc").mapInPandas(score, schema)
+
+
+DEFAULT_POOL_ROWS = 2_000_000
 
 
 def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.FUZZY_THRESHOLD,
-                  name_col: str = "product_name_clean", category_col: str = "category") -> DataFrame:
+                  name_col: str = "product_name_clean", category_col: str = "category",
+                  plan: str = "auto", max_pool_rows: int = DEFAULT_POOL_ROWS) -> DataFrame:
     """One FuzzyMatchResult row per distinct (qproc, qcat)."""
     if threshold is not None and threshold <= 1.0:
         threshold = threshold * 100          # P31: fractions are scaled
@@ -156,18 +274,24 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
                  .distinct()
                  .withColumn("is_accessory", TX.is_accessory(F.col("qproc"))))
     ch = choices(catalog)
+    if plan == "auto":
+        ch = ch.cache()
+        plan = "broadcast" if ch.count() <= max_pool_rows else "join"
     keys = ch.select(F.col("key").alias("qcat")).distinct().withColumn("has_pool", F.lit(True))
     q = q.join(keys, "qcat", "left")
-    cand = q.where(~F.col("is_accessory") & F.col("has_pool").isNotNull()).select(F.col("qcat").alias("key"), "qproc")
-    pairs = cand.join(ch, "key")
-    scored = score_pairs(pairs)
-    best = F.max(F.struct("raw_score", (-F.col("o1")).alias("n1"), (-F.col("o2")).alias("n2"),
-                          "product_id", "canonical_name", "pcat"))
-    b = (scored.groupBy("key", "qproc").agg(best.alias("b"))
-               .select(F.col("key").alias("qcat"), "qproc", F.col("b.raw_score").alias("raw_score"),
-                       F.col("b.product_id").alias("best_product_id"),
-                       F.col("b.canonical_name").alias("best_canonical_name"),
-                       F.col("b.pcat").alias("best_category")))
+    cand = q.where(~F.col("is_accessory") & F.col("has_pool").isNotNull())
+    if plan == "broadcast":
+        b = _best_broadcast(cand, ch, catalog.schema["product_id"].dataType.simpleString())
+    else:
+        pairs = cand.select(F.col("qcat").alias("key"), "qproc").join(ch, "key")
+        scored = score_pairs(pairs)
+        best = F.max(F.struct("raw_score", (-F.col("o1")).alias("n1"), (-F.col("o2")).alias("n2"),
+                              "product_id", "canonical_name", "pcat"))
+        b = (scored.groupBy("key", "qproc").agg(best.alias("b"))
+                   .select(F.col("key").alias("qcat"), "qproc", F.col("b.raw_score").alias("raw_score"),
+                           F.col("b.product_id").alias("best_product_id"),
+                           F.col("b.canonical_name").alias("best_canonical_name"),
+                           F.col("b.pcat").alias("best_category")))
     r = q.join(b, ["qcat", "qproc"], "left")
     raw = F.coalesce(F.col("raw_score"), F.lit(0.0))
     acc = F.col("is_accessory")
@@ -191,5 +315,6 @@ def attach(listings: DataFrame, matches: DataFrame, name_col: str = "product_nam
     return keyed.join(matches, ["qproc", "qcat"], "left").drop("qproc", "qcat")
 
 
-def match_fuzzy(listings: DataFrame, catalog: DataFrame, threshold: float = K.FUZZY_THRESHOLD) -> DataFrame:
-    return attach(listings, match_queries(listings, catalog, threshold))
+def match_fuzzy(listings: DataFrame, catalog: DataFrame, threshold: float = K.FUZZY_THRESHOLD,
+                plan: str = "auto") -> DataFrame:
+    return attach(listings, match_queries(listings, catalog, threshold, plan=plan))

@@ -28,3 +28,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     side, _ = checked_broadcast(small, max_rows)
     return big.join(side, on=on, how=how)
+
+
+def spread(df: DataFrame, *cols, per_core: int = 4) -> DataFrame:
+    """Hash-spread rows that feed CPU-heavy Python work over all cores.
+
+    AQE coalesces small shuffles by bytes, which would put a compute-bound
+    ``mapInPandas`` into one task; an explicit repartition count is kept."""
+    spark = df.sparkSession
+    n = max(int(spark.sparkContext.defaultParallelism) * per_core,
+            int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *cols) if cols else df.repartition(n)

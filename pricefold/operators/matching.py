@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as TX
+from .joins import spread
 
 POOL_KEY = ""          # category key of listings without a category
 MATCH_COLUMNS = ["product_id", "canonical_name", "product_category", "match_score", "match_method"]
@@ -146,7 +147,7 @@ def _score_broadcast(q: DataFrame, idx: DataFrame, id_type: str) -> DataFrame:
                                 "best_canonical_name": pd.Series(best_nm, dtype="object"),
                                 "best_category": pd.Series(best_cat, dtype="object")})
 
-    qt = q.select("qname", "qcat", TX.token_signature(F.col("qname")).alias("qt"))
+    qt = spread(q, "qname").select("qname", "qcat", TX.token_signature(F.col("qname")).alias("qt"))
     return qt.mapInPandas(score, schema)
 
 

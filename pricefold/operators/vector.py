@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .joins import spread
 
 DEFAULT_MATRIX_ROWS = 1_000_000
 
@@ -72,7 +73,7 @@ def _best_broadcast(queries: DataFrame, catalog: DataFrame, id_type: str, qid_ty
                                 "best_product_id": pd.Series(out_p, dtype="object")})
 
     schema = f"query_id {qid_type}, best_score double, best_product_id {id_type}"
-    return queries.select("query_id", "category", "embedding").mapInPandas(score, schema)
+    return spread(queries.select("query_id", "category", "embedding"), "query_id").mapInPandas(score, schema)
 
 
 def match_vectors(queries: DataFrame, catalog: DataFrame, threshold: float = K.VECTOR_THRESHOLD,
