@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as TX
@@ -185,9 +186,86 @@ def attach(listings: DataFrame, matches: DataFrame, name_col: str = "product_nam
     return keyed.join(matches, ["qname", "qcat"], "left").drop("qname", "qcat")
 
 
+def _score_rows(index: dict, cats, toks_list, memo: dict):
+    """Best (score, product_id, canonical_name, category) per row, memoised
+    on the (category key, token tuple) within one task."""
+    out = []
+    for cat, toks in zip(cats, toks_list):
+        key = (cat, tuple(toks) if toks is not None else ())
+        hit = memo.get(key)
+        if hit is None:
+            hit = (0.0, None, None, None)
+            entry = index.get(cat)
+            if entry is not None and key[1]:
+                postings, sizes, pids, names, pcats = entry
+                hits = [postings[t] for t in key[1] if t in postings]
+                if hits:
+                    scores = np.bincount(np.concatenate(hits), minlength=len(sizes)) / sizes
+                    j = int(np.argmax(scores))
+                    if scores[j] > 0:
+                        hit = (float(scores[j]), pids[j], names[j], pcats[j])
+            memo[key] = hit
+        out.append(hit)
+    return out
+
+
+def _attach_broadcast(listings: DataFrame, idx: DataFrame, threshold: float, id_type: str,
+                      name_col: str, category_col: str, intended_display_part: bool) -> DataFrame:
+    """Map-side matching: every listing row is scored in its own task
+    against the broadcast index; no shuffle, no join back."""
+    spark = listings.sparkSession
+    bc = spark.sparkContext.broadcast(_build_index(idx.toPandas()))
+    qname, qcat = query_key(name_col, category_col)
+    base_cols = listings.columns
+    x = listings.select("*", qcat.alias("_qcat"),
+                        TX.is_accessory(qname, intended_display_part).alias("_acc"),
+                        TX.token_signature(qname).alias("_qt"))
+    schema = T.StructType(listings.schema.fields + [
+        T.StructField("product_id", T._parse_datatype_string(id_type)),
+        T.StructField("canonical_name", T.StringType()),
+        T.StructField("product_category", T.StringType()),
+        T.StructField("match_score", T.DoubleType()),
+        T.StructField("match_method", T.StringType())])
+
+    def run(batches):
+        index = bc.value
+        memo: dict = {}
+        for b in batches:
+            res = _score_rows(index, b["_qcat"], b["_qt"], memo)
+            acc = b["_acc"].to_numpy(dtype=bool)
+            score = np.array([r[0] for r in res], dtype=np.float64)
+            ok = ~acc & (score >= threshold) & np.array([r[1] is not None for r in res])
+            out = b[base_cols].copy()
+            out["product_id"] = pd.Series([r[1] if o else None for r, o in zip(res, ok)], dtype="object")
+            out["canonical_name"] = [r[2] if o else None for r, o in zip(res, ok)]
+            out["product_category"] = [r[3] if o else None for r, o in zip(res, ok)]
+            out["match_score"] = np.where(acc, 0.0, score)
+            out["match_method"] = np.where(acc, "accessory_filter",
+                                           np.where(ok, "token_overlap", "below_threshold"))
+            yield out
+
+    return x.mapInPandas(run, schema)
+
+
 def match_rule(listings: DataFrame, catalog: DataFrame, threshold: float = K.RULE_THRESHOLD,
-               plan: str = "auto", **kw) -> DataFrame:
-    return attach(listings, match_queries(listings, catalog, threshold, plan=plan, **kw))
+               plan: str = "auto", name_col: str = "product_name_clean", category_col: str = "category",
+               max_index_rows: int = DEFAULT_INDEX_ROWS, intended_display_part: bool = False) -> DataFrame:
+    """Listings with their MatchResult columns.
+
+    ``broadcast`` plan (index within ``max_index_rows``): map-side scoring of
+    every row, no shuffle.  ``join`` plan: distinct queries scored by the
+    inverted-index join, then joined back to the listings."""
+    idx = indexed_catalog(catalog)
+    if plan == "auto":
+        idx = idx.cache()
+        plan = "broadcast" if idx.count() <= max_index_rows else "join"
+    if plan == "broadcast":
+        return _attach_broadcast(listings, idx, threshold,
+                                 catalog.schema["product_id"].dataType.simpleString(),
+                                 name_col, category_col, intended_display_part)
+    m = match_queries(listings, catalog, threshold, name_col, category_col, plan="join",
+                      intended_display_part=intended_display_part)
+    return attach(listings, m, name_col, category_col)
 
 
 def matched_only(matched: DataFrame) -> DataFrame:
