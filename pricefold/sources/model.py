@@ -23,7 +23,7 @@ MODEL_ITEM = T.ArrayType(T.StructType([
 
 def parse_response(c: Column) -> Column:
     """Fence-stripped text parsed as array<struct>; null unless a JSON array."""
-    t = F.trim(F.regexp_replace(c, K.CODE_FENCE_PATTERN, ""))
+    t = F.regexp_replace(F.regexp_replace(c, K.CODE_FENCE_PATTERN, ""), r"^(?U)\s+|(?U)\s+$", "")
     return F.when(t.startswith("["), F.from_json(t, MODEL_ITEM))
 
 

@@ -47,7 +47,9 @@ def list_partitions(spark: SparkSession, root: str, sources=None, category: str
     (latest-partition semantics)."""
     root = root.rstrip("/")
     srcs = list(sources) if sources else ["*"]
-    globs = [f"{root}/{s}/{category or '*'}/*/*/*/{K.RAW_FILE_NAME}" for s in srcs]
+    globs = _existing([f"{root}/{s}/{category or '*'}/*/*/*/{K.RAW_FILE_NAME}" for s in srcs], spark)
+    if not globs:
+        return spark.createDataFrame([], "path string, source string, category string, run_date date")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", K.RAW_FILE_NAME)
              .load(globs).select("path"))
     p = F.col("path")
@@ -67,6 +69,18 @@ def list_partitions(spark: SparkSession, root: str, sources=None, category: str
     return out
 
 
+def _existing(globs, spark: SparkSession) -> list:
+    """Globs with at least one match (Hadoop FS metadata call, no content)."""
+    out = []
+    for g in globs:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(g)
+        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        st = fs.globStatus(jpath)
+        if st is not None and len(st) > 0:
+            out.append(g)
+    return out
+
+
 def _uri_prefix(spark: SparkSession, root: str) -> str:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -158,8 +172,10 @@ def write_partitioned(df: DataFrame, path: str, partition_cols, fmt: str = "json
                       mode: str = "overwrite") -> None:
     """Dynamic partition overwrite: only the partitions present in ``df``
     are replaced (S6 save / S7 publish)."""
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols).format(fmt).save(path))
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
+    if fmt == "json":
+        w = w.option("ignoreNullFields", False)   # explicit nulls, like the reference output
+    w.format(fmt).save(path)
 
 
 def publish(records: DataFrame, target: str, dry_run: bool = False):

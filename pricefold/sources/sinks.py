@@ -42,13 +42,13 @@ def write_flat(df: DataFrame, root: str, name: str, fmt: str = "json",
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
-        w.json(path)
+        w.option("ignoreNullFields", False).json(path)
 
 
 def write_catalog(catalog: DataFrame, root: str) -> None:
     """Nested records as JSON plus the flat seven-column CSV."""
     base = root.rstrip("/") + "/catalog"
-    sanitize_frame(catalog).write.mode("overwrite").json(base + "/catalog_json")
+    sanitize_frame(catalog).write.mode("overwrite").option("ignoreNullFields", False).json(base + "/catalog_json")
     (catalog.select(*CATALOG_FLAT_FIELDS).write.mode("overwrite").option("header", True)
             .csv(base + "/catalog_csv"))
 
