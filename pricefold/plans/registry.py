@@ -921,3 +921,14 @@ def q_merged_groups(spark, sf):
     m = merging.merge_groups(rec, groups, matched_by="orders")
     return m.select("group_id", "product_name", "currency", "price_min", "price_max", "price_mean",
                     "offer_count", "matched_by")
+
+
+# ============================================================== pages
+from ..sources import pages as PAGES  # noqa: E402
+
+
+@register("page_listings")
+def q_page_listings(spark, sf):
+    """P14 over the saved pages (article layout profile), P15 applied first."""
+    p = tables.read(spark, sf, "pages")
+    return PAGES.page_listings(p, "article", F.lit("pages"), "pages", _fixed_ts())
