@@ -174,7 +174,7 @@ def _prepare_pool(rows) -> dict:
     return pools
 
 
-def best_in_pool(q: str, pool: dict):
+def best_in_pool(q: str, pool: dict, exclude: int | None = None):
     """Exact first-maximum of token_set_ratio over an ordered pool.
 
     Intersection sizes / lengths for every candidate come from the postings
@@ -189,6 +189,8 @@ def best_in_pool(q: str, pool: dict):
     if not qa:
         return 0.0, 0
     sizes, lens = pool["sizes"], pool["lens"]
+    if exclude is not None and n == 1:
+        return 0.0, None
     hit_idx = [pool["post"][t] for t in qa if t in pool["post"]]
     if hit_idx:
         idx = np.concatenate(hit_idx)
@@ -202,6 +204,9 @@ def best_in_pool(q: str, pool: dict):
     nq, qlen = len(qa), sum(len(t) for t in qa)
     na, nb = nq - hits, sizes - hits
     empty = sizes == 0
+    if exclude is not None:
+        empty = empty.copy()
+        empty[exclude] = True
     subset = (hits > 0) & ((na == 0) | (nb == 0)) & ~empty
     if subset.any():
         return 100.0, int(np.argmax(subset))
@@ -232,8 +237,10 @@ def best_in_pool(q: str, pool: dict):
         r1 = 100 - 100 * d / int(lensum[i])
         scores[i] = max(float(base[i]), r1)
         best = max(best, scores[i])
+    if exclude is not None:
+        scores[exclude] = -1.0
     j = int(np.argmax(scores))
-    return float(scores[j]), j
+    return float(max(scores[j], 0.0)), j
 
 
 def _best_broadcast(q: DataFrame, ch: DataFrame, id_type: str) -> DataFrame:

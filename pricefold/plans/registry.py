@@ -932,3 +932,22 @@ def q_page_listings(spark, sf):
     """P14 over the saved pages (article layout profile), P15 applied first."""
     p = tables.read(spark, sf, "pages")
     return PAGES.page_listings(p, "article", F.lit("pages"), "pages", _fixed_ts())
+
+
+# ============================================================== entity grouping
+from ..operators import entity as ENTITY  # noqa: E402
+from ..session import cut_lineage  # noqa: E402
+
+
+@register("entity_groups")
+def q_entity_groups(spark, sf):
+    """J7 + A3 over the cleaned listings: rule stage, fuzzy partner stage
+    (>= 88), connected components, then one merged record per group."""
+    c = pipeline.cleaned_listings(spark, sf)
+    rec = cut_lineage(c.withColumn("row_id", F.monotonically_increasing_id())
+                       .withColumn("pos", F.col("row_id"))
+                       .withColumn("price", F.col("price_clean")))
+    groups = ENTITY.grouped_records(rec)
+    m = merging.merge_groups(rec, groups, matched_by="catalog_build")
+    return m.select("group_id", "product_name", "currency", "price_min", "price_max", "price_mean",
+                    "offer_count", "matched_by")
