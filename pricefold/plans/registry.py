@@ -951,3 +951,52 @@ def q_entity_groups(spark, sf):
     m = merging.merge_groups(rec, groups, matched_by="catalog_build")
     return m.select("group_id", "product_name", "currency", "price_min", "price_max", "price_mean",
                     "offer_count", "matched_by")
+
+
+# ============================================================== whole texts
+@register("match_documents", f"""
+WITH d AS (SELECT doc_id, lower(coalesce(text, '')) AS q FROM documents),
+qa AS (SELECT doc_id, {acc_sql('q')} AS acc, list_distinct(regexp_extract_all(q, '([a-z0-9]+)', 1)) AS qt FROM d),
+cs AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '([a-z0-9]+)', 1)) AS sig FROM benchmark),
+pairs AS (SELECT qa.doc_id, cs.item_id,
+                 len(list_filter(cs.sig, lambda x: list_contains(qa.qt, x)))::DOUBLE / len(cs.sig) AS score
+          FROM qa CROSS JOIN cs WHERE NOT qa.acc AND len(cs.sig) > 0),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, item_id) AS rn
+                        FROM pairs WHERE score > 0) WHERE rn = 1)
+SELECT qa.doc_id,
+       CASE WHEN NOT qa.acc AND best.score >= {K.RULE_THRESHOLD} THEN best.item_id END AS product_id,
+       round(CASE WHEN qa.acc THEN 0.0 ELSE coalesce(best.score, 0.0) END, 9) AS match_score,
+       CASE WHEN qa.acc THEN 'accessory_filter' WHEN best.score >= {K.RULE_THRESHOLD} THEN 'token_overlap'
+            ELSE 'below_threshold' END AS match_method
+FROM qa LEFT JOIN best USING (doc_id)""")
+def q_match_documents(spark, sf):
+    """J2 over whole documents against the benchmark passages as catalog."""
+    docs = tables.read(spark, sf, "documents").select("doc_id", "text", F.lit(None).cast("string").alias("category"))
+    cat = tables.read(spark, sf, "benchmark").select(
+        F.col("item_id").alias("product_id"), F.col("text").alias("canonical_name"),
+        F.lit("benchmark").alias("category"), F.col("item_id").alias("ord"))
+    m = matching.match_rule(docs, cat, name_col="text", category_col="category")
+    return m.select("doc_id", "product_id", F.round("match_score", 9).alias("match_score"), "match_method")
+
+
+@register("clean_name_documents")
+def q_clean_name_documents(spark, sf):
+    """P2 + P28 over whole documents (NFKC included; no DuckDB NFKC exists)."""
+    d = tables.read(spark, sf, "documents")
+    return d.select("doc_id", C.blank_to_null(C.clean_name("text")).alias("text_clean"))
+
+
+@register("match_attached_join", ORACLE["match_attached"])
+def q_match_attached_join(spark, sf):
+    """J6 through the join plan (distinct queries, inverted-index join, join back)."""
+    c = pipeline.cleaned_listings(spark, sf)
+    m = matching.matched_only(matching.match_rule(c, tables.catalog(spark, sf), plan="join"))
+    return m.select("product_name_clean", "source", "price_clean", "url", "product_id", "match_score")
+
+
+@register("unified_offers")
+def q_unified_offers(spark, sf):
+    """A2 nested records: offers chunked per product (bounded arrays)."""
+    m = matching.matched_only(pipeline.matched_listings(spark, sf))
+    u = merging.unified_records(m, matched_by="rule", merged_at=_fixed_ts(), max_offers=8)
+    return TX.sanitize_frame(u)

@@ -136,7 +136,7 @@ def load_latest(spark: SparkSession, root: str, source: str | None = None,
 
 
 # ------------------------------------------------------------------ S6 / W5
-def upsert(existing: DataFrame, incoming: DataFrame, pos_col: str = "_pos") -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, pos_col: str = "_pos", keys=()) -> DataFrame:
     """Merge ``incoming`` into ``existing`` by trimmed URL.
 
     * a URL's slot is its LAST existing occurrence (earlier duplicates stay),
@@ -145,23 +145,25 @@ def upsert(existing: DataFrame, incoming: DataFrame, pos_col: str = "_pos") -> D
       rows with that URL (incoming wins; last incoming wins);
     * blank / missing URLs are always appended.
     Output carries ``_seq`` (0 existing, 1 incoming) and ``pos_col`` of the
-    slot, which give the merged order.
+    slot, which give the merged order.  ``keys`` are partition columns the
+    merge is done within (e.g. source, category, run date).
     """
+    keys = list(keys)
     cols = [c for c in existing.columns if c != pos_col]
     e = existing.select(*cols, F.col(pos_col).cast("long").alias("_p"), F.lit(0).alias("_seq"))
     i = incoming.select(*cols, F.col(pos_col).cast("long").alias("_p"), F.lit(1).alias("_seq"))
     allr = e.unionByName(i).withColumn("_key", F.trim(F.coalesce(F.col("url"), F.lit(""))))
     blank = allr.where(F.col("_key") == "")
     keyed = allr.where(F.col("_key") != "")
-    last_e = keyed.where(F.col("_seq") == 0).groupBy("_key").agg(F.max("_p").alias("_last_e"))
-    k = keyed.join(last_e, "_key", "left")
+    last_e = keyed.where(F.col("_seq") == 0).groupBy(*keys, "_key").agg(F.max("_p").alias("_last_e"))
+    k = keyed.join(last_e, keys + ["_key"], "left")
     is_slot = (F.col("_seq") == 1) | (F.col("_p") == F.col("_last_e"))
     stale = k.where(~is_slot).drop("_last_e")
     slot_rows = k.where(is_slot)
     winner = F.max(F.struct(F.col("_seq").alias("s"), F.col("_p").alias("p"),
                             *[F.col(c) for c in cols])).alias("w")
     where = F.min(F.struct(F.col("_seq").alias("s"), F.col("_p").alias("p"))).alias("slot")
-    merged = (slot_rows.groupBy("_key").agg(winner, where)
+    merged = (slot_rows.groupBy(*[F.col(c).alias("_k_" + c) for c in keys], "_key").agg(winner, where)
                        .select("_key", *[F.col("w." + c).alias(c) for c in cols],
                                F.col("slot.p").alias("_p"), F.col("slot.s").alias("_seq")))
     out = merged.unionByName(stale).unionByName(blank)
