@@ -75,3 +75,12 @@ def run_totals(runs: DataFrame) -> DataFrame:
     """A7."""
     return runs.agg(dround(F.sum("cost_usd"), 6).alias("total_cost_usd"),
                     F.count(F.lit(1)).alias("total_runs"))
+
+
+def preview_per_source(df: DataFrame, n: int = 3, order=("scrape_timestamp", "url")) -> DataFrame:
+    """The first ``n`` rows per source (a top-k report: the limit is the
+    feature).  Window per source with a bounded rank filter."""
+    from pyspark.sql import Window
+    o = [F.col(order[0]).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in order[1:]]
+    w = Window.partitionBy("source").orderBy(*o)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

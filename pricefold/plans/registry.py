@@ -1000,3 +1000,13 @@ def q_unified_offers(spark, sf):
     m = matching.matched_only(pipeline.matched_listings(spark, sf))
     u = merging.unified_records(m, matched_by="rule", merged_at=_fixed_ts(), max_offers=8)
     return TX.sanitize_frame(u)
+
+
+@register("source_preview", with_views(CLEANED_CTES + """
+SELECT source, product_name_clean, url, scrape_timestamp FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY scrape_timestamp DESC NULLS LAST, url ASC NULLS LAST) AS rn
+  FROM cleaned) WHERE rn <= 3"""))
+def q_source_preview(spark, sf):
+    """Head-3 preview per source of the cleaned listings."""
+    c = pipeline.cleaned_listings(spark, sf)
+    return reporting.preview_per_source(c, 3).select("source", "product_name_clean", "url", "scrape_timestamp")

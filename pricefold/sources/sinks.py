@@ -25,7 +25,8 @@ def write_unified(unified: DataFrame, root: str, run_date: dt.date | None = None
     """``unified/category=/year=/month=/day=`` JSON, NaN/Inf -> null,
     timestamps as ISO text (P26)."""
     d = run_date or _today()
-    out = sanitize_frame(unified).withColumn("category_key", F.col("category")) \
+    # O1: records sorted by product id inside each output partition
+    out = sanitize_frame(unified.sortWithinPartitions("product_id")).withColumn("category_key", F.col("category")) \
         .withColumn("year", F.lit(f"{d.year:04d}")).withColumn("month", F.lit(f"{d.month:02d}")) \
         .withColumn("day", F.lit(f"{d.day:02d}"))
     write_partitioned(out, root.rstrip("/") + "/unified", ["category_key", "year", "month", "day"])
@@ -57,7 +58,9 @@ def write_run_report(runs: DataFrame, root: str, run_date: dt.date | None = None
     """Detail rows and the summary aggregates (A4, A5, A7) for one date."""
     d = (run_date or _today()).isoformat()
     base = f"{root.rstrip('/')}/benchmark/run_date={d}"
-    reporting.with_derived(runs).write.mode("overwrite").json(base + "/detail")
+    # O2: detail rows ordered by (approach, source)
+    (reporting.with_derived(runs).orderBy("scraper_name", "source")
+              .write.mode("overwrite").option("ignoreNullFields", False).json(base + "/detail"))
     reporting.approach_stats(runs).write.mode("overwrite").json(base + "/by_scraper")
     reporting.source_winners(runs).write.mode("overwrite").json(base + "/by_source")
     reporting.run_totals(runs).write.mode("overwrite").json(base + "/totals")
