@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as TX
-from .joins import spread
+from .joins import checked_broadcast, spread
 
 POOL_KEY = ""          # category key of listings without a category
 MATCH_COLUMNS = ["product_id", "canonical_name", "product_category", "match_score", "match_method"]
@@ -70,20 +70,64 @@ def _distinct_queries(listings: DataFrame, name_col: str, category_col: str,
 
 
 # --------------------------------------------------------------- join plan
-def _score_join(q: DataFrame, idx: DataFrame) -> DataFrame:
+DEFAULT_HOT_POSTINGS = 10_000
+
+
+def _score_join(q: DataFrame, idx: DataFrame, hot_postings: int = DEFAULT_HOT_POSTINGS) -> DataFrame:
+    """Exact argmax without enumerating pairs through hot tokens.
+
+    A token whose posting list in a category key is longer than
+    ``hot_postings`` is *hot*.  Candidate pairs come from the equi-join on
+    cold tokens only; their score uses the full signatures, so shared hot
+    tokens still count.  Products that share only hot tokens with a query
+    are covered by hot profiles: products grouped by (hot-token subset,
+    signature size) score alike against a query's hot tokens, so the first
+    one in catalog order stands for the group.  A representative that also
+    shares cold tokens appears in both branches and the larger (true) score
+    wins, so the overall argmax is exact.
+    """
     qt = q.select("qname", "qcat", TX.token_signature(F.col("qname")).alias("qt"))
     qx = qt.select("qname", "qcat", "qt", F.explode("qt").alias("token"))
     ix = idx.select(F.col("key").alias("qcat"), "sig", "sig_size", "cat_first", "ord",
                     "product_id", "canonical_name", F.col("category").alias("pcat"),
                     F.explode("sig").alias("token"))
-    pairs = (qx.join(ix, ["qcat", "token"])
+    hot = ix.groupBy("qcat", "token").count().where(F.col("count") > hot_postings).select("qcat", "token")
+    hot_side, _ = checked_broadcast(hot)
+    ix_cold = ix.join(hot_side, ["qcat", "token"], "left_anti")
+    pairs = (qx.join(ix_cold, ["qcat", "token"])
                .groupBy("qname", "qcat", "product_id")
                .agg(F.first("qt").alias("qt"), F.first("sig").alias("sig"),
                     F.first("sig_size").alias("sig_size"), F.first("cat_first").alias("cat_first"),
                     F.first("ord").alias("ord"), F.first("canonical_name").alias("canonical_name"),
                     F.first("pcat").alias("pcat")))
-    scored = pairs.withColumn(
-        "score", F.size(F.array_intersect("qt", "sig")).cast("double") / F.col("sig_size"))
+    cold = pairs.select("qname", "qcat", (F.size(F.array_intersect("qt", "sig")).cast("double")
+                                          / F.col("sig_size")).alias("score"),
+                        "cat_first", "ord", "product_id", "canonical_name", "pcat")
+    # hot profiles
+    prof = (ix.join(hot_side, ["qcat", "token"], "left_semi")
+              .groupBy("qcat", "product_id", "sig_size", "cat_first", "ord", "canonical_name", "pcat")
+              .agg(F.array_sort(F.collect_set("token")).alias("hot_sig"))
+              .groupBy("qcat", "hot_sig", "sig_size")
+              .agg(F.min(F.struct("cat_first", "ord", "product_id", "canonical_name", "pcat")).alias("rep")))
+    qhot = (qx.join(hot_side, ["qcat", "token"], "left_semi")
+              .groupBy("qname", "qcat").agg(F.array_sort(F.collect_set("token")).alias("hq")))
+    hq = qhot.select("qcat", "hq").distinct()
+    hits = (hq.select("qcat", "hq", F.explode("hq").alias("token"))
+              .join(prof.select("qcat", "hot_sig", "sig_size", "rep", F.explode("hot_sig").alias("token")),
+                    ["qcat", "token"])
+              .groupBy("qcat", "hq", "hot_sig", "sig_size")
+              .agg(F.count(F.lit(1)).alias("n"), F.first("rep").alias("rep")))
+    hot_best = (hits.groupBy("qcat", "hq")
+                    .agg(F.max(F.struct((F.col("n") / F.col("sig_size")).alias("score"),
+                                        (-F.col("rep.cat_first")).alias("ncf"), (-F.col("rep.ord")).alias("nord"),
+                                        F.col("rep.product_id").alias("product_id"),
+                                        F.col("rep.canonical_name").alias("canonical_name"),
+                                        F.col("rep.pcat").alias("pcat"))).alias("b")))
+    hot_scored = qhot.join(hot_best, ["qcat", "hq"]).select(
+        "qname", "qcat", F.col("b.score").alias("score"), (-F.col("b.ncf")).alias("cat_first"),
+        (-F.col("b.nord")).alias("ord"), F.col("b.product_id").alias("product_id"),
+        F.col("b.canonical_name").alias("canonical_name"), F.col("b.pcat").alias("pcat"))
+    scored = cold.unionByName(hot_scored)
     best = F.max(F.struct("score", (-F.col("cat_first")).alias("ncf"), (-F.col("ord")).alias("nord"),
                           "product_id", "canonical_name", "pcat"))
     return (scored.groupBy("qname", "qcat").agg(best.alias("b"))
@@ -155,7 +199,8 @@ def _score_broadcast(q: DataFrame, idx: DataFrame, id_type: str) -> DataFrame:
 def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.RULE_THRESHOLD,
                   name_col: str = "product_name_clean", category_col: str = "category",
                   plan: str = "auto", max_index_rows: int = DEFAULT_INDEX_ROWS,
-                  intended_display_part: bool = False) -> DataFrame:
+                  intended_display_part: bool = False,
+                  hot_postings: int = DEFAULT_HOT_POSTINGS) -> DataFrame:
     """One result row per distinct (qname, qcat): MatchResult columns."""
     q = _distinct_queries(listings, name_col, category_col,
                           intended_display_part=intended_display_part)
@@ -165,7 +210,8 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
         idx = idx.cache()
         plan = "broadcast" if idx.count() <= max_index_rows else "join"
     id_type = catalog.schema["product_id"].dataType.simpleString()
-    best = _score_broadcast(cand, idx, id_type) if plan == "broadcast" else _score_join(cand, idx)
+    best = _score_broadcast(cand, idx, id_type) if plan == "broadcast" \
+        else _score_join(cand, idx, hot_postings)
     r = q.join(best, ["qname", "qcat"], "left")
     s = F.coalesce(F.col("best_score"), F.lit(0.0))
     ok = ~F.col("is_accessory") & (s >= F.lit(threshold)) & F.col("best_product_id").isNotNull()

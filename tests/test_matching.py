@@ -48,10 +48,12 @@ def test_rule_matcher_equals_brute_force(spark):
     cat = tables.catalog(spark, SF_SMALL)
     catalog = _catalog_rows(spark, cat)
     res = {}
-    for plan in ("broadcast", "join"):
-        m = matching.match_queries(cleaned, cat, plan=plan).collect()
+    for plan, hot in (("broadcast", None), ("join", 10_000), ("join_hot", 3)):
+        kw = {"hot_postings": hot} if hot else {}
+        m = matching.match_queries(cleaned, cat, plan=plan.split("_")[0], **kw).collect()
         res[plan] = {(r["qname"], r["qcat"]): (r["product_id"], r["match_score"], r["match_method"]) for r in m}
     assert res["broadcast"] == res["join"]
+    assert res["join_hot"] == res["join"]     # hot tokens via profiles: still exact
     accessory = {k for k, v in res["join"].items() if v[2] == "accessory_filter"}
     exp = brute_rule([(q, c) for q, c in res["join"]], catalog, accessory=lambda q: False)
     for k, v in res["join"].items():
