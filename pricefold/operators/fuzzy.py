@@ -243,28 +243,36 @@ def best_in_pool(q: str, pool: dict, exclude: int | None = None):
     return float(max(scores[j], 0.0)), j
 
 
-def _best_broadcast(q: DataFrame, ch: DataFrame, id_type: str) -> DataFrame:
+def _final_broadcast(q: DataFrame, ch: DataFrame, id_type: str, threshold: float) -> DataFrame:
+    """Broadcast plan: one pass over the distinct queries emitting the final
+    FuzzyMatchResult columns (accessory / no-candidate rows skip scoring)."""
     spark = q.sparkSession
     bc = spark.sparkContext.broadcast(_prepare_pool([r.asDict() for r in ch.collect()]))
-    schema = (f"qcat string, qproc string, raw_score double, best_product_id {id_type}, "
-              "best_canonical_name string, best_category string")
+    schema = (f"qproc string, qcat string, product_id {id_type}, canonical_name string, "
+              "product_category string, match_score double, raw_score double, match_method string")
 
     def score(batches):
         pools = bc.value
         for b in batches:
             out = []
-            for cat, qp in zip(b["qcat"], b["qproc"]):
+            for cat, qp, acc in zip(b["qcat"], b["qproc"], b["is_accessory"]):
                 pool = pools.get(cat)
+                if acc:
+                    out.append((qp, cat, None, None, None, 0.0, 0.0, "accessory_filter"))
+                    continue
+                if pool is None:
+                    out.append((qp, cat, None, None, None, 0.0, 0.0, "no_candidates"))
+                    continue
                 s, i = best_in_pool(qp, pool)
-                if i is None:
-                    out.append((cat, qp, s, None, None, None))
-                else:
+                if i is not None and s >= threshold:
                     c = pool["rows"][i]
-                    out.append((cat, qp, s, c[0], c[1], c[2]))
-            yield pd.DataFrame(out, columns=["qcat", "qproc", "raw_score", "best_product_id",
-                                             "best_canonical_name", "best_category"])
+                    out.append((qp, cat, c[0], c[1], c[2], s / 100.0, s, "token_set_ratio"))
+                else:
+                    out.append((qp, cat, None, None, None, s / 100.0, s, "below_threshold"))
+            yield pd.DataFrame(out, columns=["qproc", "qcat", "product_id", "canonical_name",
+                                             "product_category", "match_score", "raw_score", "match_method"])
 
-    return spread(q.select("qcat", "qproc"), "qproc").mapInPandas(score, schema)
+    return spread(q.select("qcat", "qproc", "is_accessory"), "qproc").mapInPandas(score, schema)
 
 
 DEFAULT_POOL_ROWS = 2_000_000
@@ -284,21 +292,20 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
     if plan == "auto":
         ch = ch.cache()
         plan = "broadcast" if ch.count() <= max_pool_rows else "join"
+    if plan == "broadcast":
+        return _final_broadcast(q, ch, catalog.schema["product_id"].dataType.simpleString(), float(threshold))
     keys = ch.select(F.col("key").alias("qcat")).distinct().withColumn("has_pool", F.lit(True))
     q = q.join(keys, "qcat", "left")
     cand = q.where(~F.col("is_accessory") & F.col("has_pool").isNotNull())
-    if plan == "broadcast":
-        b = _best_broadcast(cand, ch, catalog.schema["product_id"].dataType.simpleString())
-    else:
-        pairs = cand.select(F.col("qcat").alias("key"), "qproc").join(ch, "key")
-        scored = score_pairs(pairs)
-        best = F.max(F.struct("raw_score", (-F.col("o1")).alias("n1"), (-F.col("o2")).alias("n2"),
-                              "product_id", "canonical_name", "pcat"))
-        b = (scored.groupBy("key", "qproc").agg(best.alias("b"))
-                   .select(F.col("key").alias("qcat"), "qproc", F.col("b.raw_score").alias("raw_score"),
-                           F.col("b.product_id").alias("best_product_id"),
-                           F.col("b.canonical_name").alias("best_canonical_name"),
-                           F.col("b.pcat").alias("best_category")))
+    pairs = cand.select(F.col("qcat").alias("key"), "qproc").join(ch, "key")
+    scored = score_pairs(pairs)
+    best = F.max(F.struct("raw_score", (-F.col("o1")).alias("n1"), (-F.col("o2")).alias("n2"),
+                          "product_id", "canonical_name", "pcat"))
+    b = (scored.groupBy("key", "qproc").agg(best.alias("b"))
+               .select(F.col("key").alias("qcat"), "qproc", F.col("b.raw_score").alias("raw_score"),
+                       F.col("b.product_id").alias("best_product_id"),
+                       F.col("b.canonical_name").alias("best_canonical_name"),
+                       F.col("b.pcat").alias("best_category")))
     r = q.join(b, ["qcat", "qproc"], "left")
     raw = F.coalesce(F.col("raw_score"), F.lit(0.0))
     acc = F.col("is_accessory")

@@ -196,6 +196,35 @@ def _score_broadcast(q: DataFrame, idx: DataFrame, id_type: str) -> DataFrame:
     return qt.mapInPandas(score, schema)
 
 
+def _final_broadcast(q: DataFrame, idx: DataFrame, threshold: float, id_type: str) -> DataFrame:
+    """Broadcast plan for distinct queries: the scorer emits the final
+    MatchResult columns (accessory rows skip scoring), no join back."""
+    spark = q.sparkSession
+    bc = spark.sparkContext.broadcast(_build_index(idx.toPandas()))
+    schema = (f"qname string, qcat string, product_id {id_type}, canonical_name string, "
+              "product_category string, match_score double, match_method string")
+
+    def run(batches):
+        index = bc.value
+        memo: dict = {}
+        for b in batches:
+            res = _score_rows(index, b["qcat"], b["_qt"], memo)
+            acc = b["is_accessory"].to_numpy(dtype=bool)
+            score = np.array([r[0] for r in res], dtype=np.float64)
+            ok = ~acc & (score >= threshold) & np.array([r[1] is not None for r in res])
+            yield pd.DataFrame({
+                "qname": b["qname"], "qcat": b["qcat"],
+                "product_id": pd.Series([r[1] if o else None for r, o in zip(res, ok)], dtype="object"),
+                "canonical_name": [r[2] if o else None for r, o in zip(res, ok)],
+                "product_category": [r[3] if o else None for r, o in zip(res, ok)],
+                "match_score": np.where(acc, 0.0, score),
+                "match_method": np.where(acc, "accessory_filter",
+                                         np.where(ok, "token_overlap", "below_threshold"))})
+
+    x = spread(q, "qname").withColumn("_qt", F.when(~F.col("is_accessory"), TX.token_signature(F.col("qname"))))
+    return x.mapInPandas(run, schema)
+
+
 def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.RULE_THRESHOLD,
                   name_col: str = "product_name_clean", category_col: str = "category",
                   plan: str = "auto", max_index_rows: int = DEFAULT_INDEX_ROWS,
@@ -205,13 +234,14 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
     q = _distinct_queries(listings, name_col, category_col,
                           intended_display_part=intended_display_part)
     idx = indexed_catalog(catalog)
-    cand = q.where(~F.col("is_accessory")).select("qname", "qcat")
     if plan == "auto":
         idx = idx.cache()
         plan = "broadcast" if idx.count() <= max_index_rows else "join"
     id_type = catalog.schema["product_id"].dataType.simpleString()
-    best = _score_broadcast(cand, idx, id_type) if plan == "broadcast" \
-        else _score_join(cand, idx, hot_postings)
+    if plan == "broadcast":
+        return _final_broadcast(q, idx, threshold, id_type)
+    cand = q.where(~F.col("is_accessory")).select("qname", "qcat")
+    best = _score_join(cand, idx, hot_postings)
     r = q.join(best, ["qname", "qcat"], "left")
     s = F.coalesce(F.col("best_score"), F.lit(0.0))
     ok = ~F.col("is_accessory") & (s >= F.lit(threshold)) & F.col("best_product_id").isNotNull()
