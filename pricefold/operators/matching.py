@@ -287,40 +287,39 @@ def _score_rows(index: dict, cats, toks_list, memo: dict):
 
 def _attach_broadcast(listings: DataFrame, idx: DataFrame, threshold: float, id_type: str,
                       name_col: str, category_col: str, intended_display_part: bool) -> DataFrame:
-    """Map-side matching: every listing row is scored in its own task
-    against the broadcast index; no shuffle, no join back."""
+    """Map-side matching: a scalar Arrow UDF scores each listing row against
+    the broadcast index.  Only the category key and the token array cross
+    into Python; Spark keeps the other columns and zips the result back, so
+    there is no shuffle and no join.  A per-task memo serves repeated names."""
     spark = listings.sparkSession
     bc = spark.sparkContext.broadcast(_build_index(idx.toPandas()))
-    qname, qcat = query_key(name_col, category_col)
-    base_cols = listings.columns
-    x = listings.select("*", qcat.alias("_qcat"),
-                        TX.is_accessory(qname, intended_display_part).alias("_acc"),
-                        TX.token_signature(qname).alias("_qt"))
-    schema = T.StructType(listings.schema.fields + [
-        T.StructField("product_id", T._parse_datatype_string(id_type)),
-        T.StructField("canonical_name", T.StringType()),
-        T.StructField("product_category", T.StringType()),
-        T.StructField("match_score", T.DoubleType()),
-        T.StructField("match_method", T.StringType())])
-
-    def run(batches):
-        index = bc.value
-        memo: dict = {}
-        for b in batches:
-            res = _score_rows(index, b["_qcat"], b["_qt"], memo)
-            acc = b["_acc"].to_numpy(dtype=bool)
-            score = np.array([r[0] for r in res], dtype=np.float64)
-            ok = ~acc & (score >= threshold) & np.array([r[1] is not None for r in res])
-            out = b[base_cols].copy()
-            out["product_id"] = pd.Series([r[1] if o else None for r, o in zip(res, ok)], dtype="object")
-            out["canonical_name"] = [r[2] if o else None for r, o in zip(res, ok)]
-            out["product_category"] = [r[3] if o else None for r, o in zip(res, ok)]
-            out["match_score"] = np.where(acc, 0.0, score)
-            out["match_method"] = np.where(acc, "accessory_filter",
-                                           np.where(ok, "token_overlap", "below_threshold"))
-            yield out
+    out_type = T.StructType([T.StructField("score", T.DoubleType()),
+                             T.StructField("product_id", T._parse_datatype_string(id_type)),
+                             T.StructField("canonical_name", T.StringType()),
+                             T.StructField("pcat", T.StringType())])
+    memo: dict = {}
+
+    @F.pandas_udf(out_type)
+    def best_product(cats: pd.Series, toks: pd.Series) -> pd.DataFrame:
+        res = _score_rows(bc.value, cats, toks, memo)
+        return pd.DataFrame({"score": [r[0] for r in res],
+                             "product_id": pd.Series([r[1] for r in res], dtype="object"),
+                             "canonical_name": [r[2] for r in res], "pcat": [r[3] for r in res]})
 
-    return x.mapInPandas(run, schema)
+    qname, qcat = query_key(name_col, category_col)
+    acc = TX.is_accessory(qname, intended_display_part)
+    x = listings.withColumn("_acc", acc).withColumn(
+        "_m", best_product(qcat, F.when(~F.col("_acc"), TX.token_signature(qname))))
+    s = F.coalesce(F.col("_m.score"), F.lit(0.0))
+    ok = ~F.col("_acc") & (s >= F.lit(threshold)) & F.col("_m.product_id").isNotNull()
+    return x.select(
+        *listings.columns,
+        F.when(ok, F.col("_m.product_id")).alias("product_id"),
+        F.when(ok, F.col("_m.canonical_name")).alias("canonical_name"),
+        F.when(ok, F.col("_m.pcat")).alias("product_category"),
+        F.when(F.col("_acc"), F.lit(0.0)).otherwise(s).alias("match_score"),
+        F.when(F.col("_acc"), F.lit("accessory_filter")).when(ok, F.lit("token_overlap"))
+         .otherwise(F.lit("below_threshold")).alias("match_method"))
 
 
 def match_rule(listings: DataFrame, catalog: DataFrame, threshold: float = K.RULE_THRESHOLD,

@@ -595,7 +595,7 @@ resp AS (SELECT 'shop_' || CAST(conv_id % 3 AS VARCHAR) AS source,
 
 
 @register("model_rows", f"""WITH {MODEL_RESP_SQL},
-t AS (SELECT source, regexp_replace(regexp_replace(response, '```(?:json)?|```', '', 'g'), '^\s+|\s+$', '', 'g') AS t FROM resp),
+t AS (SELECT source, regexp_replace(regexp_replace(response, '```(?:json)?|```', '', 'g'), '^\\s+|\\s+$', '', 'g') AS t FROM resp),
 j AS (SELECT source, unnest(from_json(t, '[{{"product_name":"VARCHAR","price":"VARCHAR","currency":"VARCHAR","availability":"VARCHAR","url":"VARCHAR"}}]')) AS it
       FROM t WHERE starts_with(t, '[') AND json_valid(t)),
 x AS (SELECT source, trim(coalesce(it.product_name, '')) AS name, it.price AS price,
