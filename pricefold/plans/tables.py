@@ -141,9 +141,11 @@ def category_case_sql(col: str, mapping: dict) -> str:
     return f"(CASE {low} {whens} ELSE {low} END)"
 
 
-def clean_name_sql(col: str) -> str:
+def clean_name_sql(col: str, nfc: bool = False) -> str:
     """DuckDB form of the name normaliser for NFKC-stable text (the oracle)."""
     s = f"regexp_replace({col}, '<[^>]+>', ' ', 'g')"
+    if nfc:
+        s = f"nfc_normalize({s})"
     s = f"regexp_replace({s}, '[‐-―−]', '-', 'g')"
     s = f"regexp_replace({s}, '[^\\p{{L}}\\p{{N}}_\\s\\-.,\"/''()]', ' ', 'g')"
     s = f"lower({s})"
