@@ -156,46 +156,6 @@ def _build_index(rows: pd.DataFrame) -> dict:
     return out
 
 
-def _score_broadcast(q: DataFrame, idx: DataFrame, id_type: str) -> DataFrame:
-    spark = q.sparkSession
-    pdf = idx.toPandas()
-    bc = spark.sparkContext.broadcast(_build_index(pdf))
-    schema = (f"qname string, qcat string, best_score double, best_product_id {id_type}, "
-              "best_canonical_name string, best_category string")
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = bc.value
-        for b in batches:
-            n = len(b)
-            best_s = np.zeros(n)
-            best_pid = [None] * n
-            best_nm = [None] * n
-            best_cat = [None] * n
-            for r, (cat, toks) in enumerate(zip(b["qcat"], b["qt"])):
-                entry = index.get(cat)
-                if entry is None or toks is None or len(toks) == 0:
-                    continue
-                postings, sizes, pids, names, cats = entry
-                hits = [postings[t] for t in toks if t in postings]
-                if not hits:
-                    continue
-                counts = np.bincount(np.concatenate(hits), minlength=len(sizes))
-                scores = counts / sizes
-                j = int(np.argmax(scores))       # first maximum = catalog order
-                if scores[j] > 0:
-                    best_s[r] = scores[j]
-                    best_pid[r] = pids[j]
-                    best_nm[r] = names[j]
-                    best_cat[r] = cats[j]
-            yield pd.DataFrame({"qname": b["qname"], "qcat": b["qcat"], "best_score": best_s,
-                                "best_product_id": pd.Series(best_pid, dtype="object"),
-                                "best_canonical_name": pd.Series(best_nm, dtype="object"),
-                                "best_category": pd.Series(best_cat, dtype="object")})
-
-    qt = spread(q, "qname").select("qname", "qcat", TX.token_signature(F.col("qname")).alias("qt"))
-    return qt.mapInPandas(score, schema)
-
-
 def _final_broadcast(q: DataFrame, idx: DataFrame, threshold: float, id_type: str) -> DataFrame:
     """Broadcast plan for distinct queries: the scorer emits the final
     MatchResult columns (accessory rows skip scoring), no join back."""

@@ -271,16 +271,18 @@ SELECT (SELECT count(*) FROM listings_raw) AS raw,
        (SELECT count(*) FROM matched WHERE match_method = 'accessory_filter') AS accessories,
        (SELECT count(*) FROM matched WHERE product_id IS NULL AND match_method <> 'accessory_filter') AS below"""))
 def q_funnel(spark, sf):
-    raw = tables.listings(spark, sf).agg(F.count(F.lit(1)).alias("raw"))
-    m = pipeline.matched_listings(spark, sf)
-    agg = m.agg(F.count(F.lit(1)).alias("cleaned"),
-                F.count_if("is_anomaly").alias("anomalies"),
-                F.count_if(F.col("product_id").isNotNull()).alias("matched"),
-                F.count_if(F.col("match_method") == "accessory_filter").alias("accessories"),
-                F.count_if(F.col("product_id").isNull() & (F.col("match_method") != "accessory_filter"))
-                 .alias("below"))
-    return raw.crossJoin(agg).select("raw", "cleaned", (F.col("raw") - F.col("cleaned")).alias("dropped"),
-                                     "anomalies", "matched", "accessories", "below")
+    raw = tables.listings(spark, sf).select(F.lit(True).alias("is_raw"))
+    m = pipeline.matched_listings(spark, sf).select(F.lit(False).alias("is_raw"), "is_anomaly", "product_id",
+                                                    "match_method")
+    u = raw.unionByName(m, allowMissingColumns=True)
+    c = ~F.col("is_raw")
+    return u.agg(F.count_if("is_raw").alias("raw"), F.count_if(c).alias("cleaned"),
+                 (F.count_if("is_raw") - F.count_if(c)).alias("dropped"),
+                 F.count_if(c & F.col("is_anomaly")).alias("anomalies"),
+                 F.count_if(c & F.col("product_id").isNotNull()).alias("matched"),
+                 F.count_if(c & (F.col("match_method") == "accessory_filter")).alias("accessories"),
+                 F.count_if(c & F.col("product_id").isNull() & (F.col("match_method") != "accessory_filter"))
+                  .alias("below"))
 
 
 @register("category_counts", with_views(CLEANED_CTES + """

@@ -35,18 +35,20 @@ def load_yaml(path: str) -> dict:
         return yaml.safe_load(fh) or {}
 
 
-def work_list(products: DataFrame, sources: DataFrame, coverage: DataFrame | None = None,
-              categories=None) -> DataFrame:
-    """Enabled sources x products of known categories, with the filled
-    search URL (P19).  ``coverage`` (source_key, category) restricts which
-    source collects which category; without it every enabled source covers
-    every category (the configuration tables are small by construction)."""
+def default_coverage(spark: SparkSession, sources_cfg: dict, products_cfg: dict) -> DataFrame:
+    """(source_key, category) pairs the reference collects: every configured
+    source for every configured category.  Expanded from the two
+    configuration documents themselves (a handful of entries), not from data."""
+    rows = [(k, c) for k in (sources_cfg or {}) for c in (products_cfg or {})]
+    return spark.createDataFrame(rows, "source_key string, category string")
+
+
+def work_list(products: DataFrame, sources: DataFrame, coverage: DataFrame, categories=None) -> DataFrame:
+    """Enabled sources x products of known categories, as equi-joins on
+    the coverage table, with the filled search URL (P19)."""
     p = products if categories is None else products.where(F.col("category").isin(*categories))
     s = sources.where(F.col("enabled"))
-    if coverage is not None:
-        pairs = s.join(coverage, "source_key").join(p, "category")
-    else:
-        pairs = s.crossJoin(F.broadcast(p))
+    pairs = s.join(coverage, "source_key").join(p, "category")
     return pairs.select("source_key", "category", "name", "search_query",
                         TX.search_url(F.col("search_url_template"), F.col("search_query"), F.col("name"))
                          .alias("search_url"))

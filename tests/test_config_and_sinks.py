@@ -23,7 +23,8 @@ def test_config_and_work_list(spark, tmpdir_fresh):
         yaml.safe_dump(products, fh)
     p = config.products_table(spark, config.load_yaml(pth))
     s = config.sources_table(spark, sources)
-    wl = config.work_list(p, s, categories=["laptops", "gpus"]).collect()
+    cov = config.default_coverage(spark, sources, config.load_yaml(pth))
+    wl = config.work_list(p, s, cov, categories=["laptops", "gpus"]).collect()
     got = sorted((r["source_key"], r["name"], r["search_url"]) for r in wl)
     assert got == [("amazon_de", "Dell XPS 15 9530", "https://a/s?k=Dell+XPS+15%2A&x=1"),
                    ("amazon_de", "No query", "https://a/s?k=No+query&x=1"),
