@@ -43,10 +43,11 @@ def product_stats(matched: DataFrame, matched_by: str = "rule") -> DataFrame:
     """A2 scalars per product: min / max / mean (2 dp) of non-anomalous prices,
     offer_count over all offers (anomalies included)."""
     good = F.when(~F.coalesce(F.col("is_anomaly"), F.lit(False)), F.col("price_clean"))
-    return (matched.groupBy("product_id")
-                   .agg(F.min("canonical_name").alias("canonical_name"),
-                        F.min("product_category").alias("category"),
-                        F.min(good).alias("price_min"),
+    # name and category come from the catalog row of the product (functionally
+    # dependent on product_id): grouping by them keeps every aggregation
+    # buffer fixed-width, i.e. a hash aggregate with map-side partials.
+    return (matched.groupBy("product_id", "canonical_name", F.col("product_category").alias("category"))
+                   .agg(F.min(good).alias("price_min"),
                         F.max(good).alias("price_max"),
                         _round2(F.avg(good)).alias("price_mean"),
                         F.count(F.lit(1)).alias("offer_count"),
