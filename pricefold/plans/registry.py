@@ -572,7 +572,7 @@ def q_organic_rows(spark, sf):
 
 def model_responses(spark, sf):
     c = tables.read(spark, sf, "conversations")
-    letters = F.trim(F.regexp_replace(F.substr("text", F.lit(1), F.lit(40)), "[^A-Za-z ]", ""))
+    letters = F.trim(F.regexp_replace(F.col("text"), "[^A-Za-z ]", ""))
     item = F.concat(F.lit('{"product_name": "'), letters, F.lit('", "price": "'),
                     F.length("text").cast("string"), F.lit(',99 €", "availability": "'),
                     F.when(F.col("turn") % 2 == 0, F.lit("in_stock")).otherwise(F.lit("Auf Lager")),
@@ -589,7 +589,7 @@ MODEL_RESP_SQL = """
 resp AS (SELECT 'shop_' || CAST(conv_id % 3 AS VARCHAR) AS source,
   CASE WHEN turn % 3 = 0 THEN '[' || item || ']' WHEN turn % 3 = 1 THEN '```json' || chr(10) || '[' || item || ']' || chr(10) || '```'
        ELSE text END AS response, length(text) AS input_tokens, turn * 10 AS output_tokens, conv_id, turn
-  FROM (SELECT *, '{"product_name": "' || trim(regexp_replace(substr(text, 1, 40), '[^A-Za-z ]', '', 'g'))
+  FROM (SELECT *, '{"product_name": "' || trim(regexp_replace(text, '[^A-Za-z ]', '', 'g'))
               || '", "price": "' || CAST(length(text) AS VARCHAR) || ',99 €", "availability": "'
               || CASE WHEN turn % 2 = 0 THEN 'in_stock' ELSE 'Auf Lager' END
               || '", "url": "https://m.example/' || CAST(conv_id AS VARCHAR) || '"}' AS item
