@@ -7,7 +7,7 @@ ties in every matcher go to the first catalog position.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CATALOG_SCHEMA = (
@@ -20,12 +20,22 @@ CATALOG_SCHEMA = (
 
 
 def _with_order(df: DataFrame) -> DataFrame:
-    """File order -> ``ord``: (file name, row position inside the file)."""
+    """File order -> ``ord`` = file rank * 2^40 + row number inside the file.
+
+    Rows of one file are numbered by (split offset, position in the task),
+    which is the order of the file; the window is per file, never global.
+    The file list itself (a handful of names) is ranked on the driver."""
     if "ord" in df.columns:
         return df
-    x = df.withColumn("_f", F.col("_metadata.file_name")).withColumn("_r", F.monotonically_increasing_id())
-    return x.withColumn("ord", F.dense_rank().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("_f", "_r")).cast("long")).drop("_f", "_r")
+    x = (df.withColumn("_f", F.col("_metadata.file_path"))
+           .withColumn("_b", F.col("_metadata.file_block_start"))
+           .withColumn("_r", F.monotonically_increasing_id()))
+    files = sorted(r["_f"] for r in x.select("_f").distinct().collect())
+    rank = F.create_map(*[v for i, f in enumerate(files) for v in (F.lit(f), F.lit(i))])
+    w = Window.partitionBy("_f").orderBy("_b", "_r")
+    return (x.withColumn("ord", (F.element_at(rank, F.col("_f")).cast("long") * F.lit(1 << 40)
+                                 + F.row_number().over(w)).cast("long"))
+             .drop("_f", "_b", "_r"))
 
 
 def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:

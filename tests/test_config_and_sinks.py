@@ -40,7 +40,7 @@ def test_catalog_csv_keeps_leading_zeros(spark, tmpdir_fresh):
         fh.write("p1,Alpha,b,m,v,laptop,s,0009,1,2,2026-01-02" + "," * 12 + "\n")
     df = catalog.read_catalog_csv(spark, os.path.join(tmpdir_fresh, "c.csv"))
     rows = sorted((r["ord"], r["product_id"], r["ean"]) for r in df.collect())
-    assert rows == [(1, "p2", "0001234"), (2, "p1", "0009")]
+    assert rows == [(1, "p2", "0001234"), (2, "p1", "0009")]      # file order, single file -> rank 0
 
 
 def test_run_report_sink(spark, tmpdir_fresh):
