@@ -85,12 +85,23 @@ def unified_records(matched: DataFrame, matched_by: str = "rule", merged_at=None
 
 # ------------------------------------------------------------------ A3
 def merge_groups(records: DataFrame, groups: DataFrame, matched_by: str = "unknown",
-                 row_id: str = "row_id", pos: str = "pos") -> DataFrame:
+                 row_id: str = "row_id", pos: str = "pos", with_offers: bool = True,
+                 max_offers: int = DEFAULT_MAX_OFFERS) -> DataFrame:
     """A3: ``groups`` is (group_id, row_id).  Per group: longest name (first on
     ties), first non-empty currency else EUR, min/max/mean of raw prices (no
     anomaly filter), count, offers.  Rows in no group become singletons with
-    matched_by 'none'; a row in two groups appears in both."""
-    g = groups.join(records, row_id)
+    matched_by 'none'; a row in two groups appears in both.
+
+    The statistics are bounded-size aggregates; offers (``with_offers``) are
+    collected in hash chunks of at most ~``max_offers`` per record, ordered by
+    record position inside each chunk, so a huge group never becomes one
+    unbounded array in one task."""
+    single = (records.join(groups.select(row_id).distinct(), row_id, "left_anti")
+                     .select(F.concat(F.lit("single-"), F.col(row_id).cast("string")).alias("group_id"),
+                             F.col(row_id), F.lit("none").alias("_mb")))
+    members = (groups.select(F.col("group_id").cast("string").alias("group_id"), row_id)
+                     .withColumn("_mb", F.lit(matched_by)).unionByName(single))
+    g = members.join(records, row_id)
     name = F.coalesce(F.col("product_name"), F.lit(""))
     longest = F.max(F.struct(F.char_length(name).alias("l"), (-F.col(pos)).alias("np"),
                              name.alias("n")))["n"]
@@ -98,15 +109,19 @@ def merge_groups(records: DataFrame, groups: DataFrame, matched_by: str = "unkno
                                         F.struct(F.col(pos).alias("p"), F.col("currency").alias("c"))))["c"],
                            F.lit(K.DEFAULT_CURRENCY))
     price = F.col("price").cast("double")
+    stats = g.groupBy("group_id").agg(
+        longest.alias("product_name"), first_cur.alias("currency"),
+        F.min(price).alias("price_min"), F.max(price).alias("price_max"),
+        _round2(F.avg(price)).alias("price_mean"), F.count(F.lit(1)).alias("offer_count"),
+        F.first("_mb").alias("matched_by"))
+    if not with_offers:
+        return stats
+    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("offer_count") / F.lit(float(max_offers)))).cast("long")
+    o = g.join(stats.select("group_id", n_chunks.alias("_n")), "group_id")
+    o = o.withColumn("chunk", F.pmod(F.xxhash64(F.col(row_id)), F.col("_n")))
     offer = F.struct("seller", "source", price.alias("price"), "currency", "url", "availability",
                      "scrape_timestamp")
-    agg = [longest.alias("product_name"), first_cur.alias("currency"),
-           F.min(price).alias("price_min"), F.max(price).alias("price_max"),
-           _round2(F.avg(price)).alias("price_mean"), F.count(F.lit(1)).alias("offer_count"),
-           F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), offer.alias("o")))),
-                       lambda e: e["o"]).alias("offers")]
-    grouped = g.groupBy("group_id").agg(*agg).withColumn("matched_by", F.lit(matched_by))
-    single = records.join(groups.select(row_id).distinct(), row_id, "left_anti")
-    singles = (single.withColumn("group_id", F.concat(F.lit("single-"), F.col(row_id).cast("string")))
-                     .groupBy("group_id").agg(*agg).withColumn("matched_by", F.lit("none")))
-    return grouped.withColumn("group_id", F.col("group_id").cast("string")).unionByName(singles)
+    offers = (o.groupBy("group_id", "chunk")
+               .agg(F.collect_list(F.struct(F.col(pos).alias("p"), offer.alias("o"))).alias("a"))
+               .select("group_id", "chunk", F.transform(F.array_sort("a"), lambda e: e["o"]).alias("offers")))
+    return stats.join(offers, "group_id")

@@ -937,7 +937,7 @@ SELECT group_id,
 FROM a GROUP BY group_id""")
 def q_merged_groups(spark, sf):
     rec, groups = _orders_records(spark, sf)
-    m = merging.merge_groups(rec, groups, matched_by="orders")
+    m = merging.merge_groups(rec, groups, matched_by="orders", with_offers=False)
     return m.select("group_id", "product_name", "currency", "price_min", "price_max", "price_mean",
                     "offer_count", "matched_by")
 
@@ -967,7 +967,7 @@ def q_entity_groups(spark, sf):
                        .withColumn("pos", F.col("row_id"))
                        .withColumn("price", F.col("price_clean")))
     groups = ENTITY.grouped_records(rec)
-    m = merging.merge_groups(rec, groups, matched_by="catalog_build")
+    m = merging.merge_groups(rec, groups, matched_by="catalog_build", with_offers=False)
     return m.select("group_id", "product_name", "currency", "price_min", "price_max", "price_mean",
                     "offer_count", "matched_by")
 
