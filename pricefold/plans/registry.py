@@ -820,13 +820,13 @@ e AS (SELECT CAST(label AS VARCHAR) AS category, CAST(min(vec_id) AS VARCHAR) AS
 r AS (SELECT m.*, e.expected_product_id, m.product_id IS NOT NULL AS matched FROM m LEFT JOIN e USING (category)),
 b AS (SELECT count(*) FILTER (WHERE matched AND CAST(product_id AS VARCHAR) = expected_product_id) AS tp,
              count(*) FILTER (WHERE matched AND CAST(product_id AS VARCHAR) IS DISTINCT FROM expected_product_id) AS fp,
-             count(*) FILTER (WHERE NOT matched) AS fn, 0 AS fp_accessory, 0 AS tn_accessory FROM r),
+             count(*) FILTER (WHERE NOT matched) AS fn, 0::BIGINT AS fp_accessory, 0::BIGINT AS tn_accessory FROM r),
 x AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 1.0 END AS p,
                 CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0.0 END AS rc FROM b)
 SELECT tp, fp, fn, fp_accessory, tn_accessory, tp + fn AS n_positives, fp_accessory + tn_accessory AS n_negatives,
        {DR.format(x="p", p=4)} AS precision, {DR.format(x="rc", p=4)} AS recall,
        {DR.format(x="CASE WHEN p + rc > 0 THEN 2 * p * rc / (p + rc) ELSE 0.0 END", p=4)} AS f1,
-       0.0 AS fp_rate FROM x""")
+       0.0::DOUBLE AS fp_rate FROM x""")
 def q_match_quality_vector(spark, sf):
     """A10 for the cosine matcher: query vectors whose label is known; the
     expected product is the first catalog vector of the same label."""
