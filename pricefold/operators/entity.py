@@ -33,23 +33,22 @@ def _name_nodes(records: DataFrame, name_col: str, category_col: str) -> DataFra
 
 
 def _fuzzy_edges_join(nodes: DataFrame, singles: DataFrame, threshold: float) -> DataFrame:
-    """Beyond the broadcast bound: category-blocked pairs scored by the fuzzy
-    join plan (exact), best partner per record."""
-    pool = nodes.select(F.col("cat").alias("key"), F.col("proc").alias("choice"), F.lit(0).alias("o1"),
+    """Beyond the broadcast bound: the blocked fuzzy scan (bounded blocks,
+    no pair rows), best partner per record excluding itself."""
+    pool = nodes.select(F.col("cat").alias("key"), F.col("proc").alias("choice"), F.lit(0).cast("long").alias("o1"),
                         F.col("node").alias("o2"), F.col("node").alias("product_id"),
                         F.col("proc").alias("canonical_name"), F.col("cat").alias("pcat"))
-    q = singles.select(F.col("cat").alias("key"), F.col("proc").alias("qproc"), F.col("node").alias("src"))
-    pairs = q.join(pool, "key").where(F.col("src") != F.col("product_id"))
-    scored = fuzzy.score_pairs(pairs)
-    best = F.max(F.struct("raw_score", (-F.col("o2")).alias("n2"), "product_id"))
-    return (scored.groupBy("src").agg(best.alias("b"))
-                  .where(F.col("b.raw_score") >= threshold)
-                  .select("src", F.col("b.product_id").alias("dst"), F.col("b.raw_score").alias("score")))
+    q = singles.select(F.col("cat").alias("qcat"), F.col("proc").alias("qproc"), "node")
+    best = fuzzy.best_blocked(q.select("qcat", "qproc"), pool, "bigint", exclude_self=True)
+    return (q.join(best, ["qcat", "qproc"]).where(F.col("raw_score") >= threshold)
+             .select(F.col("node").alias("src"), F.col("best_product_id").alias("dst"),
+                     F.col("raw_score").alias("score")))
 
 
-def _fuzzy_edges(nodes: DataFrame, singles: DataFrame, threshold: float, max_pool_rows: int) -> DataFrame:
+def _fuzzy_edges(nodes: DataFrame, singles: DataFrame, threshold: float, max_pool_rows: int,
+                 plan: str = "auto") -> DataFrame:
     pool_rows, small = checked_broadcast(nodes.select("cat", "proc", "node"), max_pool_rows)
-    if not small:
+    if not small or plan == "join":
         return _fuzzy_edges_join(nodes, singles, threshold)
     spark = nodes.sparkSession
     rows = [r.asDict() for r in pool_rows.collect()]
@@ -97,7 +96,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = M
 
 def entity_groups(records: DataFrame, name_col: str = "product_name_clean", category_col: str = "category",
                   fuzzy_threshold: float = K.CATALOG_BUILD_FUZZY_THRESHOLD,
-                  max_pool_rows: int = 2_000_000) -> DataFrame:
+                  max_pool_rows: int = 2_000_000, plan: str = "auto") -> DataFrame:
     """(cat, proc, node, group_node, stage) per name node; records join on (cat, proc)."""
     nodes = _name_nodes(records, name_col, category_col)
     # stage 1: one edge per node to the first node of its signature group
@@ -106,7 +105,7 @@ def entity_groups(records: DataFrame, name_col: str = "product_name_clean", cate
     e1 = n1.where(F.col("node") != F.col("rep")).select(F.col("node").alias("src"), F.col("rep").alias("dst"))
     # stage 2: records still alone after stage 1
     singles = n1.where(F.col("sig_rows") == 1).select("cat", "proc", "node")
-    e2 = _fuzzy_edges(nodes, singles, fuzzy_threshold, max_pool_rows)
+    e2 = _fuzzy_edges(nodes, singles, fuzzy_threshold, max_pool_rows, plan)
     edges = e1.unionByName(e2.select("src", "dst"))
     labels = connected_components(edges, nodes)
     return nodes.join(labels, "node").select("cat", "proc", "node", F.col("label").alias("group_node"))

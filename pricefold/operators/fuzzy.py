@@ -8,19 +8,20 @@ token_set_ratio(a, b) on whitespace tokens A, B (published definition):
   100 - 100 * (1 + |ab|) / (|I| + |I+ab|) and the same with ``ba``;
 * result = max of those.
 
-Plan: distinct processed queries x the category's deduplicated choices
-(equi-join on the category key; the choices are a size-checked broadcast
-when small).  Set algebra, r2, r3 and bounds for r1 are Column expressions;
-the per-query best lower bound prunes pairs, and only pairs that can still
-reach it call the Arrow UDF that computes the indel distance (bit-parallel
-LCS).  The argmax is a partial-aggregable ``max(struct)``.
+Plans (both exact): distinct processed queries against the category's
+deduplicated choices.  ``broadcast`` (pool within a measured bound): one
+scan per query with numpy postings (first subset candidate = 100, LCS only
+where the bound reaches the running best).  ``join`` (any pool size): block
+nested loop - pool chunks x query salts meet in ``cogroup.applyInPandas``
+tasks of bounded size; no pair rows are emitted; the best across chunks is
+a partial-aggregable ``max(struct)``.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,19 +73,6 @@ def token_set_ratio(s1: str, s2: str) -> float:
     return float(max(result, r2, r3))
 
 
-@F.pandas_udf(T.DoubleType())
-def _indel_ratio(ab: pd.Series, ba: pd.Series, lensum: pd.Series) -> pd.Series:
-    out = []
-    for x, y, n in zip(ab, ba, lensum):
-        d = len(x) + len(y) - 2 * lcs_length(x, y)
-        out.append(100 - 100 * d / n if n else 100.0)
-    return pd.Series(out, dtype="float64")
-
-
-def _tokens(c):
-    return F.array_distinct(F.filter(F.split(c, " "), lambda t: t != ""))
-
-
 def choices(catalog: DataFrame) -> DataFrame:
     """Per category, the first product (catalog order) of each processed
     name; plus the pooled list for queries without a category: ordered by
@@ -109,49 +97,6 @@ def choices(catalog: DataFrame) -> DataFrame:
     return per_cat.unionByName(pooled)
 
 
-def score_pairs(pairs: DataFrame, q_col: str = "qproc", c_col: str = "choice") -> DataFrame:
-    """Adds ``raw_score`` (exact where it can matter for the argmax)."""
-    A, B = _tokens(F.col(q_col)), _tokens(F.col(c_col))
-    p = pairs.withColumn("_A", A).withColumn("_B", B)
-    I = F.array_intersect("_A", "_B")
-    p = p.withColumn("_I", I) \
-         .withColumn("_ab", F.array_join(F.array_sort(F.array_except("_A", "_B")), " ")) \
-         .withColumn("_ba", F.array_join(F.array_sort(F.array_except("_B", "_A")), " ")) \
-         .withColumn("_sect", F.char_length(F.array_join("_I", " ")))
-    sect = F.col("_sect")
-    la, lb = F.char_length("_ab"), F.char_length("_ba")
-    has = (sect > 0).cast("int")
-    sab = sect + has + la
-    sba = sect + has + lb
-    lensum = sab + sba
-    empty = (F.size("_A") == 0) | (F.size("_B") == 0)
-    subset = (F.size("_I") > 0) & ((la == 0) | (lb == 0))
-    r2 = F.when(sect > 0, F.lit(100.0) - F.lit(100.0) * (has + la) / (sect + sab)).otherwise(F.lit(0.0))
-    r3 = F.when(sect > 0, F.lit(100.0) - F.lit(100.0) * (has + lb) / (sect + sba)).otherwise(F.lit(0.0))
-    r1_ub = F.lit(100.0) - F.lit(100.0) * F.abs(la - lb) / lensum
-    r1_lb = F.lit(100.0) - F.lit(100.0) * (la + lb) / lensum
-    base = F.greatest(r2, r3)
-    p = p.withColumn("_empty", empty).withColumn("_subset", subset).withColumn("_lensum", lensum) \
-         .withColumn("_base", base).withColumn("_r1ub", r1_ub).withColumn("_r1lb", r1_lb)
-    known = F.when(F.col("_empty"), 0.0).when(F.col("_subset"), 100.0)\
-             .otherwise(F.greatest(F.col("_base"), F.col("_r1lb")))
-    ub = F.when(F.col("_empty"), 0.0).when(F.col("_subset"), 100.0)\
-          .otherwise(F.greatest(F.col("_base"), F.col("_r1ub")))
-    w = Window.partitionBy("key", q_col)
-    p = p.withColumn("_known", known).withColumn("_ub", ub).withColumn("_T", F.max("_known").over(w))
-    need = (~F.col("_empty") & ~F.col("_subset") & (F.col("_ub") >= F.col("_T"))
-            & (F.col("_r1ub") > F.col("_base")) & (F.col("_r1ub") > F.col("_r1lb")))
-    p = p.withColumn("_need", need)
-    tmp = ["_A", "_B", "_I", "_ab", "_ba", "_sect", "_empty", "_subset", "_lensum", "_base", "_r1ub",
-           "_r1lb", "_known", "_ub", "_T", "_need"]
-    # The Arrow UDF only sees the pairs that can still reach the per-query
-    # best; both branches reuse the same exchange.
-    exact = F.greatest(F.col("_base"), _indel_ratio(F.col("_ab"), F.col("_ba"), F.col("_lensum").cast("double")))
-    hard = p.where(F.col("_need")).withColumn("raw_score", exact)
-    easy = p.where(~F.col("_need")).withColumn("raw_score", F.col("_known"))
-    return hard.unionByName(easy).drop(*tmp)
-
-
 def _prepare_pool(rows) -> dict:
     """Per category key: ordered choices with an inverted index over tokens."""
     by_key: dict = {}
@@ -276,11 +221,75 @@ def _final_broadcast(q: DataFrame, ch: DataFrame, id_type: str, threshold: float
 
 
 DEFAULT_POOL_ROWS = 2_000_000
+DEFAULT_POOL_BLOCK = 20_000
+DEFAULT_QUERY_BLOCK = 20_000
+
+
+def _blocks(df: DataFrame, key: str, col: str, size: int, name: str) -> DataFrame:
+    """Hash block number per row so that every (key, block) holds about
+    ``size`` rows; the per-key counts are a small aggregate."""
+    n = df.groupBy(key).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(float(size))))
+                            .cast("long").alias("_nb"))
+    return (df.join(n, key).withColumn(name, F.pmod(F.xxhash64(F.col(col)), F.col("_nb"))).drop("_nb"))
+
+
+def best_blocked(q: DataFrame, ch: DataFrame, id_type: str, pool_block: int = DEFAULT_POOL_BLOCK,
+                 query_block: int = DEFAULT_QUERY_BLOCK, exclude_self: bool = False) -> DataFrame:
+    """Exact best choice per query for pools too large to broadcast.
+
+    Block nested loop on Spark: choices are hash-chunked per category key,
+    queries are hash-salted per key; each (key, chunk, salt) block meets in
+    one ``cogroup.applyInPandas`` task that scores its queries against its
+    chunk with ``best_in_pool``.  Pairs are evaluated but never emitted as
+    rows, task memory is bounded by the block sizes, and a hot category is
+    spread over its salts.  The best per query across chunks is a
+    partial-aggregable ``max(struct(score, -position, ...))``.
+    q: (qcat, qproc); ch: choices() rows."""
+    qb = _blocks(q.select("qcat", "qproc").withColumnRenamed("qcat", "key"), "key", "qproc", query_block, "salt")
+    cb = _blocks(ch, "key", "choice", pool_block, "chunk")
+    # fresh expressions (not the original columns) keep the two sides of the
+    # cogroup free of shared lineage
+    chunks = cb.select(F.concat(F.col("key"), F.lit("")).alias("key"), (F.col("chunk") + 0).alias("chunk")).distinct()
+    salts = qb.select(F.concat(F.col("key"), F.lit("")).alias("key"), (F.col("salt") + 0).alias("salt")).distinct()
+    left = qb.join(chunks, "key")                      # each query once per chunk of its key
+    right = cb.join(salts, "key")                      # each chunk once per query salt of its key
+    schema = (f"key string, qproc string, raw_score double, o1 long, o2 long, product_id {id_type}, "
+              "canonical_name string, pcat string")
+
+    def run(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
+        if qs.empty or cs.empty:
+            return pd.DataFrame(columns=schema_cols)
+        cs = cs.sort_values(["o1", "o2"], kind="stable")
+        pool = _prepare_pool(cs.to_dict("records"))[cs["key"].iloc[0]]
+        where = {c: i for i, c in enumerate(cs["choice"])} if exclude_self else {}
+        out = []
+        for qp in qs["qproc"]:
+            sc, i = best_in_pool(qp, pool, exclude=where.get(qp))
+            if i is None:
+                continue
+            r = cs.iloc[i]
+            out.append((qs["key"].iloc[0], qp, sc, int(r["o1"]), int(r["o2"]), r["product_id"],
+                        r["canonical_name"], r["pcat"]))
+        return pd.DataFrame(out, columns=schema_cols)
+
+    schema_cols = ["key", "qproc", "raw_score", "o1", "o2", "product_id", "canonical_name", "pcat"]
+    per_chunk = (left.groupBy("key", "chunk", "salt")
+                     .cogroup(right.select("key", "chunk", "salt", "choice", "o1", "o2", "product_id",
+                                           "canonical_name", "pcat").groupBy("key", "chunk", "salt"))
+                     .applyInPandas(run, schema))
+    best = F.max(F.struct("raw_score", (-F.col("o1")).alias("n1"), (-F.col("o2")).alias("n2"),
+                          "product_id", "canonical_name", "pcat"))
+    return (per_chunk.groupBy("key", "qproc").agg(best.alias("b"))
+                     .select(F.col("key").alias("qcat"), "qproc", F.col("b.raw_score").alias("raw_score"),
+                             F.col("b.product_id").alias("best_product_id"),
+                             F.col("b.canonical_name").alias("best_canonical_name"),
+                             F.col("b.pcat").alias("best_category")))
 
 
 def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.FUZZY_THRESHOLD,
                   name_col: str = "product_name_clean", category_col: str = "category",
-                  plan: str = "auto", max_pool_rows: int = DEFAULT_POOL_ROWS) -> DataFrame:
+                  plan: str = "auto", max_pool_rows: int = DEFAULT_POOL_ROWS,
+                  pool_block: int = DEFAULT_POOL_BLOCK, query_block: int = DEFAULT_QUERY_BLOCK) -> DataFrame:
     """One FuzzyMatchResult row per distinct (qproc, qcat)."""
     if threshold is not None and threshold <= 1.0:
         threshold = threshold * 100          # P31: fractions are scaled
@@ -297,15 +306,7 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
     keys = ch.select(F.col("key").alias("qcat")).distinct().withColumn("has_pool", F.lit(True))
     q = q.join(keys, "qcat", "left")
     cand = q.where(~F.col("is_accessory") & F.col("has_pool").isNotNull())
-    pairs = cand.select(F.col("qcat").alias("key"), "qproc").join(ch, "key")
-    scored = score_pairs(pairs)
-    best = F.max(F.struct("raw_score", (-F.col("o1")).alias("n1"), (-F.col("o2")).alias("n2"),
-                          "product_id", "canonical_name", "pcat"))
-    b = (scored.groupBy("key", "qproc").agg(best.alias("b"))
-               .select(F.col("key").alias("qcat"), "qproc", F.col("b.raw_score").alias("raw_score"),
-                       F.col("b.product_id").alias("best_product_id"),
-                       F.col("b.canonical_name").alias("best_canonical_name"),
-                       F.col("b.pcat").alias("best_category")))
+    b = best_blocked(cand, ch, catalog.schema["product_id"].dataType.simpleString(), pool_block, query_block)
     r = q.join(b, ["qcat", "qproc"], "left")
     raw = F.coalesce(F.col("raw_score"), F.lit(0.0))
     acc = F.col("is_accessory")

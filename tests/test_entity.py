@@ -10,11 +10,12 @@ def test_entity_groups(spark):
             (5, "apple iphone 15 pro", "phone"), (6, "apple iphone 15 pro max", "phone"),
             (7, "samsung galaxy s24", "phone")]
     df = spark.createDataFrame(rows, "row_id long, product_name_clean string, category string")
-    g = entity.grouped_records(df).collect()
-    groups = {}
-    for r in g:
-        groups.setdefault(r["group_id"], set()).add(r["row_id"])
-    assert sorted(sorted(v) for v in groups.values()) == [[1, 2, 3], [5, 6]]
+    for plan in ("auto", "join"):
+        g = entity.grouped_records(df, plan=plan).collect()
+        groups = {}
+        for r in g:
+            groups.setdefault(r["group_id"], set()).add(r["row_id"])
+        assert sorted(sorted(v) for v in groups.values()) == [[1, 2, 3], [5, 6]]
 
 
 def test_connected_components_chain(spark):

@@ -109,6 +109,10 @@ def test_fuzzy_plans_equal_and_brute_force(spark):
     b = {(r["qproc"], r["qcat"]): (r["product_id"], round(r["raw_score"], 9), r["match_method"])
          for r in fuzzy.match_queries(cleaned, cat, plan="join").collect()}
     assert a == b
+    # tiny blocks: many pool chunks and query salts per category, same answer
+    c = {(r["qproc"], r["qcat"]): (r["product_id"], round(r["raw_score"], 9), r["match_method"])
+         for r in fuzzy.match_queries(cleaned, cat, plan="join", pool_block=7, query_block=50).collect()}
+    assert a == c
     # brute force over the deduplicated per-category choices
     catalog = _catalog_rows(spark, cat)
 
