@@ -7,8 +7,9 @@ Plans (both exact):
 * ``broadcast``: the catalog matrix per category is broadcast when its row
   count is within a measured bound; each Arrow batch of queries is scored by
   one matmul per category;
-* ``join``: equi-join on category, dot product as a codegen'd
-  ``aggregate(zip_with(...))`` expression, partial-aggregable ``max(struct)``.
+* ``join`` (any size): block nested loop - catalog chunks x query salts per
+  category meet in bounded ``cogroup.applyInPandas`` tasks, one matmul per
+  block, no pair rows; partial-aggregable ``max(struct)`` across chunks.
 """
 
 from __future__ import annotations
@@ -32,14 +33,48 @@ def dot(a, b):
     return F.aggregate(F.zip_with(ad, bd, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def _best_join(queries: DataFrame, catalog: DataFrame) -> DataFrame:
-    c = catalog.select(F.col("category"), F.col("product_id").alias("pid"), F.col("ord"),
-                       F.col("embedding").alias("pvec"))
-    pairs = queries.join(c, "category")
-    s = dot(F.col("embedding"), F.col("pvec"))
-    best = F.max(F.struct(s.alias("score"), (-F.col("ord")).alias("nord"), F.col("pid")))
-    return pairs.groupBy("query_id").agg(best.alias("b")).select(
-        "query_id", F.col("b.score").alias("best_score"), F.col("b.pid").alias("best_product_id"))
+DEFAULT_BLOCK = 20_000
+
+
+def _blocks(df: DataFrame, col: str, size: int, name: str) -> DataFrame:
+    n = df.groupBy("category").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(float(size))))
+                                   .cast("long").alias("_nb"))
+    return df.join(n, "category").withColumn(name, F.pmod(F.xxhash64(F.col(col)), F.col("_nb"))).drop("_nb")
+
+
+def _best_join(queries: DataFrame, catalog: DataFrame, id_type: str, qid_type: str,
+               block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Block nested loop for catalogs beyond the broadcast bound: catalog
+    vectors hash-chunked per category, queries hash-salted per category;
+    each (category, chunk, salt) block is one matmul in a
+    ``cogroup.applyInPandas`` task (bounded memory, no pair rows); the best
+    across chunks is a partial-aggregable ``max(struct(score, -ord, id))``."""
+    qb = _blocks(queries.select("query_id", "category", "embedding"), "query_id", block, "salt")
+    cb = _blocks(catalog.select("product_id", "category", "ord", "embedding"), "product_id", block, "chunk")
+    chunks = cb.select(F.concat("category", F.lit("")).alias("category"), (F.col("chunk") + 0).alias("chunk")).distinct()
+    salts = qb.select(F.concat("category", F.lit("")).alias("category"), (F.col("salt") + 0).alias("salt")).distinct()
+    left = qb.join(chunks, "category")
+    right = cb.join(salts, "category")
+    cols = ["query_id", "score", "ord", "product_id"]
+
+    def run(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
+        if qs.empty or cs.empty:
+            return pd.DataFrame(columns=cols)
+        cs = cs.sort_values("ord", kind="stable")
+        mat = np.vstack(cs["embedding"].map(lambda v: np.asarray(v, dtype=np.float64)).to_list())
+        q = np.vstack(qs["embedding"].map(lambda v: np.asarray(v, dtype=np.float64)).to_list())
+        sims = q @ mat.T
+        j = sims.argmax(axis=1)                 # first maximum = catalog order within the chunk
+        return pd.DataFrame({"query_id": qs["query_id"].to_numpy(), "score": sims[np.arange(len(j)), j],
+                             "ord": cs["ord"].to_numpy()[j], "product_id": cs["product_id"].to_numpy()[j]})
+
+    schema = f"query_id {qid_type}, score double, ord long, product_id {id_type}"
+    per_chunk = (left.groupBy("category", "chunk", "salt")
+                     .cogroup(right.groupBy("category", "chunk", "salt"))
+                     .applyInPandas(run, schema))
+    best = F.max(F.struct("score", (-F.col("ord")).alias("nord"), "product_id"))
+    return per_chunk.groupBy("query_id").agg(best.alias("b")).select(
+        "query_id", F.col("b.score").alias("best_score"), F.col("b.product_id").alias("best_product_id"))
 
 
 def _best_broadcast(queries: DataFrame, catalog: DataFrame, id_type: str, qid_type: str) -> DataFrame:
@@ -77,7 +112,7 @@ def _best_broadcast(queries: DataFrame, catalog: DataFrame, id_type: str, qid_ty
 
 
 def match_vectors(queries: DataFrame, catalog: DataFrame, threshold: float = K.VECTOR_THRESHOLD,
-                  plan: str = "auto", max_rows: int = DEFAULT_MATRIX_ROWS) -> DataFrame:
+                  plan: str = "auto", max_rows: int = DEFAULT_MATRIX_ROWS, block: int = DEFAULT_BLOCK) -> DataFrame:
     """queries(query_id, category, embedding), catalog(product_id, category, ord,
     embedding) -> (query_id, product_id, match_score, match_method)."""
     if plan == "auto":
@@ -87,7 +122,8 @@ def match_vectors(queries: DataFrame, catalog: DataFrame, threshold: float = K.V
         best = _best_broadcast(queries, catalog, catalog.schema["product_id"].dataType.simpleString(),
                                queries.schema["query_id"].dataType.simpleString())
     else:
-        best = _best_join(queries, catalog)
+        best = _best_join(queries, catalog, catalog.schema["product_id"].dataType.simpleString(),
+                          queries.schema["query_id"].dataType.simpleString(), block)
     r = queries.select("query_id").join(best, "query_id", "left")
     ok = F.col("best_score") >= F.lit(threshold)
     return r.select("query_id",

@@ -143,6 +143,10 @@ def test_vector_plans_agree(spark):
     b = {r["query_id"]: (r["product_id"], round(r["match_score"], 9))
          for r in vector.match_vectors(q, c, threshold=0.2, plan="join").collect()}
     assert a == b and len(a) == q.count()
+    small = {r["query_id"]: (r["product_id"], round(r["match_score"], 9))
+             for r in vector.match_vectors(q, tables.vector_catalog(spark, SF_SMALL), threshold=0.2,
+                                           plan="join", block=3).collect()}
+    assert small == a
 
 
 def test_embedding_increment(spark):
