@@ -22,6 +22,20 @@ def _round2(c):
     return F.round(c.cast("decimal(38,10)"), 2).cast("double")
 
 
+def exact_mean2(x) -> F.Column:
+    """Mean rounded HALF_UP to 2 decimals, computed exactly: prices as
+    micro-units (decimal(38,6)), an exact integer sum and an exact integral
+    division (remainder-based).  Unlike a double average it does not depend
+    on summation order, which decides .xx5 ties in the last bit."""
+    d = x.cast("decimal(38,6)")
+    s = (F.sum(d) * F.lit(1_000_000)).cast("decimal(38,0)")
+    c = F.count(d).cast("decimal(38,0)")
+    q = (F.abs(s) * 2 + c * 10_000).cast("decimal(38,0)")
+    m = (c * 20_000).cast("decimal(38,0)")
+    cents = ((q - F.pmod(q, m)) / m).cast("decimal(38,0)")
+    return F.when(c > 0, (F.signum(s) * cents.cast("double")) / F.lit(100.0))
+
+
 def offer_struct() -> F.Column:
     """P25 defaults: source else _source, currency else EUR, availability else unknown."""
     return F.struct(
@@ -112,7 +126,7 @@ def merge_groups(records: DataFrame, groups: DataFrame, matched_by: str = "unkno
     stats = g.groupBy("group_id").agg(
         longest.alias("product_name"), first_cur.alias("currency"),
         F.min(price).alias("price_min"), F.max(price).alias("price_max"),
-        _round2(F.avg(price)).alias("price_mean"), F.count(F.lit(1)).alias("offer_count"),
+        exact_mean2(price).alias("price_mean"), F.count(F.lit(1)).alias("offer_count"),
         F.first("_mb").alias("matched_by"))
     if not with_offers:
         return stats

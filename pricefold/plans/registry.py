@@ -931,7 +931,10 @@ SELECT group_id,
        arg_max(product_name, length(product_name) * 100000000 - pos) AS product_name,
        coalesce(arg_min(currency, pos) FILTER (WHERE coalesce(currency, '') <> ''), 'EUR') AS currency,
        min(price) AS price_min, max(price) AS price_max,
-       round(CAST(avg(price) AS DECIMAL(38,10)), 2)::DOUBLE AS price_mean,
+       CASE WHEN count(price) > 0 THEN
+         sign(sum(CAST(price AS DECIMAL(38,6)))) *
+         ((abs(CAST(sum(CAST(price AS DECIMAL(38,6))) * 1000000 AS HUGEINT)) * 2 + count(price) * 10000)
+          // (count(price) * 20000))::DOUBLE / 100.0 END AS price_mean,
        count(*) AS offer_count,
        CASE WHEN min(kind) = 'none' THEN 'none' ELSE 'orders' END AS matched_by
 FROM a GROUP BY group_id""")
