@@ -55,3 +55,9 @@ def test_merge_groups(spark):
     assert out["g2"]["offer_count"] == 1                    # row 3 appears in both groups
     assert out["single-4"]["matched_by"] == "none" and out["single-4"]["currency"] == "EUR"
     assert set(out) == {"g1", "g2", "single-4"}
+
+
+def test_exact_group_mean_half_up(spark):
+    df = spark.createDataFrame([(1, 1.005), (1, 1.005), (2, 2.675), (3, -1.005), (4, None)], "g int, p double")
+    got = {r["g"]: r["m"] for r in df.groupBy("g").agg(merging.exact_mean2(F.col("p")).alias("m")).collect()}
+    assert got == {1: 1.01, 2: 2.68, 3: -1.01, 4: None}
