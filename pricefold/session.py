@@ -37,9 +37,31 @@ def get_session(master: str | None = None, app: str = "pricefold",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pricefold`` importable in Python workers (Arrow UDFs and
+    mapInPandas functions reference it): zip the package once per Spark
+    context and register it with ``addPyFile``, which distributes it to every
+    executor.  The zip is staged on the driver only; Spark ships it."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _shipped:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    stage = tempfile.mkdtemp(prefix="pricefold-pkg-")
+    archive = shutil.make_archive(os.path.join(stage, "pricefold"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _shipped.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
