@@ -70,6 +70,24 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class Shared:
+    """A broadcast value, and what each worker process makes of it once."""
+
+    made: dict[str, object] = {}
+
+    def __init__(self, spark: SparkSession, value, make=None):
+        self.key, self.make, self.broadcast = uuid.uuid4().hex, make, spark.sparkContext.broadcast(value)
+
+    @property
+    def value(self):
+        if self.key not in Shared.made:
+            if len(Shared.made) >= 4:
+                Shared.made.clear()
+            value = self.broadcast.value
+            Shared.made[self.key] = self.make(value) if self.make else value
+        return Shared.made[self.key]
+
+
 class Memo(dict):
     """A dict that computes what is missing and starts anew at ``limit`` entries, so it stays bounded."""
 

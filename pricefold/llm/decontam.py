@@ -107,17 +107,10 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_built: dict[int, WuManber] = {}
-
-
-def _searcher(shared, window: int):
+def _searcher(shared: common.Shared):
     @F.arrow_udf(RESULT)
     def search(texts: pa.Array) -> pa.Array:
-        key = id(shared)
-        if key not in _built:
-            _built.clear()
-            _built[key] = WuManber(shared.value, window)
-        engine, out = _built[key], []
+        engine, out = shared.value, []
         for at in range(0, len(texts), common.SLICE_ROWS):
             for t in texts[at:at + common.SLICE_ROWS].cast(pa.binary()).to_pylist():
                 found = find_words(t.lower()) if t else []
@@ -150,8 +143,8 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words:
     out = docs.drop("n_words", "spans", "items", "n_hit")
     for k in range(passes):
         mine = runs if passes == 1 else runs.filter(F.pmod(F.xxhash64("item", "words"), F.lit(passes)) == k)
-        shared = spark.sparkContext.broadcast([(r["item"], r["words"]) for r in mine.collect()])
-        out = out.withColumn("_new", _searcher(shared, window)("text"))
+        shared = common.Shared(spark, ([(r["item"], r["words"]) for r in mine.collect()], window), lambda x: WuManber(*x))
+        out = out.withColumn("_new", _searcher(shared)("text"))
         new = {"n_words": F.col("_new.n_words"), "spans": F.col("_new.spans"), "items": F.col("_new.items")}
         if k:
             new |= {"spans": _joined("spans", "_new.spans"), "items": F.array_sort(F.array_union("items", "_new.items"))}

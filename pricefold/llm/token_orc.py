@@ -15,9 +15,10 @@ input columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +30,23 @@ from pyspark.sql import types as T
 from . import common
 
 END_ID = 2
+END = np.int32(END_ID).tobytes()
 ORC_OPTIONS = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true",
-               "orc.row.index.stride": "2000", "orc.stripe.size": str(64 << 20), "compression": "zstd"}
+               "orc.row.index.stride": "2000", "orc.stripe.size": str(64 << 20), "compression": "snappy"}
 SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>"
 
 #: Fixed value: how the byte-level tokenizer cuts a text before it merges bytes; merges never cross a cut.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A text with other characters is encoded whole, as Unicode versions may class them differently.
-UNUSUAL = r"[^\x00-\x1b\x20-ɏ]"
+#: This form holds for the characters up to U+024F, but for some signs that are neither letter nor digit here.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+#: A text with any other character is encoded whole.
+UNUSUAL = r"[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]"
+
+
+def byte_letters() -> dict[int, str]:
+    """Fixed value: the letter that stands for each byte in a byte-level vocabulary (printable ones for themselves)."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 def tokenizer_path() -> str:
@@ -50,13 +60,14 @@ class Encoder:
     loaded: dict[str, "Encoder"] = {}
 
     def __init__(self, path: str):
-        import regex
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces, self.unusual = regex.compile(PIECES).findall, regex.compile(UNUSUAL).search
-        self.known = common.Memo(self.whole)
+        self.pieces, self.unusual = re.compile(PIECES).findall, re.compile(UNUSUAL).search
+        letters, tokenize = byte_letters(), self.tokenizer.model.tokenize
+        self.known = common.Memo(lambda piece: array("i", [
+            t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes(), 700_000)
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -64,15 +75,12 @@ class Encoder:
             cls.loaded[path] = cls(path)
         return cls.loaded[path]
 
-    def whole(self, text: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
     def ids(self, text: str) -> np.ndarray:
         if self.unusual(text):
-            found = self.whole(text)
+            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32).tobytes()
         else:
-            found = chain.from_iterable(map(self.known.__getitem__, self.pieces(text)))
-        return np.fromiter(chain(found, (END_ID,)), dtype=np.int32)
+            found = b"".join(map(self.known.__getitem__, self.pieces(text)))
+        return np.frombuffer(found + END, dtype=np.int32)
 
 
 def _encode(path: str):
