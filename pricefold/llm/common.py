@@ -14,6 +14,8 @@ from ..session import ensure_checkpoint_dir, ship_package, table_path
 
 #: Rows of one Arrow batch that are worked on at once; long texts then stay within a worker's memory.
 SLICE_ROWS = 256
+#: Rows of an Arrow batch at most.
+BATCH_ROWS = 2000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,9 +23,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """What every operator needs of a session: the shared folder and the package on the workers."""
+    """What every operator needs of a session: the shared folder, the package on the workers, and
+    Arrow batches that long texts leave small."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, mixing, neardup, preference, sharding, token_orc, toxicity
+from . import ann, decontam, langid, mixing, neardup, preference, sharding, token_orc, toxicity, urlfilter
 
 QUERIES = {
     "op1_language_backoff": langid.op1_query,
+    "op2_adaptive_scan_neighbours": ann.op2_query,
     "op3_flow_resharding": sharding.op3_query,
     "op4_orc_tokens": token_orc.op4_query,
     "op5_wu_manber_decontamination": decontam.op5_query,
     "op6_probminhash_near_duplicates": neardup.op6_query,
+    "op7_temporal_url_list": urlfilter.op7_query,
     "op8_bradley_terry_quality": preference.op8_query,
     "op9_poisson_mixing": mixing.op9_query,
     "op10_factorization_toxicity": toxicity.op10_query,
 }
 
-ORACLE = {"op9_poisson_mixing": mixing.OP9_SQL}
+ORACLE = {"op7_temporal_url_list": urlfilter.OP7_SQL, "op9_poisson_mixing": mixing.OP9_SQL}
