@@ -5,9 +5,10 @@ Stages, each on records not yet grouped:
 2. fuzzy: every record still alone links to its best token-set-ratio partner
    among the other names of its category (one edge per record, never all
    pairs), kept when the score reaches the threshold;
-then connected components over the name graph by min-label propagation,
-with a reliable checkpoint each round.  A cosine stage needs one vector per
-record and is left to callers that have them (same shape as stage 2).
+then connected components over the name graph, until nothing changes.  A name
+without signature tokens has no stage-1 edge, and blank names stay alone.  A
+cosine stage needs one vector per record and is left to callers that have them
+(``extra_edges``, same shape as stage 2).
 """
 
 from __future__ import annotations
@@ -19,10 +20,9 @@ from .. import constants as K
 from ..functions import text as TX
 from ..session import cut_lineage
 from . import fuzzy
+from .components import connected_components
 from .joins import checked_broadcast, spread
 
-MAX_ROUNDS = 50
-
 
 def _name_nodes(records: DataFrame, name_col: str, category_col: str) -> DataFrame:
     nodes = (records.select(F.coalesce(F.col(category_col), F.lit("")).alias("cat"),
@@ -74,47 +74,38 @@ def _fuzzy_edges(nodes: DataFrame, singles: DataFrame, threshold: float, max_poo
         run, "src long, dst long, score double")
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Min-label propagation: every node takes the smallest label among itself
-    and its neighbours until nothing changes.  Returns (node, label)."""
-    und = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    und = cut_lineage(und.distinct())
-    labels = cut_lineage(nodes.select("node", F.col("node").alias("label")))
-    for _ in range(max_rounds):
-        nb = (und.join(labels.withColumnRenamed("node", "dst").withColumnRenamed("label", "nl"), "dst")
-                 .groupBy("src").agg(F.min("nl").alias("nl")))
-        new = (labels.join(nb.withColumnRenamed("src", "node"), "node", "left")
-                     .select("node", F.least("label", F.coalesce("nl", "label")).alias("label"),
-                             (F.coalesce("nl", "label") < F.col("label")).alias("changed")))
-        new = cut_lineage(new)
-        changed = new.where("changed").limit(1).count()
-        labels = new.drop("changed")
-        if changed == 0:
-            break
-    return labels
-
-
 def entity_groups(records: DataFrame, name_col: str = "product_name_clean", category_col: str = "category",
                   fuzzy_threshold: float = K.CATALOG_BUILD_FUZZY_THRESHOLD,
-                  max_pool_rows: int = 2_000_000, plan: str = "auto") -> DataFrame:
-    """(cat, proc, node, group_node, stage) per name node; records join on (cat, proc)."""
+                  max_pool_rows: int = 2_000_000, plan: str = "auto",
+                  extra_edges: DataFrame | None = None) -> DataFrame:
+    """(cat, proc, node, group_node) per name node; records join on (cat, proc).
+
+    ``extra_edges`` (cat, proc_a, proc_b) are links found by the caller."""
     nodes = _name_nodes(records, name_col, category_col)
     # stage 1: one edge per node to the first node of its signature group
-    rep = nodes.groupBy("cat", "sig").agg(F.min("node").alias("rep"), F.sum("n_rows").alias("sig_rows"))
-    n1 = nodes.join(rep, ["cat", "sig"])
-    e1 = n1.where(F.col("node") != F.col("rep")).select(F.col("node").alias("src"), F.col("rep").alias("dst"))
-    # stage 2: records still alone after stage 1
-    singles = n1.where(F.col("sig_rows") == 1).select("cat", "proc", "node")
-    e2 = _fuzzy_edges(nodes, singles, fuzzy_threshold, max_pool_rows, plan)
-    edges = e1.unionByName(e2.select("src", "dst"))
-    labels = connected_components(edges, nodes)
-    return nodes.join(labels, "node").select("cat", "proc", "node", F.col("label").alias("group_node"))
+    rep = (nodes.where("sig <> ''").groupBy("cat", "sig")
+                .agg(F.min("node").alias("rep"), F.sum("n_rows").alias("sig_rows")))
+    n1 = nodes.join(rep, ["cat", "sig"], "left")
+    e1 = n1.where(F.col("node") != F.col("rep")).select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    # stage 2: named records still alone after stage 1
+    alone = F.coalesce(F.col("sig_rows"), F.col("n_rows")) == 1
+    singles = n1.where(alone & (F.col("proc") != "")).select("cat", "proc", "node")
+    named = nodes.where(F.col("proc") != "")
+    e2 = _fuzzy_edges(named, singles, fuzzy_threshold, max_pool_rows, plan)
+    edges = e1.unionByName(e2.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    if extra_edges is not None:
+        left = named.select("cat", F.col("proc").alias("proc_a"), F.col("node").alias("a"))
+        right = named.select("cat", F.col("proc").alias("proc_b"), F.col("node").alias("b"))
+        edges = edges.unionByName(extra_edges.join(left, ["cat", "proc_a"]).join(right, ["cat", "proc_b"]).select("a", "b"))
+    found = connected_components(edges)
+    return nodes.join(found, "node", "left").select(
+        "cat", "proc", "node", F.coalesce("component", "node").alias("group_node"))
 
 
 def grouped_records(records: DataFrame, name_col: str = "product_name_clean", category_col: str = "category",
                     **kw) -> DataFrame:
-    """(group_id, row_id) for records in groups of two or more (A3 input)."""
-    g = entity_groups(records, name_col, category_col, **kw)
+    """(group_id, row_id) for records in groups of two or more (A3 input); blank names group with nothing."""
+    g = entity_groups(records, name_col, category_col, **kw).where(F.col("proc") != "")
     r = records.select("row_id", F.coalesce(F.col(category_col), F.lit("")).alias("cat"),
                        TX.fuzzy_normalize(F.col(name_col)).alias("proc")).join(g, ["cat", "proc"])
     sizes = r.groupBy("group_node").agg(F.count(F.lit(1)).alias("n"))

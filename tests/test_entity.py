@@ -18,8 +18,56 @@ def test_entity_groups(spark):
         assert sorted(sorted(v) for v in groups.values()) == [[1, 2, 3], [5, 6]]
 
 
-def test_connected_components_chain(spark):
-    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (10, 11)], "src long, dst long")
-    nodes = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 10, 11, 20)], "node long")
-    lab = {r["node"]: r["label"] for r in entity.connected_components(edges, nodes).collect()}
-    assert lab == {1: 1, 2: 1, 3: 1, 4: 1, 10: 10, 11: 10, 20: 20}
+def _groups(spark, rows):
+    df = spark.createDataFrame(rows, "row_id long, product_name_clean string, category string")
+    groups = {}
+    for r in entity.grouped_records(df).collect():
+        groups.setdefault(r["group_id"], set()).add(r["row_id"])
+    return sorted(sorted(v) for v in groups.values())
+
+
+def test_names_without_signature_are_not_merged(spark):
+    rows = [(1, "телефон красный", "phone"), (2, "ноутбук игровой", "phone"), (3, None, "phone"), (4, "", "phone"),
+            (5, "---", "phone"), (6, "телефон красный", "phone")]
+    assert _groups(spark, rows) == [[1, 6]]
+
+
+def _brute(rows):
+    """Signature groups, then the best partner of each record still alone, then components."""
+    import re
+    from pricefold.operators.fuzzy import token_set_ratio
+    proc = {i: " ".join(re.sub(r"[\W_]", " ", n or "").lower().split()) for i, n, _ in rows}
+    sig = {i: frozenset(re.findall(r"[a-z0-9]+", (n or "").lower())) for i, n, _ in rows}
+    cat = {i: c for i, _, c in rows}
+    parent = {i: i for i in proc}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    names = sorted(proc)
+    for a in names:
+        for b in names:
+            if a < b and cat[a] == cat[b] and proc[a] and (proc[a] == proc[b] or sig[a] and sig[a] == sig[b]):
+                parent[root(b)] = root(a)
+    alone = [a for a in names if proc[a] and sum(cat[a] == cat[b] and (proc[a] == proc[b] or sig[a] and sig[a] == sig[b]) for b in names) == 1]
+    for a in alone:
+        scores = [(token_set_ratio(proc[a], proc[b]), b) for b in names if b != a and cat[a] == cat[b] and proc[b]]
+        if scores and max(s for s, _ in scores) >= 88:
+            best = max(s for s, _ in scores)
+            parent[root(a)] = root(next(b for s, b in scores if s == best))
+    out = {}
+    for a in names:
+        out.setdefault(root(a), []).append(a)
+    return sorted(v for v in out.values() if len(v) > 1)
+
+
+def test_groups_equal_brute_force(spark):
+    import random
+    rng = random.Random(4)
+    words = ["dell", "xps", "pro", "max", "air", "13", "15", "neo", "силь"]
+    rows = [(i, " ".join(rng.choice(words) + (str(i) if rng.random() < 0.25 else "") for _ in range(rng.randrange(2, 5))),
+             rng.choice(["laptop", "phone"])) for i in range(40)]
+    got = _groups(spark, rows)
+    # among equally good partners either is right, so groups are compared where the best is unique
+    assert sum(map(len, got)) == sum(map(len, _brute(rows)))
