@@ -1,41 +1,46 @@
 """Folding offers into price records (A2 unified records, A3 explicit groups).
 
-Statistics and offer arrays are computed in separate aggregations: the
-statistics are partial aggregates (map-side combine, skew-proof); the offer
-arrays are cut into chunks of at most ``max_offers`` so that no single record
-(or task) has to hold every offer of a very popular product.
+The layout does not depend on size: a header row per product (or group) with
+its statistics, which are partial aggregates, and an offer row per offer with
+its position.  Positions come from counts per (product, day) plus the order
+within a day, so a product with very many offers is spread over its days.
+``nested`` folds the offer rows into the one nested record per product that a
+JSON sink wants; only that step needs all offers of a product in one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions.text import non_blank
 
-DEFAULT_MAX_OFFERS = 10_000
-
-
-def _round2(c):
-    # Decimal rounding (HALF_UP of the decimal value), stable across engines.
-    return F.round(c.cast("decimal(38,10)"), 2).cast("double")
-
-
 def exact_mean2(x) -> F.Column:
-    """Mean rounded HALF_UP to 2 decimals, computed exactly: prices as
-    micro-units (decimal(38,6)), an exact integer sum and an exact integral
-    division (remainder-based).  Unlike a double average it does not depend
-    on summation order, which decides .xx5 ties in the last bit."""
-    d = x.cast("decimal(38,6)")
-    s = (F.sum(d) * F.lit(1_000_000)).cast("decimal(38,0)")
+    """Mean rounded HALF_UP to 2 decimals, independent of summation order:
+    prices are taken as integers of 1e-9 (exact for prices of up to nine
+    decimals), summed exactly and divided with the remainder.  A double
+    average depends on the order, which decides .xx5 ties in the last bit."""
+    d = x.cast("decimal(38,9)")
+    s = (F.sum(d) * F.lit(1_000_000_000)).cast("decimal(38,0)")
     c = F.count(d).cast("decimal(38,0)")
-    q = (F.abs(s) * 2 + c * 10_000).cast("decimal(38,0)")
-    m = (c * 20_000).cast("decimal(38,0)")
+    q = (F.abs(s) * 2 + c * 10_000_000).cast("decimal(38,0)")
+    m = (c * 20_000_000).cast("decimal(38,0)")
     cents = ((q - F.pmod(q, m)) / m).cast("decimal(38,0)")
     return F.when(c > 0, (F.signum(s) * cents.cast("double")) / F.lit(100.0))
 
 
+def price_value(df: DataFrame, col: str = "price") -> F.Column:
+    """The numbers of a raw price column: a numeric column, or the numbers that a
+    JSON scan kept beside the text; text prices are no numbers and give null."""
+    if "_price_number" in df.columns:
+        return F.col("_price_number")
+    if isinstance(df.schema[col].dataType, T.NumericType):
+        return F.col(col).cast("double")
+    return F.lit(None).cast("double")
+
+
 def offer_struct() -> F.Column:
     """P25 defaults: source else _source, currency else EUR, availability else unknown."""
     return F.struct(
@@ -63,79 +68,97 @@ def product_stats(matched: DataFrame, matched_by: str = "rule") -> DataFrame:
     return (matched.groupBy("product_id", "canonical_name", F.col("product_category").alias("category"))
                    .agg(F.min(good).alias("price_min"),
                         F.max(good).alias("price_max"),
-                        _round2(F.avg(good)).alias("price_mean"),
+                        exact_mean2(good).alias("price_mean"),
                         F.count(F.lit(1)).alias("offer_count"),
                         F.count_if(F.coalesce(F.col("is_anomaly"), F.lit(False))).alias("anomaly_count"))
                    .withColumn("matched_by", F.lit(matched_by)))
 
 
-def product_offers(matched: DataFrame, stats: DataFrame, max_offers: int = DEFAULT_MAX_OFFERS) -> DataFrame:
-    """Offer arrays per (product_id, chunk); each chunk holds <= ~max_offers
-    offers, chosen by a hash of the offer, sorted inside the chunk by
-    (scrape_timestamp desc, source, url, seller)."""
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("offer_count") / F.lit(float(max_offers)))).cast("long")
-    counts = stats.select("product_id", n_chunks.alias("n_chunks"))
-    o = with_source_fallback(matched).join(counts, "product_id")
-    h = F.xxhash64("source", "seller", "url", "scrape_timestamp", "price_clean", "product_name")
-    o = o.withColumn("chunk", F.pmod(h, F.col("n_chunks")))
-    sort_key = F.struct((-F.unix_micros(F.col("scrape_timestamp").cast("timestamp"))).alias("k1"),
-                        F.col("source").alias("k2"), F.col("url").alias("k3"), F.col("seller").alias("k4"))
-    arr = F.collect_list(F.struct(sort_key.alias("k"), offer_struct().alias("o")))
-    return (o.groupBy("product_id", "chunk").agg(arr.alias("a"))
-             .select("product_id", "chunk",
-                     F.transform(F.array_sort("a"), lambda e: e["o"]).alias("prices")))
-
-
-def unified_records(matched: DataFrame, matched_by: str = "rule", merged_at=None,
-                    max_offers: int = DEFAULT_MAX_OFFERS) -> DataFrame:
-    """Nested unified records (F9 shape), one per (product, offer chunk)."""
-    stats = product_stats(matched, matched_by)
-    offers = product_offers(matched, stats, max_offers)
+#: Order of a product's offers: latest first, undated last, then by these columns.
+OFFER_TIES = ["source", "url", "seller", "price", "currency", "availability", "is_anomaly"]
+
+
+def with_position(rows: DataFrame, key: str, part, order: list) -> DataFrame:
+    """``rows`` with ``position`` (from 1) within ``key``: by ``part`` descending (null last), then ``order``.
+
+    Rows are numbered within (key, part) and moved on by the rows of the parts
+    before, one count each, so no task orders all rows of a large key."""
+    parts = rows.withColumn("_part", part)
+    before = Window.partitionBy(key).orderBy(F.col("_part").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(F.col(key).alias("_k"), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    number = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order))
+    same = F.col(key).eqNullSafe(F.col("_k")) & F.col("_part").eqNullSafe(F.col("_p"))
+    return (parts.withColumn("_i", number).join(counts, same)
+                 .withColumn("position", F.col("_before") + F.col("_i")).drop("_part", "_k", "_p", "_before", "_i"))
+
+
+def product_offers(matched: DataFrame) -> DataFrame:
+    """A2 offers: one row per offer with product_id and position."""
+    o = with_source_fallback(matched).select("product_id", offer_struct().alias("o")).select("product_id", "o.*")
+    ts = F.col("scrape_timestamp").cast("timestamp")
+    return with_position(o, "product_id", F.to_date(ts),
+                         [ts.desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in OFFER_TIES]])
+
+
+def nested(header: DataFrame, offers: DataFrame, key: str, name: str) -> DataFrame:
+    """One record per header row with its offers as an array in position order.
+
+    The array holds every offer of the key, so this is for sinks whose records
+    are nested; everything else works on the two flat tables."""
+    fields = [c for c in offers.columns if c not in (key, "position")]
+    arrays = (offers.groupBy(key).agg(F.collect_list(F.struct("position", F.struct(*fields).alias("o"))).alias("_a"))
+                    .select(key, F.transform(F.array_sort("_a"), lambda e: e["o"]).alias(name)))
+    return header.join(arrays, key, "left")
+
+
+def unified_records(matched: DataFrame, matched_by: str = "rule", merged_at=None) -> DataFrame:
+    """Nested unified records (F9 shape), one per product."""
     ts = merged_at if merged_at is not None else F.current_timestamp()
-    return (stats.join(offers, "product_id")
-                 .select("product_id", "canonical_name", "category", "prices", "price_min", "price_max",
-                         "price_mean", "offer_count", "matched_by", ts.alias("merged_at"), "chunk"))
+    u = nested(product_stats(matched, matched_by), product_offers(matched), "product_id", "prices")
+    return u.select("product_id", "canonical_name", "category", "prices", "price_min", "price_max",
+                    "price_mean", "offer_count", "matched_by", ts.alias("merged_at"))
 
 
 # ------------------------------------------------------------------ A3
-def merge_groups(records: DataFrame, groups: DataFrame, matched_by: str = "unknown",
-                 row_id: str = "row_id", pos: str = "pos", with_offers: bool = True,
-                 max_offers: int = DEFAULT_MAX_OFFERS) -> DataFrame:
-    """A3: ``groups`` is (group_id, row_id).  Per group: longest name (first on
-    ties), first non-empty currency else EUR, min/max/mean of raw prices (no
-    anomaly filter), count, offers.  Rows in no group become singletons with
-    matched_by 'none'; a row in two groups appears in both.
-
-    The statistics are bounded-size aggregates; offers (``with_offers``) are
-    collected in hash chunks of at most ~``max_offers`` per record, ordered by
-    record position inside each chunk, so a huge group never becomes one
-    unbounded array in one task."""
+def group_members(records: DataFrame, groups: DataFrame, matched_by: str = "unknown",
+                  row_id: str = "row_id") -> DataFrame:
+    """A record per (group, member): rows in no group are groups of their own, a row in two groups appears twice."""
     single = (records.join(groups.select(row_id).distinct(), row_id, "left_anti")
                      .select(F.concat(F.lit("single-"), F.col(row_id).cast("string")).alias("group_id"),
                              F.col(row_id), F.lit("none").alias("_mb")))
     members = (groups.select(F.col("group_id").cast("string").alias("group_id"), row_id)
                      .withColumn("_mb", F.lit(matched_by)).unionByName(single))
-    g = members.join(records, row_id)
+    return members.join(records, row_id)
+
+
+def group_offers(records: DataFrame, groups: DataFrame, row_id: str = "row_id", pos: str = "pos") -> DataFrame:
+    """A3 offers: one row per offer with group_id and position, in record order."""
+    g = group_members(records, groups, row_id=row_id)
+    # the place that the price takes is its number; a text price stays out of it as out of the statistics
+    o = g.select("group_id", F.col(pos).alias("_pos"), F.col(row_id).alias("_row"), "seller", "source",
+                 price_value(g).alias("price"), "currency", "url", "availability", "scrape_timestamp")
+    return with_position(o, "group_id", -F.floor(F.col("_pos") / 65_536), [F.col("_pos"), F.col("_row")]).drop("_pos", "_row")
+
+
+def merge_groups(records: DataFrame, groups: DataFrame, matched_by: str = "unknown",
+                 row_id: str = "row_id", pos: str = "pos", with_offers: bool = True) -> DataFrame:
+    """A3: ``groups`` is (group_id, row_id).  Per group: longest name (first on
+    ties), first non-empty currency else EUR, min/max/mean of raw prices that
+    are numbers (no anomaly filter), count, and the offers as an array unless
+    ``with_offers`` is off (``group_offers`` has them as rows).  Rows in no
+    group become singletons with matched_by 'none'."""
+    g = group_members(records, groups, matched_by, row_id)
     name = F.coalesce(F.col("product_name"), F.lit(""))
     longest = F.max(F.struct(F.char_length(name).alias("l"), (-F.col(pos)).alias("np"),
                              name.alias("n")))["n"]
     first_cur = F.coalesce(F.min(F.when(non_blank(F.col("currency")).isNotNull(),
                                         F.struct(F.col(pos).alias("p"), F.col("currency").alias("c"))))["c"],
                            F.lit(K.DEFAULT_CURRENCY))
-    price = F.col("price").cast("double")
+    price = price_value(g)
     stats = g.groupBy("group_id").agg(
         longest.alias("product_name"), first_cur.alias("currency"),
         F.min(price).alias("price_min"), F.max(price).alias("price_max"),
         exact_mean2(price).alias("price_mean"), F.count(F.lit(1)).alias("offer_count"),
         F.first("_mb").alias("matched_by"))
-    if not with_offers:
-        return stats
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("offer_count") / F.lit(float(max_offers)))).cast("long")
-    o = g.join(stats.select("group_id", n_chunks.alias("_n")), "group_id")
-    o = o.withColumn("chunk", F.pmod(F.xxhash64(F.col(row_id)), F.col("_n")))
-    offer = F.struct("seller", "source", price.alias("price"), "currency", "url", "availability",
-                     "scrape_timestamp")
-    offers = (o.groupBy("group_id", "chunk")
-               .agg(F.collect_list(F.struct(F.col(pos).alias("p"), offer.alias("o"))).alias("a"))
-               .select("group_id", "chunk", F.transform(F.array_sort("a"), lambda e: e["o"]).alias("offers")))
-    return stats.join(offers, "group_id")
+    return nested(stats, group_offers(records, groups, row_id, pos), "group_id", "offers") if with_offers else stats

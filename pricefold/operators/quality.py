@@ -11,13 +11,25 @@ from .reporting import dround
 
 
 def sample_per_category(catalog: DataFrame, n: int = K.TEST_SET_PER_CATEGORY,
-                        order_col: str = "ord") -> DataFrame:
-    """The first ``n`` products of each category by ``order_col`` (all when
-    fewer).  A window partitioned by category with a bounded rank filter."""
-    w = Window.partitionBy("category").orderBy(order_col, "product_id")
+                        seed: int = K.TEST_SET_SEED) -> DataFrame:
+    """``n`` products of each category (all when fewer), drawn by a seeded
+    hash of the product id.  The bounded rank is cut down before the shuffle."""
+    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("product_id").cast("string")).cast("binary"))
+    w = Window.partitionBy("category").orderBy(draw, "product_id")
     return catalog.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def wrong_category_cases(catalog: DataFrame, n: int = K.TEST_SET_PER_CATEGORY) -> DataFrame:
+    """A11 negatives that are no accessories: each sampled product, asked for in
+    the category after its own (by name, the last wraps around), where it isn't sold."""
+    s = sample_per_category(catalog, n)
+    names = s.select("category").distinct()     # a row per category
+    w = Window.orderBy("category")
+    after = names.select("category", F.coalesce(F.lead("category").over(w), F.first("category").over(w)).alias("other"))
+    other = after.where("other <> category")
+    return s.join(other, "category").select(F.col("canonical_name").alias("query"), F.col("other").alias("category"))
+
+
 def negatives_frame(spark: SparkSession) -> DataFrame:
     rows = [(q, c) for q, c in K.ACCESSORY_NEGATIVES]
     return spark.createDataFrame(rows, "query string, category string")

@@ -85,7 +85,11 @@ matched AS (SELECT cleaned.*, res.product_id, res.canonical_name, res.product_ca
             FROM cleaned JOIN res ON lower(coalesce(cleaned.product_name_clean, '')) = res.qname
                                  AND coalesce(cleaned.category, '') = res.qcat)"""
 
-ROUND2 = "round(CAST({x} AS DECIMAL(38,10)), 2)::DOUBLE"
+# Mean rounded half up to cents, from integers of 1e-9, so that no summation order decides.
+MEAN2 = """CASE WHEN count({x}) FILTER (WHERE {w}) > 0 THEN
+         sign(sum(CAST({x} AS DECIMAL(38,9))) FILTER (WHERE {w})) *
+         ((abs(CAST(sum(CAST({x} AS DECIMAL(38,9))) FILTER (WHERE {w}) * 1000000000 AS HUGEINT)) * 2
+           + count({x}) FILTER (WHERE {w}) * 10000000) // (count({x}) FILTER (WHERE {w}) * 20000000))::DOUBLE / 100.0 END"""
 
 
 # ============================================================== flagship
@@ -93,7 +97,7 @@ ROUND2 = "round(CAST({x} AS DECIMAL(38,10)), 2)::DOUBLE"
 SELECT product_id, min(canonical_name) AS canonical_name, min(product_category) AS category,
        min(price_clean) FILTER (WHERE NOT is_anomaly) AS price_min,
        max(price_clean) FILTER (WHERE NOT is_anomaly) AS price_max,
-       {ROUND2.format(x="avg(price_clean) FILTER (WHERE NOT is_anomaly)")} AS price_mean,
+       {MEAN2.format(x="price_clean", w="NOT is_anomaly")} AS price_mean,
        count(*) AS offer_count, count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
        'rule' AS matched_by
 FROM matched WHERE product_id IS NOT NULL GROUP BY product_id"""))
@@ -141,19 +145,13 @@ CASE l_linenumber
        || lpad((CAST(floor(l_extendedprice) AS BIGINT) % 1000)::STRING, 3, '0') || ',99'
 END"""
 
-DIALECT_A_SQL = """(CASE WHEN {t} IS NULL THEN NULL
-  WHEN regexp_matches({t}, '^\\s*-?[0-9]+(\\.[0-9]+)?([eE][-+]?[0-9]+)?\\s*$')
-    THEN CASE WHEN TRY_CAST(trim({t}) AS DOUBLE) >= 0 THEN TRY_CAST(trim({t}) AS DOUBLE) END
-  ELSE (WITH_TOK) END)"""
-
-
 def dialect_a_sql(t: str) -> str:
+    """Text prices: the first run of digits, dots and commas; ",dd" at its end means German decimals."""
     tok = f"regexp_extract(replace({t}, chr(160), ''), '[0-9.,]+', 0)"
     norm = (f"CASE WHEN regexp_matches({tok}, ',[0-9]{{2}}$') "
             f"THEN replace(replace({tok}, '.', ''), ',', '.') ELSE replace({tok}, ',', '') END")
     v = f"TRY_CAST({norm} AS DOUBLE)"
-    inner = f"CASE WHEN {tok} <> '' AND {v} >= 0 THEN {v} END"
-    return DIALECT_A_SQL.format(t=t).replace("WITH_TOK", inner)
+    return f"(CASE WHEN {tok} <> '' AND {v} >= 0 THEN {v} END)"
 
 
 def dialect_b_sql(t: str, on_fail: str | None = None, strip_prefix: bool = False) -> str:
@@ -372,7 +370,7 @@ def q_run_rows(spark, sf):
 
 # ============================================================== quality
 TEST_SET_SQL = f"""
-s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY ord, product_id) AS rn
+s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY md5('{K.TEST_SET_SEED}:' || product_id), product_id) AS rn
                      FROM catalog) WHERE rn <= {K.TEST_SET_PER_CATEGORY}),
 pos AS (SELECT canonical_name AS query, category, CAST(product_id AS VARCHAR) AS expected_product_id, 'clean' AS test_type FROM s
         UNION ALL SELECT canonical_name || '{K.NOISY_EN_SUFFIX}', category, CAST(product_id AS VARCHAR), 'noisy_en' FROM s
@@ -793,11 +791,15 @@ def _fuzzy_cases(spark, sf):
 
 @register("threshold_sweep")
 def q_threshold_sweep(spark, sf):
-    """Fuzzy scores computed once (threshold 0) for the labelled set;
-    non-accessory positives vs accessory negatives, thresholds 60..95."""
-    r = _fuzzy_cases(spark, sf)
-    scored = r.select((F.col("test_type") != "accessory").alias("is_positive"), "raw_score")
-    return quality.threshold_sweep(scored)
+    """Fuzzy scores computed once (threshold 0): the labelled positives against
+    products asked for in a category that doesn't sell them, thresholds 60..95."""
+    catalog = tables.catalog(spark, sf)
+    pos = quality.build_test_set(catalog).where("test_type <> 'accessory'").select("query", "category", F.lit(True).alias("is_positive"))
+    cases = pos.unionByName(quality.wrong_category_cases(catalog).withColumn("is_positive", F.lit(False)))
+    m = FZ.match_queries(cases, catalog, threshold=0.0, name_col="query")
+    keyed = cases.select("is_positive", TX.fuzzy_normalize(F.col("query")).alias("qproc"),
+                         F.coalesce(F.col("category"), F.lit("")).alias("qcat"))
+    return quality.threshold_sweep(keyed.join(m, ["qproc", "qcat"], "left").select("is_positive", "raw_score"))
 
 
 @register("match_quality_fuzzy")
@@ -931,10 +933,7 @@ SELECT group_id,
        arg_max(product_name, length(product_name) * 100000000 - pos) AS product_name,
        coalesce(arg_min(currency, pos) FILTER (WHERE coalesce(currency, '') <> ''), 'EUR') AS currency,
        min(price) AS price_min, max(price) AS price_max,
-       CASE WHEN count(price) > 0 THEN
-         sign(sum(CAST(price AS DECIMAL(38,6)))) *
-         ((abs(CAST(sum(CAST(price AS DECIMAL(38,6))) * 1000000 AS HUGEINT)) * 2 + count(price) * 10000)
-          // (count(price) * 20000))::DOUBLE / 100.0 END AS price_mean,
+       {MEAN2.format(x="price", w="true")} AS price_mean,
        count(*) AS offer_count,
        CASE WHEN min(kind) = 'none' THEN 'none' ELSE 'orders' END AS matched_by
 FROM a GROUP BY group_id""")
@@ -1019,12 +1018,20 @@ def q_match_attached_join(spark, sf):
     return m.select("product_name_clean", "source", "price_clean", "url", "product_id", "match_score")
 
 
-@register("unified_offers")
+@register("unified_offers", with_views(CLEANED_CTES + "," + RULE_CTES + """,
+o AS (SELECT product_id, nullif(source, '') AS source, price_clean AS price, coalesce(nullif(currency, ''), 'EUR') AS currency,
+             coalesce(nullif(availability_clean, ''), 'unknown') AS availability, seller, url, scrape_timestamp,
+             coalesce(is_anomaly, false) AS is_anomaly
+      FROM matched WHERE product_id IS NOT NULL)
+SELECT product_id, row_number() OVER (PARTITION BY product_id ORDER BY scrape_timestamp DESC NULLS LAST, source NULLS LAST, url NULLS LAST,
+         seller NULLS LAST, price NULLS LAST, currency NULLS LAST, availability NULLS LAST, is_anomaly NULLS LAST) AS position,
+       source, price, currency, availability, seller, url,
+       strftime(scrape_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS scrape_timestamp, is_anomaly
+FROM o"""))
 def q_unified_offers(spark, sf):
-    """A2 nested records: offers chunked per product (bounded arrays)."""
-    m = matching.matched_only(pipeline.matched_listings(spark, sf))
-    u = merging.unified_records(m, matched_by="rule", merged_at=_fixed_ts(), max_offers=8)
-    return TX.sanitize_frame(u)
+    """A2 offers: one row per offer of each matched product, with its position."""
+    m = cut_lineage(matching.matched_only(pipeline.matched_listings(spark, sf)))
+    return TX.sanitize_frame(merging.product_offers(m))
 
 
 @register("source_preview", with_views(CLEANED_CTES + """

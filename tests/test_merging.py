@@ -1,4 +1,4 @@
-"""Unified price records (A2) with bounded offer chunks; explicit group merge (A3)."""
+"""Unified price records (A2): header and offer rows, nested form; explicit group merge (A3)."""
 
 import datetime as dt
 
@@ -18,7 +18,7 @@ def _matched(spark, n=7):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_stats_and_chunks(spark):
+def test_stats_and_offers(spark):
     m = _matched(spark)
     st = {r["product_id"]: r for r in merging.product_stats(m).collect()}
     a = st[1]
@@ -26,15 +26,13 @@ def test_stats_and_chunks(spark):
     assert (a["price_min"], a["price_max"], a["price_mean"], a["offer_count"], a["anomaly_count"]) == \
         (100.0, 105.0, 102.5, 7, 1)
     assert st[2]["price_min"] is None and st[2]["offer_count"] == 1
-    u = merging.unified_records(m, max_offers=2, merged_at=F.lit("2026-04-07").cast("timestamp"))
-    rows = u.where("product_id = 1").collect()
-    assert len(rows) == 4                                  # ceil(7 / 2) chunks
-    offers = [o for r in rows for o in r["prices"]]
-    assert sorted(o["url"] for o in offers) == [f"u{i}" for i in range(7)]
-    assert {o["currency"] for o in offers} == {"EUR"}      # missing currency -> EUR
-    for r in rows:                                         # newest first inside a chunk
-        ts = [o["scrape_timestamp"] for o in r["prices"]]
-        assert ts == sorted(ts, reverse=True)
+    o = merging.product_offers(m).where("product_id = 1").orderBy("position").collect()
+    assert [(r["position"], r["url"]) for r in o] == [(i + 1, f"u{6 - i}") for i in range(7)]   # newest first
+    assert {r["currency"] for r in o} == {"EUR"}           # missing currency -> EUR
+    u = merging.unified_records(m, merged_at=F.lit("2026-04-07").cast("timestamp"))
+    assert u.count() == 2                                  # one record per product, whatever its size
+    first = u.where("product_id = 1").collect()[0]
+    assert [x["url"] for x in first["prices"]] == [f"u{6 - i}" for i in range(7)] and first["offer_count"] == 7
     p = u.where("product_id = 2").collect()[0]["prices"][0]
     assert (p["source"], p["availability"], p["currency"]) == (None, "unknown", "EUR")
 
@@ -61,3 +59,16 @@ def test_exact_group_mean_half_up(spark):
     df = spark.createDataFrame([(1, 1.005), (1, 1.005), (2, 2.675), (3, -1.005), (4, None)], "g int, p double")
     got = {r["g"]: r["m"] for r in df.groupBy("g").agg(merging.exact_mean2(F.col("p")).alias("m")).collect()}
     assert got == {1: 1.01, 2: 2.68, 3: -1.01, 4: None}
+
+
+def test_text_prices_stay_out_of_group_statistics(spark):
+    rec = spark.createDataFrame([(1, 1, "a", "1.299,99 €", None), (2, 2, "b", "10", 10.0)],
+                                "row_id long, pos long, product_name string, price string, _price_number double")
+    for c in ("currency", "seller", "source", "url", "availability", "scrape_timestamp"):
+        rec = rec.withColumn(c, F.lit(None).cast("string"))
+    groups = spark.createDataFrame([("g", 1), ("g", 2)], "group_id string, row_id long")
+    r = merging.merge_groups(rec, groups).collect()[0]
+    assert (r["price_min"], r["price_max"], r["price_mean"], r["offer_count"]) == (10.0, 10.0, 10.0, 2)
+    assert [o["price"] for o in r["offers"]] == [None, 10.0]
+    text = merging.merge_groups(rec.drop("_price_number"), groups).collect()[0]
+    assert text["price_mean"] is None and text["offer_count"] == 2
