@@ -28,11 +28,8 @@ CANONICAL_AVAILABILITY = ("in_stock", "out_of_stock", "unknown")
 
 # Name cleaning: HTML tag, hyphen family, characters kept, whitespace.
 HTML_TAG_PATTERN = r"<[^>]+>"
-HYPHEN_CLASS_PATTERN = "[‐-―−]"
 HYPHEN_CHARS = "‐‑‒–—―−"
-DROP_CHARS_PATTERN = r"(?U)[^\w\s\-.,\"/'()]"
-WHITESPACE_PATTERN = r"(?U)\s+"
-DROP_RUN_PATTERN = r"(?U)[^\w\-.,\"/'()]+"
+DROP_RUN_PATTERN = r"[^\p{L}\p{N}_\-.,\"/'()]+"
 
 # Price text: first run of digits, dots and commas.
 PRICE_TOKEN_PATTERN = r"[0-9.,]+"

@@ -49,32 +49,9 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else None)
 
 
-_ICU_NORMALIZER = "com.ibm.icu.text.Normalizer"
-_icu_available: bool | None = None
-
-
-def icu_available() -> bool:
-    """Whether ICU4J (bundled with Spark 4 for collations) is on the JVM
-    classpath; checked once."""
-    global _icu_available
-    if _icu_available is None:
-        from pyspark.sql import SparkSession
-        spark = SparkSession.getActiveSession()
-        try:
-            spark._jvm.java.lang.Class.forName(_ICU_NORMALIZER)
-            _icu_available = True
-        except Exception:  # noqa: BLE001
-            _icu_available = False
-    return _icu_available
-
-
 def nfkc_col(s: Column) -> Column:
-    """NFKC of a string column.  JVM-side through ICU's compose with
-    compatibility mapping when available: one reference to the input, and
-    ICU's quick check makes already-normalised text (all ASCII) nearly free.
-    Otherwise the Arrow pandas UDF, fed only the non-ASCII rows."""
-    if icu_available():
-        return F.call_function("java_method", F.lit(_ICU_NORMALIZER), F.lit("compose"), s, F.lit(True))
+    """NFKC of a string column; only the non-ASCII rows go through the Arrow UDF
+    (ASCII text is its own NFKC form)."""
     non_ascii = s.rlike(r"[^\x00-\x7F]")
     return F.coalesce(nfkc(F.when(non_ascii, s)), s)
 
@@ -113,27 +90,28 @@ def _price_text_dialect_a(text: Column) -> Column:
     return F.when((tok != "") & (v >= 0), v)
 
 
-def parse_price_clean(c, dtype: T.DataType | None = None) -> Column:
+def price_number(d: Column) -> Column:
+    """A numeric price: kept when >= 0, else null (NaN too)."""
+    d = d.cast("double")
+    return F.when(~F.isnan(d) & (d >= 0), d)
+
+
+def parse_price_clean(c, dtype: T.DataType | None = None, number=None) -> Column:
     """Cleaning-side price parse.
 
-    Numbers >= 0 are kept (NaN and negatives -> null).  Text: NBSP removed,
-    first run of ``[0-9.,]``; a trailing ``,dd`` means German decimals (dots
-    dropped, comma -> dot), otherwise commas are dropped; negative or
-    unparsable -> null.  A string column holding plain JSON numbers is given
-    the numeric rule, so a number read as text behaves like the number.
+    Numbers >= 0 are kept (NaN and negatives -> null).  Text, whatever it looks
+    like: NBSP removed, first run of ``[0-9.,]``; a trailing ``,dd`` means
+    German decimals (dots dropped, comma -> dot), otherwise commas are dropped;
+    unparsable -> null.  ``number`` is a column with the price where it was a
+    number at its source (a JSON scan reads numbers and text into two columns).
     """
     x = _col(c)
     if dtype is not None and isinstance(dtype, T.NumericType):
-        d = x.cast("double")
-        return F.when(~F.isnan(d) & (d >= 0), d)
-    s = x.cast("string")
-    numeric_literal = s.rlike(r"^\s*-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?\s*$") | \
-        s.rlike(r"^\s*(NaN|-?Infinity)\s*$")
-    num = F.trim(s).try_cast("double")
-    num_branch = F.when(~F.isnan(num) & (num >= 0), num)
-    return F.when(s.isNull(), F.lit(None).cast("double"))\
-            .when(numeric_literal, num_branch)\
-            .otherwise(_price_text_dialect_a(s))
+        return price_number(x)
+    text = _price_text_dialect_a(x.cast("string"))
+    if number is None:
+        return text
+    return F.when(_col(number).isNotNull(), price_number(_col(number))).otherwise(text)
 
 
 # ---------------------------------------------------------------- P4

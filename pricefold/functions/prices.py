@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from .cleaning import _col
@@ -50,9 +51,41 @@ def parse_price_locale(c, on_fail: float | None = None, strip_prefix: bool = Fal
     return F.coalesce(v, F.lit(float(on_fail)))
 
 
-def parse_price_api(c) -> Column:
-    """API / model dialect: numbers pass through, prefix stripped, 0.0 on failure."""
-    return parse_price_locale(c, on_fail=0.0, strip_prefix=True)
+def variant_number(v: Column) -> Column:
+    """The value of a JSON number (or boolean), null for anything else."""
+    kind = F.schema_of_variant(v)
+    number = F.try_variant_get(v, "$", "double")
+    return F.when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), number) \
+            .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("int").cast("double"))
+
+
+def variant_text(v: Column) -> Column:
+    """A JSON value as text; null for null, objects and arrays."""
+    return F.try_variant_get(v, "$", "string")
+
+
+def parse_price_api(c, dtype: T.DataType | None = None) -> Column:
+    """API / model dialect: numbers pass through; of text the prefix is stripped; 0.0 on failure.
+
+    ``dtype`` of the column says what it holds: numbers, text, or (VARIANT) either, as the JSON had it."""
+    x = _col(c)
+    if isinstance(dtype, T.NumericType):
+        return F.coalesce(x.cast("double"), F.lit(0.0))
+    if isinstance(dtype, T.VariantType):
+        text = parse_price_locale(variant_text(x), on_fail=0.0, strip_prefix=True)
+        return F.coalesce(variant_number(x), text)
+    return parse_price_locale(x, on_fail=0.0, strip_prefix=True)
+
+
+def price_given(c, dtype: T.DataType | None = None) -> Column:
+    """Whether a price is there at all: not null, not blank text and not zero."""
+    x = _col(c)
+    if isinstance(dtype, T.VariantType):
+        number = variant_number(x)
+        return F.when(number.isNotNull(), number != 0).otherwise(F.coalesce(variant_text(x), F.lit("")) != "")
+    if isinstance(dtype, T.NumericType):
+        return F.coalesce(x != 0, F.lit(False))
+    return F.coalesce(x.cast("string"), F.lit("")) != ""
 
 
 def price_from_snippet(snippet) -> Column:

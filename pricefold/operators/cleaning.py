@@ -6,13 +6,12 @@ before the keep-latest dedup.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import cleaning as C
-from .joins import join_small
 
 DEDUP_KEYS = ("product_name_clean", "source", "price_clean")
 
@@ -26,10 +25,11 @@ def normalize_keys(df: DataFrame, category_map: dict | None = None, use_nfkc: bo
         df = df.withColumn("price", F.lit(None).cast("string"))
     if "availability" not in df.columns:
         df = df.withColumn("availability", F.lit(None).cast("string"))
+    number = F.col("_price_number") if "_price_number" in df.columns else None
     return (df
             .withColumn("category", C.normalize_category("category", category_map))
             .withColumn("product_name_clean", C.blank_to_null(C.clean_name("product_name", use_nfkc)))
-            .withColumn("price_clean", C.parse_price_clean("price", price_type)))
+            .withColumn("price_clean", C.parse_price_clean("price", price_type, number)))
 
 
 def map_availability(df: DataFrame, availability_precedence: str = "reference") -> DataFrame:
@@ -42,42 +42,51 @@ def map_availability(df: DataFrame, availability_precedence: str = "reference")
 def normalize(df: DataFrame, category_map: dict | None = None, use_nfkc: bool = True,
               availability_precedence: str = "reference") -> DataFrame:
     """Row-local steps 1-4 (P32, P1, P2, P28, P3, P4): one projection, no shuffle."""
-    df = C.category_fallback(df)
-    price_type = df.schema["price"].dataType if "price" in df.columns else T.StringType()
-    if "price" not in df.columns:
-        df = df.withColumn("price", F.lit(None).cast("string"))
-    avail = C.map_availability if availability_precedence == "reference" \
-        else C.map_availability_negation_first
-    if "availability" not in df.columns:
-        df = df.withColumn("availability", F.lit(None).cast("string"))
-    return (df
-            .withColumn("category", C.normalize_category("category", category_map))
-            .withColumn("product_name_clean", C.blank_to_null(C.clean_name("product_name", use_nfkc)))
-            .withColumn("price_clean", C.parse_price_clean("price", price_type))
-            .withColumn("availability_clean", avail("availability")))
+    return map_availability(normalize_keys(df, category_map, use_nfkc), availability_precedence)
+
+
+#: Of a quantile sketch: its rank error is one in so many, which bounds how many prices a bracket holds.
+MEDIAN_ACCURACY = 10_000
 
 
-def category_medians(df: DataFrame, approx: bool = False, accuracy: int = 100_000) -> DataFrame:
-    """Median of non-null ``price_clean`` per category (zeros included).
+def category_medians(df: DataFrame, approx: bool = False, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    """Median of non-null ``price_clean`` per category (zeros included), exactly.
 
-    Exact ``median`` keeps a value->count map per group, so memory follows the
-    number of distinct prices of a category, not its row count, and partial
-    aggregation combines map-side.  ``approx=True`` switches to the mergeable
-    quantile sketch for categories with unbounded distinct values.
+    A mergeable quantile sketch per category gives a bracket that is sure to
+    hold the median (its rank error is 1 / ``accuracy`` of the rows, the bracket
+    is twice as wide on either side).  Prices below the bracket are counted,
+    those inside are counted by value, and the running counts find the middle
+    one or two.  No task sees more of a category than the values inside its
+    bracket.  ``approx=True`` is the sketch's own median.
     """
     p = F.col("price_clean")
-    agg = F.percentile_approx(p, 0.5, accuracy) if approx else F.median(p)
-    return (df.where(p.isNotNull())
-              .groupBy("category").agg(agg.cast("double").alias("category_median")))
+    rows = df.where(p.isNotNull()).select("category", p.alias("_p"))
+    if approx:
+        return rows.groupBy("category").agg(F.percentile_approx("_p", 0.5, accuracy).cast("double").alias("category_median"))
+    wide = 2.0 / accuracy
+    bracket = rows.groupBy("category").agg(F.percentile_approx("_p", [0.5 - wide, 0.5 + wide], accuracy).alias("_b"),
+                                           F.count(F.lit(1)).alias("_n"))
+    bracket = bracket.select(F.col("category").alias("_c"), F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_n")
+    near = rows.join(bracket, F.col("category").eqNullSafe(F.col("_c"))).where("_p <= _hi")
+    # one row per category for all that is below, one per value inside
+    value = F.when(F.col("_p") >= F.col("_lo"), F.col("_p"))
+    counts = near.groupBy("category", value.alias("_v")).agg(F.count(F.lit(1)).alias("_k"), F.first("_n").alias("_n"))
+    upto = F.sum("_k").over(Window.partitionBy("category").orderBy(F.col("_v").asc_nulls_first()))
+    ranked = counts.withColumn("_upto", upto).where("_v is not null")
+    # 1-based ranks of the middle: (n + 1) div 2 and n div 2 + 1
+    low, high = F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")
+    first = F.min(F.when(F.col("_upto") >= low, F.col("_v")))
+    second = F.min(F.when(F.col("_upto") >= high, F.col("_v")))
+    return ranked.groupBy("category").agg(((first + second) / 2).cast("double").alias("category_median"))
 
 
 def flag_anomalies(df: DataFrame, approx_median: bool = False,
                    medians: DataFrame | None = None) -> DataFrame:
     """A1: ``price > 3*median`` or ``price < median/3`` (strict); median <= 0 or
-    null price -> False.  One row per category is joined back through a
-    size-checked broadcast, so the listing side is never shuffled for it."""
+    null price -> False.  One row per category is joined back; Spark picks a
+    broadcast from the measured size."""
     med = medians if medians is not None else category_medians(df, approx_median)
-    out = join_small(df, med, on="category", how="left")
+    out = df.join(med, "category", "left")
     m = F.col("category_median")
     p = F.col("price_clean")
     flag = F.when(p.isNull() | m.isNull() | (m <= 0), F.lit(False))\

@@ -80,8 +80,8 @@ def choices(catalog: DataFrame) -> DataFrame:
     name (the reference builds it as a dict merge)."""
     c = catalog.select("product_id", "canonical_name", "category", "ord",
                        TX.fuzzy_normalize(F.col("canonical_name")).alias("choice"))
-    first = catalog.groupBy("category").agg(F.min("ord").alias("cat_first"))
-    c = c.join(first, "category")
+    first = catalog.groupBy(F.col("category").alias("_c")).agg(F.min("ord").alias("cat_first"))
+    c = c.join(first, F.col("category").eqNullSafe(F.col("_c"))).drop("_c")
     per_cat = (c.groupBy("category", "choice")
                 .agg(F.min(F.struct("ord", "product_id", "canonical_name")).alias("b"), F.min("cat_first").alias("cf"))
                 .select(F.col("category").alias("key"), "choice", F.col("cf").alias("o1"),
@@ -94,7 +94,8 @@ def choices(catalog: DataFrame) -> DataFrame:
                              F.col("pos.o2").alias("o2"), F.col("last.product_id").alias("product_id"),
                              F.col("last.canonical_name").alias("canonical_name"),
                              F.col("last.pcat").alias("pcat")))
-    return per_cat.unionByName(pooled)
+    # a product without a category is found through the pool only
+    return per_cat.where(F.coalesce("key", F.lit(POOL_KEY)) != POOL_KEY).unionByName(pooled)
 
 
 def _prepare_pool(rows) -> dict:

@@ -53,9 +53,11 @@ def indexed_catalog(catalog: DataFrame) -> DataFrame:
     c = (catalog.select("product_id", "canonical_name", "category", "ord")
                 .withColumn("sig", F.array_sort(TX.token_signature(F.col("canonical_name"))))
                 .where(F.size("sig") > 0))
-    first = catalog.groupBy("category").agg(F.min("ord").alias("cat_first"))
-    c = c.join(first, "category")
-    idx = c.withColumn("key", F.col("category")).unionByName(c.withColumn("key", F.lit(POOL_KEY)))
+    # a product without a category is found through the pool only
+    first = catalog.groupBy(F.col("category").alias("_c")).agg(F.min("ord").alias("cat_first"))
+    c = c.join(first, F.col("category").eqNullSafe(F.col("_c"))).drop("_c")
+    own = c.where(F.coalesce("category", F.lit(POOL_KEY)) != POOL_KEY)
+    idx = own.withColumn("key", F.col("category")).unionByName(c.withColumn("key", F.lit(POOL_KEY)))
     best = F.min(F.struct("cat_first", "ord", "product_id", "canonical_name", "category"))
     return (idx.groupBy("key", "sig").agg(best.alias("b"))
                .select("key", "sig", F.size("sig").alias("sig_size"), "b.cat_first", "b.ord",

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import join_small
-
 
 def latest_partition(df: DataFrame, keys, date_col: str = "run_date") -> DataFrame:
     """Rows of the partition with the greatest ``date_col`` per key.  The
@@ -14,4 +12,4 @@ def latest_partition(df: DataFrame, keys, date_col: str = "run_date") -> DataFra
     keys + date) keeps only the latest partition (rank() == 1 semantics)."""
     keys = list(keys)
     latest = df.where(F.col(date_col).isNotNull()).groupBy(*keys).agg(F.max(date_col).alias(date_col))
-    return join_small(df, latest, on=keys + [date_col], how="left_semi")
+    return df.join(latest, keys + [date_col], "left_semi")

@@ -178,12 +178,6 @@ def with_views(body: str) -> str:
     return f"WITH listings_raw AS ({LISTINGS_SQL}),\ncatalog AS ({CATALOG_SQL}),\n{body}"
 
 
-# Column order of the normalised listing (used for dedup tie-breaks).
-NORMALIZED_COLUMNS = ["product_name", "price", "currency", "availability", "seller", "source",
-                      "url", "scrape_timestamp", "category", "product_name_clean", "price_clean",
-                      "availability_clean"]
-
-
 # ----------------------------------------------------------- run metrics
 RUN_SOURCES = 4
 RUN_CATEGORIES = ("laptops", "gpus", "phones")

@@ -84,12 +84,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never a machine-local one) to survive executor loss."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -16,7 +16,7 @@ from ..functions import prices as PR
 from ..functions import text as TX
 
 MODEL_ITEM = T.ArrayType(T.StructType([
-    T.StructField("product_name", T.StringType()), T.StructField("price", T.StringType()),
+    T.StructField("product_name", T.StringType()), T.StructField("price", T.VariantType()),
     T.StructField("currency", T.StringType()), T.StructField("availability", T.StringType()),
     T.StructField("url", T.StringType())]))
 
@@ -39,8 +39,8 @@ def model_rows(responses: DataFrame, category: Column, scraped_at: Column | None
     avail = F.when(a.isin(*K.CANONICAL_AVAILABILITY), a).otherwise(F.lit("unknown"))
     cur = F.when(F.coalesce(F.col("it.currency"), F.lit("")) != "", F.col("it.currency"))
     url = F.trim(F.coalesce(F.col("it.url"), F.lit("")))
-    price = F.when(F.coalesce(F.col("it.price"), F.lit("")) != "", PR.parse_price_api(F.col("it.price")))\
-             .otherwise(F.lit(0.0))
+    kind = T.VariantType()
+    price = F.when(PR.price_given(F.col("it.price"), kind), PR.parse_price_api(F.col("it.price"), kind)).otherwise(F.lit(0.0))
     ts = scraped_at if scraped_at is not None else F.current_timestamp()
     return items.where(name != "").select(
         name.alias("product_name"), price.alias("price"),

@@ -4,17 +4,18 @@ Legacy layout (one JSON array per file)::
 
     {root}/{source}/{category}/{yyyy}/{mm}/{dd}/products.json
 
-Files are listed first (``binaryFile`` with only the path column, so no
-content is read), the path is parsed into partition columns and filtered;
-only the surviving files are read, each parsed as a whole document so that a
-file that is not a JSON array (or not JSON at all) is skipped as a unit.
+A scan reads the tree's glob, one row per whole file, with the partition
+columns parsed from the file path.  Filters on them are filters on file
+metadata, so Spark drops the other files before it opens them, and no path
+list passes through the driver.  Each file is parsed as a whole document: one
+that is not a JSON array, or has anything behind it, is skipped as a unit.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +23,7 @@ from .. import constants as K
 
 RAW_RECORD = T.StructType([
     T.StructField("product_name", T.StringType()),
-    T.StructField("price", T.StringType()),
+    T.StructField("price", T.VariantType()),      # a number or text, as the file has it
     T.StructField("currency", T.StringType()),
     T.StructField("availability", T.StringType()),
     T.StructField("seller", T.StringType()),
@@ -36,103 +37,102 @@ RAW_RECORD = T.StructType([
 ])
 RECORD_FIELDS = [f.name for f in RAW_RECORD.fields if not f.name.startswith("_")]
 _PATH_RE = r"/([^/]+)/([^/]+)/([^/]+)/([^/]+)/([^/]+)/" + K.RAW_FILE_NAME + "$"
+#: Parts a partition is known by in the tables that ``save`` keeps.
+PARTS = ["source_key", "category_key", "run_date"]
 
 
-def list_partitions(spark: SparkSession, root: str, sources=None, category: str | None = None,
-                    start_date: dt.date | None = None, end_date: dt.date | None = None,
-                    exact_depth: bool = False) -> DataFrame:
-    """File listing -> (path, source, category, run_date); bad dates dropped.
-
-    ``exact_depth`` keeps only files exactly six levels below ``root``
-    (latest-partition semantics)."""
-    root = root.rstrip("/")
-    srcs = list(sources) if sources else ["*"]
-    globs = _existing([f"{root}/{s}/{category or '*'}/*/*/*/{K.RAW_FILE_NAME}" for s in srcs], spark)
-    if not globs:
-        return spark.createDataFrame([], "path string, source string, category string, run_date date")
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", K.RAW_FILE_NAME)
-             .load(globs).select("path"))
-    p = F.col("path")
-    parts = [F.regexp_extract(p, _PATH_RE, i) for i in range(1, 6)]
-    d = F.try_to_date(F.concat_ws("-", parts[2], parts[3], parts[4]), "yyyy-M-d")
-    strict_digits = parts[2].rlike("^[0-9]+$") & parts[3].rlike("^[0-9]+$") & parts[4].rlike("^[0-9]+$")
-    out = files.select("path", parts[0].alias("source"), parts[1].alias("category"),
-                       F.when(strict_digits, d).alias("run_date"))
-    out = out.where(F.col("run_date").isNotNull())
-    if exact_depth:
-        rel = F.substring(p, F.length(F.lit(_uri_prefix(spark, root))) + 2, 1 << 20)
-        out = out.where(F.size(F.split(rel, "/")) == 6)
-    if start_date:
-        out = out.where(F.col("run_date") >= F.lit(start_date))
-    if end_date:
-        out = out.where(F.col("run_date") <= F.lit(end_date))
-    return out
+def path_parts(path) -> dict:
+    """source, category and run_date (null unless a valid date) of a raw file's path."""
+    part = [F.regexp_extract(path, _PATH_RE, i) for i in range(1, 6)]
+    digits = part[2].rlike("^[0-9]+$") & part[3].rlike("^[0-9]+$") & part[4].rlike("^[0-9]+$")
+    day = F.try_to_date(F.concat_ws("-", part[2], part[3], part[4]), "yyyy-M-d")
+    return {"source": part[0], "category": part[1], "run_date": F.when(digits, day)}
 
 
-def _existing(globs, spark: SparkSession) -> list:
+def _globs(spark: SparkSession, root: str, sources, category: str | None) -> list:
     """Globs with at least one match (Hadoop FS metadata call, no content)."""
     out = []
-    for g in globs:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(g)
-        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-        st = fs.globStatus(jpath)
-        if st is not None and len(st) > 0:
-            out.append(g)
+    for src in sources or ["*"]:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{src}/{category or '*'}/*/*/*/{K.RAW_FILE_NAME}")
+        found = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jpath)
+        if found is not None and len(found) > 0:
+            out.append(jpath.toString())
     return out
 
 
-def _uri_prefix(spark: SparkSession, root: str) -> str:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.makeQualified(jpath).toString().rstrip("/")
-
-
-def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Whole-document parse of the listed files (S4 tolerant read) with the
-    set-if-absent partition columns (S3)."""
-    paths = [r["path"] for r in files.select("path").distinct().collect()]
-    if not paths:
-        return spark.createDataFrame([], _output_schema())
-    docs = (spark.read.text(paths, wholetext=True)
-            .select(F.col("value"), F.col("_metadata.file_path").alias("path")))
-    arr = F.from_json(F.col("value"), T.ArrayType(RAW_RECORD), {"mode": "PERMISSIVE"})
-    ok = F.ltrim(F.col("value")).startswith("[")
-    parsed = (docs.where(ok).select("path", arr.alias("recs")).where(F.col("recs").isNotNull())
-                  .join(files, "path")
-                  .select("source", "category", "run_date", "path",
-                          F.posexplode("recs").alias("pos", "r")))
-    return parsed.select(
-        *[F.col("r." + c).alias(c) for c in RECORD_FIELDS],
+def scan(spark: SparkSession, root: str, sources=None, category: str | None = None,
+         start_date: dt.date | None = None, end_date: dt.date | None = None) -> DataFrame:
+    """path, source, category, run_date and value (whole text) of the tree's files with a valid date."""
+    globs = _globs(spark, root, sources, category)
+    if not globs:
+        return spark.createDataFrame([], "path string, source string, category string, run_date date, value string")
+    files = spark.read.text(globs, wholetext=True)
+    path = F.col("_metadata.file_path")
+    parts = path_parts(path)
+    keep = parts["run_date"].isNotNull()
+    if start_date:
+        keep = keep & (parts["run_date"] >= F.lit(start_date))
+    if end_date:
+        keep = keep & (parts["run_date"] <= F.lit(end_date))
+    return files.where(keep).select(path.alias("path"), *[c.alias(k) for k, c in parts.items()], "value")
+
+
+def list_partitions(spark: SparkSession, root: str, sources=None, category: str | None = None,
+                    start_date: dt.date | None = None, end_date: dt.date | None = None) -> DataFrame:
+    """File listing -> (path, source, category, run_date); bad dates dropped; reads no content."""
+    return scan(spark, root, sources, category, start_date, end_date).drop("value")
+
+
+def parse_document(value) -> Column:
+    """The records of a whole document; null unless it is a JSON array and nothing else.
+
+    A closing field is set behind the text: where the text ends early or goes on,
+    that field can't be read."""
+    wrapped = F.concat(F.lit('{"records":'), value, F.lit(',"_end":1}'))
+    schema = T.StructType([T.StructField("records", T.ArrayType(RAW_RECORD)), T.StructField("_end", T.IntegerType())])
+    doc = F.from_json(wrapped, schema, {"mode": "PERMISSIVE"})
+    return F.when(F.ltrim(value).startswith("[") & (doc["_end"] == 1), doc["records"])
+
+
+def record_columns(r: str = "r") -> list:
+    """The record's fields; the price as text and, where the file has a number, as a number, too."""
+    from ..functions.prices import variant_number, variant_text
+    price = F.col(r + ".price")
+    out = [variant_text(price).alias("price") if c == "price" else F.col(f"{r}.{c}").alias(c) for c in RECORD_FIELDS]
+    return [*out, variant_number(price).alias("_price_number")]
+
+
+def read_files(files: DataFrame) -> DataFrame:
+    """Records of scanned files (S4 tolerant read) with the set-if-absent partition columns (S3)."""
+    rows = (files.select("source", "category", "run_date", "path", parse_document(F.col("value")).alias("recs"))
+                 .select("source", "category", "run_date", "path", F.posexplode("recs").alias("pos", "r")))
+    return rows.select(
+        *record_columns(),
         F.coalesce(F.col("r._source"), F.col("source")).alias("_source"),
         F.coalesce(F.col("r._category"), F.col("category")).alias("_category"),
         F.coalesce(F.col("r._run_date"), F.col("run_date").cast("string")).alias("_run_date"),
         F.col("path").alias("_file"), F.col("pos").alias("_pos"))
 
 
-def _output_schema() -> T.StructType:
-    fields = [T.StructField(c, T.StringType()) for c in RECORD_FIELDS]
-    fields += [T.StructField(c, T.StringType()) for c in ("_source", "_category", "_run_date", "_file")]
-    fields += [T.StructField("_pos", T.IntegerType())]
-    return T.StructType(fields)
-
-
 def iter_records(spark: SparkSession, root: str, source: str | None = None, category: str | None = None,
                  start_date=None, end_date=None) -> DataFrame:
     """Every record of the matching partitions (dates inclusive).  Without
     a source the default source list is read."""
     sources = [source] if source else list(K.DEFAULT_RAW_SOURCES)
-    return read_files(spark, list_partitions(spark, root, sources, category, start_date, end_date))
+    return read_files(scan(spark, root, sources, category, start_date, end_date))
 
 
 def load_latest(spark: SparkSession, root: str, source: str | None = None,
                 category: str | None = None) -> DataFrame:
     """Per (source, category) only the partition with the greatest
     valid date; an unreadable latest file yields nothing (no fallback)."""
-    files = list_partitions(spark, root, [source] if source else None, category, exact_depth=True)
-    w = Window.partitionBy("source", "category")
-    latest = (files.withColumn("_max", F.max("run_date").over(w))
-                   .where(F.col("run_date") == F.col("_max")).drop("_max"))
-    return read_files(spark, latest)
+    files = scan(spark, root, [source] if source else None, category)
+    # one row per (source, category); their dates become a filter on file paths
+    latest = files.groupBy("source", "category").agg(F.max("run_date").alias("run_date")).collect()
+    if not latest:
+        return read_files(files)
+    wanted = F.create_map(*[x for r in latest for x in (F.lit(f"{r['source']}/{r['category']}"), F.lit(r["run_date"]))])
+    return read_files(files.where(F.try_element_at(wanted, F.concat_ws("/", "source", "category")) == F.col("run_date")))
 
 
 # ------------------------------------------------------------------ S6 / W5
@@ -156,8 +156,12 @@ def upsert(existing: DataFrame, incoming: DataFrame, pos_col: str = "_pos", keys
     blank = allr.where(F.col("_key") == "")
     keyed = allr.where(F.col("_key") != "")
     last_e = keyed.where(F.col("_seq") == 0).groupBy(*keys, "_key").agg(F.max("_p").alias("_last_e"))
-    k = keyed.join(last_e, keys + ["_key"], "left")
-    is_slot = (F.col("_seq") == 1) | (F.col("_p") == F.col("_last_e"))
+    last_e = last_e.select(*[F.col(c).alias("_j_" + c) for c in keys + ["_key"]], "_last_e")
+    same = F.lit(True)
+    for c in keys + ["_key"]:       # a null partition key is a key like any other
+        same = same & F.col(c).eqNullSafe(F.col("_j_" + c))
+    k = keyed.join(last_e, same, "left").drop(*["_j_" + c for c in keys + ["_key"]])
+    is_slot = (F.col("_seq") == 1) | F.col("_p").eqNullSafe(F.col("_last_e"))
     stale = k.where(~is_slot).drop("_last_e")
     slot_rows = k.where(is_slot)
     winner = F.max(F.struct(F.col("_seq").alias("s"), F.col("_p").alias("p"),
@@ -170,6 +174,51 @@ def upsert(existing: DataFrame, incoming: DataFrame, pos_col: str = "_pos", keys
     return out.withColumnRenamed("_p", pos_col).drop("_key")
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there; any other trouble with it is raised."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def save(spark: SparkSession, records: DataFrame, table: str, batch: int | None = None) -> None:
+    """Merge ``records`` into the partitions they touch and replace those.
+
+    ``records`` has the partition columns (``PARTS``), ``_file`` and ``_i``,
+    which give the incoming order.  Positions grow with the batch, so nothing
+    is renumbered: a partition's merged order is that of ``_pos``.  A batch that
+    is saved again (the same number, after a failure) replaces its rows without
+    a URL, which would be appended twice; the others meet their own URL.
+    Without a number the next one is taken."""
+    from ..session import cut_lineage
+    existing = None
+    if table_exists(spark, table):
+        existing = spark.read.parquet(table)
+        if batch is None:
+            batch = (existing.agg(F.max("_batch")).first()[0] or 0) + 1
+    batch = batch or 0
+    order = Window.partitionBy(*PARTS).orderBy("_file")
+    files = records.select(*PARTS, "_file").distinct().withColumn("_f", F.row_number().over(order))
+    files = files.select(*[F.col(c).alias("_j_" + c) for c in [*PARTS, "_file"]], "_f")
+    same = F.lit(True)
+    for c in [*PARTS, "_file"]:
+        same = same & F.col(c).eqNullSafe(F.col("_j_" + c))
+    # batch, file and place in the file as one number: 2^20 files of 2^24 records in a partition and batch
+    place = F.lit(batch) * (1 << 44) + F.col("_f").cast("long") * (1 << 24) + F.col("_i")
+    incoming = (records.join(files, same).withColumn("_pos", place.cast("long")).withColumn("_batch", F.lit(batch).cast("long"))
+                       .drop("_file", "_i", "_f", *["_j_" + c for c in [*PARTS, "_file"]]))
+    incoming = cut_lineage(incoming)
+    if existing is None:
+        existing = spark.createDataFrame([], incoming.schema)
+    touched = incoming.select(*[F.col(c).alias("_j_" + c) for c in PARTS]).distinct()
+    same = F.lit(True)
+    for c in PARTS:
+        same = same & F.col(c).eqNullSafe(F.col("_j_" + c))
+    again = F.col("_batch").eqNullSafe(F.lit(batch)) & (F.trim(F.coalesce(F.col("url"), F.lit(""))) == "")
+    before = existing.join(touched, same, "left_semi").where(~again).select(*incoming.columns)
+    out = cut_lineage(upsert(before, incoming, keys=PARTS).drop("_seq"))   # the table is read above: cut before replacing it
+    write_partitioned(out, table, PARTS, "parquet")
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols, fmt: str = "json",
                       mode: str = "overwrite") -> None:
     """Dynamic partition overwrite: only the partitions present in ``df``
@@ -184,7 +233,7 @@ def publish(records: DataFrame, target: str, dry_run: bool = False):
     """Write every raw partition to the hive-style target layout
     ``source_key=/category_key=/year=/month=/day=`` (the folder values, the
     records keep their own fields); dry run returns the target folders."""
-    d = F.to_date(F.col("_run_date"))
+    d = F.try_to_date(F.col("_run_date"))
     out = (records.withColumn("source_key", F.col("_source"))
                   .withColumn("category_key", F.col("_category"))
                   .withColumn("year", F.date_format(d, "yyyy"))

@@ -13,7 +13,7 @@ from ..functions import text as TX
 SHOPPING_ITEM = T.StructType([
     T.StructField("position", T.IntegerType()), T.StructField("title", T.StringType()),
     T.StructField("link", T.StringType()), T.StructField("source", T.StringType()),
-    T.StructField("price", T.StringType()), T.StructField("extracted_price", T.DoubleType()),
+    T.StructField("price", T.VariantType()), T.StructField("extracted_price", T.DoubleType()),
     T.StructField("currency", T.StringType()), T.StructField("rating", T.DoubleType()),
     T.StructField("reviews", T.IntegerType()), T.StructField("thumbnail", T.StringType()),
     T.StructField("in_stock", T.BooleanType())])
@@ -66,8 +66,9 @@ def shopping_rows(items: DataFrame, category: Column, scraped_at: Column | None
     and price > 0."""
     name = F.trim(F.coalesce(F.col("title"), F.lit("")))
     ep = F.col("extracted_price")
+    kind = items.schema["price"].dataType
     price = (F.when(ep.isNotNull() & (ep != 0), ep)
-              .when(_truthy_str(F.col("price")), PR.parse_price_api(F.col("price")))
+              .when(PR.price_given("price", kind), PR.parse_price_api("price", kind))
               .otherwise(F.lit(0.0)))
     seller = F.trim(F.when(_truthy_str(F.col("source")), F.col("source"))
                      .otherwise(F.lit(K.SHOPPING_DEFAULT_SELLER)))

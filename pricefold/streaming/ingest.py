@@ -12,54 +12,30 @@ resumes without re-reading processed files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import constants as K
-from ..session import cut_lineage
 from ..sources import raw
 
-PARTS = ["source_key", "category_key", "run_date"]
 
-
-def _parse_batch(batch: DataFrame) -> DataFrame:
-    p = F.col("path")
-    parts = [F.regexp_extract(p, raw._PATH_RE, i) for i in range(1, 6)]
-    d = F.try_to_date(F.concat_ws("-", parts[2], parts[3], parts[4]), "yyyy-M-d")
-    arr = F.from_json(F.col("value"), T.ArrayType(raw.RAW_RECORD))
-    docs = (batch.select("value", "path", parts[0].alias("source_key"), parts[1].alias("category_key"),
-                         d.alias("run_date"))
-                 .where(F.col("run_date").isNotNull() & F.ltrim("value").startswith("["))
-                 .select("path", "source_key", "category_key", "run_date", arr.alias("recs"))
-                 .where(F.col("recs").isNotNull()))
-    # file order (path) then array position give the incoming order
-    return docs.select(*PARTS, "path", F.posexplode("recs").alias("i", "r")).select(
-        *[F.col("r." + c).alias(c) for c in raw.RECORD_FIELDS],
+def parse_batch(batch: DataFrame) -> DataFrame:
+    """Records of whole files (path, value) with their partition columns, file and place in it."""
+    parts = raw.path_parts(F.col("path"))
+    docs = (batch.select("path", parts["source"].alias("source_key"), parts["category"].alias("category_key"),
+                         parts["run_date"].alias("run_date"), raw.parse_document(F.col("value")).alias("recs"))
+                 .where(F.col("run_date").isNotNull()))
+    return docs.select(*raw.PARTS, "path", F.posexplode("recs").alias("i", "r")).select(
+        *raw.record_columns(),
         F.coalesce(F.col("r._source"), F.col("source_key")).alias("_source"),
         F.coalesce(F.col("r._category"), F.col("category_key")).alias("_category"),
         F.coalesce(F.col("r._run_date"), F.col("run_date").cast("string")).alias("_run_date"),
-        *PARTS, F.col("path").alias("_file"), F.col("i").alias("_i"))
+        *raw.PARTS, F.col("path").alias("_file"), F.col("i").alias("_i"))
 
 
-def merge_batch(spark: SparkSession, batch: DataFrame, table: str) -> None:
-    """S6 upsert of one micro-batch into the affected partitions only."""
-    inc = _parse_batch(batch)
-    w = Window.partitionBy(*PARTS).orderBy("_file", "_i")
-    inc = inc.withColumn("_pos", F.row_number().over(w).cast("long")).drop("_file", "_i")
-    try:
-        existing = spark.read.parquet(table)
-        touched = inc.select(*PARTS).distinct()
-        existing = existing.join(touched, PARTS, "left_semi").select(*inc.columns)
-    except Exception:  # noqa: BLE001  (first batch: no table yet)
-        existing = spark.createDataFrame([], inc.schema)
-    merged = raw.upsert(existing, inc, keys=PARTS)
-    # renumber positions inside each partition for the next merge
-    w2 = Window.partitionBy(*PARTS).orderBy("_seq", "_pos")
-    out = merged.withColumn("_pos", F.row_number().over(w2).cast("long")).drop("_seq")
-    out = cut_lineage(out)      # the table is read above: cut before overwriting it
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTS).parquet(table))
+def merge_batch(spark: SparkSession, batch: DataFrame, table: str, batch_id: int) -> None:
+    """S6 upsert of one micro-batch into the affected partitions only; a replay changes nothing."""
+    raw.save(spark, parse_batch(batch), table, batch_id)
 
 
 def start_ingest(spark: SparkSession, raw_root: str, table: str, checkpoint_location: str,
@@ -69,7 +45,7 @@ def start_ingest(spark: SparkSession, raw_root: str, table: str, checkpoint_loca
            .option("pathGlobFilter", K.RAW_FILE_NAME)
            .load(raw_root.rstrip("/") + "/*/*/*/*/*/")
            .select("value", F.col("_metadata.file_path").alias("path")))
-    writer = (src.writeStream.foreachBatch(lambda df, _id: merge_batch(spark, df, table))
+    writer = (src.writeStream.foreachBatch(lambda df, batch_id: merge_batch(spark, df, table, batch_id))
                  .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -42,9 +42,25 @@ def test_price_dialect_a_numbers(spark):
     assert got == [10.5, None, None, 0.0, None]
 
 
-def test_price_numeric_text_behaves_like_number(spark):
-    got = one_col(spark, ["-1", "NaN", "3.5"], C.parse_price_clean)
-    assert got == [None, None, 3.5]
+def test_price_text_takes_the_first_digit_run(spark):
+    got = one_col(spark, ["-1", "NaN", "3.5", "-123", "1e3"], C.parse_price_clean)
+    assert got == [1.0, None, 3.5, 123.0, 1.0]
+
+
+def test_price_number_beside_the_text(spark):
+    df = spark.createDataFrame([("-123", -123.0), ("49.999", 49.999), ("-123", None), ("1.299,99 €", None)], "t string, n double")
+    got = [r[0] for r in df.select(C.parse_price_clean("t", None, "n")).collect()]
+    assert got == [None, 49.999, 123.0, 1299.99]
+
+
+def test_json_prices_keep_their_type(spark):
+    from pricefold.functions import prices as PR
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([('49.999',), ('"49.999"',), ('"ab 1.299,99 €"',), ('null',), ('""',), ('0',), ('true',)], "j string")
+    v = df.select(F.parse_json("j").alias("v"))
+    got = v.select(PR.parse_price_api("v", T.VariantType()), PR.price_given("v", T.VariantType())).collect()
+    assert [r[0] for r in got] == [49.999, 49999.0, 1299.99, 0.0, 0.0, 0.0, 1.0]
+    assert [r[1] for r in got] == [True, True, True, False, False, False, True]
 
 
 def test_availability_reference_precedence(spark):
