@@ -48,7 +48,6 @@ BLOCK, OTHERS, GROUP = 256, 1024, 4096
 MAX_BROADCAST_IDS = 1_000_000
 
 find_words = re.compile(r"[^\W_]+").findall
-_word = common.Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")))
 U64 = np.uint64
 
 
@@ -57,7 +56,7 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     words = find_words(text.lower()) if text else []
     if not words:
         return np.zeros(0, U64)
-    w = np.fromiter(map(_word.__getitem__, words), dtype=U64, count=len(words))
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=U64, count=len(words))
     size = min(size, len(w))
     out = np.full(len(w) - size + 1, U64(size))
     for k in range(size):
@@ -158,12 +157,13 @@ def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs (a, b) of different classes that first meet in their bucket and may be similar.
+    """Pairs of different classes that first meet in their bucket and may be similar.
 
     ``rows`` are of whole blocks: bkey, rb, gb, rest (on the side whose class is not the bucket's
-    largest), band, node, comp, in_rest, bands, sketch.
+    largest), band, node, comp, in_rest, place, bands, sketch. The result has a row per node ``a`` and
+    pair of places ``p`` and ``q``, with its partners ``b``.
     """
-    out: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+    out = []
     for _, block in rows.groupby(["bkey", "rb", "gb"], sort=False):
         side = block["rest"].to_numpy()
         l, r = block[side], block[~side]
@@ -181,13 +181,32 @@ def compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
         for at in range(0, len(i), 20_000):
             x, y = i[at:at + 20_000], j[at:at + 20_000]
             near = (ls[x] == rs[y]).mean(axis=1) >= LEAST_SHARE
-            out.append(np.stack([ln[x[near]], rn[y[near]]], axis=1))
-    found = np.concatenate(out)
-    return pd.DataFrame({"a": found.min(axis=1), "b": found.max(axis=1)} if len(found) else {"a": found[:, 0], "b": found[:, 1]})
+            out.append(pd.DataFrame({"a": ln[x[near]], "b": rn[y[near]], "p": l["place"].to_numpy()[x[near]], "q": r["place"].to_numpy()[y[near]]}))
+    if not any(map(len, out)):
+        return pd.DataFrame({"p": [], "q": [], "a": [], "b": []}).astype({"p": "int64", "q": "int64", "a": "int64"})
+    found = pd.concat(out)
+    return found.groupby(["p", "q", "a"], sort=False)["b"].agg(list).reset_index()
 
 
-def _left_over(buckets: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) between classes of the same bucket, by blocks."""
+def verify_blocks(pairs: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
+    """The pairs (a, one of b) whose texts reach the similarity; a text is cut into shingles once."""
+    at = texts.groupby("node")["text"].agg(list)  # more than one text where an id has several
+    cut = common.Memo(lambda node: [np.unique(shingles(t), return_counts=True) for t in at[node]], 20_000)
+    found = [(a, b) for a, others in zip(pairs["a"], pairs["b"]) for b in others
+             if any(probability_jaccard(x, y) >= SIMILARITY for x in cut[a] for y in cut[b])]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _places(buckets: DataFrame) -> DataFrame:
+    """node, place: nodes that share their least leader are dealt to places of about ``BLOCK`` nodes."""
+    least = buckets.groupBy("node").agg(F.min("leader").alias("lead"))
+    n = least.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("n"))
+    return least.join(n, "lead").select("node", F.xxhash64("lead", F.pmod(F.xxhash64("node"), F.col("n"))).alias("place"))
+
+
+def _left_over(buckets: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified pairs (a, b) between classes of the same bucket: candidates by blocks of signatures, then
+    blocks of texts, so that neither a pair nor its texts are a row of their own."""
     rows = buckets.select("bkey", "band", "node").join(comps, "node")
     sizes = rows.groupBy("bkey", "comp").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.groupBy("bkey").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all")) \
@@ -200,9 +219,18 @@ def _left_over(buckets: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFra
     rest = rows.where("in_rest").select("*", F.lit(True).alias("rest"), mine("left", BLOCK, 1).alias("rb")).withColumn("gb", each("all", OTHERS))
     others = rows.select("*", F.lit(False).alias("rest"), mine("all", OTHERS, 2).alias("gb")).withColumn("rb", each("left", BLOCK))
     dealt = rest.unionByName(others).select("bkey", "rb", "gb", "rest", "band", "node", "comp", "in_rest")
-    dealt = dealt.join(reps.select("node", "bands", "sketch"), "node")
+    places = common.written(_places(buckets), "places")
+    dealt = dealt.join(reps.select("node", "bands", "sketch"), "node").join(places, "node")
     group = F.pmod(F.xxhash64("bkey", "rb", "gb"), F.lit(1 + 2 * n // GROUP))
-    return dealt.groupBy(group.alias("g")).applyInPandas(compare_blocks, "a long, b long").distinct()
+    near = dealt.groupBy(group.alias("g")).applyInPandas(compare_blocks, "p long, q long, a long, b array<long>")
+    near = common.written(near, "near")
+    # a task verifies the pairs of some pairs of places, and gets the texts of these places once
+    size = near.count()
+    task = F.pmod(F.xxhash64(F.least("p", "q"), F.greatest("p", "q")), F.lit(1 + size // 256)).alias("task")
+    pairs = near.select(task, "a", "b")
+    meet = near.select(task, F.col("p").alias("place")).union(near.select(task, F.col("q").alias("place"))).distinct()
+    held = texts.join(places, "node").join(meet, "place").select("task", "node", "text")
+    return pairs.groupBy("task").cogroup(held.groupBy("task")).applyInPandas(verify_blocks, "a long, b long").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -248,8 +276,7 @@ def classes(docs: DataFrame) -> DataFrame:
         tested = pairs if tested is None else tested.union(pairs)
         edges = found if edges is None else edges.union(found)
         comps = common.written(_components(nodes, edges), "classes")
-    rest = _left_over(buckets, comps, reps).join(tested, ["a", "b"], "left_anti")
-    edges = edges.union(common.written(_similar(rest, texts), "links"))
+    edges = edges.union(common.written(_left_over(buckets, comps, reps, texts), "links"))
     comps = common.written(_components(nodes, edges), "classes")
 
     members = signed.select("doc_id", "key", "n").join(firsts, "key", "left").join(comps, "node", "left")
