@@ -21,7 +21,7 @@ from ..functions import text as TX
 from ..session import cut_lineage
 from . import fuzzy
 from .components import connected_components
-from .joins import checked_broadcast, spread
+from .joins import MAX_SHARED_BYTES, frame_bytes, spread
 
 
 def _name_nodes(records: DataFrame, name_col: str, category_col: str) -> DataFrame:
@@ -45,10 +45,10 @@ def _fuzzy_edges_join(nodes: DataFrame, singles: DataFrame, threshold: float) ->
                      F.col("raw_score").alias("score")))
 
 
-def _fuzzy_edges(nodes: DataFrame, singles: DataFrame, threshold: float, max_pool_rows: int,
+def _fuzzy_edges(nodes: DataFrame, singles: DataFrame, threshold: float, max_pool_bytes: int,
                  plan: str = "auto") -> DataFrame:
-    pool_rows, small = checked_broadcast(nodes.select("cat", "proc", "node"), max_pool_rows)
-    if not small or plan == "join":
+    pool_rows = nodes.select("cat", "proc", "node")
+    if plan == "join" or frame_bytes(pool_rows) > max_pool_bytes:
         return _fuzzy_edges_join(nodes, singles, threshold)
     spark = nodes.sparkSession
     rows = [r.asDict() for r in pool_rows.collect()]
@@ -76,7 +76,7 @@ def _fuzzy_edges(nodes: DataFrame, singles: DataFrame, threshold: float, max_poo
 
 def entity_groups(records: DataFrame, name_col: str = "product_name_clean", category_col: str = "category",
                   fuzzy_threshold: float = K.CATALOG_BUILD_FUZZY_THRESHOLD,
-                  max_pool_rows: int = 2_000_000, plan: str = "auto",
+                  max_pool_bytes: int = MAX_SHARED_BYTES, plan: str = "auto",
                   extra_edges: DataFrame | None = None) -> DataFrame:
     """(cat, proc, node, group_node) per name node; records join on (cat, proc).
 
@@ -91,7 +91,7 @@ def entity_groups(records: DataFrame, name_col: str = "product_name_clean", cate
     alone = F.coalesce(F.col("sig_rows"), F.col("n_rows")) == 1
     singles = n1.where(alone & (F.col("proc") != "")).select("cat", "proc", "node")
     named = nodes.where(F.col("proc") != "")
-    e2 = _fuzzy_edges(named, singles, fuzzy_threshold, max_pool_rows, plan)
+    e2 = _fuzzy_edges(named, singles, fuzzy_threshold, max_pool_bytes, plan)
     edges = e1.unionByName(e2.select(F.col("src").alias("a"), F.col("dst").alias("b")))
     if extra_edges is not None:
         left = named.select("cat", F.col("proc").alias("proc_a"), F.col("node").alias("a"))

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as TX
-from .joins import spread
+from .joins import MAX_SHARED_BYTES, frame_bytes, spread
 from .matching import POOL_KEY
 
 
@@ -221,7 +221,6 @@ def _final_broadcast(q: DataFrame, ch: DataFrame, id_type: str, threshold: float
     return spread(q.select("qcat", "qproc", "is_accessory"), "qproc").mapInPandas(score, schema)
 
 
-DEFAULT_POOL_ROWS = 2_000_000
 DEFAULT_POOL_BLOCK = 20_000
 DEFAULT_QUERY_BLOCK = 20_000
 
@@ -289,7 +288,7 @@ def best_blocked(q: DataFrame, ch: DataFrame, id_type: str, pool_block: int = DE
 
 def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.FUZZY_THRESHOLD,
                   name_col: str = "product_name_clean", category_col: str = "category",
-                  plan: str = "auto", max_pool_rows: int = DEFAULT_POOL_ROWS,
+                  plan: str = "auto", max_pool_bytes: int = MAX_SHARED_BYTES,
                   pool_block: int = DEFAULT_POOL_BLOCK, query_block: int = DEFAULT_QUERY_BLOCK) -> DataFrame:
     """One FuzzyMatchResult row per distinct (qproc, qcat)."""
     if threshold is not None and threshold <= 1.0:
@@ -300,8 +299,7 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
                  .withColumn("is_accessory", TX.is_accessory(F.col("qproc"))))
     ch = choices(catalog)
     if plan == "auto":
-        ch = ch.cache()
-        plan = "broadcast" if ch.count() <= max_pool_rows else "join"
+        plan = "broadcast" if frame_bytes(ch) <= max_pool_bytes else "join"
     if plan == "broadcast":
         return _final_broadcast(q, ch, catalog.schema["product_id"].dataType.simpleString(), float(threshold))
     keys = ch.select(F.col("key").alias("qcat")).distinct().withColumn("has_pool", F.lit(True))

@@ -1,33 +1,29 @@
-"""Join helpers: broadcast only behind a measured size bound."""
+"""Join helpers: what is sent to all executors is measured in bytes first."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-# Rows above which a "small" side is joined by shuffle instead of broadcast.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``small`` (an aggregate or dimension), count it, and mark it
-    for broadcast only when the count is within ``max_rows``.
-
-    Returns the (cached) frame and whether it was marked.  Beyond the bound the
-    caller's join stays a shuffle join (AQE may still pick a broadcast from
-    measured sizes).
-    """
-    small = small.cache()
-    n = small.count()
-    if n <= max_rows:
-        return F.broadcast(small), True
-    return small, False
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    side, _ = checked_broadcast(small, max_rows)
-    return big.join(side, on=on, how=how)
+from pyspark.sql import types as T
+
+#: Bytes (in the workers' memory) up to which a side is sent whole to all executors.
+MAX_SHARED_BYTES = 64 << 20
+
+
+def frame_bytes(df: DataFrame) -> int:
+    """About what the rows of ``df`` take as Python objects; one aggregation, nothing is cached."""
+    def width(c, kind):
+        if isinstance(kind, T.StringType):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 60
+        if isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, T.StringType):
+                return F.aggregate(F.coalesce(c, F.array().cast(kind)), F.lit(60), lambda n, x: n + F.octet_length(x) + 80)
+            return F.coalesce(F.size(c), F.lit(0)) * 16 + 60
+        return F.lit(32)
+    row = F.lit(100)
+    for f in df.schema.fields:
+        row = row + width(F.col(f.name), f.dataType)
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
 
 
 def spread(df: DataFrame, *cols, per_core: int = 4) -> DataFrame:

@@ -12,7 +12,7 @@ Plan shape:
 * scoring is exact in both plans:
   - ``broadcast``: the catalog's inverted index is broadcast (only when its
     size is within a measured bound) and each Arrow batch of queries is
-    scored with numpy ``bincount`` over the postings;
+    scored over the postings of its tokens;
   - ``join``: an equi-join of exploded query tokens with exploded catalog
     signatures on (category key, token), pair dedupe, overlap by
     ``array_intersect`` and a partial-aggregable ``max(struct)`` argmax.
@@ -30,11 +30,10 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as TX
-from .joins import checked_broadcast, spread
+from .joins import MAX_SHARED_BYTES, frame_bytes, spread
 
 POOL_KEY = ""          # category key of listings without a category
 MATCH_COLUMNS = ["product_id", "canonical_name", "product_category", "match_score", "match_method"]
-DEFAULT_INDEX_ROWS = 5_000_000
 
 
 def query_key(name_col: str = "product_name_clean", category_col: str = "category"):
@@ -94,7 +93,7 @@ def _score_join(q: DataFrame, idx: DataFrame, hot_postings: int = DEFAULT_HOT_PO
                     "product_id", "canonical_name", F.col("category").alias("pcat"),
                     F.explode("sig").alias("token"))
     hot = ix.groupBy("qcat", "token").count().where(F.col("count") > hot_postings).select("qcat", "token")
-    hot_side, _ = checked_broadcast(hot)
+    hot_side = hot      # few rows; Spark picks the join from their measured size
     ix_cold = ix.join(hot_side, ["qcat", "token"], "left_anti")
     pairs = (qx.join(ix_cold, ["qcat", "token"])
                .groupBy("qname", "qcat", "product_id")
@@ -189,7 +188,7 @@ def _final_broadcast(q: DataFrame, idx: DataFrame, threshold: float, id_type: st
 
 def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.RULE_THRESHOLD,
                   name_col: str = "product_name_clean", category_col: str = "category",
-                  plan: str = "auto", max_index_rows: int = DEFAULT_INDEX_ROWS,
+                  plan: str = "auto", max_index_bytes: int = MAX_SHARED_BYTES,
                   intended_display_part: bool = False,
                   hot_postings: int = DEFAULT_HOT_POSTINGS) -> DataFrame:
     """One result row per distinct (qname, qcat): MatchResult columns."""
@@ -197,8 +196,7 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
                           intended_display_part=intended_display_part)
     idx = indexed_catalog(catalog)
     if plan == "auto":
-        idx = idx.cache()
-        plan = "broadcast" if idx.count() <= max_index_rows else "join"
+        plan = "broadcast" if frame_bytes(idx) <= max_index_bytes else "join"
     id_type = catalog.schema["product_id"].dataType.simpleString()
     if plan == "broadcast":
         return _final_broadcast(q, idx, threshold, id_type)
@@ -238,10 +236,12 @@ def _score_rows(index: dict, cats, toks_list, memo: dict):
                 postings, sizes, pids, names, pcats = entry
                 hits = [postings[t] for t in key[1] if t in postings]
                 if hits:
-                    scores = np.bincount(np.concatenate(hits), minlength=len(sizes)) / sizes
-                    j = int(np.argmax(scores))
-                    if scores[j] > 0:
-                        hit = (float(scores[j]), pids[j], names[j], pcats[j])
+                    # only products that share a token; the first best in catalog order
+                    at, shared = np.unique(np.concatenate(hits), return_counts=True)
+                    scores = shared / sizes[at]
+                    k = int(np.argmax(scores))
+                    j = int(at[k])
+                    hit = (float(scores[k]), pids[j], names[j], pcats[j])
             memo[key] = hit
         out.append(hit)
     return out
@@ -286,16 +286,15 @@ def _attach_broadcast(listings: DataFrame, idx: DataFrame, threshold: float, id_
 
 def match_rule(listings: DataFrame, catalog: DataFrame, threshold: float = K.RULE_THRESHOLD,
                plan: str = "auto", name_col: str = "product_name_clean", category_col: str = "category",
-               max_index_rows: int = DEFAULT_INDEX_ROWS, intended_display_part: bool = False) -> DataFrame:
+               max_index_bytes: int = MAX_SHARED_BYTES, intended_display_part: bool = False) -> DataFrame:
     """Listings with their MatchResult columns.
 
-    ``broadcast`` plan (index within ``max_index_rows``): map-side scoring of
+    ``broadcast`` plan (index within ``max_index_bytes``): map-side scoring of
     every row, no shuffle.  ``join`` plan: distinct queries scored by the
     inverted-index join, then joined back to the listings."""
     idx = indexed_catalog(catalog)
     if plan == "auto":
-        idx = idx.cache()
-        plan = "broadcast" if idx.count() <= max_index_rows else "join"
+        plan = "broadcast" if frame_bytes(idx) <= max_index_bytes else "join"
     if plan == "broadcast":
         return _attach_broadcast(listings, idx, threshold,
                                  catalog.schema["product_id"].dataType.simpleString(),

@@ -1,15 +1,17 @@
 """Cosine matching of unit vectors (J4) and the embedding-cache increment.
 
 Vectors are unit length, so cosine = dot product.  Best product per query
-within its category, first in catalog order on ties, accept >= threshold.
+within its category, first in catalog order on ties, accept >= threshold.  A
+query without a category is matched against the whole catalog; one whose
+category has no vectors has no candidates.
 
 Plans (both exact):
-* ``broadcast``: the catalog matrix per category is broadcast when its row
-  count is within a measured bound; each Arrow batch of queries is scored by
-  one matmul per category;
+* ``broadcast``: the catalog matrix per category is broadcast while its
+  measured bytes are within a bound; each Arrow batch of queries is scored by
+  matrix products of bounded size;
 * ``join`` (any size): block nested loop - catalog chunks x query salts per
-  category meet in bounded ``cogroup.applyInPandas`` tasks, one matmul per
-  block, no pair rows; partial-aggregable ``max(struct)`` across chunks.
+  category meet in bounded ``cogroup.applyInPandas`` tasks, no pair rows;
+  partial-aggregable ``max(struct)`` across chunks.
 """
 
 from __future__ import annotations
@@ -22,18 +24,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions import text as TX
+from .encoder import Encoder, hashed_ngrams
 from .joins import spread
+from .matching import POOL_KEY
 
-DEFAULT_MATRIX_ROWS = 1_000_000
+#: Bytes of the catalog's vectors up to which they are broadcast, and of one product of a block.
+MAX_MATRIX_BYTES = 64 << 20
+PRODUCT_BYTES = 32 << 20
 
 
-def dot(a, b):
-    ad = F.transform(a, lambda x: x.cast("double"))
-    bd = F.transform(b, lambda x: x.cast("double"))
-    return F.aggregate(F.zip_with(ad, bd, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+def best_rows(q: np.ndarray, mat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First best row of ``mat`` per query and its score, by products of bounded size."""
+    rows = max(1, PRODUCT_BYTES // (8 * max(1, len(mat))))
+    at, score = np.zeros(len(q), dtype=np.int64), np.zeros(len(q))
+    for i in range(0, len(q), rows):
+        sims = q[i:i + rows] @ mat.T
+        at[i:i + rows] = sims.argmax(axis=1)
+        score[i:i + rows] = sims[np.arange(len(sims)), at[i:i + rows]]
+    return at, score
 
 
-DEFAULT_BLOCK = 20_000
+DEFAULT_BLOCK = 10_000
 
 
 def _blocks(df: DataFrame, col: str, size: int, name: str) -> DataFrame:
@@ -63,9 +75,8 @@ def _best_join(queries: DataFrame, catalog: DataFrame, id_type: str, qid_type: s
         cs = cs.sort_values("ord", kind="stable")
         mat = np.vstack(cs["embedding"].map(lambda v: np.asarray(v, dtype=np.float64)).to_list())
         q = np.vstack(qs["embedding"].map(lambda v: np.asarray(v, dtype=np.float64)).to_list())
-        sims = q @ mat.T
-        j = sims.argmax(axis=1)                 # first maximum = catalog order within the chunk
-        return pd.DataFrame({"query_id": qs["query_id"].to_numpy(), "score": sims[np.arange(len(j)), j],
+        j, score = best_rows(q, mat)            # first maximum = catalog order within the chunk
+        return pd.DataFrame({"query_id": qs["query_id"].to_numpy(), "score": score,
                              "ord": cs["ord"].to_numpy()[j], "product_id": cs["product_id"].to_numpy()[j]})
 
     schema = f"query_id {qid_type}, score double, ord long, product_id {id_type}"
@@ -98,10 +109,9 @@ def _best_broadcast(queries: DataFrame, catalog: DataFrame, id_type: str, qid_ty
                     continue
                 mat, pids = entry
                 q = np.vstack(b.loc[idx, "embedding"].map(lambda v: np.asarray(v, dtype=np.float64)).to_list())
-                sims = q @ mat.T
-                j = sims.argmax(axis=1)        # first maximum = catalog order
+                j, score = best_rows(q, mat)   # first maximum = catalog order
                 pos = b.index.get_indexer(idx)
-                out_s[pos] = sims[np.arange(len(j)), j]
+                out_s[pos] = score
                 for p, jj in zip(pos, j):
                     out_p[p] = pids[jj]
             yield pd.DataFrame({"query_id": b["query_id"], "best_score": out_s,
@@ -111,26 +121,77 @@ def _best_broadcast(queries: DataFrame, catalog: DataFrame, id_type: str, qid_ty
     return spread(queries.select("query_id", "category", "embedding"), "query_id").mapInPandas(score, schema)
 
 
+def with_pool(catalog: DataFrame) -> DataFrame:
+    """Catalog vectors keyed by their category and, for queries without one, by the pool key.
+
+    Ties of the pool go by the order of all products, as within a category."""
+    cols = catalog.select("product_id", F.coalesce("category", F.lit(POOL_KEY)).alias("category"), "ord", "embedding")
+    return cols.where(F.col("category") != POOL_KEY).unionByName(cols.withColumn("category", F.lit(POOL_KEY)))
+
+
 def match_vectors(queries: DataFrame, catalog: DataFrame, threshold: float = K.VECTOR_THRESHOLD,
-                  plan: str = "auto", max_rows: int = DEFAULT_MATRIX_ROWS, block: int = DEFAULT_BLOCK) -> DataFrame:
+                  plan: str = "auto", max_bytes: int = MAX_MATRIX_BYTES, block: int = DEFAULT_BLOCK) -> DataFrame:
     """queries(query_id, category, embedding), catalog(product_id, category, ord,
     embedding) -> (query_id, product_id, match_score, match_method)."""
+    queries = queries.withColumn("category", F.coalesce("category", F.lit(POOL_KEY)))
+    pool = with_pool(catalog)
     if plan == "auto":
-        catalog = catalog.cache()
-        plan = "broadcast" if catalog.count() <= max_rows else "join"
+        # what the matrix takes in memory: 8 bytes a number, some more a row
+        size = pool.agg(F.sum(F.size("embedding") * 8 + 200)).first()[0] or 0
+        plan = "broadcast" if size <= max_bytes else "join"
+    id_type, qid_type = (df.schema[c].dataType.simpleString() for df, c in ((catalog, "product_id"), (queries, "query_id")))
     if plan == "broadcast":
-        best = _best_broadcast(queries, catalog, catalog.schema["product_id"].dataType.simpleString(),
-                               queries.schema["query_id"].dataType.simpleString())
+        best = _best_broadcast(queries, pool, id_type, qid_type)
     else:
-        best = _best_join(queries, catalog, catalog.schema["product_id"].dataType.simpleString(),
-                          queries.schema["query_id"].dataType.simpleString(), block)
+        best = _best_join(queries, pool, id_type, qid_type, block)
     r = queries.select("query_id").join(best, "query_id", "left")
     ok = F.col("best_score") >= F.lit(threshold)
+    none = F.col("best_score").isNull() | F.isnan("best_score")
     return r.select("query_id",
-                    F.when(ok, F.col("best_product_id")).alias("product_id"),
-                    F.coalesce(F.col("best_score"), F.lit(0.0)).alias("match_score"),
-                    F.when(ok, F.lit("cosine_similarity")).otherwise(F.lit("below_threshold"))
-                     .alias("match_method"))
+                    F.when(ok & ~none, F.col("best_product_id")).alias("product_id"),
+                    F.when(none, F.lit(0.0)).otherwise(F.col("best_score")).alias("match_score"),
+                    F.when(none, F.lit("no_candidates")).when(ok, F.lit("cosine_similarity"))
+                     .otherwise(F.lit("below_threshold")).alias("match_method"))
+
+
+def representatives(catalog: DataFrame) -> DataFrame:
+    """The first product of each (category, name), numbered by category and name."""
+    first = (catalog.groupBy("category", "canonical_name").agg(F.min(F.struct("ord", "product_id")).alias("b"))
+                    .select(F.col("b.product_id").alias("product_id"), "canonical_name", "category"))
+    # the order is a sort key, not a number: any type that compares will do
+    return first.withColumn("ord", F.struct(F.coalesce("category", F.lit("")).alias("c"), F.col("canonical_name").alias("n")))
+
+
+def match_listings(listings: DataFrame, catalog: DataFrame, threshold: float = K.VECTOR_THRESHOLD,
+                   encoder: Encoder | None = None, name_col: str = "product_name_clean",
+                   category_col: str = "category", plan: str = "auto") -> DataFrame:
+    """Listings with their MatchResult columns by the vector matcher.
+
+    Accessories are filtered first; the rest is stripped of noise words, encoded
+    (each different name once) and matched within its category, or against the
+    whole catalog without one.  ``encoder`` replaces the hashed n-grams."""
+    reps = representatives(catalog)
+    names = reps.withColumn("text", F.col("canonical_name"))
+    encoder = encoder or hashed_ngrams(names)
+    order = reps.select("product_id", "canonical_name", "category", "ord")
+    # a dense number keeps the sort order of (category, name) for the scoring kernels
+    numbered = order.orderBy("ord").select("product_id", F.monotonically_increasing_id().alias("_ord"))
+    vectors = (encoder(names).select("product_id", "category", "embedding").join(numbered, "product_id")
+               .withColumnRenamed("_ord", "ord"))
+    key = [F.coalesce(F.col(name_col), F.lit("")).alias("_name"), F.coalesce(F.col(category_col), F.lit("")).alias("_cat")]
+    distinct = listings.select(*key).distinct().withColumn("_acc", TX.is_accessory(F.lower("_name")))
+    query = F.concat_ws("\u0001", "_cat", "_name")
+    texts = distinct.where("not _acc").select(query.alias("query_id"), F.col("_cat").alias("category"),
+                                              TX.encoder_text(F.col("_name"), F.col("_cat")).alias("text"))
+    found = match_vectors(encoder(texts).select("query_id", "category", "embedding"), vectors, threshold, plan)
+    product = reps.select(F.col("product_id").alias("_pid"), "canonical_name", F.col("category").alias("product_category"))
+    found = found.join(product, F.col("product_id") == F.col("_pid"), "left").drop("_pid")
+    keyed = listings.select("*", *key).withColumn("query_id", query)
+    out = keyed.join(found, "query_id", "left")
+    accessory = F.col("match_method").isNull()
+    return out.select(*listings.columns, "product_id", "canonical_name", "product_category",
+                      F.when(accessory, F.lit(0.0)).otherwise(F.col("match_score")).alias("match_score"),
+                      F.when(accessory, F.lit("accessory_filter")).otherwise(F.col("match_method")).alias("match_method"))
 
 
 def embedding_increment(current: DataFrame, stored: DataFrame, keys=("product_id", "canonical_name")) -> DataFrame:

@@ -436,7 +436,7 @@ p AS (SELECT q.query_id, c.product_id, c.ord,
 b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, ord) AS rn FROM p) WHERE rn = 1)
 SELECT q.query_id, CASE WHEN b.s >= {t} THEN b.product_id END AS product_id,
        round(coalesce(b.s, 0.0), 6) AS match_score,
-       CASE WHEN b.s >= {t} THEN 'cosine_similarity' ELSE 'below_threshold' END AS match_method
+       CASE WHEN b.s IS NULL THEN 'no_candidates' WHEN b.s >= {t} THEN 'cosine_similarity' ELSE 'below_threshold' END AS match_method
 FROM q LEFT JOIN b USING (query_id)"""
 
 # A lower threshold than the default also exercises the accepting branch on
@@ -459,16 +459,17 @@ register("match_vector_join", VEC_SQL.format(t=VEC_LOW_THRESHOLD))(
 
 
 @register("embed_increment", """
-WITH c AS (SELECT vec_id AS product_id, CAST(vec_id AS VARCHAR) AS canonical_name, label FROM embeddings WHERE vec_id % 2 = 0),
-st AS (SELECT * FROM c WHERE product_id < (SELECT max(vec_id) / 2 FROM embeddings)),
+WITH c AS (SELECT vec_id AS product_id, CAST(vec_id AS VARCHAR) AS canonical_name, label FROM embeddings),
+st AS (SELECT product_id, CASE WHEN label % 2 = 0 THEN canonical_name ELSE 'renamed ' || canonical_name END AS canonical_name
+       FROM c WHERE label % 3 <> 0),
 inc AS (SELECT * FROM c ANTI JOIN st USING (product_id, canonical_name))
 SELECT label, count(*) AS to_embed FROM inc GROUP BY label""")
 def q_embed_increment(spark, sf):
-    e = tables.read(spark, sf, "embeddings")
-    c = e.where(F.col("vec_id") % 2 == 0).select(F.col("vec_id").alias("product_id"),
-                                                F.col("vec_id").cast("string").alias("canonical_name"), "label")
-    half = e.agg((F.max("vec_id") / 2).alias("h"))
-    stored = c.join(half, F.col("product_id") < F.col("h")).drop("h")
+    """J9 over all vectors: those of some labels are stored, some of them under another name."""
+    c = tables.read(spark, sf, "embeddings").select(F.col("vec_id").alias("product_id"),
+                                                   F.col("vec_id").cast("string").alias("canonical_name"), "label")
+    name = F.when(F.col("label") % 2 == 0, F.col("canonical_name")).otherwise(F.concat(F.lit("renamed "), "canonical_name"))
+    stored = c.where(F.col("label") % 3 != 0).select("product_id", name.alias("canonical_name"))
     return vector.embedding_increment(c, stored).groupBy("label").agg(F.count(F.lit(1)).alias("to_embed"))
 
 
@@ -811,35 +812,39 @@ def q_match_quality_fuzzy(spark, sf):
         "product_id", F.when(F.col("matched"), F.col("product_id"))))
 
 
-VEC_QUALITY_SQL = VEC_SQL.format(t=VEC_LOW_THRESHOLD).replace(
-    "SELECT q.query_id, CASE", "SELECT q.query_id, q.category, CASE", 1)
-
-
-@register("match_quality_vector", f"""
-WITH m AS ({VEC_QUALITY_SQL}),
-e AS (SELECT CAST(label AS VARCHAR) AS category, CAST(min(vec_id) AS VARCHAR) AS expected_product_id
-      FROM embeddings WHERE vec_id % 2 = 0 GROUP BY label),
-r AS (SELECT m.*, e.expected_product_id, m.product_id IS NOT NULL AS matched FROM m LEFT JOIN e USING (category)),
-b AS (SELECT count(*) FILTER (WHERE matched AND CAST(product_id AS VARCHAR) = expected_product_id) AS tp,
-             count(*) FILTER (WHERE matched AND CAST(product_id AS VARCHAR) IS DISTINCT FROM expected_product_id) AS fp,
-             count(*) FILTER (WHERE NOT matched) AS fn, 0::BIGINT AS fp_accessory, 0::BIGINT AS tn_accessory FROM r),
-x AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 1.0 END AS p,
-                CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0.0 END AS rc FROM b)
-SELECT tp, fp, fn, fp_accessory, tn_accessory, tp + fn AS n_positives, fp_accessory + tn_accessory AS n_negatives,
-       {DR.format(x="p", p=4)} AS precision, {DR.format(x="rc", p=4)} AS recall,
-       {DR.format(x="CASE WHEN p + rc > 0 THEN 2 * p * rc / (p + rc) ELSE 0.0 END", p=4)} AS f1,
-       0.0::DOUBLE AS fp_rate FROM x""")
+@register("match_quality_vector")
 def q_match_quality_vector(spark, sf):
-    """A10 for the cosine matcher: query vectors whose label is known; the
-    expected product is the first catalog vector of the same label."""
-    qv = tables.vector_queries(spark, sf)
-    cv = tables.vector_catalog(spark, sf)
-    m = vector.match_vectors(qv, cv, threshold=VEC_LOW_THRESHOLD)
-    exp = cv.groupBy("category").agg(F.min("product_id").cast("string").alias("expected_product_id"))
-    r = (qv.join(exp, "category", "left").join(m, "query_id")
-           .select(F.lit("positive").alias("test_type"), "expected_product_id", "product_id",
-                   F.col("product_id").isNotNull().alias("matched")))
-    return quality.quality_metrics(r)
+    """A10 for the vector matcher over the labelled test set."""
+    catalog = tables.catalog(spark, sf)
+    cases = quality.build_test_set(catalog)
+    m = vector.match_listings(cases, catalog, name_col="query")
+    return quality.quality_metrics(m.withColumn("matched", F.col("product_id").isNotNull()))
+
+
+@register("unified_prices_fuzzy")
+def q_unified_prices_fuzzy(spark, sf):
+    """The full pipeline with the fuzzy matcher."""
+    return pipeline.unified_prices(spark, sf, "fuzzy")
+
+
+@register("unified_prices_vector")
+def q_unified_prices_vector(spark, sf):
+    """The full pipeline with the vector matcher (hashed n-gram encoder)."""
+    return pipeline.unified_prices(spark, sf, "vector")
+
+
+@register("match_vector_outcomes", with_views(CLEANED_CTES + """,
+q AS (SELECT DISTINCT coalesce(product_name_clean, '') AS name, coalesce(category, '') AS category FROM cleaned),
+a AS (SELECT *, """ + acc_sql("lower(name)") + """ AS acc, category <> '' AND category NOT IN (SELECT category FROM catalog) AS unknown FROM q)
+SELECT CASE WHEN acc THEN 'accessory_filter' WHEN unknown THEN 'no_candidates' ELSE 'scored' END AS outcome, count(*) AS n
+FROM a GROUP BY ALL"""))
+def q_match_vector_outcomes(spark, sf):
+    """J4's outcomes per different listing: filtered, without candidates, or scored (pooled without a category)."""
+    c = pipeline.cleaned_listings(spark, sf).select(F.coalesce("product_name_clean", F.lit("")).alias("product_name_clean"),
+                                                    F.coalesce("category", F.lit("")).alias("category")).distinct()
+    m = vector.match_listings(c, tables.catalog(spark, sf))
+    outcome = F.when(F.col("match_method").isin("accessory_filter", "no_candidates"), F.col("match_method")).otherwise(F.lit("scored"))
+    return m.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("latest_partition", """

@@ -154,3 +154,67 @@ def test_embedding_increment(spark):
     st = spark.createDataFrame([(1, "a"), (2, "renamed")], "product_id long, canonical_name string")
     got = sorted(r["product_id"] for r in vector.embedding_increment(cur, st).collect())
     assert got == [2, 3]
+
+
+CATALOG = [(1, "Dell XPS 15 9530", "laptop", 1), (2, "Apple iPhone 15 Pro", "phone", 2), (3, "Apple iPhone 15 Pro", "phone", 3),
+           (4, "Odd thing", None, 4), (5, "Samsung Galaxy S24", "phone", 5)]
+QUERIES = [("Dell XPS 15 9530 16GB RAM 512GB SSD", "laptop"), ("apple iphone 15 pro", "phone"), ("samsung galaxy s24", ""),
+           ("odd thing", None), ("Netzteil kompatibel mit Dell XPS 15", "laptop"), ("dell xps 15 9530", "tablet"), (None, "laptop"),
+           ("completely different words", "laptop")]
+
+
+def _catalog(spark):
+    return spark.createDataFrame(CATALOG, "product_id long, canonical_name string, category string, ord long")
+
+
+def test_matchers_by_name(spark):
+    import pytest
+    from pricefold.plans.pipeline import match_catalog
+    lst = spark.createDataFrame(QUERIES, "product_name_clean string, category string")
+    none = {"rule": "below_threshold", "fuzzy": "no_candidates", "vector": "no_candidates"}
+    for method in ("rule", "fuzzy", "vector"):
+        for plan in ("auto", "join"):
+            m = {r["product_name_clean"]: r for r in match_catalog(lst, _catalog(spark), method, plan=plan).collect()}
+            assert len(m) == len(QUERIES)
+            assert m["Dell XPS 15 9530 16GB RAM 512GB SSD"]["product_id"] == 1
+            assert m["apple iphone 15 pro"]["product_id"] == 2                       # the first of the same name
+            assert m["samsung galaxy s24"]["product_id"] == 5                        # pooled without a category
+            assert m["odd thing"]["product_id"] == 4                                 # a product without a category
+            assert m["Netzteil kompatibel mit Dell XPS 15"]["match_method"] == "accessory_filter"
+            assert m["dell xps 15 9530"]["match_method"] == none[method]             # unknown category
+            assert m[None]["product_id"] is None and m[None]["match_method"] == "below_threshold"
+            assert m["completely different words"]["match_method"] == "below_threshold"
+    with pytest.raises(ValueError):
+        match_catalog(lst, _catalog(spark), "other")
+
+
+def test_vector_listings_equal_brute_force(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+    from pricefold.functions import text as TX
+    from pricefold.operators.encoder import hashed_ngrams
+    cat = _catalog(spark)
+    encoder = hashed_ngrams(cat.select(F.col("canonical_name").alias("text")))
+    lst = spark.createDataFrame(QUERIES, "name string, category string")
+    q = encoder(lst.select("name", F.coalesce("category", F.lit("")).alias("cat"), TX.encoder_text(F.col("name"), F.coalesce("category", F.lit(""))).alias("text")))
+    c = encoder(cat.select("*", F.col("canonical_name").alias("text"))).collect()
+    got = {r["name"]: r for r in vector.match_listings(lst, cat, 0.3, encoder, name_col="name").collect()}
+    for r in q.collect():
+        if got[r["name"]]["match_method"] == "accessory_filter":
+            continue
+        pool = sorted((p for p in c if not r["cat"] or p["category"] == r["cat"]), key=lambda p: (p["category"] or "", p["canonical_name"], p["ord"]))
+        if not pool:
+            assert got[r["name"]]["match_method"] == "no_candidates"
+            continue
+        sims = [float(np.dot(np.float64(p["embedding"]), np.float64(r["embedding"]))) for p in pool]
+        assert abs(got[r["name"]]["match_score"] - max(sims)) < 1e-6
+        if max(sims) >= 0.3:
+            assert got[r["name"]]["product_id"] == pool[sims.index(max(sims))]["product_id"]
+
+
+def test_vector_labels(spark):
+    q = spark.createDataFrame([(1, "a", [1.0, 0.0]), (2, "zz", [1.0, 0.0]), (3, None, [0.0, 1.0])], "query_id long, category string, embedding array<double>")
+    c = spark.createDataFrame([(10, "a", 1, [0.0, 1.0]), (11, "b", 2, [0.0, 1.0])], "product_id long, category string, ord long, embedding array<double>")
+    for plan in ("broadcast", "join"):
+        got = {r["query_id"]: (r["product_id"], r["match_method"]) for r in vector.match_vectors(q, c, plan=plan).collect()}
+        assert got == {1: (None, "below_threshold"), 2: (None, "no_candidates"), 3: (10, "cosine_similarity")}
