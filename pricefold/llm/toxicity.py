@@ -168,10 +168,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     ids = common.bounded_sample(labels, sample, "label", "doc_id")
     rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
             .select("doc_id", "label", text_terms("text").alias("x")))
-    rows = common.bounded_sample(rows, sample, "label", "doc_id").select("doc_id", "label", "x.terms", "x.values").collect()
-    rows.sort()  # an id may have many rows
-    return fit([(np.array(r["terms"], dtype=np.int64), np.array(r["values"], dtype=np.float32)) for r in rows],
-               np.array([r["label"] for r in rows], dtype=float))
+    rows = common.bounded_sample(rows, sample, "label", "doc_id")  # an id may have many rows
+    found = rows.select("doc_id", "label", "x.terms", "x.values").orderBy("doc_id", "label", F.xxhash64("terms")).toArrow().combine_chunks()
+    parts = [found.column(c).combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.int32())) for c in ("terms", "values")]
+    ends = parts[0].offsets.to_numpy()
+    terms_, values = (p.values.to_numpy(zero_copy_only=False) for p in parts)
+    return fit([(terms_[i:j], values[i:j]) for i, j in zip(ends, ends[1:])],
+               np.array(found.column("label").to_pylist(), dtype=float))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
