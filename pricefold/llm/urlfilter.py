@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Path segments of an entry at most; seconds of a period in the join, and of a chunk of an entry's history.
-DEPTH, PERIOD, CHUNK = 2, 6 * 3600, 30 * 86400
+DEPTH, PERIOD, CHUNK = 2, 6 * 3600, 6 * 3600
 
 
 def url_host(url: Column) -> Column:
