@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as TX
+from ..session import cut_lineage
 from .joins import MAX_SHARED_BYTES, frame_bytes, spread
 
 POOL_KEY = ""          # category key of listings without a category
@@ -87,55 +88,43 @@ def _score_join(q: DataFrame, idx: DataFrame, hot_postings: int = DEFAULT_HOT_PO
     shares cold tokens appears in both branches and the larger (true) score
     wins, so the overall argmax is exact.
     """
-    qt = q.select("qname", "qcat", TX.token_signature(F.col("qname")).alias("qt"))
-    qx = qt.select("qname", "qcat", "qt", F.explode("qt").alias("token"))
-    ix = idx.select(F.col("key").alias("qcat"), "sig", "sig_size", "cat_first", "ord",
-                    "product_id", "canonical_name", F.col("category").alias("pcat"),
-                    F.explode("sig").alias("token"))
+    # the distinct queries are used in several branches: computed once, known by a number from here on
+    q = cut_lineage(q.select("qname", "qcat").withColumn("qid", F.monotonically_increasing_id()))
+    qx = q.select("qid", "qcat", F.explode(TX.token_signature(F.col("qname"))).alias("token"))
+    ix = idx.select(F.col("key").alias("qcat"), "product_id", F.explode("sig").alias("token"))
+    product = idx.select(F.col("key").alias("qcat"), "product_id", "sig_size", "cat_first", "ord")
     hot = ix.groupBy("qcat", "token").count().where(F.col("count") > hot_postings).select("qcat", "token")
-    hot_side = hot      # few rows; Spark picks the join from their measured size
-    ix_cold = ix.join(hot_side, ["qcat", "token"], "left_anti")
-    pairs = (qx.join(ix_cold, ["qcat", "token"])
-               .groupBy("qname", "qcat", "product_id")
-               .agg(F.first("qt").alias("qt"), F.first("sig").alias("sig"),
-                    F.first("sig_size").alias("sig_size"), F.first("cat_first").alias("cat_first"),
-                    F.first("ord").alias("ord"), F.first("canonical_name").alias("canonical_name"),
-                    F.first("pcat").alias("pcat")))
-    cold = pairs.select("qname", "qcat", (F.size(F.array_intersect("qt", "sig")).cast("double")
-                                          / F.col("sig_size")).alias("score"),
-                        "cat_first", "ord", "product_id", "canonical_name", "pcat")
+    pairs = (qx.join(ix.join(hot, ["qcat", "token"], "left_anti"), ["qcat", "token"])
+               .groupBy("qid", "qcat", "product_id").agg(F.count(F.lit(1)).alias("n_cold")))
+    qhot = (qx.join(hot, ["qcat", "token"], "left_semi")
+              .groupBy("qid", "qcat").agg(F.array_sort(F.collect_set("token")).alias("hq")))
+    phot = (ix.join(hot, ["qcat", "token"], "left_semi")
+              .groupBy("qcat", "product_id").agg(F.array_sort(F.collect_set("token")).alias("hot_sig")))
+    shared_hot = F.coalesce(F.size(F.array_intersect("hq", "hot_sig")), F.lit(0))
+    cold = (pairs.join(product, ["qcat", "product_id"]).join(qhot, ["qid", "qcat"], "left")
+                 .join(phot, ["qcat", "product_id"], "left")
+                 .select("qid", "qcat", ((F.col("n_cold") + F.greatest(shared_hot, F.lit(0))) / F.col("sig_size")).alias("score"),
+                         "cat_first", "ord", "product_id"))
     # hot profiles
-    prof = (ix.join(hot_side, ["qcat", "token"], "left_semi")
-              .groupBy("qcat", "product_id", "sig_size", "cat_first", "ord", "canonical_name", "pcat")
-              .agg(F.array_sort(F.collect_set("token")).alias("hot_sig"))
-              .groupBy("qcat", "hot_sig", "sig_size")
-              .agg(F.min(F.struct("cat_first", "ord", "product_id", "canonical_name", "pcat")).alias("rep")))
-    qhot = (qx.join(hot_side, ["qcat", "token"], "left_semi")
-              .groupBy("qname", "qcat").agg(F.array_sort(F.collect_set("token")).alias("hq")))
+    prof = (phot.join(product, ["qcat", "product_id"]).groupBy("qcat", "hot_sig", "sig_size")
+                .agg(F.min(F.struct("cat_first", "ord", "product_id")).alias("rep")))
     hq = qhot.select("qcat", "hq").distinct()
     hits = (hq.select("qcat", "hq", F.explode("hq").alias("token"))
               .join(prof.select("qcat", "hot_sig", "sig_size", "rep", F.explode("hot_sig").alias("token")),
                     ["qcat", "token"])
               .groupBy("qcat", "hq", "hot_sig", "sig_size")
               .agg(F.count(F.lit(1)).alias("n"), F.first("rep").alias("rep")))
-    hot_best = (hits.groupBy("qcat", "hq")
-                    .agg(F.max(F.struct((F.col("n") / F.col("sig_size")).alias("score"),
-                                        (-F.col("rep.cat_first")).alias("ncf"), (-F.col("rep.ord")).alias("nord"),
-                                        F.col("rep.product_id").alias("product_id"),
-                                        F.col("rep.canonical_name").alias("canonical_name"),
-                                        F.col("rep.pcat").alias("pcat"))).alias("b")))
+    best = F.max(F.struct("score", (-F.col("cat_first")).alias("ncf"), (-F.col("ord")).alias("nord"), "product_id"))
+    hot_best = (hits.select("qcat", "hq", (F.col("n") / F.col("sig_size")).alias("score"), "rep.cat_first", "rep.ord", "rep.product_id")
+                    .groupBy("qcat", "hq").agg(best.alias("b")))
     hot_scored = qhot.join(hot_best, ["qcat", "hq"]).select(
-        "qname", "qcat", F.col("b.score").alias("score"), (-F.col("b.ncf")).alias("cat_first"),
-        (-F.col("b.nord")).alias("ord"), F.col("b.product_id").alias("product_id"),
-        F.col("b.canonical_name").alias("canonical_name"), F.col("b.pcat").alias("pcat"))
-    scored = cold.unionByName(hot_scored)
-    best = F.max(F.struct("score", (-F.col("cat_first")).alias("ncf"), (-F.col("ord")).alias("nord"),
-                          "product_id", "canonical_name", "pcat"))
-    return (scored.groupBy("qname", "qcat").agg(best.alias("b"))
-                  .select("qname", "qcat", F.col("b.score").alias("best_score"),
-                          F.col("b.product_id").alias("best_product_id"),
-                          F.col("b.canonical_name").alias("best_canonical_name"),
-                          F.col("b.pcat").alias("best_category")))
+        "qid", "qcat", "b.score", (-F.col("b.ncf")).alias("cat_first"), (-F.col("b.nord")).alias("ord"), "b.product_id")
+    top = cold.unionByName(hot_scored).groupBy("qid", "qcat").agg(best.alias("b")).select("qid", "qcat", "b.score", "b.product_id")
+    names = idx.select(F.col("key").alias("qcat"), "product_id", F.col("canonical_name").alias("best_canonical_name"),
+                       F.col("category").alias("best_category"))
+    return (q.join(top, ["qid", "qcat"]).join(names, ["qcat", "product_id"])
+             .select("qname", "qcat", F.col("score").alias("best_score"), F.col("product_id").alias("best_product_id"),
+                     "best_canonical_name", "best_category"))
 
 
 # ---------------------------------------------------------- broadcast plan
