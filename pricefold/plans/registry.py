@@ -960,6 +960,116 @@ def q_page_listings(spark, sf):
     return PAGES.page_listings(p, "article", F.lit("pages"), "pages", _fixed_ts())
 
 
+def layout_pages(spark, sf):
+    """Result pages in the three shop layouts, one per order with a listing per line (at most seven)."""
+    l = tables.read(spark, sf, "lineitem")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    amount = F.concat(F.floor(cents / 100).cast("string"), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
+    parts = F.concat(F.lit("<span class='a-price-whole'>"), F.floor(cents / 100).cast("string"), F.lit(",</span><span class='a-price-fraction'>"),
+                     F.lpad((cents % 100).cast("string"), 2, "0"), F.lit("</span>"))
+    k, n = F.col("l_linenumber") % 3, F.concat(F.col("l_orderkey").cast("string"), F.lit("x"), F.col("l_linenumber").cast("string"))
+    name = F.concat(F.lit("Item "), F.col("l_partkey").cast("string"), F.lit(" &amp; Co"))
+    own = F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string"))
+    has_own = F.col("l_suppkey") % 2 == 0
+    text = lambda *x: F.concat(*[c if not isinstance(c, str) else F.lit(c) for c in x])
+    amazon = text(
+        '<div data-component-type="s-search-result"', F.when(F.col("l_linenumber") % 2 == 0, text(' data-asin="', n, '"')).otherwise(F.lit("")),
+        "><h2><span> ", name, "</span></h2><p>offer",
+        F.when(k == 0, text('<span class="a-price"><span class="a-offscreen">', amount, " €</span></span>"))
+         .when(k == 1, text('<span class="a-price"><span class="a-offscreen">Preis folgt</span></span>', parts)).otherwise(F.lit("")),
+        '<a href="/sspa/dp/0">ad</a><a href="/gp/dp/', n, '">to it</a>',
+        F.when(has_own, text('<span class="s-size-mini s-color-base">', own, "</span>")).otherwise(F.lit("")), "</div>")
+    ebay = text(
+        '<li class="s-card x"><div class="s-card__title"><span class="su-styled-text">', name, "</span></div>",
+        F.when(k == 0, text('<div class="s-card__attribute-row">EUR ', amount, "</div>"))
+         .when(k == 1, text('<div class="s-card__attribute-row">', amount, "</div>")).otherwise(F.lit("")),
+        '<a href="https://www.ebay.de/itm/', n, '">x</a>',
+        F.when(has_own, text('<div class="su-card-container__attributes__secondary"><span class="su-styled-text">', own, "</span></div>")).otherwise(F.lit("")))
+    idealo = text(
+        '<div class="sr-resultItem y"><a class="product-name-z" href="/p/', n, '">', name, "</a>",
+        F.when(k == 0, text('<span class="price-amount">ab ', amount, " €</span>"))
+         .when(k == 1, text('<em class="my-price">', amount, " €</em>")).otherwise(F.lit("")),
+        F.when(has_own, text('<i class="the-shop">', own, "</i>")).otherwise(F.lit("")), "</div>")
+    layout = F.col("l_orderkey") % 3
+    item = F.when(layout == 0, amazon).when(layout == 1, ebay).otherwise(idealo)
+    pages = l.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", item.alias("h")))).alias("items"))
+    body = F.array_join(F.transform("items", lambda i: i["h"]), "\n")
+    html = text("<html><body>", F.when(layout == 1, text("<ul>", body, "</ul>"))
+                .when(layout == 2, text('<div class="sr-resultList">', body, "</div>")).otherwise(body), "</body></html>")
+    return pages.select(F.col("l_orderkey").alias("page_id"), text("https://page/", F.col("l_orderkey").cast("string")).alias("url"),
+                        html.alias("html"), layout.alias("layout"))
+
+
+@register("page_layouts", """
+WITH x AS (
+  SELECT l_orderkey AS page_id, l_orderkey % 3 AS layout, l_linenumber % 3 AS k, l_linenumber AS line, l_suppkey,
+         CAST(round(l_extendedprice * 100) AS BIGINT) / 100.0 AS amount,
+         CAST(l_orderkey AS VARCHAR) || 'x' || CAST(l_linenumber AS VARCHAR) AS n,
+         'Item ' || CAST(l_partkey AS VARCHAR) || ' & Co' AS product_name,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS position
+  FROM lineitem),
+p AS (SELECT *, CASE WHEN k = 0 OR k = 1 AND layout <> 1 THEN amount ELSE 0.0 END AS price FROM x)
+SELECT page_id, CAST(position AS INTEGER) AS position, product_name, CAST(price AS DOUBLE) AS price,
+       CASE WHEN price > 0 THEN 'in_stock' WHEN layout = 2 THEN 'unknown' ELSE 'out_of_stock' END AS availability,
+       CASE WHEN l_suppkey % 2 = 0 THEN 'Supplier ' || CAST(l_suppkey AS VARCHAR)
+            WHEN layout = 0 THEN 'Amazon DE' WHEN layout = 1 THEN 'eBay DE' ELSE 'Idealo DE' END AS seller,
+       CASE WHEN layout = 0 AND line % 2 = 0 THEN 'https://www.amazon.de/dp/' || n WHEN layout = 0 THEN 'https://www.amazon.de/gp/dp/' || n
+            WHEN layout = 1 THEN 'https://www.ebay.de/itm/' || n ELSE 'https://www.idealo.de/p/' || n END AS url
+FROM p""")
+def q_page_layouts(spark, sf):
+    """P14a-c: the three shop layouts, with missing and unreadable prices, missing sellers and open tags."""
+    pages = layout_pages(spark, sf)
+    found = [PAGES.page_listings(pages.where(F.col("layout") == i), profile, F.lit("x"), profile, _fixed_ts())
+             for i, profile in enumerate(("amazon_de", "ebay_de", "idealo_de"))]
+    rows = found[0].unionByName(found[1]).unionByName(found[2])
+    return rows.select("page_id", "position", "product_name", "price", "availability", "seller", "url")
+
+
+# ============================================================== files
+from ..session import new_folder  # noqa: E402
+from ..sources import sinks as SINKS  # noqa: E402
+
+
+@register("publish_round_trip", with_views("""
+SELECT lower(left(source, 1)) AS source_key, coalesce(lower(category), 'none') AS category_key,
+       CAST(year(scrape_timestamp) AS INTEGER) AS year, count(*) AS n, count(url) FILTER (WHERE url <> '') AS with_url,
+       min(price) AS price_min, max(price) AS price_max, count(currency) AS with_currency
+FROM listings_raw GROUP BY ALL"""))
+def q_publish_round_trip(spark, sf):
+    """All listings written to the partitioned target and read back from the files.
+
+    Partitions are by the source's first letter, category and year; the rows are
+    dealt by them first, so each partition is a file or a few."""
+    l = tables.listings(spark, sf)
+    target = new_folder(spark, "published")
+    rows = l.withColumns({"_source": F.lower(F.substring("source", 1, 1)), "_category": F.coalesce(F.lower("category"), F.lit("none")),
+                          "_run_date": F.concat(F.date_format("scrape_timestamp", "yyyy"), F.lit("-01-01")), "_file": F.lit("f")})
+    RAW.publish(rows.repartition("_source", "_category", "_run_date"), target)
+    back = spark.read.schema("product_name string, price double, currency string, url string, source_key string, "
+                             "category_key string, year int, month int, day int").json(target)
+    return back.groupBy("source_key", "category_key", "year").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("url") != "").alias("with_url"),
+        F.min("price").alias("price_min"), F.max("price").alias("price_max"), F.count("currency").alias("with_currency"))
+
+
+@register("sink_round_trip", with_views(CLEANED_CTES + "," + RULE_CTES + """
+SELECT product_id, count(*) AS offers, count(*) AS offer_count, min(canonical_name) AS canonical_name,
+       min(product_category) AS category_key, min(price_clean) AS least_offer
+FROM matched WHERE product_id IS NOT NULL GROUP BY product_id"""))
+def q_sink_round_trip(spark, sf):
+    """Nested unified records written by category and day, and read back with their offers."""
+    m = cut_lineage(matching.matched_only(pipeline.matched_listings(spark, sf)))
+    root = new_folder(spark, "unified")
+    SINKS.write_unified(merging.unified_records(m), root)
+    back = spark.read.schema("product_id long, canonical_name string, offer_count long, prices array<struct<price:double>>, "
+                             "category_key string").json(root + "/unified")
+    SINKS.write_flat(back.select("product_id", "canonical_name", "offer_count", "category_key", F.size("prices").alias("offers"),
+                                 F.array_min(F.transform("prices", lambda o: o["price"])).alias("least_offer")), root, "flat")
+    flat = spark.read.schema("product_id long, canonical_name string, offer_count long, category_key string, offers long, "
+                             "least_offer double").json(root + "/processed/flat")
+    return flat.select("product_id", "offers", "offer_count", "canonical_name", "category_key", "least_offer")
+
+
 # ============================================================== entity grouping
 from ..operators import entity as ENTITY  # noqa: E402
 from ..session import cut_lineage  # noqa: E402

@@ -20,22 +20,22 @@ CATALOG_SCHEMA = (
 
 
 def _with_order(df: DataFrame) -> DataFrame:
-    """File order -> ``ord`` = file rank * 2^40 + row number inside the file.
+    """File order -> ``ord`` = file rank * 2^44 + split offset + place in the split.
 
-    Rows of one file are numbered by (split offset, position in the task),
-    which is the order of the file; the window is per file, never global.
-    The file list itself (a handful of names) is ranked on the driver."""
+    A split holds fewer rows than bytes, so this grows in the order of the file.
+    The places come from row ids and their least one per split, a row per split;
+    no task numbers the rows of a whole file."""
     if "ord" in df.columns:
         return df
     x = (df.withColumn("_f", F.col("_metadata.file_path"))
            .withColumn("_b", F.col("_metadata.file_block_start"))
            .withColumn("_r", F.monotonically_increasing_id()))
-    files = sorted(r["_f"] for r in x.select("_f").distinct().collect())
-    rank = F.create_map(*[v for i, f in enumerate(files) for v in (F.lit(f), F.lit(i))])
-    w = Window.partitionBy("_f").orderBy("_b", "_r")
-    return (x.withColumn("ord", (F.element_at(rank, F.col("_f")).cast("long") * F.lit(1 << 40)
-                                 + F.row_number().over(w)).cast("long"))
-             .drop("_f", "_b", "_r"))
+    splits = x.groupBy("_f", "_b").agg(F.min("_r").alias("_first"))
+    rank = F.dense_rank().over(Window.orderBy("_f"))      # over a row per split
+    splits = splits.select(F.col("_f").alias("_sf"), F.col("_b").alias("_sb"), "_first", (rank - 1).cast("long").alias("_k"))
+    place = F.col("_k") * F.lit(1 << 44) + F.col("_b") + F.col("_r") - F.col("_first") + 1
+    return (x.join(splits, (F.col("_f") == F.col("_sf")) & (F.col("_b") == F.col("_sb")))
+             .withColumn("ord", place.cast("long")).drop("_f", "_b", "_r", "_sf", "_sb", "_first", "_k"))
 
 
 def read_catalog_csv(spark: SparkSession, path: str) -> DataFrame:

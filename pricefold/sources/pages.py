@@ -9,6 +9,7 @@ and availability run afterwards as Column expressions.
 
 from __future__ import annotations
 
+import functools
 import re
 from html.parser import HTMLParser
 from typing import Iterator
@@ -66,54 +67,70 @@ PROFILES = {
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
          "track", "wbr"}
+#: What an opening tag closes if it is still open, and where the search for it ends.
+_CLOSES = {"li": ({"li"}, {"ul", "ol"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
+           "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "dt": ({"dt", "dd"}, {"dl"}),
+           "dd": ({"dt", "dd"}, {"dl"})}
+_ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
+           "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "text")
+    __slots__ = ("tag", "attrs", "children", "parent")
 
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.children, self.text = [], []
+        self.children = []
+
+    def _walk(self):
+        """Descendants, elements and text, in document order; a stack, as pages may be nested thousands deep."""
+        stack = [iter(self.children)]
+        while stack:
+            c = next(stack[-1], None)
+            if c is None:
+                stack.pop()
+                continue
+            yield c
+            if isinstance(c, _Node):
+                stack.append(iter(c.children))
 
     def iter(self):
-        for c in self.children:
-            if isinstance(c, _Node):
-                yield c
-                yield from c.iter()
+        return (c for c in self._walk() if isinstance(c, _Node))
 
     def get_text(self) -> str:
         """Stripped text pieces of all descendants, joined without separator."""
-        out = []
-        for c in self.children:
-            if isinstance(c, _Node):
-                t = c.get_text()
-                if t:
-                    out.append(t)
-            else:
-                t = c.strip()
-                if t:
-                    out.append(t)
-        return "".join(out)
+        return "".join(t for c in self._walk() if not isinstance(c, _Node) and (t := c.strip()))
 
 
 class _Builder(HTMLParser):
+    """Builds the tree; tags that HTML lets stay open are closed by what follows them."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = _Node("#root", {}, None)
         self.cur = self.root
 
+    def _close(self, tags, stop):
+        n = self.cur
+        while n is not None and n.tag not in tags:
+            if n.tag in stop:
+                return
+            n = n.parent
+        if n is not None and n.parent is not None:
+            self.cur = n.parent
+
     def handle_starttag(self, tag, attrs):
+        if tag in _ENDS_P and self.cur.tag == "p":
+            self.cur = self.cur.parent
+        if tag in _CLOSES:
+            self._close(*_CLOSES[tag])
         n = _Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
         self.cur.children.append(n)
         if tag not in _VOID:
             self.cur = n
 
     def handle_endtag(self, tag):
-        n = self.cur
-        while n is not None and n.tag != tag:
-            n = n.parent
-        if n is not None and n.parent is not None:
-            self.cur = n.parent
+        self._close({tag}, ())
 
     def handle_data(self, data):
         if self.cur.tag not in ("script", "style"):
@@ -131,6 +148,7 @@ _SIMPLE = re.compile(r"([a-zA-Z0-9]*)((?:\.[\w-]+)*)((?:\[[^\]]+\])*)")
 _ATTR = re.compile(r"\[([\w-]+)(?:([*^$]?=)['\"]?([^'\"\]]*)['\"]?)?\]")
 
 
+@functools.lru_cache(maxsize=1024)
 def _compile(selector: str):
     steps, rel = [], " "
     for tok in selector.replace(">", " > ").split():
@@ -190,7 +208,10 @@ def select_one(scope: _Node, selectors) -> _Node | None:
 
 
 def extract_page(html: str, page_url: str, profile: dict) -> list[tuple]:
-    """(position, name, price_text, url, seller) per listing on one page."""
+    """(position, name, price_text, parts_text, url, seller) per listing on one page.
+
+    ``parts_text`` is the price put together from its parts, which counts where
+    the price text is missing or can't be read."""
     root = parse_html(html)
     containers = []
     for s in profile["containers"]:               # first selector with any match wins
@@ -215,18 +236,18 @@ def extract_page(html: str, page_url: str, profile: dict) -> list[tuple]:
             req = profile.get("price_requires")
             if not req or any(r in t for r in req):
                 price_text = t
-        parts = profile.get("price_parts")
-        if price_text is None and parts:
+        parts, parts_text = profile.get("price_parts"), None
+        if parts:
             whole = select_one(item, [parts[0]])
             if whole is not None:
                 frac = select_one(item, [parts[1]])
-                price_text = re.sub(r"[,.]$", "", whole.get_text()) + "," + (frac.get_text() if frac else "00")
+                parts_text = re.sub(r"[,.]$", "", whole.get_text()) + "," + (frac.get_text() if frac else "00")
         url = _link(item, page_url, profile)
         if url is None:
             continue
         sel = select_one(item, profile.get("seller", []))
         seller = sel.get_text() if sel is not None else profile.get("default_seller")
-        out.append((pos, name, price_text, url, seller))
+        out.append((pos, name, price_text, parts_text, url, seller))
     return out
 
 
@@ -268,13 +289,12 @@ def page_listings(pages: DataFrame, profile: str | dict, category: Column, sourc
         for b in batches:
             rows = []
             for pid, url, html in zip(b["page_id"], b["url"], b["html"]):
-                for pos, name, price_text, link, seller in extract_page(html, url, prof):
-                    rows.append((pid, pos, name, price_text, link, seller))
-            yield pd.DataFrame(rows, columns=["page_id", "position", "name", "price_text", "url", "seller"])
+                rows += [(pid, *found) for found in extract_page(html, url, prof)]
+            yield pd.DataFrame(rows, columns=["page_id", "position", "name", "price_text", "parts_text", "url", "seller"])
 
-    schema = "page_id long, position int, name string, price_text string, url string, seller string"
+    schema = "page_id long, position int, name string, price_text string, parts_text string, url string, seller string"
     raw = not_blocked(pages).select("page_id", "url", "html").mapInPandas(run, schema)
-    price = PR.parse_price_locale(F.col("price_text"))
+    price = F.coalesce(PR.parse_price_locale("price_text"), PR.parse_price_locale("parts_text"))
     avail = TX.availability_from_price(price, prof.get("no_price_availability", "out_of_stock"))
     ts = scraped_at if scraped_at is not None else F.current_timestamp()
     return raw.select("page_id", "position", F.col("name").alias("product_name"),

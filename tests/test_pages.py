@@ -59,3 +59,19 @@ def test_blocked_pages_dropped(spark):
                                "page_id long, url string, html string")
     got = [r["product_name"] for r in pages.page_listings(df, "article", F.lit("x"), "pages").collect()]
     assert got == ["T"]
+
+
+def test_unreadable_price_falls_back_to_its_parts(spark):
+    html = """<div data-component-type="s-search-result" data-asin="B1"><h2><span>A</span></h2>
+      <span class="a-price"><span class="a-offscreen">Preis folgt</span></span>
+      <span class="a-price-whole">12.</span><span class="a-price-fraction">30</span></div>"""
+    assert _run(spark, html, "amazon_de") == [("A", 12.3, "https://www.amazon.de/dp/B1", "Amazon DE", "in_stock")]
+
+
+def test_deep_pages_and_open_tags():
+    deep = "<p>" * 3000 + "<b>" * 3000 + "<article><h1>T</h1></article>"
+    assert pages.extract_page(deep, "u", pages.PROFILES["article"])[0][1] == "T"
+    items = pages.select(pages.parse_html("<ul><li class=a>1<li class=a>2<ul><li class=b>3</ul><li class=a>4</ul>"), "li.a")
+    assert [x.get_text() for x in items] == ["1", "23", "4"]
+    cells = pages.select(pages.parse_html("<table><tr><td>a<td>b<tr><td>c</table>"), "tr")
+    assert [x.get_text() for x in cells] == ["ab", "c"]
