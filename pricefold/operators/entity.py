@@ -6,9 +6,9 @@ Stages, each on records not yet grouped:
    among the other names of its category (one edge per record, never all
    pairs), kept when the score reaches the threshold;
 then connected components over the name graph, until nothing changes.  A name
-without signature tokens has no stage-1 edge, and blank names stay alone.  A
-cosine stage needs one vector per record and is left to callers that have them
-(``extra_edges``, same shape as stage 2).
+without signature tokens has no stage-1 edge, and blank names stay alone.
+3. cosine (with an ``encoder``): every record without an edge so far links to the
+   nearest other name of its category, from the threshold on.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import text as TX
 from ..session import cut_lineage
-from . import fuzzy
+from . import fuzzy, vector
 from .components import connected_components
+from .encoder import Encoder
 from .joins import MAX_SHARED_BYTES, frame_bytes, spread
 
 
@@ -76,11 +77,9 @@ def _fuzzy_edges(nodes: DataFrame, singles: DataFrame, threshold: float, max_poo
 
 def entity_groups(records: DataFrame, name_col: str = "product_name_clean", category_col: str = "category",
                   fuzzy_threshold: float = K.CATALOG_BUILD_FUZZY_THRESHOLD,
-                  max_pool_bytes: int = MAX_SHARED_BYTES, plan: str = "auto",
-                  extra_edges: DataFrame | None = None) -> DataFrame:
-    """(cat, proc, node, group_node) per name node; records join on (cat, proc).
-
-    ``extra_edges`` (cat, proc_a, proc_b) are links found by the caller."""
+                  max_pool_bytes: int = MAX_SHARED_BYTES, plan: str = "auto", encoder: Encoder | None = None,
+                  vector_threshold: float = K.CATALOG_BUILD_VECTOR_THRESHOLD) -> DataFrame:
+    """(cat, proc, node, group_node) per name node; records join on (cat, proc)."""
     nodes = _name_nodes(records, name_col, category_col)
     # stage 1: one edge per node to the first node of its signature group
     rep = (nodes.where("sig <> ''").groupBy("cat", "sig")
@@ -93,10 +92,12 @@ def entity_groups(records: DataFrame, name_col: str = "product_name_clean", cate
     named = nodes.where(F.col("proc") != "")
     e2 = _fuzzy_edges(named, singles, fuzzy_threshold, max_pool_bytes, plan)
     edges = e1.unionByName(e2.select(F.col("src").alias("a"), F.col("dst").alias("b")))
-    if extra_edges is not None:
-        left = named.select("cat", F.col("proc").alias("proc_a"), F.col("node").alias("a"))
-        right = named.select("cat", F.col("proc").alias("proc_b"), F.col("node").alias("b"))
-        edges = edges.unionByName(extra_edges.join(left, ["cat", "proc_a"]).join(right, ["cat", "proc_b"]).select("a", "b"))
+    if encoder is not None:
+        edges = cut_lineage(edges)
+        linked = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        vectors = encoder(named.select(F.col("node").alias("id"), F.col("cat").alias("category"), F.col("proc").alias("text")))
+        near = vector.best_others(vectors.select("id", "category", "embedding"), vector_threshold)
+        edges = edges.unionByName(near.join(linked, near["a"] == linked["node"], "left_anti"))
     found = connected_components(edges)
     return nodes.join(found, "node", "left").select(
         "cat", "proc", "node", F.coalesce("component", "node").alias("group_node"))

@@ -34,12 +34,16 @@ MAX_MATRIX_BYTES = 64 << 20
 PRODUCT_BYTES = 32 << 20
 
 
-def best_rows(q: np.ndarray, mat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First best row of ``mat`` per query and its score, by products of bounded size."""
+def best_rows(q: np.ndarray, mat: np.ndarray, not_same: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First best row of ``mat`` per query and its score, by products of bounded size.
+
+    ``not_same`` (ids of the queries, ids of the rows) leaves out rows with the query's own id."""
     rows = max(1, PRODUCT_BYTES // (8 * max(1, len(mat))))
     at, score = np.zeros(len(q), dtype=np.int64), np.zeros(len(q))
     for i in range(0, len(q), rows):
         sims = q[i:i + rows] @ mat.T
+        if not_same is not None:
+            sims[not_same[0][i:i + rows, None] == not_same[1][None, :]] = -np.inf
         at[i:i + rows] = sims.argmax(axis=1)
         score[i:i + rows] = sims[np.arange(len(sims)), at[i:i + rows]]
     return at, score
@@ -55,7 +59,7 @@ def _blocks(df: DataFrame, col: str, size: int, name: str) -> DataFrame:
 
 
 def _best_join(queries: DataFrame, catalog: DataFrame, id_type: str, qid_type: str,
-               block: int = DEFAULT_BLOCK) -> DataFrame:
+               block: int = DEFAULT_BLOCK, exclude_self: bool = False) -> DataFrame:
     """Block nested loop for catalogs beyond the broadcast bound: catalog
     vectors hash-chunked per category, queries hash-salted per category;
     each (category, chunk, salt) block is one matmul in a
@@ -75,7 +79,8 @@ def _best_join(queries: DataFrame, catalog: DataFrame, id_type: str, qid_type: s
         cs = cs.sort_values("ord", kind="stable")
         mat = np.vstack(cs["embedding"].map(lambda v: np.asarray(v, dtype=np.float64)).to_list())
         q = np.vstack(qs["embedding"].map(lambda v: np.asarray(v, dtype=np.float64)).to_list())
-        j, score = best_rows(q, mat)            # first maximum = catalog order within the chunk
+        ids = (qs["query_id"].to_numpy(), cs["product_id"].to_numpy()) if exclude_self else None
+        j, score = best_rows(q, mat, ids)       # first maximum = catalog order within the chunk
         return pd.DataFrame({"query_id": qs["query_id"].to_numpy(), "score": score,
                              "ord": cs["ord"].to_numpy()[j], "product_id": cs["product_id"].to_numpy()[j]})
 
@@ -154,6 +159,18 @@ def match_vectors(queries: DataFrame, catalog: DataFrame, threshold: float = K.V
                      .otherwise(F.lit("below_threshold")).alias("match_method"))
 
 
+def best_others(vectors: DataFrame, threshold: float, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """(a, b): each row of ``vectors`` (id, category, embedding) and its nearest other row of the category, from ``threshold`` on."""
+    q = vectors.select(F.col("id").alias("query_id"), "category", "embedding")
+    # new columns of the same values, so that the two sides can be told apart
+    c = vectors.select(F.col("id").alias("product_id"), F.concat("category", F.lit("")).alias("category"), F.col("id").alias("ord"),
+                       F.transform("embedding", lambda x: x).alias("embedding"))
+    kind = vectors.schema["id"].dataType.simpleString()
+    best = _best_join(q, c, kind, kind, block, exclude_self=True)
+    return best.where((F.col("best_score") >= threshold) & (F.col("best_score") < float("inf"))) \
+               .select(F.col("query_id").alias("a"), F.col("best_product_id").alias("b"))
+
+
 def representatives(catalog: DataFrame) -> DataFrame:
     """The first product of each (category, name), numbered by category and name."""
     first = (catalog.groupBy("category", "canonical_name").agg(F.min(F.struct("ord", "product_id")).alias("b"))

@@ -71,3 +71,20 @@ def test_groups_equal_brute_force(spark):
     got = _groups(spark, rows)
     # among equally good partners either is right, so groups are compared where the best is unique
     assert sum(map(len, got)) == sum(map(len, _brute(rows)))
+
+
+def test_cosine_stage_links_what_is_left(spark):
+    from pyspark.sql import functions as F
+    from pricefold.operators.encoder import hashed_ngrams
+    rows = [(1, "galaxy smartphone s24", "phone"), (2, "smartfone galaxi s-24x", "phone"), (3, "qqq www", "phone")]
+    df = spark.createDataFrame(rows, "row_id long, product_name_clean string, category string")
+    encoder = hashed_ngrams(df.select(F.col("product_name_clean").alias("text")))
+
+    def groups(**kw):
+        out = {}
+        for r in entity.grouped_records(df, fuzzy_threshold=101, **kw).collect():
+            out.setdefault(r["group_id"], set()).add(r["row_id"])
+        return sorted(sorted(v) for v in out.values())
+    assert groups() == []
+    assert groups(encoder=encoder, vector_threshold=0.03) == [[1, 2]]
+    assert groups(encoder=encoder, vector_threshold=0.99) == []
