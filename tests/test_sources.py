@@ -129,3 +129,17 @@ def test_model_rows(spark):
                  for r in model.model_rows(df, F.lit("laptops")).collect())
     assert got == [("A", 1299.0, "EUR", "in_stock", "Amazon De", ""),
                    ("B", 5.0, "USD", "unknown", "Ebay De", "https://b")]
+
+
+def test_trailing_text_skips_the_file(spark, tmpdir_fresh):
+    root = tmpdir_fresh + "/raw"
+    for day, text in enumerate(['[{"product_name": "ok", "price": 49.999}] trailing', '[{"product_name": "ok"}]}', '[{"product_name": "cut"',
+                                '  [{"product_name": "good", "price": 49.999}, {"product_name": "text", "price": "-123"}]\n', '[]'], 1):
+        _write(f"{root}/amazon_de/laptops/2026/04/0{day}/products.json", text)
+    rows = {r["product_name"]: r for r in raw.iter_records(spark, root).collect()}
+    assert set(rows) == {"good", "text"}
+    assert (rows["good"]["price"], rows["good"]["_price_number"]) == ("49.999", 49.999)
+    assert (rows["text"]["price"], rows["text"]["_price_number"]) == ("-123", None)
+    from pricefold.operators import cleaning
+    cleaned = {r["product_name"]: r["price_clean"] for r in cleaning.clean(raw.iter_records(spark, root)).collect()}
+    assert cleaned == {"good": 49.999, "text": 123.0}
