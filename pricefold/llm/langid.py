@@ -87,7 +87,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = find_words(text.lower()) if text else []
-        if not words or not self.languages:
+        if not self.languages or not any(c.isalpha() for w in words for c in w):
             return UNKNOWN, 0.0
         if len(self.known) > 300_000:
             self.known.clear()

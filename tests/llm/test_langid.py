@@ -54,7 +54,7 @@ def test_sample_bounds_training(spark):
 
 
 def test_cases(spark):
-    d = docs(spark, [(1, "the cat", "en"), (2, "die katze", "de"), (3, None, "en"), (4, "", None), (5, "1 2 3", "de"),
+    d = docs(spark, [(1, "the cat", "en"), (2, "die katze", "de"), (3, None, "en"), (4, "", None), (5, "1 ² ½ 3", "de"),
                      (6, "the", None), (6, "the", None), (None, "katze", None), (7, "漢字", None), (8, "the cat " * 5000, None)])
     d = d.withColumn("score", F.lit("clash")).withColumn("lang_pred", F.lit("clash"))
     got = [(r["doc_id"], r["lang_pred"]) for r in langid.identify(d).collect()]
