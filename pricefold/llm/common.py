@@ -77,7 +77,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class Shared:
-    """A broadcast value, and what each worker process makes of it once."""
+    """A broadcast value, and what a worker process makes of it once; a worker keeps the last one only."""
 
     made: dict[str, object] = {}
 
@@ -87,8 +87,7 @@ class Shared:
     @property
     def value(self):
         if self.key not in Shared.made:
-            if len(Shared.made) >= 4:
-                Shared.made.clear()
+            Shared.made.clear()
             value = self.broadcast.value
             Shared.made[self.key] = self.make(value) if self.make else value
         return Shared.made[self.key]
@@ -97,7 +96,7 @@ class Shared:
 class Memo(dict):
     """A dict that computes what is missing and starts anew at ``limit`` entries, so it stays bounded."""
 
-    def __init__(self, make, limit: int = 400_000):
+    def __init__(self, make, limit: int = 150_000):
         super().__init__()
         self.make, self.limit = make, limit
 

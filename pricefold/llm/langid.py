@@ -89,7 +89,7 @@ class Model:
         words = find_words(text.lower()) if text else []
         if not self.languages or not any(c.isalpha() for w in words for c in w):
             return UNKNOWN, 0.0
-        if len(self.known) > 300_000:
+        if len(self.known) > 150_000:
             self.known.clear()
         at = np.fromiter(map(self.row, words), dtype=np.int64, count=len(words))
         score = self.matrix[at].mean(axis=0)
