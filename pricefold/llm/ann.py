@@ -42,6 +42,8 @@ TARGET, TRIALS = 0.965, 256
 EPSILON, COLUMNS = 2.1, 16
 #: Candidates and queries of one block, and pairs that are extended by columns at once.
 CANDIDATES, QUERIES, PAIRS = 4096, 1024, 200_000
+#: While so large a share of a block's pairs is left, its next columns are one matrix product.
+DENSE = 0.01
 
 
 def usable(vector: Column) -> Column:
@@ -114,17 +116,29 @@ def scan(index: Index, ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.n
         if n > k:
             cut = np.minimum(cut, np.partition(first, k - 1, axis=1)[:, k - 1])
     limit = lambda d: cut * (d / width) * (1 + EPSILON / d ** 0.5) ** 2 if d < width else cut
-    d = edges[1]
-    part = ((qr[:, :d] ** 2).sum(axis=1)[:, None] + (xr[:, :d] ** 2).sum(axis=1)[None, :] - 2 * qr[:, :d] @ xr[:, :d].T)
     slack = 1e-9 * (1 + index.norm ** 2)
-    a, b = np.nonzero((part <= limit(d)[:, None] + slack) & (qids[:, None] != ids[None, :]))
-    far, kept = part[a, b], []
-    for at in range(0, len(a), PAIRS):
-        i, j, s = a[at:at + PAIRS], b[at:at + PAIRS], far[at:at + PAIRS]
-        for lo, hi in zip(edges[1:], edges[2:]):
-            s = s + ((qr[i, lo:hi] - xr[j, lo:hi]) ** 2).sum(axis=1)
-            on = s <= limit(hi)[i] + slack
-            i, j, s = i[on], j[on], s[on]
+    rows, cols = np.arange(len(q)), np.arange(len(x))
+    part, alive = np.zeros((len(q), len(x))), qids[:, None] != ids[None, :]
+    at = 0
+    # a block of columns at a time over what any query still needs, while that is dense
+    while at < width and alive.any() and (at == 0 or alive.mean() >= DENSE):
+        lo, hi = at, edges[edges.index(at) + 1]
+        a, b = qr[rows, lo:hi], xr[cols, lo:hi]
+        part += (a ** 2).sum(axis=1)[:, None] + (b ** 2).sum(axis=1)[None, :] - 2 * a @ b.T
+        alive &= part <= limit(hi)[rows][:, None] + slack
+        on_q, on_x = alive.any(axis=1), alive.any(axis=0)
+        if on_q.mean() * on_x.mean() < 0.8:
+            rows, cols, part, alive = rows[on_q], cols[on_x], part[np.ix_(on_q, on_x)], alive[np.ix_(on_q, on_x)]
+        at = hi
+    a, b = np.nonzero(alive)
+    far, a, b, kept = part[a, b], rows[a], cols[b], []
+    for first in range(0, len(a), PAIRS):
+        i, j, s = a[first:first + PAIRS], b[first:first + PAIRS], far[first:first + PAIRS]
+        for lo, hi in zip(edges, edges[1:]):  # the few pairs left, one by one
+            if lo >= at:
+                s = s + ((qr[i, lo:hi] - xr[j, lo:hi]) ** 2).sum(axis=1)
+                on = s <= limit(hi)[i] + slack
+                i, j, s = i[on], j[on], s[on]
         kept.append((i, j, (q[i] * x[j]).sum(axis=1)))
     i, j, score = (np.concatenate([c[f] for c in kept]) if kept else np.zeros(0, int) for f in range(3))
     order = np.lexsort((ids[j], -score, i))
