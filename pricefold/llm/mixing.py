@@ -5,7 +5,9 @@ bytes. A document's copy count inverts the Poisson distribution of that rate at
 that is a hash of seed and document id, so a rerun or a lost executor gives the same counts. The
 rate table has a row per source and holds the distribution's cumulative sums, computed once per
 source in log space; per document there is one lookup. Copies are then dealt to partitions and
-sorted there by a hash of (seed, id, copy): a global shuffle without a range sample.
+sorted there by a hash of (seed, id, copy): a global shuffle without a range sample. A rate above
+``MAX_RATE`` is split into equal parts: the count is the sum of one draw a part, each from a hash of
+its own, so no row of the table grows with the rate itself and every rate is met.
 
 Defined cases: a null source is a source of its own; a null id hashes as the empty string; a null
 text counts as 1 byte, as an empty one; repeated rows get the same count each; an empty table gives
@@ -23,7 +25,7 @@ from .sharding import doc_size
 SEED = "mix-1"
 #: Without explicit weights, a source's target share is proportional to its bytes to this power.
 ALPHA = 0.5
-#: No source is repeated more often than this on average.
+#: The mean of one draw at most (or the square root of the rate, if that is more); larger rates are sums of draws.
 MAX_RATE = 64.0
 #: Up to so many sources the rate table is broadcast (about 1 KB a row); beyond, Spark joins by shuffle.
 MAX_BROADCAST_SOURCES = 10_000
@@ -52,7 +54,7 @@ def poisson_cdf(rate: Column) -> Column:
 def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA) -> DataFrame:
     """source, size, rate: the mean copies of a document of each source.
 
-    The total stays what it is. ``weights`` (source -> share; others get 0) replaces bytes ** alpha.
+    The total stays what it is, on average. ``weights`` (source -> share; others get 0) replaces bytes ** alpha.
     """
     sizes = docs.groupBy("source").agg(F.sum(doc_size(F.col("text"))).alias("size"))
     if weights is None:
@@ -64,7 +66,7 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha
     all_size, all_target = shares.agg(F.sum("size"), F.sum("target")).first()
     share = F.col("target") / F.lit(all_target) if all_target else F.lit(0.0)
     rate = share * F.lit(all_size or 0) / F.col("size")
-    return shares.select("source", "size", F.least(rate, F.lit(MAX_RATE)).alias("rate"))
+    return shares.select("source", "size", rate.alias("rate"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA,
@@ -76,14 +78,24 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
     known = [tuple(r) for r in rates.limit(MAX_BROADCAST_SOURCES + 1).collect()]
     if len(known) <= MAX_BROADCAST_SOURCES:
         rates = F.broadcast(spark.createDataFrame(known, rates.schema).coalesce(1))
-    cdf = rates.select(F.col("source").alias("_source"), poisson_cdf(F.col("rate")).alias("_cdf"))
-    u = uniform(F.lit(seed), F.col("doc_id"))
+    parts = F.greatest(F.ceil(F.col("rate") / F.greatest(F.lit(MAX_RATE), F.sqrt("rate"))), F.lit(1)).cast("int")
+    cdf = rates.select(F.col("source").alias("_source"), parts.alias("_parts"), poisson_cdf(F.col("rate") / parts).alias("_cdf"))
+    hashes = F.transform(F.sequence(F.lit(1), F.col("_parts")), lambda part: F.when(
+        part == 1, uniform(F.lit(seed), F.col("doc_id"))).otherwise(uniform(F.lit(seed), F.col("doc_id"), F.lit("draw"), part)))
+    draws = F.transform(hashes, lambda u: F.size(F.filter("_cdf", lambda c: c <= u)))
     counted = (docs.join(cdf, F.col("source").eqNullSafe(F.col("_source")))
-               .withColumn("n_copies", F.size(F.filter("_cdf", lambda c: c <= u)))
-               .drop("_source", "_cdf").filter("n_copies > 0"))
+               .withColumn("_draws", draws)
+               .withColumn("n_copies", F.aggregate("_draws", F.lit(0), lambda a, n: a + n))
+               .drop("_source", "_cdf", "_parts").filter("n_copies > 0"))
+    # a row per draw with the copies before it, so that no row holds an array of all copies
+    ends = F.aggregate("_draws", F.array().cast("array<int>"),
+                       lambda a, n: F.concat(a, F.array(F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + n)))
+    runs = F.transform(F.arrays_zip(ends.alias("end"), F.col("_draws").alias("n")),
+                       lambda x: F.struct((x["end"] - x["n"] + 1).alias("first"), x["end"].alias("last")))
+    counted = counted.withColumn("_run", F.explode(F.filter(runs, lambda r: r["first"] <= r["last"]))).drop("_draws")
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                             F.col("copy").cast("string")).cast("binary"))
-    copies = (counted.drop("copy").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
+    copies = (counted.drop("copy").withColumn("copy", F.explode(F.sequence("_run.first", "_run.last"))).drop("_run")
               .withColumn("shuffle_key", key))
     return copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 

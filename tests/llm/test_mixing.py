@@ -42,6 +42,21 @@ def test_large_rates_do_not_underflow(spark):
     assert abs(cdf[-1] - 1) < 1e-9 and abs(next(k for k, c in enumerate(cdf) if c > 0.5) - 2000) <= 1
 
 
+def test_a_rate_beyond_one_draw_is_met(spark):
+    d = docs(spark, [(i, "x" * 99, "en", "small" if i < 20 else "big") for i in range(4000)])
+    rates = {r["source"]: r["rate"] for r in mixing.source_rates(d, {"big": 1, "small": 1}).collect()}
+    assert abs(rates["small"] - 100) < 1e-9
+    rows = mixing.mix(d, {"big": 1, "small": 1}).select("doc_id", "source", "n_copies", "copy").collect()
+    assert abs(sum(r["source"] == "small" for r in rows) / len(rows) - 0.5) < 0.03 and abs(len(rows) - 4000) < 200
+    numbers = {}
+    for r in rows:
+        numbers.setdefault((r["doc_id"], r["n_copies"]), []).append(r["copy"])
+    assert all(sorted(c) == list(range(1, n + 1)) for (_, n), c in numbers.items())
+    alone = docs(spark, [(1, "x", "en", "tiny")] + [(i, "x" * 9999, "en", "big") for i in range(2, 4)])
+    n = mixing.mix(alone, {"big": 1, "tiny": 1}).where("doc_id = 1").count()
+    assert abs(n - 5000) < 5 * 5000 ** 0.5
+
+
 def test_nulls_repeats_empty_and_clashes(spark):
     d = docs(spark, [(None, None, None, None), (1, "", None, None), (1, "", None, None), (2, "b", "en", "s")])
     d = d.withColumn("rate", F.lit("x")).withColumn("copy", F.lit("y")).withColumn("size", F.lit("z"))
