@@ -2,7 +2,8 @@
 
 A list is a table of dated changes (entry, added, at). An entry is a domain, which covers its
 subdomains, or a domain with leading path segments. Changes become validity intervals [since, until);
-a capture looks up its host's suffixes of two labels or more and its first ``DEPTH`` path prefixes.
+a capture looks up its host's suffixes of two labels or more and its path prefixes, as deep as the
+deepest entry of the list.
 Intervals are cut at the borders of periods, so that key and period are equal in the join and only
 the intervals that touch the capture's period are compared with its time: a host that holds a third
 of all captures is spread over all periods, and its whole history never meets each of its captures.
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Path segments of an entry at most; seconds of a period in the join, and of a chunk of an entry's history.
+#: Path segments that OP7_SQL looks up (its entries have one at most); seconds of a period in the join, and of a
+#: chunk of an entry's history.
 DEPTH, PERIOD, CHUNK = 2, 6 * 3600, 6 * 3600
 
 
@@ -35,14 +37,19 @@ def url_segments(url: Column) -> Column:
     return F.filter(F.split(path, "/"), lambda s: s != "")
 
 
-def lookup_keys(url: Column) -> Column:
-    """All entries that would cover ``url``: domain suffixes, and the host with leading path segments."""
+def entry_depth(changes: DataFrame) -> int:
+    """The most path segments of an entry."""
+    return changes.agg(F.max(F.size(F.split("entry", "/")) - 1)).first()[0] or 0
+
+
+def lookup_keys(url: Column, depth: int) -> Column:
+    """All entries of up to ``depth`` path segments that would cover ``url``: domain suffixes, and the host with leading path segments."""
     host, segments = url_host(url), url_segments(url)
     labels = F.split(host, r"\.")
     suffixes = F.when(F.size(labels) >= 2, F.transform(
         F.sequence(F.lit(1), F.size(labels) - 1),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).otherwise(F.array(host))
-    n = F.least(F.size(segments), F.lit(DEPTH))
+    n = F.least(F.size(segments), F.lit(depth))
     prefixes = F.when(n >= 1, F.transform(
         F.sequence(F.lit(1), n), lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")))) \
         .otherwise(F.array().cast("array<string>"))
@@ -79,7 +86,7 @@ def judge(captures: DataFrame, changes: DataFrame, period: int = PERIOD) -> Data
     captures = captures.select("page_id", "url", F.col("fetched_at").cast("timestamp").alias("fetched_at")).distinct()
     first, last = captures.agg(F.min(slot(F.col("fetched_at"), period)), F.max(slot(F.col("fetched_at"), period))).first()
     looked = (captures.where("fetched_at is not null")
-              .select("page_id", "url", "fetched_at", F.explode(lookup_keys(F.col("url"))).alias("entry"))
+              .select("page_id", "url", "fetched_at", F.explode(lookup_keys(F.col("url"), entry_depth(changes))).alias("entry"))
               .withColumn("period", slot(F.col("fetched_at"), period)))
     bounds = F.lit(0 if first is None else first).cast("long"), F.lit(0 if last is None else last).cast("long")
     spans = (intervals(changes)

@@ -50,6 +50,14 @@ def test_random_histories_equal_brute_force(spark):
     assert sorted(spans, key=str) == sorted((tuple(r) for r in urlfilter.intervals(d).collect()), key=str)
 
 
+def test_deep_entries_match(spark):
+    d = spark.createDataFrame([("x.org/a/b/c/d", True, at(0)), ("x.org/a/b", True, at(0))], "entry string, added boolean, at timestamp")
+    urls = ["http://x.org/a/b/c/d", "http://x.org/a/b/c/d/e?z=1", "http://x.org/a/b/c", "http://x.org/a"]
+    c = spark.createDataFrame([(i, u, at(1)) for i, u in enumerate(urls)], "page_id long, url string, fetched_at timestamp")
+    got = {r["page_id"]: (r["n_entries"], r["entry"]) for r in urlfilter.judge(c, d).collect()}
+    assert got == {0: (2, "x.org/a/b/c/d"), 1: (2, "x.org/a/b/c/d"), 2: (1, "x.org/a/b"), 3: (0, None)}
+
+
 def test_cases(spark):
     changes = [("x.org", True, at(1)), ("x.org", True, at(2)), ("x.org", False, at(5)), ("x.org", True, at(5)), ("y.org", False, at(0)),
                (None, True, at(0)), (" ", True, at(0)), ("z.org", None, at(0)), ("z.org", True, None), ("localhost", True, at(0)), ("x.org", True, at(9))]
