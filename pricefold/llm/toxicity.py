@@ -5,11 +5,12 @@ compound words), hashed to ``BUCKETS`` numbers, each with the value log2(1 + occ
 adds a weight per term and, for each pair of terms that occur together, the product of their factor
 vectors; an insult and the mention of a group thus count together for more than both alone. Terms
 whose mean differs little between the labels are left at 0. The rest is fitted by mini-batches with
-the logistic loss and adaptive steps, until a tenth that was set aside no longer gains; the bias is then
-moved so that the cut with the best F1 on the sample scores 0.7.
+the logistic loss and adaptive steps, until a tenth that was set aside no longer gains.
 
 Fitted on a bounded sample (``SAMPLE`` documents of each label, hash order); every text is scored
-whole, in its partition.
+whole, in its partition. Scores are then moved so that the cut with the best F1 over all labelled
+documents stands at 0.7: toxic and clean ones are counted per bin of the raw score, so the share of
+toxic documents is that of the labels, not of the sample.
 
 Defined cases: a null text is an empty one, without terms, and scores by the bias alone; null labels
 take no part; a document with both labels is learned as both; without both labels all scores are the
@@ -37,6 +38,8 @@ BUCKETS, FACTORS = 1 << 17, 4
 MIN_DOCS, MIN_Z = 4, 3.0
 EPOCHS, BATCH, STEP, DECAY = 60, 64, 0.05, 1e-3
 THRESHOLD = 0.7
+#: Bins of the raw score per unit of its inverse hyperbolic sine: fine around 0, and few for extreme scores.
+BINS = 4096
 
 find_words = re.compile(r"[^\W_]+").findall
 
@@ -75,11 +78,15 @@ class Machine:
     def __init__(self, bias: float, weights: np.ndarray, factors: np.ndarray):
         self.bias, self.weights, self.factors = bias, weights, factors
 
-    def score(self, found: tuple[np.ndarray, np.ndarray]) -> float:
+    def raw(self, found: tuple[np.ndarray, np.ndarray]) -> float:
+        """The score before the logistic function."""
         at, x = found
         v = self.factors[at] * x[:, None]
         pairs = 0.5 * float((v.sum(axis=0) ** 2 - (v ** 2).sum(axis=0)).sum())
-        return float(1 / (1 + np.exp(-np.clip(self.bias + float(self.weights[at] @ x) + pairs, -30, 30))))
+        return self.bias + float(self.weights[at] @ x) + pairs
+
+    def score(self, found: tuple[np.ndarray, np.ndarray]) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.raw(found), -30, 30))))
 
 
 def telling(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
@@ -161,10 +168,15 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int
     return none
 
 
+def usable(labels: DataFrame) -> DataFrame:
+    """Different (doc_id, label) with an id and a label 0 or 1."""
+    return labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()) \
+                 .select("doc_id", F.col("label").cast("int").alias("label")).distinct()
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """A machine from ``labels`` (doc_id, label 0 or 1) of ``docs`` (doc_id, text)."""
-    labels = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()) \
-                   .select("doc_id", F.col("label").cast("int").alias("label")).distinct()
+    labels = usable(labels)
     ids = common.bounded_sample(labels, sample, "label", "doc_id")
     rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
             .select("doc_id", "label", text_terms("text").alias("x")))
@@ -177,20 +189,50 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
                np.array(found.column("label").to_pylist(), dtype=float))
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with toxicity (0 to 1), learned from ``labels`` (doc_id, label)."""
+def labelled_cut(seen: DataFrame) -> float | None:
+    """The raw score at which calling all above it toxic has the best F1 over all of ``seen`` (raw, label).
+
+    Rows are counted per bin of the raw score (equal scores share one); the cut is the middle of the gap
+    between two bins, or None without both labels.
+    """
+    bins = (seen.groupBy(F.floor(F.asinh("raw") * BINS).alias("bin"))
+            .agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"), F.min("raw").alias("low"), F.max("raw").alias("high"))
+            .orderBy(F.desc("bin")).collect())
+    toxic, n = np.array([b["toxic"] for b in bins], dtype=float), np.array([b["n"] for b in bins], dtype=float)
+    if not 0 < toxic.sum() < n.sum():
+        return None
+    k = int(np.argmax(2 * np.cumsum(toxic) / (np.cumsum(n) + toxic.sum())))
+    return bins[k]["low"] - 0.1 if k + 1 == len(bins) else (bins[k]["low"] + bins[k + 1]["high"]) / 2
+
+
+def score(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or these ``columns`` of it and doc_id) with toxicity (0 to 1), learned from ``labels`` (doc_id, label)."""
     spark = docs.sparkSession
     common.prepare(spark)
-    shared = common.Shared(spark, train(docs, labels))
+    labels = usable(labels)
+    machine = train(docs, labels)
+    shared = common.Shared(spark, machine)
 
     @F.arrow_udf(T.DoubleType())
-    def toxicity(texts: pa.Array) -> pa.Array:
+    def raw(texts: pa.Array) -> pa.Array:
         machine, out = shared.value, []
         for at in range(0, len(texts), common.SLICE_ROWS):
-            out += [machine.score(terms(t)) for t in texts[at:at + common.SLICE_ROWS].to_pylist()]
+            out += [machine.raw(terms(t)) for t in texts[at:at + common.SLICE_ROWS].to_pylist()]
         return pa.array(out, type=pa.float64())
 
-    return docs.withColumn("toxicity", toxicity("text"))
+    kept = docs if columns is None else docs.select(*dict.fromkeys(["doc_id", *columns]), "text")
+    scored = kept.withColumn("toxicity", raw("text"))
+    scored = common.written(scored if columns is None else scored.drop("text"), "scores")
+    logit = float(np.log(THRESHOLD / (1 - THRESHOLD)))
+    z, cut = F.col("toxicity"), None
+    if machine.factors.any():
+        cut = labelled_cut(scored.select("doc_id", F.col("toxicity").alias("raw")).join(labels, "doc_id"))
+    if cut is not None:
+        z = z - cut + logit
+    toxicity = 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
+    if cut is not None:  # the cut itself counts as toxic, whatever the last digit
+        toxicity = F.when(F.col("toxicity") >= cut, F.greatest(toxicity, F.lit(THRESHOLD))).otherwise(F.least(toxicity, F.lit(THRESHOLD - 1e-9)))
+    return scored.withColumn("toxicity", toxicity)
 
 
 def op10_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,5 +240,5 @@ def op10_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents").select("doc_id", "text")
     out = common.held_out(F.col("doc_id"), 3, 1)
     labels = common.read(spark, sf_dir, "labels").filter(~out).select("doc_id", F.col("toxic").alias("label"))
-    return score(docs, labels).select("doc_id", out.alias("held_out"), F.col("toxicity").alias("score"),
+    return score(docs, labels, ["doc_id"]).select("doc_id", out.alias("held_out"), F.col("toxicity").alias("score"),
                                       (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"))

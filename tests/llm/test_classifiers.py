@@ -44,6 +44,20 @@ def test_bradley_terry_fit_recovers_an_order():
     assert preference.fit(x[:0], x) is None
 
 
+def test_cut_comes_from_all_labelled_documents(spark, monkeypatch):
+    # of 400 documents with the mixed phrase 20 are toxic: in the sample it is even, over all labels it is not
+    rows = [(i, "vile scum", 1) for i in range(30)] + [(i, "mixed phrase", int(i < 50)) for i in range(30, 430)]
+    rows += [(i, "plain words here", 0) for i in range(430, 1500)]
+    d = docs(spark, [r[:2] for r in rows])
+    some = labels(spark, [(i, y) for i, _, y in rows])
+    monkeypatch.setattr(toxicity.train, "__defaults__", (50,))
+    found = {r["text"]: r["toxicity"] for r in toxicity.score(d, some).collect()}
+    assert found["vile scum"] >= 0.7 > max(found["mixed phrase"], found["plain words here"])
+    seen = spark.createDataFrame([(2.0, 1), (2.0, 1), (1.0, 0), (1.0, 1), (1.0, 0), (1.0, 0), (-3.0, 0)], "raw double, label int")
+    assert toxicity.labelled_cut(seen) == 1.5
+    assert toxicity.labelled_cut(seen.where("label = 0")) is None
+
+
 def test_machine_learns_a_pair_that_no_weights_can():
     one = lambda *t: (np.array(sorted(t)), np.ones(len(t), np.float32))
     rows = [one(1), one(2), one(1, 2), one(3)] * 300
