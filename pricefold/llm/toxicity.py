@@ -3,9 +3,10 @@
 A text's terms are its lower-cased words and their beginnings of 4 and 6 letters (for inflected and
 compound words), hashed to ``BUCKETS`` numbers, each with the value log2(1 + occurrences). The machine
 adds a weight per term and, for each pair of terms that occur together, the product of their factor
-vectors; an insult and the mention of a group thus count together for more than both alone. Terms
-whose mean differs little between the labels are left at 0. The rest is fitted by mini-batches with
-the logistic loss and adaptive steps, until a tenth that was set aside no longer gains.
+vectors; an insult and the mention of a group thus count together for more than both alone. It is
+fitted by mini-batches with the logistic loss and adaptive steps, until a tenth that was set aside no
+longer gains: first the terms whose mean differs clearly between the labels, then, from there, all
+terms of the sample, so that a pair counts whose terms tell nothing alone. Rare ones decay faster.
 
 Fitted on a bounded sample (``SAMPLE`` documents of each label, hash order); every text is scored
 whole, in its partition. Scores are then moved so that the cut with the best F1 over all labelled
@@ -34,9 +35,13 @@ from . import common
 
 SAMPLE = 3000
 BUCKETS, FACTORS = 1 << 17, 4
-#: A term is learned if so many sampled documents have it and its means differ by so many standard errors.
+#: A term is learned first if so many sampled documents have it and its means differ by so many standard errors.
 MIN_DOCS, MIN_Z = 4, 3.0
-EPOCHS, BATCH, STEP, DECAY = 60, 64, 0.05, 1e-3
+EPOCHS, BATCH, DECAY = 60, 64, 1e-3
+#: Steps of weights and of factors for the telling terms, then for all.
+STEPS = ((0.05, 0.0125), (0.01, 0.01))
+#: Another term decays by 1 + RARE / (sampled documents that have it) times as much.
+RARE = 20
 THRESHOLD = 0.7
 #: Bins of the raw score per unit of its inverse hyperbolic sine: fine around 0, and few for extreme scores.
 BINS = 4096
@@ -117,53 +122,66 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int
     none = Machine(bias, np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32))
     if not 0 < share < 1:
         return none
-    used = telling(rows, labels)
-    place = np.full(BUCKETS, -1)
-    place[used] = np.arange(len(used))
-    x = [(place[t][k], v[k]) for t, v in rows for k in [place[t] >= 0]]
+    flat, ends = np.concatenate([r[0] for r in rows]), np.cumsum([0] + [len(r[0]) for r in rows])
+    used, flat = np.unique(flat, return_inverse=True)
+    x = np.concatenate([r[1] for r in rows]).astype(float)
+    tells = np.isin(used, telling(rows, labels))
+    decay = DECAY * np.where(tells, 1, 1 + RARE / np.bincount(flat, minlength=len(used)))
     rng = np.random.default_rng(seed)
     order = rng.permutation(n)
     held, learned = order[:n // 10], order[n // 10:]
-    w, v = np.zeros(len(used)), rng.normal(0, 0.01, (len(used), FACTORS))
-    gw, gv, gb = np.full(len(used), 1e-6), np.full(v.shape, 1e-6), 1e-6
-
-    def batch(ids):
-        doc = np.repeat(np.arange(len(ids)), [len(x[i][0]) for i in ids])
-        flat = np.concatenate([x[i][0] for i in ids])
-        val = np.concatenate([x[i][1] for i in ids])
-        sums = np.stack([np.bincount(doc, v[flat, f] * val, len(ids)) for f in range(FACTORS)], axis=1)
-        squares = np.stack([np.bincount(doc, (v[flat, f] * val) ** 2, len(ids)) for f in range(FACTORS)], axis=1)
-        return flat, doc, val, sums, bias + np.bincount(doc, w[flat] * val, len(ids)) + 0.5 * (sums ** 2 - squares).sum(axis=1)
-
-    def loss(ids):
+    w, start = np.zeros(len(used)), rng.normal(0, 0.01, (len(used), FACTORS))
+    v = np.where(tells[:, None], start, 0)
+
+    def batch(ids, data):
+        flat, x, ends = data
+        at = np.concatenate([np.arange(ends[i], ends[i + 1]) for i in ids])
+        doc, val = np.repeat(np.arange(len(ids)), ends[ids + 1] - ends[ids]), x[at]
+        vx = v[flat[at]] * val[:, None]
+        sums = np.stack([np.bincount(doc, vx[:, f], len(ids)) for f in range(FACTORS)], axis=1)
+        squares = np.bincount(doc, (vx ** 2).sum(axis=1), len(ids))
+        return flat[at], doc, val, vx, sums, bias + np.bincount(doc, w[flat[at]] * val, len(ids)) + 0.5 * ((sums ** 2).sum(axis=1) - squares)
+
+    def raw(ids, data):
+        return np.concatenate([batch(ids[at:at + 512], data)[-1] for at in range(0, len(ids), 512)])
+
+    def loss(ids, data):
         if not len(ids):
             return 0.0
-        z = np.clip(batch(ids)[4], -30, 30)
+        z = np.clip(raw(ids, data), -30, 30)
         return float(np.mean(np.log1p(np.exp(-z)) * labels[ids] + np.log1p(np.exp(z)) * (1 - labels[ids])))
 
-    best, kept, worse = loss(held), (bias, w.copy(), v.copy()), 0
-    for _ in range(EPOCHS):
-        rng.shuffle(learned)
-        for at in range(0, len(learned), BATCH):
-            ids = learned[at:at + BATCH]
-            flat, doc, val, sums, z = batch(ids)
-            e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[ids]) / len(ids)
-            dw = np.bincount(flat, e[doc] * val, len(w)) + DECAY * w
-            dv = np.stack([np.bincount(flat, e[doc] * val * (sums[doc, f] - v[flat, f] * val), len(w)) for f in range(FACTORS)], axis=1) \
-                + DECAY * v
-            gw, gv, gb = gw + dw ** 2, gv + dv ** 2, gb + e.sum() ** 2
-            w -= STEP * dw / np.sqrt(gw)
-            v -= STEP * 0.25 * dv / np.sqrt(gv)
-            bias -= STEP * e.sum() / np.sqrt(gb)
-        now = loss(held)
-        worse = 0 if now < best - 1e-4 else worse + 1
-        if now < best or not len(held):
-            best, kept = now, (bias, w.copy(), v.copy())
-        if worse >= 5:
-            break
-    bias, w, v = kept
-    z = np.concatenate([batch(order[at:at + 1024])[4] for at in range(0, n, 1024)])
-    none.bias = float(bias - best_cut(z, labels[order]) + np.log(THRESHOLD / (1 - THRESHOLD)))
+    some = tells[flat]
+    data = (flat[some], x[some], np.concatenate([[0], np.cumsum(some)])[ends]), (flat, x, ends)
+    for part, (w_step, v_step) in zip(data, STEPS):
+        best, kept, worse = loss(held, part), (bias, w.copy(), v.copy()), 0
+        if part is data[1]:
+            v = np.where(tells[:, None], v, start)
+        gw, gv, gb = np.full(len(used), 1e-6), np.full(v.shape, 1e-6), 1e-6
+        for _ in range(EPOCHS):
+            rng.shuffle(learned)
+            for at in range(0, len(learned), BATCH):
+                ids = learned[at:at + BATCH]
+                terms_, doc, val, vx, sums, z = batch(ids, part)
+                e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[ids]) / len(ids)
+                t, k = np.unique(terms_, return_inverse=True)
+                slope = e[doc][:, None] * val[:, None] * (sums[doc] - vx)
+                dw = np.bincount(k, e[doc] * val, len(t)) + decay[t] * w[t]
+                dv = np.stack([np.bincount(k, slope[:, f], len(t)) for f in range(FACTORS)], axis=1) + decay[t][:, None] * v[t]
+                gw[t] += dw ** 2
+                gv[t] += dv ** 2
+                gb += e.sum() ** 2
+                w[t] -= w_step * dw / np.sqrt(gw[t])
+                v[t] -= v_step * dv / np.sqrt(gv[t])
+                bias -= w_step * e.sum() / np.sqrt(gb)
+            now = loss(held, part)
+            worse = 0 if now < best - 1e-4 else worse + 1
+            if now < best or not len(held):
+                best, kept = now, (bias, w.copy(), v.copy())
+            if worse >= 5:
+                break
+        bias, w, v = kept
+    none.bias = float(bias - best_cut(raw(np.arange(n), data[1]), labels) + np.log(THRESHOLD / (1 - THRESHOLD)))
     none.weights[used], none.factors[used] = w, v
     return none
 

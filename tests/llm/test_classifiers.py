@@ -66,6 +66,18 @@ def test_machine_learns_a_pair_that_no_weights_can():
     assert m.score(one(1, 2)) > 0.7 > max(m.score(one(1)), m.score(one(2)), m.score(one(3)))
 
 
+def test_machine_learns_a_pair_of_terms_that_tell_nothing_alone():
+    one = lambda *t: (np.array(sorted(t)), np.ones(len(t), np.float32))
+    rng = np.random.default_rng(5)
+    pick = rng.integers(0, 2, (1200, 2))
+    rows = [one(10 + 20 * a, 20 + 20 * b, *rng.choice(np.arange(100, 400), 8, replace=False)) for a, b in pick]
+    labels = (pick[:, 0] == pick[:, 1]).astype(float)
+    assert not set(toxicity.telling(rows, labels)) & {10, 20, 30, 40}
+    m = toxicity.fit(rows, labels)
+    assert np.mean([(m.score(r) >= 0.7) == y for r, y in zip(rows, labels)]) > 0.95
+    assert min(m.score(one(10, 20)), m.score(one(30, 40))) > 0.7 > max(m.score(one(10, 40)), m.score(one(30, 20)))
+
+
 def test_machine_score_is_the_sum_over_pairs():
     rng = np.random.default_rng(2)
     m = toxicity.Machine(0.1, rng.normal(size=toxicity.BUCKETS), rng.normal(size=(toxicity.BUCKETS, toxicity.FACTORS)))
