@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, langid, mixing, neardup, preference, sharding, token_orc, toxicity, urlfilter
+from . import ann, decontam, divergence, langid, mixing, neardup, preference, sharding, spelling, token_orc, toxicity, urlfilter
 
 QUERIES = {
     "op1_language_backoff": langid.op1_query,
@@ -15,6 +15,12 @@ QUERIES = {
     "op8_bradley_terry_quality": preference.op8_query,
     "op9_poisson_mixing": mixing.op9_query,
     "op10_factorization_toxicity": toxicity.op10_query,
+    "op11_source_divergence": divergence.op11_query,
+    "op12_spelling_composition": spelling.op12_query,
 }
 
-ORACLE = {"op7_temporal_url_list": urlfilter.OP7_SQL, "op9_poisson_mixing": mixing.OP9_SQL}
+ORACLE = {
+    "op7_temporal_url_list": urlfilter.OP7_SQL,
+    "op9_poisson_mixing": mixing.OP9_SQL,
+    "op11_source_divergence": divergence.OP11_SQL,
+}
