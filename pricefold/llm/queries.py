@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontam, divergence, langid, mixing, neardup, preference, sharding, spelling, token_orc, toxicity, urlfilter
+from . import ann, decontam, divergence, jaccard_join, langid, mixing, neardup, preference, sharding, spelling, token_orc, toxicity, urlfilter
 
 QUERIES = {
     "op1_language_backoff": langid.op1_query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_factorization_toxicity": toxicity.op10_query,
     "op11_source_divergence": divergence.op11_query,
     "op12_spelling_composition": spelling.op12_query,
+    "op13_jaccard_regions": jaccard_join.op13_query,
 }
 
 ORACLE = {
