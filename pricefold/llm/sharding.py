@@ -1,15 +1,20 @@
 """Minimum-cost-flow resharding (law ``bytes``).
 
-Rows lie in old shards. Each old shard is cut into blocks (hash buckets of the document id), whose
-sizes are one small aggregation: ``old shards x BUCKETS`` rows at most, whatever the corpus holds.
-Over the shards a minimum-cost flow with the new capacities says how many bytes go from which old
-shard to which new one when the fewest bytes move; whole blocks then carry that flow. A row's slot
-comes from the rows of the blocks before its own and its place within the block, so no task ever
-holds a whole shard, and a hot old shard is spread over all its blocks.
-
-Defined cases: a null text has size 1 and the checksum of no bytes (0); a null document id belongs to
-bucket 0 and comes first in its block; equal rows take slots next to each other; an empty table gives
-an empty result; columns of the input that clash with the added names are replaced.
+Rows lie in old shards. Each old shard is cut into blocks (hash buckets of its rows), in proportion to
+its bytes; the blocks' sizes are one small aggregation, whatever the corpus holds. A bucket that equal
+rows overfill is split by rows. Over the shards a minimum-cost flow with the new capacities says how many
+bytes go from which old shard to which new one when the fewest bytes move; whole blocks then carry that
+flow. A row's slot comes from the rows of the blocks before its own and its place within the block, so
+no task ever holds a whole shard, and a hot old shard is spread over all its blocks.
+
+On files (``lay_out``, ``plan_moves``, ``rewrite``) a block lies in one file with the places of its rows.
+Blocks are dealt in the order of their files, so what moves is whole files but for the last one of each
+flow. Only files that hold a moving block are rewritten, into the folders of their rows' new shards;
+slots are derived from the small table of blocks, so the other files stay valid as they are.
+
+Defined cases: a null text has size 1 and the checksum of no bytes (0); rows with a null or a repeated
+id are spread like others; equal rows take slots in any order; an empty table gives an empty result;
+columns of the input that clash with the added names are replaced.
 """
 
 from __future__ import annotations
@@ -22,10 +27,11 @@ from pyspark.sql import functions as F
 from . import common
 
 N_SHARDS = 8
-#: Blocks of an old shard. A block holds about 1/1024 of it, which bounds how unequal new shards can be.
-BUCKETS = 1024
-#: Old shards the driver plans for; beyond that the layout has to be coarsened first.
-MAX_OLD_SHARDS = 4096
+#: Bytes of a block to aim at, and the blocks there are at least (they bound how unequal new shards can be)
+#: and about at most (the driver holds a row for each).
+BLOCK_BYTES, LEAST_BLOCKS, MOST_BLOCKS = 256 << 20, 8192, 1 << 18
+#: A bucket of so many rows, and times its share of rows, is split.
+HOT_ROWS, HOT_TIMES = 100, 8
 
 
 def doc_size(text: Column) -> Column:
@@ -96,75 +102,108 @@ def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]])
 
 def assign_blocks(blocks: list[tuple], olds: list, capacities: list[int],
                   cost: list[list[int]] | None = None) -> list[int]:
-    """New shard of each block ``(old shard, bucket, bytes, rows)``, following the minimum-cost flow.
+    """New shard of each block ``(old shard, bytes)``, following the minimum-cost flow.
 
-    Without ``cost``, a byte that stays in its shard is free and one that moves costs 1. Blocks go,
-    largest first, where the most of the flow is still to come; small blocks then level what is left.
+    Without ``cost``, a byte that stays in its shard is free and one that moves costs 1. The blocks of an
+    old shard go in their order, first to where it is cheapest; small blocks then level what is left.
     """
-    place = {old: i for i, old in enumerate(olds)}
     n = len(capacities)
-    supply = [0] * len(olds)
-    for old, _, size, _ in blocks:
-        supply[place[old]] += size
+    mine: dict = {old: [] for old in olds}
+    for b, (old, _) in enumerate(blocks):
+        mine[old].append(b)
     cost = cost or [[0 if old == j else 1 for j in range(n)] for old in olds]
-    todo = min_cost_flow(supply, capacities, cost)
-    to = [0] * len(blocks)
-    load, rest = [0] * n, [[] for _ in range(n)]
-    for b in sorted(range(len(blocks)), key=lambda b: (-blocks[b][2], str(blocks[b][:2]))):
-        old, _, size, _ = blocks[b]
-        flow = todo[place[old]]
-        j = max(range(n), key=lambda j: (flow[j], -cost[place[old]][j], -j))
-        flow[j] -= size
-        to[b] = j
-        load[j] += size
-        rest[j].append(b)
+    flows = min_cost_flow([sum(blocks[b][1] for b in mine[old]) for old in olds], capacities, cost)
+    to, load, rest = [0] * len(blocks), [0] * n, [[] for _ in range(n)]
+    for old, flow, price in zip(olds, flows, cost):
+        ways = [j for j in sorted(range(n), key=lambda j: (price[j], j)) if flow[j] > 0]
+        for b in mine[old]:
+            size = blocks[b][1]
+            # a block goes on to the next way when less than half of it fits
+            while len(ways) > 1 and 2 * flow[ways[0]] < size:
+                flow[ways[1]] += flow[ways[0]]
+                ways.pop(0)
+            j = to[b] = ways[0]
+            flow[j] -= size
+            load[j] += size
+            rest[j].append(b)
     for _ in range(len(blocks)):  # each step makes the fullest shard less full
         over = [load[j] - capacities[j] for j in range(n)]
         high, low = max(range(n), key=lambda j: over[j]), min(range(n), key=lambda j: over[j])
         half = (over[high] - over[low]) // 2
-        fits = [b for b in rest[high] if 0 < blocks[b][2] <= half]
+        fits = [b for b in rest[high] if 0 < blocks[b][1] <= half]
         if not fits:
             break
-        b = max(fits, key=lambda b: (blocks[b][2], to[b] != blocks[b][0]))
+        b = max(fits, key=lambda b: (blocks[b][1], to[b] != blocks[b][0]))
         rest[high].remove(b)
         rest[low].append(b)
         to[b] = low
-        load[high] -= blocks[b][2]
-        load[low] += blocks[b][2]
+        load[high] -= blocks[b][1]
+        load[low] += blocks[b][1]
     return to
 
 
+BLOCK = ["_from", "_bucket", "_split"]
+
+
+def _in_blocks(docs: DataFrame, n_shards: int, old_shard: Column | None, blocks: int | None = None) -> DataFrame:
+    """``docs`` with old_shard, size, text_crc32 and their block: _from, _bucket and _split.
+
+    Old shards that are none of the new ones all move, at the same cost to any: for the flow they are one (-1).
+    """
+    old = home_shard(F.col("source"), n_shards) if old_shard is None else old_shard
+    rows = docs.withColumns({"old_shard": F.coalesce(old.cast("int"), F.lit(0)), "size": doc_size(F.col("text")), "text_crc32": text_crc32(F.col("text"))})
+    rows = rows.withColumn("_from", F.when(F.col("old_shard").between(0, n_shards - 1), F.col("old_shard")).otherwise(-1))
+    held = {k: (size, n) for k, size, n in rows.groupBy("_from").agg(F.sum("size"), F.count(F.lit(1))).collect()}  # n_shards + 1 rows
+    total = sum(size for size, _ in held.values())
+    blocks = blocks or min(max(total // BLOCK_BYTES, LEAST_BLOCKS), MOST_BLOCKS)
+    cut = F.lit(1)
+    for k, (size, _) in held.items():
+        cut = F.when(F.col("_from") == k, F.lit(max(1, blocks * size // total))).otherwise(cut)
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text_crc32", "size"), cut).cast("int"))
+    share = max(1, sum(n for _, n in held.values()) // blocks)
+    full = rows.groupBy("_from", "_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS + HOT_TIMES * share)
+    full = common.written(full.select("_from", "_bucket", F.ceil(F.col("_n") / share).cast("int").alias("_parts")), "full")
+    if full.isEmpty():
+        return rows.withColumn("_split", F.lit(0))
+    # equal rows can't be told apart by what they hold: they get a number, and are written with it, so that it lasts
+    some = rows.join(F.broadcast(full), ["_from", "_bucket"]).withColumn("_split", F.pmod(F.monotonically_increasing_id(), F.col("_parts")).cast("int"))
+    some = common.written(some.drop("_parts"), "split")
+    return rows.join(F.broadcast(full.drop("_parts")), ["_from", "_bucket"], "left_anti").withColumn("_split", F.lit(0)).unionByName(some)
+
+
+def _place() -> Column:
+    return F.row_number().over(Window.partitionBy(*BLOCK).orderBy("doc_id", "text_crc32", "size")).cast("long")
+
+
+def plan_moves(sums: list[tuple], n_shards: int, capacities: list[int] | None) -> list[tuple]:
+    """(block, new shard, rows of its blocks before) of each ``(old shard, block, bytes, rows)``, in that order."""
+    total = sum(b[2] for b in sums)
+    capacities = capacities or [total // n_shards + (j < total % n_shards) for j in range(n_shards)]
+    to = assign_blocks([(b[0], b[2]) for b in sums], sorted({b[0] for b in sums}), capacities)
+    before, plan = [0] * len(capacities), []
+    for b, j in zip(sums, to):
+        plan.append((*b[1], j, before[j]))
+        before[j] += b[3]
+    return plan
+
+
+PLAN = "_from int, _bucket int, _split int, shard int, _before long"
+
+
 def reshard(docs: DataFrame, n_shards: int = N_SHARDS, old_shard: Column | None = None,
-            capacities: list[int] | None = None, buckets: int = BUCKETS) -> DataFrame:
+            capacities: list[int] | None = None, blocks: int | None = None) -> DataFrame:
     """``docs`` with size, text_crc32, old_shard, shard and slot; new shards of near equal bytes.
 
     ``capacities`` (bytes per new shard, their sum at least all bytes) replaces equal shares.
     """
     spark = docs.sparkSession
     common.prepare(spark)
-    old = home_shard(F.col("source"), n_shards) if old_shard is None else old_shard
-    rows = (docs.withColumns({"old_shard": F.coalesce(old.cast("int"), F.lit(0)),
-                              "size": doc_size(F.col("text")), "text_crc32": text_crc32(F.col("text"))})
-            .withColumn("_bucket", F.coalesce(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(buckets)), F.lit(0)).cast("int")))
-    sums = rows.groupBy("old_shard", "_bucket").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
-    blocks = sorted(tuple(r) for r in sums.limit(MAX_OLD_SHARDS * buckets + 1).collect())
-    olds = sorted({b[0] for b in blocks})
-    if len(olds) > MAX_OLD_SHARDS:
-        raise ValueError(f"more than {MAX_OLD_SHARDS} old shards")
-    total = sum(b[2] for b in blocks)
-    if capacities is None:
-        capacities = [total // n_shards + (j < total % n_shards) for j in range(n_shards)]
-    to = assign_blocks(blocks, olds, capacities)
-    before, plan = [0] * len(capacities), []
-    for (old_id, bucket, _, n), j in zip(blocks, to):
-        plan.append((old_id, bucket, j, before[j]))
-        before[j] += n
-    # One row per block, so its size is bounded by the number of blocks, not by the corpus.
-    moves = F.broadcast(spark.createDataFrame(plan, "old_shard int, _bucket int, shard int, _before long"))
-    order = Window.partitionBy("old_shard", "_bucket").orderBy("doc_id", "text_crc32", "size")
-    return (rows.withColumn("_n", F.row_number().over(order)).drop("shard", "slot", "_before")
-            .join(moves, ["old_shard", "_bucket"])
-            .withColumn("slot", F.col("_before") + F.col("_n") - 1).drop("_before", "_n", "_bucket"))
+    rows = _in_blocks(docs, n_shards, old_shard, blocks)
+    # a row per block: about MOST_BLOCKS at most
+    sums = sorted((r[0], tuple(r[:3]), r[3], r[4]) for r in rows.groupBy(*BLOCK).agg(F.sum("size"), F.count(F.lit(1))).collect())
+    moves = F.broadcast(spark.createDataFrame(plan_moves(sums, n_shards, capacities), PLAN))
+    return (rows.withColumn("_n", _place()).drop("shard", "slot", "_before").join(moves, BLOCK)
+            .withColumn("slot", F.col("_before") + F.col("_n") - 1).drop("_before", "_n", *BLOCK))
 
 
 def write_shards(assigned: DataFrame, path: str, only_affected: bool = False) -> None:
@@ -183,12 +222,56 @@ def write_shards(assigned: DataFrame, path: str, only_affected: bool = False) ->
     writer.parquet(path)
 
 
+FILES = "doc_id long, text string, size long, _from int, _bucket int, _split int, place long, written int, shard int"
+
+
+def lay_out(docs: DataFrame, path: str, n_shards: int = N_SHARDS, old_shard: Column | None = None) -> None:
+    """Write ``docs`` (doc_id, text, and source if there is no ``old_shard``) as files of their old shards."""
+    common.prepare(docs.sparkSession)
+    rows = _in_blocks(docs, n_shards, old_shard).withColumn("place", _place() - 1)
+    rows.select("doc_id", "text", "size", *BLOCK, "place", F.lit(0).alias("written"), F.col("old_shard").alias("shard")).write.partitionBy("shard").parquet(path)
+
+
+def rewrite(spark: SparkSession, path: str, n_shards: int = N_SHARDS, capacities: list[int] | None = None) -> tuple[DataFrame, list[str]]:
+    """Move blocks between the shards of ``path`` (by ``lay_out``); only files that hold one of them are rewritten.
+
+    Returns the table of blocks (shard, _before, and ``written``: which writing holds the block) and the names
+    of the files that went. Rows of a writing that the table doesn't name are no part of the layout, so it is whole
+    at any moment: the new files count when the table is there, and deleting the old ones only frees their space.
+    """
+    files = spark.read.schema(FILES).parquet(path)
+    sums = files.groupBy(F.col("_metadata.file_path").alias("file"), "shard", "written", *BLOCK).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    lies = lambda r: r["shard"] if 0 <= r["shard"] < n_shards else -1
+    sums = sorted((lies(r), r["file"], tuple(r[k] for k in BLOCK), r["size"], r["n"], r["shard"], r["written"]) for r in sums.collect())
+    plan = plan_moves([(b[0], *b[2:5]) for b in sums], n_shards, capacities)
+    went = sorted({b[1] for b, p in zip(sums, plan) if b[5] != p[3]})
+    again = 1 + max((b[6] for b in sums), default=0)
+    affected = set(went)
+    plan = [(*p, again if b[1] in affected else b[6]) for b, p in zip(sums, plan)]
+    if went:
+        moved = spark.createDataFrame([p for p in plan if p[5] == again], PLAN + ", written int").drop("_before")
+        gone = spark.read.schema(FILES).option("basePath", path).parquet(*went).drop("shard", "written")
+        gone.join(F.broadcast(moved), BLOCK).write.partitionBy("shard").mode("append").parquet(path)
+    moves = common.written(spark.createDataFrame(plan, PLAN + ", written int"), "moves")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in went:
+        at = hadoop(name)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, False)
+    return moves, went
+
+
+def read_layout(spark: SparkSession, path: str, moves: DataFrame) -> DataFrame:
+    """doc_id, text, shard and slot of a layout with its table of blocks."""
+    rows = spark.read.schema(FILES).parquet(path)
+    rows = rows.join(F.broadcast(moves.drop("shard")), [*BLOCK, "written"])
+    return rows.select("doc_id", "text", "shard", (F.col("_before") + F.col("place")).alias("slot"))
+
+
 def op3_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shards 0 to 7 of all documents, from the rewritten shard files."""
-    docs = common.read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    """Shards 0 to 7 of all documents: laid out by source, then only affected files rewritten, and read back."""
     path = common.scratch(spark, "shards")
-    write_shards(reshard(docs).drop("old_shard", "source", "size", "text_crc32"), path)
-    files = spark.read.schema("doc_id long, text string, slot long, shard int").parquet(path)
-    return files.select(
+    lay_out(common.read(spark, sf_dir, "documents").select("doc_id", "text", "source"), path)
+    moves, _ = rewrite(spark, path)
+    return read_layout(spark, path, moves).select(
         "doc_id", doc_size(F.col("text")).alias("size"), text_crc32(F.col("text")).alias("text_crc32"),
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
