@@ -7,7 +7,8 @@ and sorted by id; a file is one partition, and within it each row knows how many
 the file (``local_start``). A document's global ``start`` is that plus the ids of all files before,
 a sum over one number per file.
 
-Defined cases: a null text is an empty one and yields the end id alone; a null id sorts first;
+Defined cases: a null text is an empty one and yields the end id alone; a text that spells an added token
+of the tokenizer (such as <|endoftext|>) has that token's id there, as the library gives it; a null id sorts first;
 repeated rows are written once each, next to each other; an empty table gives an empty result; other
 input columns are ignored.
 """
@@ -38,7 +39,7 @@ SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>
 #: Fixed value: how the byte-level tokenizer cuts a text before it merges bytes; merges never cross a cut.
 #: This form holds for the characters up to U+024F, but for some signs that are neither letter nor digit here.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
-#: A text with any other character is encoded whole.
+#: A text with any other character, or with an added token, is encoded whole.
 UNUSUAL = r"[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]"
 
 
@@ -63,8 +64,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.pieces, self.unusual = re.compile(PIECES).findall, re.compile(UNUSUAL).search
+        # a token that the file adds to the vocabulary is one id wherever it stands: such texts are encoded whole, too
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces, self.unusual = re.compile(PIECES).findall, re.compile("|".join([UNUSUAL, *added])).search
         letters, tokenize = byte_letters(), self.tokenizer.model.tokenize
         self.known = common.Memo(lambda piece: array("i", [
             t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes(), 700_000)

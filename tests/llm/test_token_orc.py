@@ -12,7 +12,6 @@ SF = "/root/testdata/sf0.001"
 def encode(texts):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(token_orc.tokenizer_path())
-    t.encode_special_tokens = True
     return [e.ids + [2] for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -32,9 +31,10 @@ def test_query_equals_whole_text_encoding(spark):
 
 def test_pieces_give_the_ids_of_whole_texts():
     texts = ["", " ", "  a  b \n\n c\t", "it's we'll I'D 'so ", "naïve Ñandú 12³ ½ x²", "日本語 text   x", "a\x1cb \x1f c",
-             "\xa0\x85 z", "<|endoftext|> end", "!!'s ''t  ", "é \U0001f600", "x" * 5000, " " * 300 + "y"]
+             "\xa0\x85 z", "<|endoftext|> end", "hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "<|endoftext", "a <|EndOfText|>", "!!'s ''t  ", "é \U0001f600", "x" * 5000, " " * 300 + "y"]
     encoder = token_orc.Encoder.of(token_orc.tokenizer_path())
     assert [encoder.ids(t).tolist() for t in texts] == encode(texts)
+    assert encoder.ids("hello <|endoftext|> world").tolist() == [31373, 220, 50256, 995, 2]
 
 
 def test_nulls_repeats_empty_and_pruned_read(spark, tmpdir_fresh):
