@@ -110,20 +110,23 @@ OP9_SQL = f"""
 WITH sizes AS (
   SELECT source, sum(coalesce(strlen(text), 0) + 1) AS size FROM documents GROUP BY source),
 rates AS (
-  SELECT source, least(sqrt(size) / (SELECT sum(sqrt(size)) FROM sizes)
-                       * (SELECT sum(size) FROM sizes) / size, {MAX_RATE}) AS rate FROM sizes),
+  SELECT source, sqrt(size) / (SELECT sum(sqrt(size)) FROM sizes) * (SELECT sum(size) FROM sizes) / size AS rate FROM sizes),
+parted AS (
+  SELECT source, rate, CAST(greatest(ceil(rate / greatest({MAX_RATE}, sqrt(rate))), 1) AS BIGINT) AS parts FROM rates),
+means AS (SELECT source, parts, rate / parts AS mean FROM parted),
 pmf AS (
-  SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p
-  FROM rates, range(0, 200) AS t(k)),
+  SELECT source, k, exp(k * ln(mean) - mean - lgamma(k + 1)) AS p
+  FROM (SELECT *, unnest(range(0, CAST(ceil(mean + 12 * sqrt(mean) + 30) AS BIGINT) + 1)) AS k FROM means)),
 cdf AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM pmf),
-docs AS (
-  SELECT *, CAST('0x' || left(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 13) AS BIGINT)
-            / 4503599627370496.0 AS u FROM documents),
+docs AS (SELECT *, row_number() OVER () AS row_id, '{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') AS seed FROM documents),
+draws AS (
+  SELECT row_id, source, CAST('0x' || left(md5(seed || CASE WHEN part = 1 THEN '' ELSE ':draw:' || part END), 13) AS BIGINT)
+                         / 4503599627370496.0 AS u
+  FROM (SELECT d.row_id, d.source, d.seed, unnest(range(1, m.parts + 1)) AS part
+        FROM docs d JOIN means m ON d.source IS NOT DISTINCT FROM m.source)),
 counted AS (
-  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars,
-         CAST((SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM d.source AND cdf.c <= d.u) AS INTEGER) AS n_copies
-  FROM docs d)
-SELECT doc_id, text, lang, source, n_chars, n_copies, CAST(copy AS INTEGER) AS copy,
-       md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || copy) AS shuffle_key
-FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted WHERE n_copies > 0)
+  SELECT row_id, CAST(sum((SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM draws.source AND cdf.c <= draws.u)) AS INTEGER) AS n_copies
+  FROM draws GROUP BY row_id)
+SELECT doc_id, text, lang, source, n_chars, n_copies, CAST(copy AS INTEGER) AS copy, md5(seed || ':' || copy) AS shuffle_key
+FROM (SELECT d.*, n_copies, unnest(range(1, n_copies + 1)) AS copy FROM docs d JOIN counted USING (row_id) WHERE n_copies > 0)
 """

@@ -2,6 +2,7 @@ import hashlib
 import math
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from brute import docs
@@ -57,6 +58,21 @@ def test_a_rate_beyond_one_draw_is_met(spark):
     assert abs(n - 5000) < 5 * 5000 ** 0.5
 
 
+def test_sql_meets_rates_beyond_one_draw(spark, tmpdir_fresh):
+    # 20 MB in one source, 2 to 40 bytes in the others: rates from 1 to some 3,000
+    rows = [(i, "x" * 1_000_000, "en", "big") for i in range(20)] + [(100, "a", "de", "tiny"), (101, "b" * 9, None, None), (102, None, "en", "none"),
+                                                                    (103, "c" * 40, "fr", "small"), (None, "d", "fr", "small")]
+    d = docs(spark, rows)
+    rates = {r["source"]: r["rate"] for r in mixing.source_rates(d).collect()}
+    assert rates["big"] < 1 and rates["tiny"] > 10 * mixing.MAX_RATE
+    d.write.parquet(f"{tmpdir_fresh}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmpdir_fresh}/documents.parquet/*.parquet')")
+    want = con.execute(f"SELECT doc_id, source, n_copies, copy, shuffle_key FROM ({mixing.OP9_SQL}) WHERE source IS DISTINCT FROM 'big'").fetchall()
+    got = mixing.op9_query(spark, tmpdir_fresh).where("source is null or source <> 'big'")
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.select("doc_id", "source", "n_copies", "copy", "shuffle_key").collect())
+
+
 def test_nulls_repeats_empty_and_clashes(spark):
     d = docs(spark, [(None, None, None, None), (1, "", None, None), (1, "", None, None), (2, "b", "en", "s")])
     d = d.withColumn("rate", F.lit("x")).withColumn("copy", F.lit("y")).withColumn("size", F.lit("z"))

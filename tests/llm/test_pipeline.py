@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from brute import docs, table
-from pricefold.llm import common, langid, mixing
+from pricefold.llm import common, langid
 from test_decontam import brute as contaminated
 from test_mixing import copies
 from test_neardup import brute as near_classes
@@ -28,7 +28,7 @@ def test_run_equals_plain_stages(spark):
     for _, t, s in rows:
         size[s] += len(t.encode()) + 1
     roots = sum(v ** 0.5 for v in size.values())
-    rate = {s: min(mixing.MAX_RATE, v ** 0.5 / roots * sum(size.values()) / v) for s, v in size.items()}
+    rate = {s: v ** 0.5 / roots * sum(size.values()) / v for s, v in size.items()}
     want = Counter()
     for i, _, s in rows:
         want[i] += copies(rate[s], i)
