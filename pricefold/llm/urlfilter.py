@@ -4,10 +4,12 @@ A list is a table of dated changes (entry, added, at). An entry is a domain, whi
 subdomains, or a domain with leading path segments. Changes become validity intervals [since, until);
 a capture looks up its host's suffixes of two labels or more and its path prefixes, as deep as the
 deepest entry of the list.
-Intervals are cut at the borders of periods, so that key and period are equal in the join and only
-the intervals that touch the capture's period are compared with its time: a host that holds a third
-of all captures is spread over all periods, and its whole history never meets each of its captures.
-All of it is DataFrame operations.
+The as-of join puts an entry's interval starts and the times at which captures ask for it into one order
+and carries the last start forward: what it carries to a time is the interval that began last, and the
+entry is active if that has not ended. The order is made within chunks of time, and chunks are tied by
+one row each, so an entry that a third of all captures ask for is spread over its chunks. Captures of
+the same key and time ask once. An interval is one row however long it is, so rows grow with changes
+and captures only. All of it is DataFrame operations.
 
 Defined cases: of changes at the same time a removal wins; repeated additions or removals change
 nothing; changes with a null field or a blank entry are left out; a capture with a null time or
@@ -23,9 +25,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Path segments that OP7_SQL looks up (its entries have one at most); seconds of a period in the join, and of a
-#: chunk of an entry's history.
-DEPTH, PERIOD, CHUNK = 2, 6 * 3600, 6 * 3600
+#: Path segments that OP7_SQL looks up (its entries have one at most); seconds of a chunk of an entry's history.
+DEPTH, CHUNK = 2, 6 * 3600
 
 
 def url_host(url: Column) -> Column:
@@ -80,21 +81,30 @@ def intervals(changes: DataFrame, chunk: int = CHUNK) -> DataFrame:
             .select("entry", F.col("at").alias("since"), F.coalesce("_lead", "_later").alias("until")))
 
 
-def judge(captures: DataFrame, changes: DataFrame, period: int = PERIOD) -> DataFrame:
+def as_of(asked: DataFrame, spans: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """entry, at and since of the ``asked`` (entry, at) that an interval of ``spans`` (entry, since, until) holds."""
+    starts = spans.select("entry", F.col("since").alias("at"), F.struct("since", "until").alias("span"))
+    line = starts.unionByName(asked.select("entry", "at").distinct(), allowMissingColumns=True)
+    line = line.withColumn("chunk", slot(F.col("at"), chunk))
+    # the last start up to a time in its chunk (starts come first at equal times), else that of an earlier chunk
+    within = Window.partitionBy("entry", "chunk").orderBy("at", F.col("span").isNull())
+    before = Window.partitionBy("entry").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = line.groupBy("entry", "chunk").agg(F.max("span").alias("_end"))
+    ends = ends.select("entry", "chunk", F.last("_end", ignorenulls=True).over(before).alias("_earlier"))
+    last = line.withColumn("_last", F.last("span", ignorenulls=True).over(within)).where("span is null").drop("span")
+    found = last.join(ends, ["entry", "chunk"]).select("entry", "at", F.coalesce("_last", "_earlier").alias("s"))
+    return found.where("s.until is null or at < s.until").where("s is not null").select("entry", "at", F.col("s.since").alias("since"))
+
+
+def judge(captures: DataFrame, changes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """page_id, url, fetched_at, listed, n_entries, entry and since of each different capture."""
     common.prepare(captures.sparkSession)
     captures = captures.select("page_id", "url", F.col("fetched_at").cast("timestamp").alias("fetched_at")).distinct()
-    first, last = captures.agg(F.min(slot(F.col("fetched_at"), period)), F.max(slot(F.col("fetched_at"), period))).first()
+    changes = common.written(changes.select("entry", "added", F.col("at").cast("timestamp").alias("at")), "changes")
     looked = (captures.where("fetched_at is not null")
-              .select("page_id", "url", "fetched_at", F.explode(lookup_keys(F.col("url"), entry_depth(changes))).alias("entry"))
-              .withColumn("period", slot(F.col("fetched_at"), period)))
-    bounds = F.lit(0 if first is None else first).cast("long"), F.lit(0 if last is None else last).cast("long")
-    spans = (intervals(changes)
-             .withColumn("_from", F.greatest(slot(F.col("since"), period), bounds[0]))
-             .withColumn("_to", F.least(F.coalesce(slot(F.col("until"), period), bounds[1]), bounds[1]))
-             .where("_from <= _to")
-             .select("entry", "since", "until", F.explode(F.sequence("_from", "_to")).alias("period")))
-    active = looked.join(spans, ["entry", "period"]).where("fetched_at >= since and (until is null or fetched_at < until)")
+              .select("page_id", "url", "fetched_at", F.explode(lookup_keys(F.col("url"), entry_depth(changes))).alias("entry")))
+    asked = looked.select("entry", F.col("fetched_at").alias("at")).join(changes.select("entry").distinct(), "entry", "left_semi")
+    active = looked.join(as_of(asked, intervals(changes, chunk), chunk).withColumnRenamed("at", "fetched_at"), ["entry", "fetched_at"])
     named = F.min_by(F.struct("entry", "since"), F.struct(-F.length("entry"), F.col("entry")))
     found = active.groupBy("page_id", "url", "fetched_at").agg(F.count(F.lit(1)).alias("n_entries"), named.alias("_top"))
     same = [F.col(f"c.{k}").eqNullSafe(F.col(f"f.{k}")) for k in ("page_id", "url", "fetched_at")]
@@ -107,8 +117,9 @@ def judge(captures: DataFrame, changes: DataFrame, period: int = PERIOD) -> Data
 def op7_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages against a list whose changes are dated by events.
 
-    A page is taken as fetched at a time that its id gives, within the month of the events. The event
-    of a page's number adds (error) or removes (purchase) its host, its domain or its first path.
+    A page is taken as fetched at a time that its id gives, within the month of the events. Every error
+    and purchase event adds (error) or removes (purchase) the host, the domain or the first path of the
+    page that its number gives modulo the number of pages.
     """
     pages = common.read(spark, sf_dir, "pages").select("page_id", "url")
     at = F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(2592000)))
@@ -118,7 +129,8 @@ def op7_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.when(kind == 0, host).when(kind == 1, F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")) \
              .otherwise(F.concat(host, F.lit("/"), first))
     events = common.read(spark, sf_dir, "events").where("event_type in ('error', 'purchase')")
-    changes = events.join(pages, F.col("event_id") == F.col("page_id")).select(
+    dealt = events.withColumn("page_id", F.pmod("event_id", F.lit(max(1, pages.count()))))
+    changes = dealt.join(pages, "page_id").select(
         entry.alias("entry"), (F.col("event_type") == "error").alias("added"), F.col("ts").alias("at"))
     found = judge(pages.withColumn("fetched_at", at), changes)
     return found.select("page_id", "url", F.unix_micros("fetched_at").alias("fetched_us"), "listed", "n_entries",
@@ -134,7 +146,7 @@ WITH p AS (
 changes AS (
   SELECT CASE user_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_extract(host, '([^.]+\.)?[^.]+$')
               ELSE host || '/' || coalesce(seg[1], '') END AS entry, event_type = 'error' AS added, ts AS changed
-  FROM events JOIN p ON page_id = event_id WHERE event_type IN ('error', 'purchase')),
+  FROM events JOIN p ON page_id = event_id % (SELECT count(*) FROM pages) WHERE event_type IN ('error', 'purchase')),
 once AS (SELECT entry, changed, bool_and(added) AS added FROM changes
          WHERE trim(entry) <> '' AND changed IS NOT NULL GROUP BY entry, changed),
 turns AS (SELECT entry, changed, added FROM once

@@ -1,6 +1,8 @@
 from datetime import datetime, timedelta
 import random
 
+import duckdb
+
 from pricefold.llm import urlfilter
 
 T0 = datetime(2024, 1, 1)
@@ -43,13 +45,39 @@ def test_random_histories_equal_brute_force(spark):
     changes = [(rng.choice(entries), rng.random() < 0.55, at(rng.randrange(-50, 420))) for _ in range(200)]
     c = spark.createDataFrame([(i, f"https://{h}{p}?z=1", t) for i, h, p, t in captures], "page_id long, url string, fetched_at timestamp")
     d = spark.createDataFrame(changes, "entry string, added boolean, at timestamp")
-    for period in (urlfilter.PERIOD, 3 * 86400):
-        got = [(r["page_id"], r["listed"], r["n_entries"], r["entry"], r["since"]) for r in urlfilter.judge(c, d, period).collect()]
+    for chunk in (urlfilter.CHUNK, 1800, 3 * 86400):
+        got = [(r["page_id"], r["listed"], r["n_entries"], r["entry"], r["since"]) for r in urlfilter.judge(c, d, chunk).collect()]
         assert sorted(got) == sorted(brute(captures, changes))
     spans = [tuple(r) for r in urlfilter.intervals(d, chunk=7200).collect()]
     assert sorted(spans, key=str) == sorted((tuple(r) for r in urlfilter.intervals(d).collect()), key=str)
 
 
+def test_five_years_take_no_row_per_period(spark):
+    changes = [("old.org", True, T0), ("on-off.org", True, T0), ("on-off.org", False, at(8000)), ("on-off.org", True, at(20_000))]
+    d = spark.createDataFrame(changes, "entry string, added boolean, at timestamp")
+    times = [0, 1, 7999, 8000, 19_999, 20_000, 43_800]
+    asked = spark.createDataFrame([(e, at(h)) for e in ("old.org", "on-off.org", "new.org") for h in times], "entry string, at timestamp")
+    spans = urlfilter.intervals(d)
+    assert spans.count() == 3  # as many rows as additions
+    got = {(r["entry"], r["at"]): r["since"] for r in urlfilter.as_of(asked, spans).collect()}
+    want = {("old.org", at(h)): T0 for h in times} | {("on-off.org", at(h)): at(0) for h in (0, 1, 7999)} \
+        | {("on-off.org", at(h)): at(20_000) for h in (20_000, 43_800)}
+    assert got == want
+
+
+def test_every_event_makes_an_entry(spark):
+    con = duckdb.connect()
+    for t in ("events", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    sql = urlfilter.OP7_SQL
+    start = sql.index("WITH p AS")
+    changes, total = con.execute(sql[start:sql.index("once AS")].rstrip().rstrip(",") + " SELECT (SELECT count(*) FROM changes), "
+                                 "(SELECT count(*) FROM events WHERE event_type IN ('error', 'purchase'))").fetchone()
+    assert changes == total > 100
+    want = con.execute(f"SELECT * FROM ({sql})").fetchall()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in urlfilter.op7_query(spark, "/root/testdata/sf0.001").collect())
+
+
 def test_deep_entries_match(spark):
     d = spark.createDataFrame([("x.org/a/b/c/d", True, at(0)), ("x.org/a/b", True, at(0))], "entry string, added boolean, at timestamp")
     urls = ["http://x.org/a/b/c/d", "http://x.org/a/b/c/d/e?z=1", "http://x.org/a/b/c", "http://x.org/a"]
