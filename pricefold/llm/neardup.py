@@ -16,10 +16,14 @@ pair between classes goes untested. Classes are the connected components of veri
 Bounds: at a similarity of 0.8 two texts miss all 32 bands of 5 with a probability of 3e-6, and the
 signature filter with less than 3e-4; both fall steeply above it.
 
+What is compared is different texts (by a 128-bit hash), never ids, so rows with equal ids are judged by
+their own texts and link nothing through the id.
+
 Defined cases: equal texts are one class; a text of fewer than five words is one shingle; a null or
-wordless text, or a null id, is in a class of its own (class_id is the id); the class id is the
-smallest id in the class; rows with equal ids are judged by their own texts; an empty table gives
-an empty result; other input columns are ignored.
+wordless text, or a null id, is in a class of its own (class_id is the id, class_key null); the class id
+is the smallest id in the class; where an id has several texts, classes may share it, and class_key, the
+least hash of the class's texts, tells them apart; an empty table gives an empty result; other input
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -233,30 +237,32 @@ def _left_over(buckets: DataFrame, comps: DataFrame, reps: DataFrame, texts: Dat
     return pairs.groupBy("task").cogroup(held.groupBy("task")).applyInPandas(verify_blocks, "a long, b long").distinct()
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, text_id (smallest id with the same text) and class_id of each row of ``docs`` (doc_id, text)."""
+KEY = F.unhex(F.md5(F.col("text").cast("binary")))
+
+
+def _members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, key, n and node of each row of ``docs``, and node, key and comp of each different text that is compared."""
     spark = docs.sparkSession
     common.prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    key = F.unhex(F.md5(F.col("text").cast("binary")))
-    signed = docs.select("doc_id", key.alias("key"), _signature("text").alias("s")) \
+    signed = docs.select("doc_id", KEY.alias("key"), _signature("text").alias("s")) \
                  .select("doc_id", "key", "s.n", "s.bands", "s.sketch")
     signed = common.written(signed, "signatures")
     usable = signed.where("doc_id is not null and n > 0")
-    firsts = usable.groupBy("key").agg(F.min("doc_id").alias("node"))
-    reps = usable.join(firsts.select("key", F.col("node").alias("doc_id")), ["key", "doc_id"], "left_semi") \
-                 .dropDuplicates(["doc_id", "key"]).withColumnRenamed("doc_id", "node")
+    firsts = usable.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    firsts = common.written(firsts.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    reps = usable.join(firsts, ["key", "doc_id"]).dropDuplicates(["node"])
     reps = common.written(reps, "texts")
     rows = reps.select("node", F.posexplode("bands").alias("band", "bkey"))
     ends = rows.groupBy("bkey").agg(F.min("node").alias("leader"), F.max("node").alias("_most")).where("leader < _most").drop("_most")
     buckets = common.written(rows.join(ends, "bkey"), "buckets")
-    wanted = buckets.select("node").distinct().join(reps.select("node", "key"), "node")
+    wanted = buckets.select("node").distinct().join(reps.select("node", "doc_id", "key"), "node")
     wanted = common.written(wanted, "wanted")
-    ids = wanted.select(F.col("node").alias("doc_id"), F.col("key").alias("_key"))
+    ids = wanted.withColumnRenamed("key", "_key")
     if wanted.count() <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
-    texts = docs.withColumn("_key", key).join(ids, ["doc_id", "_key"], "left_semi").select(F.col("doc_id").alias("node"), "text")
-    texts = common.written(texts.dropDuplicates(["node", "text"]), "candidates")
+    texts = docs.withColumn("_key", KEY).join(ids, ["doc_id", "_key"]).select("node", "text")
+    texts = common.written(texts.dropDuplicates(["node"]), "candidates")
     nodes = wanted.select("node").distinct()
 
     edges = tested = comps = None
@@ -279,33 +285,51 @@ def classes(docs: DataFrame) -> DataFrame:
     edges = edges.union(common.written(_left_over(buckets, comps, reps, texts), "links"))
     comps = common.written(_components(nodes, edges), "classes")
 
-    members = signed.select("doc_id", "key", "n").join(firsts, "key", "left").join(comps, "node", "left")
+    members = signed.select("doc_id", "key", "n").join(firsts.select("key", "node"), "key", "left")
+    return members, firsts.select("node", "key").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """doc_id, key, node, comp (the class; null for rows that aren't compared) and top: the first (doc_id, key) of the class."""
+    members, texts = _members(docs)
     compared = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    return members.select("doc_id", F.when(compared, F.col("node")).otherwise(F.col("doc_id")).alias("text_id"),
-                          F.when(compared, F.coalesce("comp", "node")).otherwise(F.col("doc_id")).alias("class_id"))
+    rows = members.join(texts.select("node", "comp"), "node", "left")
+    rows = rows.select("doc_id", "key", F.when(compared, F.col("node")).alias("node"), F.when(compared, F.col("comp")).alias("comp"))
+    rows = common.written(rows, "members")
+    tops = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "key")).alias("top"), F.min("key").alias("class_key"))
+    return rows.join(tops, "comp", "left")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, text_id (smallest id with the same text), class_id and class_key of each row of ``docs`` (doc_id, text)."""
+    rows = _judged(docs)
+    first = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("text_id"))
+    rows = rows.join(first, "node", "left")
+    return rows.select("doc_id", F.coalesce("text_id", "doc_id").alias("text_id"), F.coalesce("top.doc_id", "doc_id").alias("class_id"),
+                       F.lower(F.hex("class_key")).alias("class_key"))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest id; null ids and wordless texts all stay.
 
-    Of rows that share the id and the class one stays, too.
+    Where an id has several texts, each text is judged for itself; of rows equal in id and text one stays.
     """
-    spark = docs.sparkSession
-    found = common.written(classes(docs), "members")
-    gone = found.where("doc_id <> class_id").select("doc_id").distinct()
-    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    found = common.written(_judged(docs), "judged")
     small = lambda ids: F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+    gone = found.where((F.col("doc_id") != F.col("top.doc_id")) | (F.col("key") != F.col("top.key"))).select("doc_id").distinct()
+    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
         return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
-    # ids that several rows share are judged by text: the first row of each class among them stays
+    # ids that several rows share are judged by id and text
     again = common.written(again, "again")
     once = docs.join(small(again), "doc_id", "left_anti").join(small(gone), "doc_id", "left_anti").select(*docs.columns)
     shared = docs.join(small(again), "doc_id", "left_semi").select(*docs.columns)
-    shared = common.written(shared, "shared")
-    same = classes(docs.select("doc_id", "text")).where("doc_id = class_id").select("doc_id").distinct()
-    wordless = ~F.coalesce(F.col("text").rlike(r"[\p{L}\p{N}]"), F.lit(False))
-    kept = shared.where(~wordless).join(same, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(kept).unionByName(shared.where(wordless))
+    kept = found.where("comp is null or doc_id = top.doc_id and key = top.key").join(again, "doc_id", "left_semi")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("key").alias("_text"), F.col("comp").isNotNull().alias("_one")).distinct()
+    same = (F.col("doc_id") == F.col("_id")) & KEY.eqNullSafe(F.col("_text"))
+    shared = common.written(shared.join(kept, same).drop("_id", "_text"), "shared")
+    some = shared.where("_one").withColumn("_text", KEY).dropDuplicates(["doc_id", "_text"])
+    return once.unionByName(some.select(*docs.columns)).unionByName(shared.where("not _one").select(*docs.columns))
 
 
 def op6_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,3 +112,38 @@ def test_cases(spark):
     assert neardup.classes(docs(spark, [])).collect() == [] and neardup.deduplicate(docs(spark, [])).collect() == []
     alone = neardup.classes(docs(spark, [(1, "no copies of this one here"), (2, "something else, quite different")])).collect()
     assert sorted((r["doc_id"], r["class_id"]) for r in alone) == [(1, 1), (2, 2)]
+
+
+def test_one_id_with_two_texts_keeps_both_and_splits_the_classes(spark):
+    a, b, c = "the first text has words of its own", "another one that shares not a single shingle", "and a third text, alone in the world"
+    lone = docs(spark, [(1, a), (1, b), (4, c)])
+    assert sorted((r["doc_id"], r["text"]) for r in neardup.deduplicate(lone).collect()) == sorted([(1, a), (1, b), (4, c)])
+    rows = docs(spark, [(1, a), (1, b), (2, b), (3, a), (1, a), (5, c), (None, c), (5, None), (5, "")])
+    found = [(r["doc_id"], r["class_id"], r["class_key"]) for r in neardup.classes(rows).collect()]
+    assert sorted((d, k) for d, k, key in found if key and d) == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (5, 5)]
+    keys = {}
+    for d, _, key in found:
+        if key:
+            keys.setdefault(key, set()).add(d)
+    assert sorted(map(sorted, keys.values())) == [[1, 2], [1, 3], [5]]
+    kept = sorted(((r["doc_id"], r["text"]) for r in neardup.deduplicate(rows).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (5, c), (None, c), (5, None), (5, "")], key=str)
+
+
+def test_recall_by_similarity(spark):
+    # pairs of a text and an edited copy of it; the similarity that counts is the exact one
+    rng = random.Random(11)
+    rows, pairs = [], []
+    for k in range(400):
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randint(30, 200))]
+        copy = base[:]
+        for _ in range(rng.randint(1, 5)):
+            copy[rng.randrange(len(copy))] = "new"
+        pairs.append((2 * k, 2 * k + 1))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    text = dict(rows)
+    cut = {i: np.unique(neardup.shingles(t), return_counts=True) for i, t in rows}
+    like = {p: neardup.probability_jaccard(cut[p[0]], cut[p[1]]) for p in pairs}
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs(spark, rows)).collect()}
+    assert len(text) == 800 and all((got[a] == got[b]) == (s >= neardup.SIMILARITY) for (a, b), s in like.items())
+    assert min(sum(lo <= s < lo + 0.1 for s in like.values()) for lo in (0.6, 0.8, 0.9)) > 15
