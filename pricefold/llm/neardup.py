@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -237,7 +237,8 @@ def _left_over(buckets: DataFrame, comps: DataFrame, reps: DataFrame, texts: Dat
     return pairs.groupBy("task").cogroup(held.groupBy("task")).applyInPandas(verify_blocks, "a long, b long").distinct()
 
 
-KEY = F.unhex(F.md5(F.col("text").cast("binary")))
+def _text_key() -> Column:
+    return F.unhex(F.md5(F.col("text").cast("binary")))
 
 
 def _members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -245,7 +246,7 @@ def _members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     common.prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = docs.select("doc_id", KEY.alias("key"), _signature("text").alias("s")) \
+    signed = docs.select("doc_id", _text_key().alias("key"), _signature("text").alias("s")) \
                  .select("doc_id", "key", "s.n", "s.bands", "s.sketch")
     signed = common.written(signed, "signatures")
     usable = signed.where("doc_id is not null and n > 0")
@@ -261,7 +262,7 @@ def _members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ids = wanted.withColumnRenamed("key", "_key")
     if wanted.count() <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
-    texts = docs.withColumn("_key", KEY).join(ids, ["doc_id", "_key"]).select("node", "text")
+    texts = docs.withColumn("_key", _text_key()).join(ids, ["doc_id", "_key"]).select("node", "text")
     texts = common.written(texts.dropDuplicates(["node"]), "candidates")
     nodes = wanted.select("node").distinct()
 
@@ -326,9 +327,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     shared = docs.join(small(again), "doc_id", "left_semi").select(*docs.columns)
     kept = found.where("comp is null or doc_id = top.doc_id and key = top.key").join(again, "doc_id", "left_semi")
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("key").alias("_text"), F.col("comp").isNotNull().alias("_one")).distinct()
-    same = (F.col("doc_id") == F.col("_id")) & KEY.eqNullSafe(F.col("_text"))
+    same = (F.col("doc_id") == F.col("_id")) & _text_key().eqNullSafe(F.col("_text"))
     shared = common.written(shared.join(kept, same).drop("_id", "_text"), "shared")
-    some = shared.where("_one").withColumn("_text", KEY).dropDuplicates(["doc_id", "_text"])
+    some = shared.where("_one").withColumn("_text", _text_key()).dropDuplicates(["doc_id", "_text"])
     return once.unionByName(some.select(*docs.columns)).unionByName(shared.where("not _one").select(*docs.columns))
 
 
