@@ -11,7 +11,9 @@ token_set_ratio(a, b) on whitespace tokens A, B (published definition):
 Plans (both exact): distinct processed queries against the category's
 deduplicated choices.  ``broadcast`` (pool within a measured bound): one
 scan per query with numpy postings (first subset candidate = 100, LCS only
-where the bound reaches the running best).  ``join`` (any pool size): block
+where the bound reaches the running best).  ``index`` (any pool size):
+candidates from an inverted index; a query whose best candidate is above the
+bound of all others is done (``fuzzy_index``), the rest goes to ``join``: block
 nested loop - pool chunks x query salts meet in ``cogroup.applyInPandas``
 tasks of bounded size; no pair rows are emitted; the best across chunks is
 a partial-aggregable ``max(struct)``.
@@ -27,6 +29,8 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as TX
+from ..session import cut_lineage
+from .fuzzy_index import best_indexed
 from .joins import MAX_SHARED_BYTES, frame_bytes, spread
 from .matching import POOL_KEY
 
@@ -299,13 +303,19 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
                  .withColumn("is_accessory", TX.is_accessory(F.col("qproc"))))
     ch = choices(catalog)
     if plan == "auto":
-        plan = "broadcast" if frame_bytes(ch) <= max_pool_bytes else "join"
+        plan = "broadcast" if frame_bytes(ch) <= max_pool_bytes else "index"
     if plan == "broadcast":
         return _final_broadcast(q, ch, catalog.schema["product_id"].dataType.simpleString(), float(threshold))
     keys = ch.select(F.col("key").alias("qcat")).distinct().withColumn("has_pool", F.lit(True))
     q = q.join(keys, "qcat", "left")
     cand = q.where(~F.col("is_accessory") & F.col("has_pool").isNotNull())
-    b = best_blocked(cand, ch, catalog.schema["product_id"].dataType.simpleString(), pool_block, query_block)
+    id_type = catalog.schema["product_id"].dataType.simpleString()
+    if plan == "index":
+        done = cut_lineage(best_indexed(cand, ch, id_type).where("settled").drop("settled"))
+        cand = cand.join(done.select("qcat", "qproc"), ["qcat", "qproc"], "left_anti")
+        b = done.unionByName(best_blocked(cand, ch, id_type, pool_block, query_block))
+    else:
+        b = best_blocked(cand, ch, id_type, pool_block, query_block)
     r = q.join(b, ["qcat", "qproc"], "left")
     raw = F.coalesce(F.col("raw_score"), F.lit(0.0))
     acc = F.col("is_accessory")
