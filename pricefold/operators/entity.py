@@ -4,7 +4,8 @@ Stages, each on records not yet grouped:
 1. rule: records with the same token signature in the same category;
 2. fuzzy: every record still alone links to its best token-set-ratio partner
    among the other names of its category (one edge per record, never all
-   pairs), kept when the score reaches the threshold;
+   pairs), kept when the score reaches the threshold; with ``links="all"`` every
+   pair of names of a category from the threshold on is linked (``similar_names``);
 then connected components over the name graph, until nothing changes.  A name
 without signature tokens has no stage-1 edge, and blank names stay alone.
 3. cosine (with an ``encoder``): every record without an edge so far links to the
@@ -23,6 +24,7 @@ from . import fuzzy, vector
 from .components import connected_components
 from .encoder import Encoder
 from .joins import MAX_SHARED_BYTES, frame_bytes, spread
+from .similar_names import similar_links
 
 
 def _name_nodes(records: DataFrame, name_col: str, category_col: str) -> DataFrame:
@@ -78,7 +80,7 @@ def _fuzzy_edges(nodes: DataFrame, singles: DataFrame, threshold: float, max_poo
 def entity_groups(records: DataFrame, name_col: str = "product_name_clean", category_col: str = "category",
                   fuzzy_threshold: float = K.CATALOG_BUILD_FUZZY_THRESHOLD,
                   max_pool_bytes: int = MAX_SHARED_BYTES, plan: str = "auto", encoder: Encoder | None = None,
-                  vector_threshold: float = K.CATALOG_BUILD_VECTOR_THRESHOLD) -> DataFrame:
+                  vector_threshold: float = K.CATALOG_BUILD_VECTOR_THRESHOLD, links: str = "best") -> DataFrame:
     """(cat, proc, node, group_node) per name node; records join on (cat, proc)."""
     nodes = _name_nodes(records, name_col, category_col)
     # stage 1: one edge per node to the first node of its signature group
@@ -90,8 +92,11 @@ def entity_groups(records: DataFrame, name_col: str = "product_name_clean", cate
     alone = F.coalesce(F.col("sig_rows"), F.col("n_rows")) == 1
     singles = n1.where(alone & (F.col("proc") != "")).select("cat", "proc", "node")
     named = nodes.where(F.col("proc") != "")
-    e2 = _fuzzy_edges(named, singles, fuzzy_threshold, max_pool_bytes, plan)
-    edges = e1.unionByName(e2.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    if links == "all":
+        e2 = similar_links(named.select(F.col("cat").alias("key"), "node", F.col("proc").alias("name")), fuzzy_threshold)
+    else:
+        e2 = _fuzzy_edges(named, singles, fuzzy_threshold, max_pool_bytes, plan).select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    edges = e1.unionByName(e2)
     if encoder is not None:
         edges = cut_lineage(edges)
         linked = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
