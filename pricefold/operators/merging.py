@@ -3,19 +3,21 @@
 The layout does not depend on size: a header row per product (or group) with
 its statistics, which are partial aggregates, and an offer row per offer with
 its position.  Positions come from counts per (product, day) plus the order
-within a day, so a product with very many offers is spread over its days.
+within a day, and a day beyond a bound is ordered in stretches (``ranking``),
+so a product with very many offers is spread, also where all are of one day.
 ``nested`` folds the offer rows into the one nested record per product that a
 JSON sink wants; only that step needs all offers of a product in one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions.text import non_blank
+from .ranking import with_position
 
 def exact_mean2(x) -> F.Column:
     """Mean rounded HALF_UP to 2 decimals, independent of summation order:
@@ -78,21 +80,6 @@ def product_stats(matched: DataFrame, matched_by: str = "rule") -> DataFrame:
 OFFER_TIES = ["source", "url", "seller", "price", "currency", "availability", "is_anomaly"]
 
 
-def with_position(rows: DataFrame, key: str, part, order: list) -> DataFrame:
-    """``rows`` with ``position`` (from 1) within ``key``: by ``part`` descending (null last), then ``order``.
-
-    Rows are numbered within (key, part) and moved on by the rows of the parts
-    before, one count each, so no task orders all rows of a large key."""
-    parts = rows.withColumn("_part", part)
-    before = Window.partitionBy(key).orderBy(F.col("_part").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    counts = parts.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select(F.col(key).alias("_k"), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    number = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order))
-    same = F.col(key).eqNullSafe(F.col("_k")) & F.col("_part").eqNullSafe(F.col("_p"))
-    return (parts.withColumn("_i", number).join(counts, same)
-                 .withColumn("position", F.col("_before") + F.col("_i")).drop("_part", "_k", "_p", "_before", "_i"))
-
-
 def product_offers(matched: DataFrame) -> DataFrame:
     """A2 offers: one row per offer with product_id and position."""
     o = with_source_fallback(matched).select("product_id", offer_struct().alias("o")).select("product_id", "o.*")
