@@ -30,16 +30,29 @@ def wrong_category_cases(catalog: DataFrame, n: int = K.TEST_SET_PER_CATEGORY) -
     return s.join(other, "category").select(F.col("canonical_name").alias("query"), F.col("other").alias("category"))
 
 
+def near_miss_cases(catalog: DataFrame, n: int = K.TEST_SET_PER_CATEGORY, seed: int = K.TEST_SET_SEED) -> DataFrame:
+    """A11 negatives close to a product: a sampled product's name with its last word taken from the next
+    sampled product of the category (the first follows the last), where no product has that name."""
+    s = sample_per_category(catalog, n, seed)
+    words = F.split(F.trim("canonical_name"), r"\s+")
+    w = Window.partitionBy("category").orderBy("product_id")     # n rows of a category
+    last = F.element_at(words, -1)
+    other = F.coalesce(F.lead(last).over(w), F.first(last).over(w))
+    name = F.array_join(F.concat(F.slice(words, 1, F.size(words) - 1), F.array(other)), " ")
+    cases = s.where(F.size(words) > 1).select(name.alias("query"), "category").distinct()
+    return cases.join(catalog.select(F.col("canonical_name").alias("query"), "category"), ["query", "category"], "left_anti")
+
+
 def negatives_frame(spark: SparkSession) -> DataFrame:
     rows = [(q, c) for q, c in K.ACCESSORY_NEGATIVES]
     return spark.createDataFrame(rows, "query string, category string")
 
 
-def build_test_set(catalog: DataFrame, n: int = K.TEST_SET_PER_CATEGORY) -> DataFrame:
+def build_test_set(catalog: DataFrame, n: int = K.TEST_SET_PER_CATEGORY, seed: int = K.TEST_SET_SEED) -> DataFrame:
     """O6 + U1: three query variants per sampled product, plus the fixed
     accessory negatives.  Columns: case_id, query, category,
     expected_product_id, test_type."""
-    s = sample_per_category(catalog, n)
+    s = sample_per_category(catalog, n, seed)
     name = F.col("canonical_name")
     variants = F.array(
         F.struct(name.alias("query"), F.lit("clean").alias("test_type")),

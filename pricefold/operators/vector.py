@@ -5,10 +5,12 @@ within its category, first in catalog order on ties, accept >= threshold.  A
 query without a category is matched against the whole catalog; one whose
 category has no vectors has no candidates.
 
-Plans (both exact):
+Plans (all exact):
 * ``broadcast``: the catalog matrix per category is broadcast while its
   measured bytes are within a bound; each Arrow batch of queries is scored by
   matrix products of bounded size;
+* ``pruned`` (any size): only blocks that may hold a better vector by the
+  triangle inequality on angles are visited (``vector_pruned``);
 * ``join`` (any size): block nested loop - catalog chunks x query salts per
   category meet in bounded ``cogroup.applyInPandas`` tasks, no pair rows;
   partial-aggregable ``max(struct)`` across chunks.
@@ -25,9 +27,12 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as TX
-from .encoder import Encoder, hashed_ngrams
+from . import embedding_store, quality
+from .encoder import Encoder
 from .joins import spread
+from .latent import latent_ngrams
 from .matching import POOL_KEY
+from .vector_pruned import best_pruned
 
 #: Bytes of the catalog's vectors up to which they are broadcast, and of one product of a block.
 MAX_MATRIX_BYTES = 64 << 20
@@ -143,10 +148,12 @@ def match_vectors(queries: DataFrame, catalog: DataFrame, threshold: float = K.V
     if plan == "auto":
         # what the matrix takes in memory: 8 bytes a number, some more a row
         size = pool.agg(F.sum(F.size("embedding") * 8 + 200)).first()[0] or 0
-        plan = "broadcast" if size <= max_bytes else "join"
+        plan = "broadcast" if size <= max_bytes else "pruned"
     id_type, qid_type = (df.schema[c].dataType.simpleString() for df, c in ((catalog, "product_id"), (queries, "query_id")))
     if plan == "broadcast":
         best = _best_broadcast(queries, pool, id_type, qid_type)
+    elif plan == "pruned":
+        best, _ = best_pruned(queries, pool)
     else:
         best = _best_join(queries, pool, id_type, qid_type, block)
     r = queries.select("query_id").join(best, "query_id", "left")
@@ -179,22 +186,57 @@ def representatives(catalog: DataFrame) -> DataFrame:
     return first.withColumn("ord", F.struct(F.coalesce("category", F.lit("")).alias("c"), F.col("canonical_name").alias("n")))
 
 
-def match_listings(listings: DataFrame, catalog: DataFrame, threshold: float = K.VECTOR_THRESHOLD,
+#: Another draw of products than the labelled test set's, for fitting a threshold.
+FIT_SEED = K.TEST_SET_SEED + 1
+
+
+def fit_threshold(catalog: DataFrame, encoder: Encoder, n: int = K.TEST_SET_PER_CATEGORY) -> float:
+    """The threshold of best F1 (A11, in steps of 0.01) for an encoder's scores.
+
+    Cases are drawn from the catalog: name variants of products, against products asked for where they
+    aren't sold and names that miss a product by a word. A variant whose best product is another one counts
+    as a negative. Without a case the published threshold stands."""
+    pos = quality.build_test_set(catalog, n, FIT_SEED).where("test_type <> 'accessory'").select("query", "category", "expected_product_id")
+    neg = quality.wrong_category_cases(catalog, n).unionByName(quality.near_miss_cases(catalog, n, FIT_SEED))
+    cases = pos.unionByName(neg.withColumn("expected_product_id", F.lit(None).cast("string")))
+    scored = match_listings(cases, catalog, -1.0, encoder, name_col="query")
+    right = F.coalesce(F.col("product_id").cast("string") == F.col("expected_product_id"), F.lit(False))
+    sweep = quality.threshold_sweep(scored.select(right.alias("is_positive"), (F.col("match_score") * 100).alias("raw_score")), range(30, 100))
+    best = sweep.where("is_best and tp > 0").first()
+    return best["threshold"] / 100 if best else K.VECTOR_THRESHOLD
+
+
+def match_listings(listings: DataFrame, catalog: DataFrame, threshold: float | None = None,
                    encoder: Encoder | None = None, name_col: str = "product_name_clean",
-                   category_col: str = "category", plan: str = "auto") -> DataFrame:
+                   category_col: str = "category", plan: str = "auto", store: str | None = None,
+                   encoder_version: str | None = None) -> DataFrame:
     """Listings with their MatchResult columns by the vector matcher.
 
     Accessories are filtered first; the rest is stripped of noise words, encoded
     (each different name once) and matched within its category, or against the
-    whole catalog without one.  ``encoder`` replaces the hashed n-grams."""
+    whole catalog without one.  Without an ``encoder`` one is learned from the
+    catalog and, unless given, the threshold fitted to it; with one, the
+    published threshold is the default.  With a ``store`` (a folder, J9) the
+    catalog's vectors are kept there and only what changed is encoded; that
+    takes an ``encoder`` and its ``encoder_version``."""
+    if store and not (encoder and encoder_version):
+        raise ValueError("a store takes an encoder and its version")
     reps = representatives(catalog)
     names = reps.withColumn("text", F.col("canonical_name"))
-    encoder = encoder or hashed_ngrams(names)
+    if encoder is None:
+        encoder = latent_ngrams(names)
+        threshold = fit_threshold(catalog, encoder) if threshold is None else threshold
+    threshold = K.VECTOR_THRESHOLD if threshold is None else threshold
     order = reps.select("product_id", "canonical_name", "category", "ord")
     # a dense number keeps the sort order of (category, name) for the scoring kernels
     numbered = order.orderBy("ord").select("product_id", F.monotonically_increasing_id().alias("_ord"))
-    vectors = (encoder(names).select("product_id", "category", "embedding").join(numbered, "product_id")
-               .withColumnRenamed("_ord", "ord"))
+    if store:
+        embedding_store.sync(store, names.select("product_id", "text"), encoder, encoder_version)
+        kept = embedding_store.read(names.sparkSession, store).select("product_id", "embedding")
+        vectors = names.select("product_id", "category").join(kept, "product_id")
+    else:
+        vectors = encoder(names).select("product_id", "category", "embedding")
+    vectors = vectors.join(numbered, "product_id").withColumnRenamed("_ord", "ord")
     key = [F.coalesce(F.col(name_col), F.lit("")).alias("_name"), F.coalesce(F.col(category_col), F.lit("")).alias("_cat")]
     distinct = listings.select(*key).distinct().withColumn("_acc", TX.is_accessory(F.lower("_name")))
     query = F.concat_ws("\u0001", "_cat", "_name")

@@ -576,7 +576,8 @@ def model_responses(spark, sf):
                     F.length("text").cast("string"), F.lit(',99 €", "availability": "'),
                     F.when(F.col("turn") % 2 == 0, F.lit("in_stock")).otherwise(F.lit("Auf Lager")),
                     F.lit('", "url": "https://m.example/'), F.col("conv_id").cast("string"), F.lit('"}'))
-    resp = (F.when(F.col("turn") % 3 == 0, F.concat(F.lit("["), item, F.lit("]")))
+    tail = F.when(F.col("conv_id") % 5 == 0, F.lit(" and some words")).otherwise(F.lit(""))   # no JSON any more
+    resp = (F.when(F.col("turn") % 3 == 0, F.concat(F.lit("["), item, F.lit("]"), tail))
              .when(F.col("turn") % 3 == 1, F.concat(F.lit("```json\n["), item, F.lit("]\n```")))
              .otherwise(F.col("text")))
     return c.select(F.concat(F.lit("shop_"), (F.col("conv_id") % 3).cast("string")).alias("source"),
@@ -586,7 +587,7 @@ def model_responses(spark, sf):
 
 MODEL_RESP_SQL = """
 resp AS (SELECT 'shop_' || CAST(conv_id % 3 AS VARCHAR) AS source,
-  CASE WHEN turn % 3 = 0 THEN '[' || item || ']' WHEN turn % 3 = 1 THEN '```json' || chr(10) || '[' || item || ']' || chr(10) || '```'
+  CASE WHEN turn % 3 = 0 THEN '[' || item || ']' || CASE WHEN conv_id % 5 = 0 THEN ' and some words' ELSE '' END WHEN turn % 3 = 1 THEN '```json' || chr(10) || '[' || item || ']' || chr(10) || '```'
        ELSE text END AS response, length(text) AS input_tokens, turn * 10 AS output_tokens, conv_id, turn
   FROM (SELECT *, '{"product_name": "' || trim(regexp_replace(text, '[^A-Za-z ]', '', 'g'))
               || '", "price": "' || CAST(length(text) AS VARCHAR) || ',99 €", "availability": "'
@@ -793,10 +794,12 @@ def _fuzzy_cases(spark, sf):
 @register("threshold_sweep")
 def q_threshold_sweep(spark, sf):
     """Fuzzy scores computed once (threshold 0): the labelled positives against
-    products asked for in a category that doesn't sell them, thresholds 60..95."""
+    products asked for in a category that doesn't sell them and names that miss a product by a word,
+    thresholds 60..95."""
     catalog = tables.catalog(spark, sf)
     pos = quality.build_test_set(catalog).where("test_type <> 'accessory'").select("query", "category", F.lit(True).alias("is_positive"))
-    cases = pos.unionByName(quality.wrong_category_cases(catalog).withColumn("is_positive", F.lit(False)))
+    neg = quality.wrong_category_cases(catalog).unionByName(quality.near_miss_cases(catalog))
+    cases = pos.unionByName(neg.withColumn("is_positive", F.lit(False)))
     m = FZ.match_queries(cases, catalog, threshold=0.0, name_col="query")
     keyed = cases.select("is_positive", TX.fuzzy_normalize(F.col("query")).alias("qproc"),
                          F.coalesce(F.col("category"), F.lit("")).alias("qcat"))
@@ -829,7 +832,7 @@ def q_unified_prices_fuzzy(spark, sf):
 
 @register("unified_prices_vector")
 def q_unified_prices_vector(spark, sf):
-    """The full pipeline with the vector matcher (hashed n-gram encoder)."""
+    """The full pipeline with the vector matcher (encoder and threshold learned from the catalog)."""
     return pipeline.unified_prices(spark, sf, "vector")
 
 
@@ -1157,3 +1160,36 @@ def q_source_preview(spark, sf):
     """Head-3 preview per source of the cleaned listings."""
     c = pipeline.cleaned_listings(spark, sf)
     return reporting.preview_per_source(c, 3).select("source", "product_name_clean", "url", "scrape_timestamp")
+
+
+# ============================================================== embedding store
+from ..operators import embedding_store as STORE  # noqa: E402
+
+
+@register("embedding_store", """
+WITH c AS (SELECT p_partkey AS product_id, concat_ws(' ', p_brand, p_name) AS text FROM part),
+s1 AS (SELECT product_id, text, 'one' AS encoder, 1 AS version FROM c WHERE product_id % 13 <> 0),
+w2 AS (SELECT product_id, CASE WHEN product_id % 7 = 0 THEN text || ' v2' ELSE text END AS text FROM c WHERE product_id % 11 <> 0),
+s2 AS (SELECT w.product_id, w.text, 'one' AS encoder, CASE WHEN s.text = w.text THEN 1 ELSE 2 END AS version FROM w2 w LEFT JOIN s1 s USING (product_id)),
+w3 AS (SELECT * FROM w2 UNION ALL SELECT * FROM c WHERE product_id % 22 = 0),
+s3 AS (SELECT w.product_id, w.text, 'one' AS encoder, coalesce(s.version, 3) AS version FROM w3 w LEFT JOIN s2 s USING (product_id)),
+s4 AS (SELECT product_id, text, 'two' AS encoder, 4 AS version FROM w3),
+a AS (SELECT 1 AS as_of, * FROM s1 UNION ALL SELECT 2, * FROM s2 UNION ALL SELECT 3, * FROM s3 UNION ALL SELECT 4, * FROM s4)
+SELECT as_of, product_id, md5(text) AS fingerprint, encoder, CAST(version AS INTEGER) AS version, CAST(length(text) AS INTEGER) AS said FROM a""")
+def q_embedding_store(spark, sf):
+    """The catalog as of four versions of its store: first load, new names and removals, products that come
+    back, another encoder. The stored vector holds the text's length, which shows what was encoded when."""
+    c = tables.catalog(spark, sf).select("product_id", F.col("canonical_name").alias("text"))
+    n, text = F.col("product_id"), F.col("text")
+    second = c.where(n % 11 != 0).withColumn("text", F.when(n % 7 == 0, F.concat(text, F.lit(" v2"))).otherwise(text))
+    third = second.unionByName(c.where(n % 22 == 0))
+    path = new_folder(spark, "embeddings")
+    encode = lambda df: df.withColumn("embedding", F.array(F.length("text").cast("float")))
+    for state, encoder in ((c.where(n % 13 != 0), "one"), (second, "one"), (third, "one"), (third, "two")):
+        STORE.sync(path, state, encode, encoder)
+    states = [STORE.read(spark, path, v).select(F.lit(v).alias("as_of"), "product_id", "fingerprint", "encoder", "version",
+                                                F.col("embedding")[0].cast("int").alias("said")) for v in (1, 2, 3, 4)]
+    out = states[0]
+    for s in states[1:]:
+        out = out.unionByName(s)
+    return out

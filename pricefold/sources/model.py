@@ -22,9 +22,12 @@ MODEL_ITEM = T.ArrayType(T.StructType([
 
 
 def parse_response(c: Column) -> Column:
-    """Fence-stripped text parsed as array<struct>; null unless a JSON array."""
+    """Fence-stripped text parsed as array<struct>; null unless it is a JSON array and nothing else."""
     t = F.regexp_replace(F.regexp_replace(c, K.CODE_FENCE_PATTERN, ""), r"^(?U)\s+|(?U)\s+$", "")
-    return F.when(t.startswith("["), F.from_json(t, MODEL_ITEM))
+    # a closing field behind the text: where the text ends early or goes on, that field can't be read
+    schema = T.StructType([T.StructField("rows", MODEL_ITEM), T.StructField("_end", T.IntegerType())])
+    doc = F.from_json(F.concat(F.lit('{"rows":'), t, F.lit(',"_end":1}')), schema)
+    return F.when(t.startswith("[") & (doc["_end"] == 1), doc["rows"])
 
 
 def model_rows(responses: DataFrame, category: Column, scraped_at: Column | None = None) -> DataFrame:

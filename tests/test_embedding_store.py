@@ -1,0 +1,82 @@
+"""Embedding store: what is encoded when, reading as of a version, compaction, half-written versions."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from pricefold.operators import embedding_store as store
+from pricefold.operators import vector
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "product_id long, text string")
+
+
+def encoder(seen):
+    def encode(df):
+        seen.append(sorted(r["product_id"] for r in df.select("product_id").collect()))
+        return df.withColumn("embedding", F.array(F.length(F.coalesce("text", F.lit(""))).cast("float")))
+    return encode
+
+
+def state(spark, path, as_of=None):
+    return {r["product_id"]: (r["embedding"][0], r["encoder"], r["version"]) for r in store.read(spark, path, as_of).collect()}
+
+
+def test_changes_only_are_encoded(spark, tmpdir_fresh):
+    path, seen = f"{tmpdir_fresh}/s", []
+    e = encoder(seen)
+    with pytest.raises(ValueError):
+        store.read(spark, path)
+    assert store.sync(path, frame(spark, [(1, "a"), (2, "bb"), (3, None)]), e, "m1") == {"version": 1, "encoded": 3, "removed": 0}
+    assert store.sync(path, frame(spark, [(1, "a"), (2, "bb"), (3, None)]), e, "m1") == {"version": 1, "encoded": 0, "removed": 0}
+    # 2 gets another name, 3 goes, 4 is new
+    assert store.sync(path, frame(spark, [(1, "a"), (2, "bbbb"), (4, "x")]), e, "m1") == {"version": 2, "encoded": 2, "removed": 1}
+    # 3 comes back with the same text; 2 takes its old name again
+    assert store.sync(path, frame(spark, [(1, "a"), (2, "bb"), (3, None), (4, "x")]), e, "m1") == {"version": 3, "encoded": 2, "removed": 0}
+    assert store.sync(path, frame(spark, [(1, "a"), (4, "x")]), e, "m2") == {"version": 4, "encoded": 2, "removed": 2}
+    assert seen == [[1, 2, 3], [], [2, 4], [2, 3], [1, 4]]
+    want = {1: {1: (1, "m1", 1), 2: (2, "m1", 1), 3: (0, "m1", 1)}, 2: {1: (1, "m1", 1), 2: (4, "m1", 2), 4: (1, "m1", 2)},
+            3: {1: (1, "m1", 1), 2: (2, "m1", 3), 3: (0, "m1", 3), 4: (1, "m1", 2)}, 4: {1: (1, "m2", 4), 4: (1, "m2", 4)}}
+    for v, rows in want.items():
+        assert state(spark, path, v) == rows
+    assert state(spark, path) == want[4]
+    # compaction keeps what is readable from its version on
+    assert store.compact(spark, path, 3) == 3 and store.versions(spark, path) == [3, 4]
+    assert {k: v[:2] for k, v in state(spark, path, 3).items()} == {k: v[:2] for k, v in want[3].items()}
+    assert state(spark, path) == want[4]
+    with pytest.raises(ValueError):
+        store.read(spark, path, 2)
+    assert store.compact(spark, path) == 4 and state(spark, path) == want[4] and store.compact(spark, path) == 4
+
+
+def test_a_version_without_success_is_no_version(spark, tmpdir_fresh):
+    path = f"{tmpdir_fresh}/s"
+    e = encoder([])
+    store.sync(path, frame(spark, [(1, "a")]), e, "m")
+    store.sync(path, frame(spark, [(1, "aa")]), e, "m")
+    os.remove(f"{path}/version=2/_SUCCESS")
+    assert store.versions(spark, path) == [1] and state(spark, path) == {1: (1, "m", 1)}
+    assert store.sync(path, frame(spark, [(1, "aaa")]), e, "m")["version"] == 2
+    assert state(spark, path) == {1: (3, "m", 2)}
+
+
+def test_the_matcher_reads_the_store(spark, tmpdir_fresh):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    count = F.array(*[F.length("text") - F.length(F.replace(F.lower("text"), F.lit(c), F.lit(""))) for c in letters]).cast("array<double>")
+    seen = []
+
+    def encode(df):
+        seen.append(df.count())
+        size = F.sqrt(F.aggregate(count, F.lit(0.0), lambda a, x: a + x * x))
+        return df.withColumn("embedding", F.transform(count, lambda x: (x / F.greatest(size, F.lit(1.0))).cast("float")))
+    catalog = spark.createDataFrame([(1, "Alpha Beta", "x", 1), (2, "Gamma Delta", "x", 2)], "product_id long, canonical_name string, category string, ord long")
+    listings = spark.createDataFrame([("alpha beta", "x"), ("gamma delta", "x")], "product_name_clean string, category string")
+    path = f"{tmpdir_fresh}/s"
+    for _ in range(2):
+        got = vector.match_listings(listings, catalog, encoder=encode, store=path, encoder_version="letters")
+        assert sorted(r["product_id"] for r in got.collect()) == [1, 2]
+    assert seen == [2, 2, 0, 2]      # catalog and listings; then nothing of the catalog
+    with pytest.raises(ValueError):
+        vector.match_listings(listings, catalog, store=path)
