@@ -150,8 +150,10 @@ def upsert(existing: DataFrame, incoming: DataFrame, pos_col: str = "_pos", keys
     """
     keys = list(keys)
     cols = [c for c in existing.columns if c != pos_col]
-    e = existing.select(*cols, F.col(pos_col).cast("long").alias("_p"), F.lit(0).alias("_seq"))
-    i = incoming.select(*cols, F.col(pos_col).cast("long").alias("_p"), F.lit(1).alias("_seq"))
+    kind = incoming.schema[pos_col].dataType    # a number, or a structure of numbers: whatever has an order
+    kind = kind if isinstance(kind, T.StructType) else T.LongType()
+    e = existing.select(*cols, F.col(pos_col).cast(kind).alias("_p"), F.lit(0).alias("_seq"))
+    i = incoming.select(*cols, F.col(pos_col).cast(kind).alias("_p"), F.lit(1).alias("_seq"))
     allr = e.unionByName(i).withColumn("_key", F.trim(F.coalesce(F.col("url"), F.lit(""))))
     blank = allr.where(F.col("_key") == "")
     keyed = allr.where(F.col("_key") != "")
@@ -180,12 +182,19 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def position(batch: Column, file: Column, place: Column) -> Column:
+    """Where a record came in: its batch, its file's rank in batch and partition, and its place in the file.
+
+    Structures compare field by field, so no field has a bound that another one would run into."""
+    return F.struct(batch.cast("long").alias("batch"), file.cast("long").alias("file"), place.cast("long").alias("place"))
+
+
 def save(spark: SparkSession, records: DataFrame, table: str, batch: int | None = None) -> None:
     """Merge ``records`` into the partitions they touch and replace those.
 
     ``records`` has the partition columns (``PARTS``), ``_file`` and ``_i``,
     which give the incoming order.  Positions grow with the batch, so nothing
-    is renumbered: a partition's merged order is that of ``_pos``.  A batch that
+    is renumbered: a partition's merged order is that of ``_pos`` (batch, file, place).  A batch that
     is saved again (the same number, after a failure) replaces its rows without
     a URL, which would be appended twice; the others meet their own URL.
     Without a number the next one is taken."""
@@ -202,9 +211,8 @@ def save(spark: SparkSession, records: DataFrame, table: str, batch: int | None
     same = F.lit(True)
     for c in [*PARTS, "_file"]:
         same = same & F.col(c).eqNullSafe(F.col("_j_" + c))
-    # batch, file and place in the file as one number: 2^20 files of 2^24 records in a partition and batch
-    place = F.lit(batch) * (1 << 44) + F.col("_f").cast("long") * (1 << 24) + F.col("_i")
-    incoming = (records.join(files, same).withColumn("_pos", place.cast("long")).withColumn("_batch", F.lit(batch).cast("long"))
+    place = position(F.lit(batch), F.col("_f"), F.col("_i"))
+    incoming = (records.join(files, same).withColumn("_pos", place).withColumn("_batch", F.lit(batch).cast("long"))
                        .drop("_file", "_i", "_f", *["_j_" + c for c in [*PARTS, "_file"]]))
     incoming = cut_lineage(incoming)
     if existing is None:
