@@ -4,11 +4,12 @@ Legacy layout (one JSON array per file)::
 
     {root}/{source}/{category}/{yyyy}/{mm}/{dd}/products.json
 
-A scan reads the tree's glob, one row per whole file, with the partition
-columns parsed from the file path.  Filters on them are filters on file
-metadata, so Spark drops the other files before it opens them, and no path
-list passes through the driver.  Each file is parsed as a whole document: one
-that is not a JSON array, or has anything behind it, is skipped as a unit.
+A scan reads one row per whole file, with the partition columns parsed from
+the file path.  Sources, category and dates choose folders before files are
+listed (``tree``): with dates, the days' folders; without, Spark lists what is
+below the sources' or categories' folders itself, in parallel.  Each file is
+parsed as a whole document: one that is not a JSON array, or has anything
+behind it, is skipped as a unit.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from .tree import Tree
 
 RAW_RECORD = T.StructType([
     T.StructField("product_name", T.StringType()),
@@ -49,32 +51,29 @@ def path_parts(path) -> dict:
     return {"source": part[0], "category": part[1], "run_date": F.when(digits, day)}
 
 
-def _globs(spark: SparkSession, root: str, sources, category: str | None) -> list:
-    """Globs with at least one match (Hadoop FS metadata call, no content)."""
-    out = []
-    for src in sources or ["*"]:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{src}/{category or '*'}/*/*/*/{K.RAW_FILE_NAME}")
-        found = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(jpath)
-        if found is not None and len(found) > 0:
-            out.append(jpath.toString())
-    return out
+def _read(spark: SparkSession, tree: Tree, paths: list[str]) -> DataFrame:
+    """path, source, category, run_date and value of the raw files at the tree's depth below ``paths``; bad dates dropped."""
+    if not paths:
+        return spark.createDataFrame([], "path string, source string, category string, run_date date, value string")
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", K.RAW_FILE_NAME).text(paths, wholetext=True)
+    path = F.col("_metadata.file_path")
+    parts = path_parts(path)
+    names = F.filter(F.split(F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/"), lambda n: n != "")
+    keep = parts["run_date"].isNotNull() & (F.size(names) == tree.depth() + 6)
+    return files.where(keep).select(path.alias("path"), *[c.alias(k) for k, c in parts.items()], "value")
 
 
 def scan(spark: SparkSession, root: str, sources=None, category: str | None = None,
          start_date: dt.date | None = None, end_date: dt.date | None = None) -> DataFrame:
     """path, source, category, run_date and value (whole text) of the tree's files with a valid date."""
-    globs = _globs(spark, root, sources, category)
-    if not globs:
-        return spark.createDataFrame([], "path string, source string, category string, run_date date, value string")
-    files = spark.read.text(globs, wholetext=True)
-    path = F.col("_metadata.file_path")
-    parts = path_parts(path)
-    keep = parts["run_date"].isNotNull()
-    if start_date:
-        keep = keep & (parts["run_date"] >= F.lit(start_date))
-    if end_date:
-        keep = keep & (parts["run_date"] <= F.lit(end_date))
-    return files.where(keep).select(path.alias("path"), *[c.alias(k) for k, c in parts.items()], "value")
+    tree = Tree(spark, root)
+    if start_date or end_date:
+        paths = [folder for s, c in tree.categories(sources, category) for _, folder in tree.days(s, c, start_date, end_date)]
+    elif category:
+        paths = [f"{tree.root}/{s}/{c}" for s, c in tree.categories(sources, category)]
+    else:
+        paths = [f"{tree.root}/{s}" for s in sources or tree.names(tree.root)]
+    return _read(spark, tree, [p for p in paths if tree.exists(p)])
 
 
 def list_partitions(spark: SparkSession, root: str, sources=None, category: str | None = None,
@@ -126,13 +125,9 @@ def load_latest(spark: SparkSession, root: str, source: str | None = None,
                 category: str | None = None) -> DataFrame:
     """Per (source, category) only the partition with the greatest
     valid date; an unreadable latest file yields nothing (no fallback)."""
-    files = scan(spark, root, [source] if source else None, category)
-    # one row per (source, category); their dates become a filter on file paths
-    latest = files.groupBy("source", "category").agg(F.max("run_date").alias("run_date")).collect()
-    if not latest:
-        return read_files(files)
-    wanted = F.create_map(*[x for r in latest for x in (F.lit(f"{r['source']}/{r['category']}"), F.lit(r["run_date"]))])
-    return read_files(files.where(F.try_element_at(wanted, F.concat_ws("/", "source", "category")) == F.col("run_date")))
+    tree = Tree(spark, root)
+    found = [tree.latest_file(s, c) for s, c in tree.categories([source] if source else None, category)]
+    return read_files(_read(spark, tree, [f for f in found if f]))
 
 
 # ------------------------------------------------------------------ S6 / W5
@@ -150,10 +145,10 @@ def upsert(existing: DataFrame, incoming: DataFrame, pos_col: str = "_pos", keys
     """
     keys = list(keys)
     cols = [c for c in existing.columns if c != pos_col]
-    kind = incoming.schema[pos_col].dataType    # a number, or a structure of numbers: whatever has an order
-    kind = kind if isinstance(kind, T.StructType) else T.LongType()
-    e = existing.select(*cols, F.col(pos_col).cast(kind).alias("_p"), F.lit(0).alias("_seq"))
-    i = incoming.select(*cols, F.col(pos_col).cast(kind).alias("_p"), F.lit(1).alias("_seq"))
+    # a number, or a structure of numbers: whatever has an order
+    place = F.col(pos_col) if isinstance(incoming.schema[pos_col].dataType, T.StructType) else F.col(pos_col).cast("long")
+    e = existing.select(*cols, place.alias("_p"), F.lit(0).alias("_seq"))
+    i = incoming.select(*cols, place.alias("_p"), F.lit(1).alias("_seq"))
     allr = e.unionByName(i).withColumn("_key", F.trim(F.coalesce(F.col("url"), F.lit(""))))
     blank = allr.where(F.col("_key") == "")
     keyed = allr.where(F.col("_key") != "")

@@ -143,3 +143,47 @@ def test_trailing_text_skips_the_file(spark, tmpdir_fresh):
     from pricefold.operators import cleaning
     cleaned = {r["product_name"]: r["price_clean"] for r in cleaning.clean(raw.iter_records(spark, root)).collect()}
     assert cleaned == {"good": 49.999, "text": 123.0}
+
+
+def test_dates_list_only_their_folders(spark, tmpdir_fresh):
+    import datetime as dt
+
+    from pricefold.sources.tree import Tree
+    root = tmpdir_fresh + "/raw"
+    for y in (2023, 2024):
+        for m in (1, 2, 12):
+            for d in (1, 15, 28):
+                _write(f"{root}/amazon_de/laptops/{y}/{m:02}/{d:02}/products.json", [_rec(f"{y}-{m}-{d}")])
+    _write(f"{root}/amazon_de/laptops/2024/02/xx/products.json", [_rec("no date")])
+    _write(f"{root}/amazon_de/laptops/2024/02/30/products.json", [_rec("no such day")])
+    _write(f"{root}/amazon_de/laptops/2024/02/15/deeper/products.json", [_rec("too deep")])
+    os.makedirs(f"{root}/amazon_de/laptops/2024/12/31")      # the latest day has no file
+    tree = Tree(spark, root)
+    start, end = dt.date(2024, 2, 10), dt.date(2024, 2, 29)
+    days = [str(d) for d, _ in tree.days("amazon_de", "laptops", start, end)]
+    at = f"{root}/amazon_de/laptops"
+    assert days == ["2024-02-28", "2024-02-15"] and tree.listed == [at, f"{at}/2024", f"{at}/2024/02"]
+    names = lambda df: sorted(r["product_name"] for r in df.collect())
+    assert names(raw.iter_records(spark, root, start_date=start, end_date=end)) == ["2024-2-15", "2024-2-28"]
+    assert names(raw.iter_records(spark, root, end_date=dt.date(2023, 1, 20))) == ["2023-1-1", "2023-1-15"]
+    assert len(names(raw.iter_records(spark, root))) == 18 and names(raw.iter_records(spark, root, start_date=dt.date(2030, 1, 1))) == []
+    assert names(raw.load_latest(spark, root)) == ["2024-12-28"]
+    again = Tree(spark, root)
+    assert again.latest_file("amazon_de", "laptops") == f"{at}/2024/12/28/products.json"
+    assert again.listed == [at, f"{at}/2024", f"{at}/2024/12"]
+    assert raw.iter_records(spark, tmpdir_fresh + "/none").collect() == [] and raw.load_latest(spark, tmpdir_fresh + "/none").collect() == []
+
+
+def test_positions_have_no_bounds(spark, tmpdir_fresh):
+    table = f"{tmpdir_fresh}/table"
+    big = 1 << 40                 # places, files and batches far beyond what one packed number would hold
+    rows = [("a", None, 1 + big), ("b", None, 2 + big), ("c", None, 1)]
+    cols = "product_name string, url string, _i long"
+    part = [F.lit("s").alias("source_key"), F.lit("c").alias("category_key"), F.lit("2024-01-01").cast("date").alias("run_date")]
+    first = spark.createDataFrame(rows, cols).select("*", *part, F.lit("f1").alias("_file"))
+    raw.save(spark, first, table, batch=big)
+    second = spark.createDataFrame([("d", None, 0), ("e", "u", 5), ("f", "u", 6)], cols).select("*", *part, F.lit("f0").alias("_file"))
+    raw.save(spark, second, table, batch=big + 1)
+    got = spark.read.parquet(table).orderBy("_pos").collect()
+    assert [r["product_name"] for r in got] == ["c", "a", "b", "d", "f"]
+    assert (got[1]["_pos"]["batch"], got[1]["_pos"]["place"]) == (big, 1 + big)
