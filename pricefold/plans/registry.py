@@ -1193,3 +1193,26 @@ def q_embedding_store(spark, sf):
     for s in states[1:]:
         out = out.unionByName(s)
     return out
+
+
+# ============================================================== stored medians
+from ..operators import median_store as MEDIANS  # noqa: E402
+
+
+@register("stored_medians", with_views(CLEANED_CTES + """,
+y AS (SELECT DISTINCT year(scrape_timestamp) AS upto FROM norm WHERE scrape_timestamp IS NOT NULL),
+last AS (SELECT min(upto) AS upto FROM y UNION SELECT max(upto) FROM y)
+SELECT CAST(upto AS INTEGER) AS upto, category, round(median(price_clean), 6) AS category_median
+FROM norm JOIN last ON year(scrape_timestamp) <= upto WHERE price_clean IS NOT NULL GROUP BY upto, category"""))
+def q_stored_medians(spark, sf):
+    """A1's medians from a store that the listings' years are added to one by one: after the first and after the last."""
+    n = cleaning.normalize_keys(tables.listings(spark, sf), tables.LISTING_CATEGORY_MAP)
+    n = cut_lineage(n.select("category", "price_clean", F.year("scrape_timestamp").alias("y")).where("y is not null"))
+    years = [r["y"] for r in n.select("y").distinct().orderBy("y").collect()]
+    path, out = new_folder(spark, "medians"), None
+    for y in years:
+        MEDIANS.add_day(n.where(F.col("y") == y), path, str(y))
+        if y in (years[0], years[-1]):
+            state = cut_lineage(MEDIANS.stored_medians(spark, path).select(F.lit(y).alias("upto"), "category", F.round("category_median", 6).alias("category_median")))
+            out = state if out is None else out.unionByName(state)
+    return out
