@@ -15,7 +15,9 @@ Plan shape:
     scored over the postings of its tokens;
   - ``join``: an equi-join of exploded query tokens with exploded catalog
     signatures on (category key, token), pair dedupe, overlap by
-    ``array_intersect`` and a partial-aggregable ``max(struct)`` argmax.
+    ``array_intersect`` and a partial-aggregable ``max(struct)`` argmax;
+* ``prefix`` is exact for accepted rows: only the rarest tokens of a signature
+  have postings, so many that no product reaches the threshold without one.
 """
 
 from __future__ import annotations
@@ -127,6 +129,36 @@ def _score_join(q: DataFrame, idx: DataFrame, hot_postings: int = DEFAULT_HOT_PO
                      "best_canonical_name", "best_category"))
 
 
+# ------------------------------------------------------------- prefix plan
+def prefix_postings(idx: DataFrame, threshold: float) -> DataFrame:
+    """key, token, product_id: the ``n - ceil(t n) + 1`` rarest of a signature's ``n`` tokens, by their frequency
+    in the key. A query that shares ``t n`` tokens with the product shares one of these."""
+    ix = idx.select("key", "product_id", F.explode("sig").alias("token"))
+    df = ix.groupBy("key", "token").agg(F.count(F.lit(1)).alias("df"))
+    ranked = ix.join(df, ["key", "token"]).groupBy("key", "product_id").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("r"))
+    n = F.size("r")
+    # the score is a division of doubles: a hair more postings, never one too few
+    lead = n - F.greatest(F.lit(1), F.ceil(n * F.lit(float(threshold)) - F.lit(1e-9))) + 1
+    return ranked.select("key", "product_id", F.explode(F.slice("r", F.lit(1), F.greatest(lead, F.lit(1)).cast("int"))["token"]).alias("token"))
+
+
+def _score_prefix(q: DataFrame, idx: DataFrame, threshold: float) -> DataFrame:
+    """Best product of each query among those that reach the threshold."""
+    q = cut_lineage(q.select("qname", "qcat", TX.token_signature(F.col("qname")).alias("toks")).withColumn("qid", F.monotonically_increasing_id()))
+    lead = prefix_postings(idx, threshold).withColumnRenamed("key", "qcat")
+    pairs = q.select("qid", "qcat", F.explode("toks").alias("token")).join(lead, ["qcat", "token"]).select("qid", "qcat", "product_id").distinct()
+    product = idx.select(F.col("key").alias("qcat"), "product_id", "sig", "sig_size", "cat_first", "ord")
+    score = F.size(F.array_intersect("toks", "sig")) / F.col("sig_size")
+    scored = pairs.join(product, ["qcat", "product_id"]).join(q.select("qid", "toks"), "qid").withColumn("score", score).where(F.col("score") >= F.lit(threshold))
+    best = F.max(F.struct("score", (-F.col("cat_first")).alias("ncf"), (-F.col("ord")).alias("nord"), "product_id"))
+    top = scored.groupBy("qid", "qcat").agg(best.alias("b")).select("qid", "qcat", "b.score", "b.product_id")
+    names = idx.select(F.col("key").alias("qcat"), "product_id", F.col("canonical_name").alias("best_canonical_name"),
+                       F.col("category").alias("best_category"))
+    return (q.select("qid", "qname", "qcat").join(top, ["qid", "qcat"]).join(names, ["qcat", "product_id"])
+             .select("qname", "qcat", F.col("score").alias("best_score"), F.col("product_id").alias("best_product_id"),
+                     "best_canonical_name", "best_category"))
+
+
 # ---------------------------------------------------------- broadcast plan
 def _build_index(rows: pd.DataFrame) -> dict:
     out = {}
@@ -180,7 +212,9 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
                   plan: str = "auto", max_index_bytes: int = MAX_SHARED_BYTES,
                   intended_display_part: bool = False,
                   hot_postings: int = DEFAULT_HOT_POSTINGS) -> DataFrame:
-    """One result row per distinct (qname, qcat): MatchResult columns."""
+    """One result row per distinct (qname, qcat): MatchResult columns.
+
+    With ``plan="prefix"`` only rows that reach the threshold are scored: the others' ``match_score`` is 0."""
     q = _distinct_queries(listings, name_col, category_col,
                           intended_display_part=intended_display_part)
     idx = indexed_catalog(catalog)
@@ -190,7 +224,7 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
     if plan == "broadcast":
         return _final_broadcast(q, idx, threshold, id_type)
     cand = q.where(~F.col("is_accessory")).select("qname", "qcat")
-    best = _score_join(cand, idx, hot_postings)
+    best = _score_prefix(cand, idx, threshold) if plan == "prefix" else _score_join(cand, idx, hot_postings)
     r = q.join(best, ["qname", "qcat"], "left")
     s = F.coalesce(F.col("best_score"), F.lit(0.0))
     ok = ~F.col("is_accessory") & (s >= F.lit(threshold)) & F.col("best_product_id").isNotNull()
@@ -211,6 +245,10 @@ def attach(listings: DataFrame, matches: DataFrame, name_col: str = "product_nam
     return keyed.join(matches, ["qname", "qcat"], "left").drop("qname", "qcat")
 
 
+#: Different token arrays that a task remembers the result of.
+MEMO_ROWS = 100_000
+
+
 def _score_rows(index: dict, cats, toks_list, memo: dict):
     """Best (score, product_id, canonical_name, category) per row, memoised
     on the (category key, token tuple) within one task."""
@@ -231,6 +269,8 @@ def _score_rows(index: dict, cats, toks_list, memo: dict):
                     k = int(np.argmax(scores))
                     j = int(at[k])
                     hit = (float(scores[k]), pids[j], names[j], pcats[j])
+            if len(memo) >= MEMO_ROWS:
+                memo.clear()
             memo[key] = hit
         out.append(hit)
     return out

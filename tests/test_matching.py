@@ -218,3 +218,33 @@ def test_vector_labels(spark):
     for plan in ("broadcast", "join"):
         got = {r["query_id"]: (r["product_id"], r["match_method"]) for r in vector.match_vectors(q, c, plan=plan).collect()}
         assert got == {1: (None, "below_threshold"), 2: (None, "no_candidates"), 3: (10, "cosine_similarity")}
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.65, 0.8, 1.0])
+def test_prefix_plan_equals_the_join_for_accepted_rows(spark, threshold):
+    cleaned = pipeline.cleaned_listings(spark, SF_SMALL)
+    cat = tables.catalog(spark, SF_SMALL)
+    accepted = lambda plan: {(r["qname"], r["qcat"]): (r["product_id"], r["match_score"])
+                             for r in matching.match_queries(cleaned, cat, threshold, plan=plan).where("match_method = 'token_overlap'").collect()}
+    want = accepted("join")
+    assert accepted("prefix") == want and want
+    # postings: n - ceil(t n) + 1 of a signature's n tokens
+    idx = matching.indexed_catalog(cat)
+    n = idx.agg(F.sum("sig_size")).first()[0]
+    read = matching.prefix_postings(idx, threshold).count()
+    assert read == sum(max(1, r[0] - max(1, -(-r[0] * int(threshold * 100) // 100)) + 1) for r in idx.select("sig_size").collect())
+    assert read < n if threshold > 0.3 else read <= n
+
+
+def test_prefix_plan_on_random_names(spark):
+    import random
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(25)]
+    cat = spark.createDataFrame([(k, " ".join(rng.sample(words, rng.randint(1, 7))), rng.choice("xy"), k) for k in range(150)] + [(900, "", "x", 900)],
+                                "product_id long, canonical_name string, category string, ord long")
+    lst = spark.createDataFrame([(" ".join(rng.sample(words, rng.randint(1, 9))), rng.choice(["x", "y", None, "z"])) for _ in range(200)] + [("", "x"), (None, None)],
+                                "product_name_clean string, category string")
+    for t in (0.5, 2 / 3, 0.75):
+        rows = {p: {(r["qname"], r["qcat"]): (r["product_id"], r["match_score"]) for r in
+                    matching.match_queries(lst, cat, t, plan=p).where("product_id is not null").collect()} for p in ("join", "prefix")}
+        assert rows["prefix"] == rows["join"]
