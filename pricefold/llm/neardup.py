@@ -241,8 +241,9 @@ def _text_key() -> Column:
     return F.unhex(F.md5(F.col("text").cast("binary")))
 
 
-def _members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc_id, key, n and node of each row of ``docs``, and node, key and comp of each different text that is compared."""
+def _judged(docs: DataFrame) -> DataFrame:
+    """doc_id, key, text_id, comp (the class), top (the class's first doc_id and key) and class_key of each row of
+    ``docs``; the last four are null for rows that aren't compared."""
     spark = docs.sparkSession
     common.prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -286,26 +287,17 @@ def _members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = edges.union(common.written(_left_over(buckets, comps, reps, texts), "links"))
     comps = common.written(_components(nodes, edges), "classes")
 
-    members = signed.select("doc_id", "key", "n").join(firsts.select("key", "node"), "key", "left")
-    return members, firsts.select("node", "key").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-
-
-def _judged(docs: DataFrame) -> DataFrame:
-    """doc_id, key, node, comp (the class; null for rows that aren't compared) and top: the first (doc_id, key) of the class."""
-    members, texts = _members(docs)
+    # what a class has in common is worked out per different text, and joined to the rows once
+    texts = firsts.withColumnRenamed("doc_id", "text_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    tops = texts.groupBy("comp").agg(F.min(F.struct(F.col("text_id").alias("doc_id"), "key")).alias("top"), F.min("key").alias("class_key"))
+    rows = signed.select("doc_id", "key", "n").join(texts.join(tops, "comp").drop("node"), "key", "left")
     compared = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    rows = members.join(texts.select("node", "comp"), "node", "left")
-    rows = rows.select("doc_id", "key", F.when(compared, F.col("node")).alias("node"), F.when(compared, F.col("comp")).alias("comp"))
-    rows = common.written(rows, "members")
-    tops = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "key")).alias("top"), F.min("key").alias("class_key"))
-    return rows.join(tops, "comp", "left")
+    return rows.select("doc_id", "key", *(F.when(compared, F.col(c)).alias(c) for c in ("text_id", "comp", "top", "class_key")))
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, text_id (smallest id with the same text), class_id and class_key of each row of ``docs`` (doc_id, text)."""
     rows = _judged(docs)
-    first = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("text_id"))
-    rows = rows.join(first, "node", "left")
     return rows.select("doc_id", F.coalesce("text_id", "doc_id").alias("text_id"), F.coalesce("top.doc_id", "doc_id").alias("class_id"),
                        F.lower(F.hex("class_key")).alias("class_key"))
 
