@@ -49,13 +49,6 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else None)
 
 
-def nfkc_col(s: Column) -> Column:
-    """NFKC of a string column; only the non-ASCII rows go through the Arrow UDF
-    (ASCII text is its own NFKC form)."""
-    non_ascii = s.rlike(r"[^\x00-\x7F]")
-    return F.coalesce(nfkc(F.when(non_ascii, s)), s)
-
-
 def clean_name(c, use_nfkc: bool = True) -> Column:
     """Name normalisation, same result as the reference order:
 
@@ -65,12 +58,14 @@ def clean_name(c, use_nfkc: bool = True) -> Column:
     Two regex passes instead of five: the hyphen family is a ``translate``;
     dropping and whitespace collapsing are one replace of every run of
     characters outside the keep class (whitespace is outside it too) by one
-    space; a blank input ends up empty by the same steps.
+    space; a blank input ends up empty by the same steps.  Texts without ``<``
+    skip the tag pass, ASCII texts (as many bytes as characters) NFKC and ``translate``.
     """
-    s = F.regexp_replace(F.coalesce(_col(c), F.lit("")), K.HTML_TAG_PATTERN, " ")
-    if use_nfkc:
-        s = nfkc_col(s)
-    s = F.translate(s, K.HYPHEN_CHARS, "-" * len(K.HYPHEN_CHARS))
+    raw = F.coalesce(_col(c), F.lit(""))
+    s = F.when(raw.contains("<"), F.regexp_replace(raw, K.HTML_TAG_PATTERN, " ")).otherwise(raw)
+    wide = F.when(F.octet_length(s) != F.char_length(s), s)
+    wide = nfkc(wide) if use_nfkc else wide
+    s = F.coalesce(F.translate(wide, K.HYPHEN_CHARS, "-" * len(K.HYPHEN_CHARS)), s)
     s = F.regexp_replace(s, K.DROP_RUN_PATTERN, " ")
     return F.trim(F.lower(s))
 

@@ -110,12 +110,12 @@ def dedup_latest(df: DataFrame, keys=DEDUP_KEYS, ts_col: str = "scrape_timestamp
     has_keys = F.lit(True)
     for k in keys:
         has_keys = has_keys & F.col(k).isNotNull()
-    order = F.struct(F.col(ts_col).isNotNull().alias("_has_ts"), F.col(ts_col).alias("_ts"),
-                     *[F.col(c) for c in tie_cols])
-    # A leading 64-bit hash of the key gives the sort-based aggregation a
-    # radix-sortable prefix, so string keys are compared only on hash ties.
+    # a null is the least value, so rows without a timestamp come last
+    order = F.struct(F.col(ts_col).alias("_ts"), *[F.col(c) for c in tie_cols])
+    # A leading 32-bit hash of the key gives the sort-based aggregation a short
+    # sort prefix, so string keys are compared only on hash ties.
     return (df.withColumn("_rid", F.when(~has_keys, F.monotonically_increasing_id()))
-              .withColumn("_h", F.xxhash64(*keys, "_rid"))
+              .withColumn("_h", F.hash(*keys, "_rid"))
               .groupBy("_h", *keys, "_rid").agg(F.max(order).alias("_b"))
               .select(*[F.col(c) if c in keys else
                         (F.col("_b._ts") if c == ts_col else F.col("_b." + c)).alias(c)

@@ -22,6 +22,7 @@ Plan shape:
 
 from __future__ import annotations
 
+import re
 from typing import Iterator
 
 import numpy as np
@@ -52,9 +53,11 @@ def indexed_catalog(catalog: DataFrame) -> DataFrame:
     Products with an empty signature are skipped; among products with the
     same (key, signature) only the first can ever win, so only it is kept.
     """
-    c = (catalog.select("product_id", "canonical_name", "category", "ord")
-                .withColumn("sig", F.array_sort(TX.token_signature(F.col("canonical_name"))))
-                .where(F.size("sig") > 0))
+    # of equal names in a category the first product stands for all, so a name is cut into tokens once
+    named = catalog.groupBy("category", "canonical_name").agg(F.min(F.struct("ord", "product_id")).alias("f"))
+    c = (named.select("f.product_id", "canonical_name", "category", "f.ord")
+              .withColumn("sig", F.array_sort(TX.token_signature(F.col("canonical_name"))))
+              .where(F.size("sig") > 0))
     # a product without a category is found through the pool only
     first = catalog.groupBy(F.col("category").alias("_c")).agg(F.min("ord").alias("cat_first"))
     c = c.join(first, F.col("category").eqNullSafe(F.col("_c"))).drop("_c")
@@ -74,7 +77,7 @@ def _distinct_queries(listings: DataFrame, name_col: str, category_col: str,
 
 
 # --------------------------------------------------------------- join plan
-DEFAULT_HOT_POSTINGS = 10_000
+DEFAULT_HOT_POSTINGS = 128
 
 
 def _score_join(q: DataFrame, idx: DataFrame, hot_postings: int = DEFAULT_HOT_POSTINGS) -> DataFrame:
@@ -217,7 +220,7 @@ def match_queries(listings: DataFrame, catalog: DataFrame, threshold: float = K.
     With ``plan="prefix"`` only rows that reach the threshold are scored: the others' ``match_score`` is 0."""
     q = _distinct_queries(listings, name_col, category_col,
                           intended_display_part=intended_display_part)
-    idx = indexed_catalog(catalog)
+    idx = cut_lineage(indexed_catalog(catalog))
     if plan == "auto":
         plan = "broadcast" if frame_bytes(idx) <= max_index_bytes else "join"
     id_type = catalog.schema["product_id"].dataType.simpleString()
@@ -245,41 +248,70 @@ def attach(listings: DataFrame, matches: DataFrame, name_col: str = "product_nam
     return keyed.join(matches, ["qname", "qcat"], "left").drop("qname", "qcat")
 
 
-#: Different token arrays that a task remembers the result of.
+#: Different token sets that a task remembers the result of.
 MEMO_ROWS = 100_000
+NO_HIT = (0.0, None, None, None)
+TOKENS = re.compile(K.TOKEN_PATTERN)
+
+
+def _best_hit(entry: tuple, toks: tuple) -> tuple:
+    """Best (score, product_id, canonical_name, category) of a category key's entry for the tokens, all of which
+    have postings."""
+    postings, sizes, pids, names, pcats = entry
+    at = np.concatenate([postings[t] for t in toks])
+    # only products that share a token; the first best in catalog order
+    if len(sizes) <= 8 * len(at):
+        shared = np.bincount(at, minlength=len(sizes))
+        j = int(np.argmax(shared / sizes))
+        score = shared[j] / sizes[j]
+    else:
+        at, shared = np.unique(at, return_counts=True)
+        scores = shared / sizes[at]
+        k = int(np.argmax(scores))
+        j, score = int(at[k]), scores[k]
+    return float(score), pids[j], names[j], pcats[j]
+
+
+def _hit(index: dict, cat, toks, memo: dict) -> tuple:
+    """The best product of a query's different tokens. Those that no product of the category key has don't count,
+    so queries that share the others are scored once in a task."""
+    entry = index.get(cat)
+    if entry is None or toks is None:
+        return NO_HIT
+    key = (cat, tuple(sorted(t for t in toks if t in entry[0])))
+    if not key[1]:
+        return NO_HIT
+    hit = memo.get(key)
+    if hit is None:
+        hit = _best_hit(entry, key[1])
+        if len(memo) >= MEMO_ROWS:
+            memo.clear()
+        memo[key] = hit
+    return hit
 
 
 def _score_rows(index: dict, cats, toks_list, memo: dict):
-    """Best (score, product_id, canonical_name, category) per row, memoised
-    on the (category key, token tuple) within one task."""
-    out = []
-    for cat, toks in zip(cats, toks_list):
-        key = (cat, tuple(toks) if toks is not None else ())
-        hit = memo.get(key)
-        if hit is None:
-            hit = (0.0, None, None, None)
-            entry = index.get(cat)
-            if entry is not None and key[1]:
-                postings, sizes, pids, names, pcats = entry
-                hits = [postings[t] for t in key[1] if t in postings]
-                if hits:
-                    # only products that share a token; the first best in catalog order
-                    at, shared = np.unique(np.concatenate(hits), return_counts=True)
-                    scores = shared / sizes[at]
-                    k = int(np.argmax(scores))
-                    j = int(at[k])
-                    hit = (float(scores[k]), pids[j], names[j], pcats[j])
-            if len(memo) >= MEMO_ROWS:
-                memo.clear()
-            memo[key] = hit
-        out.append(hit)
-    return out
+    """Best (score, product_id, canonical_name, category) per row."""
+    return [_hit(index, cat, toks, memo) for cat, toks in zip(cats, toks_list)]
+
+
+def _score_names(index: dict, cats: pd.Series, names: pd.Series, memo: dict) -> pd.DataFrame:
+    """score, product_id, canonical_name and pcat per row: each different (category key, lower-cased name) of a
+    batch is looked up once."""
+    cat, _ = pd.factorize(cats)
+    name, found = pd.factorize(names)
+    _, first, at = np.unique(cat * (len(found) + 1) + name, return_index=True, return_inverse=True)
+    hits = [_hit(index, c, set(TOKENS.findall(n)), memo) for c, n in zip(cats.iloc[first], names.iloc[first])]
+    out = pd.DataFrame({"score": [h[0] for h in hits], "product_id": pd.Series([h[1] for h in hits], dtype="object"),
+                        "canonical_name": pd.Series([h[2] for h in hits], dtype="object"),
+                        "pcat": pd.Series([h[3] for h in hits], dtype="object")})
+    return out.iloc[at].reset_index(drop=True)
 
 
 def _attach_broadcast(listings: DataFrame, idx: DataFrame, threshold: float, id_type: str,
                       name_col: str, category_col: str, intended_display_part: bool) -> DataFrame:
     """Map-side matching: a scalar Arrow UDF scores each listing row against
-    the broadcast index.  Only the category key and the token array cross
+    the broadcast index.  Only the category key and the lower-cased name cross
     into Python; Spark keeps the other columns and zips the result back, so
     there is no shuffle and no join.  A per-task memo serves repeated names."""
     spark = listings.sparkSession
@@ -291,16 +323,13 @@ def _attach_broadcast(listings: DataFrame, idx: DataFrame, threshold: float, id_
     memo: dict = {}
 
     @F.pandas_udf(out_type)
-    def best_product(cats: pd.Series, toks: pd.Series) -> pd.DataFrame:
-        res = _score_rows(bc.value, cats, toks, memo)
-        return pd.DataFrame({"score": [r[0] for r in res],
-                             "product_id": pd.Series([r[1] for r in res], dtype="object"),
-                             "canonical_name": [r[2] for r in res], "pcat": [r[3] for r in res]})
+    def best_product(cats: pd.Series, names: pd.Series) -> pd.DataFrame:
+        return _score_names(bc.value, cats, names, memo)
 
     qname, qcat = query_key(name_col, category_col)
     acc = TX.is_accessory(qname, intended_display_part)
     x = listings.withColumn("_acc", acc).withColumn(
-        "_m", best_product(qcat, F.when(~F.col("_acc"), TX.token_signature(qname))))
+        "_m", best_product(qcat, F.when(F.col("_acc"), F.lit("")).otherwise(qname)))
     s = F.coalesce(F.col("_m.score"), F.lit(0.0))
     ok = ~F.col("_acc") & (s >= F.lit(threshold)) & F.col("_m.product_id").isNotNull()
     return x.select(
@@ -321,7 +350,7 @@ def match_rule(listings: DataFrame, catalog: DataFrame, threshold: float = K.RUL
     ``broadcast`` plan (index within ``max_index_bytes``): map-side scoring of
     every row, no shuffle.  ``join`` plan: distinct queries scored by the
     inverted-index join, then joined back to the listings."""
-    idx = indexed_catalog(catalog)
+    idx = cut_lineage(indexed_catalog(catalog))
     if plan == "auto":
         plan = "broadcast" if frame_bytes(idx) <= max_index_bytes else "join"
     if plan == "broadcast":

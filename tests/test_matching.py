@@ -2,6 +2,7 @@
 
 import re
 
+import pandas as pd
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
@@ -248,3 +249,14 @@ def test_prefix_plan_on_random_names(spark):
         rows = {p: {(r["qname"], r["qcat"]): (r["product_id"], r["match_score"]) for r in
                     matching.match_queries(lst, cat, t, plan=p).where("product_id is not null").collect()} for p in ("join", "prefix")}
         assert rows["prefix"] == rows["join"]
+
+
+def test_tokens_without_postings_are_not_scored_again():
+    idx = pd.DataFrame([("c", ["lamp", "red"], 2, 0, 0, 1, "Red lamp", "c"), ("c", ["chair", "red"], 2, 0, 1, 2, "Red chair", "c")],
+                       columns=["key", "sig", "sig_size", "cat_first", "ord", "product_id", "canonical_name", "category"])
+    memo = {}
+    hits = matching._score_rows(matching._build_index(idx), ["c"] * 5, [["red", "chair"], ["new", "chair", "red"], ["chair", "red", "16gb"], ["new"], None], memo)
+    assert [h[1] for h in hits] == [2, 2, 2, None, None] and [h[0] for h in hits] == [1.0, 1.0, 1.0, 0.0, 0.0]
+    assert len(memo) == 1
+    names = matching._score_names(matching._build_index(idx), pd.Series(["c", "x", "c"]), pd.Series(["red chair (new)", "red chair", ""]), memo)
+    assert names["product_id"].tolist() == [2, None, None] and names["score"].tolist() == [1.0, 0.0, 0.0]
