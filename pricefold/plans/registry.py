@@ -1029,7 +1029,7 @@ def q_page_layouts(spark, sf):
 
 
 # ============================================================== files
-from ..session import new_folder  # noqa: E402
+from ..session import new_folder, written  # noqa: E402
 from ..sources import sinks as SINKS  # noqa: E402
 
 
@@ -1061,7 +1061,7 @@ SELECT product_id, count(*) AS offers, count(*) AS offer_count, min(canonical_na
 FROM matched WHERE product_id IS NOT NULL GROUP BY product_id"""))
 def q_sink_round_trip(spark, sf):
     """Nested unified records written by category and day, and read back with their offers."""
-    m = cut_lineage(matching.matched_only(pipeline.matched_listings(spark, sf)))
+    m = written(matching.matched_only(pipeline.matched_listings(spark, sf)), "matched")
     root = new_folder(spark, "unified")
     SINKS.write_unified(merging.unified_records(m), root)
     back = spark.read.schema("product_id long, canonical_name string, offer_count long, prices array<struct<price:double>>, "
@@ -1148,7 +1148,7 @@ SELECT product_id, row_number() OVER (PARTITION BY product_id ORDER BY scrape_ti
 FROM o"""))
 def q_unified_offers(spark, sf):
     """A2 offers: one row per offer of each matched product, with its position."""
-    m = cut_lineage(matching.matched_only(pipeline.matched_listings(spark, sf)))
+    m = written(matching.matched_only(pipeline.matched_listings(spark, sf)), "matched")
     return TX.sanitize_frame(merging.product_offers(m))
 
 

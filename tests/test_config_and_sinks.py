@@ -59,3 +59,12 @@ def test_fuzzy_threshold_fraction_is_scaled(spark):
     b = fuzzy.match_queries(q, cat, threshold=85).collect()[0]
     assert a["match_method"] == "token_set_ratio" and b["match_method"] == "below_threshold"
     assert round(a["raw_score"], 2) == 81.48
+
+
+def test_written_keeps_rows_and_types(spark):
+    from pricefold.session import ensure_checkpoint_dir, written
+    df = spark.sql("select * from values (1L, null, timestamp_ntz'2024-01-02 03:04:05', 1.5D), (2L, 'ä', null, null) t(id, name, at, price)")
+    back = written(df, "kept")
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert all(f.startswith(("file:" + ensure_checkpoint_dir(spark), ensure_checkpoint_dir(spark))) or "/kept-" in f for f in back.inputFiles())
