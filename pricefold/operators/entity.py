@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as TX
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 from . import fuzzy, vector
 from .components import connected_components
 from .encoder import Encoder
@@ -27,11 +27,15 @@ from .joins import MAX_SHARED_BYTES, frame_bytes, spread
 from .similar_names import similar_links
 
 
-def _name_nodes(records: DataFrame, name_col: str, category_col: str) -> DataFrame:
-    nodes = (records.select(F.coalesce(F.col(category_col), F.lit("")).alias("cat"),
-                            TX.fuzzy_normalize(F.col(name_col)).alias("proc"),
-                            F.array_join(F.array_sort(TX.token_signature(F.col(name_col))), " ").alias("sig"))
-                    .groupBy("cat", "proc").agg(F.min("sig").alias("sig"), F.count(F.lit(1)).alias("n_rows")))
+def _names(records: DataFrame, name_col: str, category_col: str) -> DataFrame:
+    """Different (cat, name) of the records with their rows ``n``; each is normalised and cut into tokens once."""
+    names = records.groupBy(F.coalesce(F.col(category_col), F.lit("")).alias("cat"), F.col(name_col).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return written(names.select("cat", "name", "n", TX.fuzzy_normalize(F.col("name")).alias("proc"),
+                                F.array_join(F.array_sort(TX.token_signature(F.col("name"))), " ").alias("sig")), "names")
+
+
+def _name_nodes(names: DataFrame) -> DataFrame:
+    nodes = names.groupBy("cat", "proc").agg(F.min("sig").alias("sig"), F.sum("n").alias("n_rows"))
     return cut_lineage(nodes.withColumn("node", F.monotonically_increasing_id()))
 
 
@@ -77,12 +81,10 @@ def _fuzzy_edges(nodes: DataFrame, singles: DataFrame, threshold: float, max_poo
         run, "src long, dst long, score double")
 
 
-def entity_groups(records: DataFrame, name_col: str = "product_name_clean", category_col: str = "category",
-                  fuzzy_threshold: float = K.CATALOG_BUILD_FUZZY_THRESHOLD,
-                  max_pool_bytes: int = MAX_SHARED_BYTES, plan: str = "auto", encoder: Encoder | None = None,
-                  vector_threshold: float = K.CATALOG_BUILD_VECTOR_THRESHOLD, links: str = "best") -> DataFrame:
-    """(cat, proc, node, group_node) per name node; records join on (cat, proc)."""
-    nodes = _name_nodes(records, name_col, category_col)
+def _group_nodes(nodes: DataFrame, fuzzy_threshold: float = K.CATALOG_BUILD_FUZZY_THRESHOLD,
+                 max_pool_bytes: int = MAX_SHARED_BYTES, plan: str = "auto", encoder: Encoder | None = None,
+                 vector_threshold: float = K.CATALOG_BUILD_VECTOR_THRESHOLD, links: str = "best") -> DataFrame:
+    """``nodes`` (cat, proc, sig, n_rows, node) with group_node, the smallest node of the group."""
     # stage 1: one edge per node to the first node of its signature group
     rep = (nodes.where("sig <> ''").groupBy("cat", "sig")
                 .agg(F.min("node").alias("rep"), F.sum("n_rows").alias("sig_rows")))
@@ -105,15 +107,23 @@ def entity_groups(records: DataFrame, name_col: str = "product_name_clean", cate
         edges = edges.unionByName(near.join(linked, near["a"] == linked["node"], "left_anti"))
     found = connected_components(edges)
     return nodes.join(found, "node", "left").select(
-        "cat", "proc", "node", F.coalesce("component", "node").alias("group_node"))
+        "cat", "proc", "n_rows", "node", F.coalesce("component", "node").alias("group_node"))
+
+
+def entity_groups(records: DataFrame, name_col: str = "product_name_clean", category_col: str = "category", **options) -> DataFrame:
+    """(cat, proc, node, group_node) per name node; records join on (cat, proc). ``options`` are of ``_group_nodes``."""
+    return _group_nodes(_name_nodes(_names(records, name_col, category_col)), **options).drop("n_rows")
 
 
 def grouped_records(records: DataFrame, name_col: str = "product_name_clean", category_col: str = "category",
                     **kw) -> DataFrame:
-    """(group_id, row_id) for records in groups of two or more (A3 input); blank names group with nothing."""
-    g = entity_groups(records, name_col, category_col, **kw).where(F.col("proc") != "")
-    r = records.select("row_id", F.coalesce(F.col(category_col), F.lit("")).alias("cat"),
-                       TX.fuzzy_normalize(F.col(name_col)).alias("proc")).join(g, ["cat", "proc"])
-    sizes = r.groupBy("group_node").agg(F.count(F.lit(1)).alias("n"))
-    return (r.join(sizes.where(F.col("n") > 1), "group_node")
-             .select(F.concat(F.lit("g"), F.col("group_node").cast("string")).alias("group_id"), "row_id"))
+    """(group_id, row_id) for records in groups of two or more (A3 input); blank names group with nothing.
+
+    Groups are sized by their names' rows, and records find theirs by their unchanged name."""
+    names = _names(records, name_col, category_col)
+    g = _group_nodes(_name_nodes(names), **kw).where(F.col("proc") != "")
+    sizes = g.groupBy("group_node").agg(F.sum("n_rows").alias("n_group")).where(F.col("n_group") > 1)
+    groups = names.join(g.join(sizes, "group_node"), ["cat", "proc"]).select(
+        "cat", "name", F.concat(F.lit("g"), F.col("group_node").cast("string")).alias("group_id"))
+    rows = records.select("row_id", F.coalesce(F.col(category_col), F.lit("")).alias("cat"), F.col(name_col).alias("name"))
+    return rows.join(groups, ["cat", "name"]).select("group_id", "row_id")

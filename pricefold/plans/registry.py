@@ -1083,10 +1083,10 @@ def q_entity_groups(spark, sf):
     """J7 + A3 over the cleaned listings: rule stage, fuzzy partner stage
     (>= 88), connected components, then one merged record per group."""
     c = pipeline.cleaned_listings(spark, sf)
-    rec = cut_lineage(c.withColumn("row_id", F.monotonically_increasing_id())
-                       .withColumn("pos", F.col("row_id"))
-                       .withColumn("price", F.col("price_clean")))
-    groups = ENTITY.grouped_records(rec)
+    rec = written(c.withColumn("row_id", F.monotonically_increasing_id())
+                   .withColumn("pos", F.col("row_id"))
+                   .withColumn("price", F.col("price_clean")), "records")
+    groups = written(ENTITY.grouped_records(rec), "groups")
     m = merging.merge_groups(rec, groups, matched_by="catalog_build", with_offers=False)
     return m.select("group_id", "product_name", "currency", "price_min", "price_max", "price_mean",
                     "offer_count", "matched_by")

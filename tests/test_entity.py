@@ -88,3 +88,16 @@ def test_cosine_stage_links_what_is_left(spark):
     assert groups() == []
     assert groups(encoder=encoder, vector_threshold=0.03) == [[1, 2]]
     assert groups(encoder=encoder, vector_threshold=0.99) == []
+
+
+def test_records_find_their_group_by_the_unchanged_name(spark):
+    """Names are normalised once per different name, not again per record; sizes count every record of a name."""
+    rows = [(1, "Acer  One", "pc"), (2, "acer one", "pc"), (3, "acer one", None), (4, "acer one", ""), (5, None, "pc"), (6, "acer one", "tv"),
+            (7, "solo", "pc"), (7, "solo", "pc")]
+    df = spark.createDataFrame(rows, "row_id long, product_name_clean string, category string")
+    found = entity.grouped_records(df)
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r["group_id"], []).append(r["row_id"])
+    assert sorted(sorted(v) for v in groups.values()) == [[1, 2], [3, 4], [7, 7]]
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
