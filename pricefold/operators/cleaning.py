@@ -112,11 +112,10 @@ def dedup_latest(df: DataFrame, keys=DEDUP_KEYS, ts_col: str = "scrape_timestamp
         has_keys = has_keys & F.col(k).isNotNull()
     # a null is the least value, so rows without a timestamp come last
     order = F.struct(F.col(ts_col).alias("_ts"), *[F.col(c) for c in tie_cols])
-    # A leading 32-bit hash of the key gives the sort-based aggregation a short
-    # sort prefix, so string keys are compared only on hash ties.
+    # The sort-based aggregation sorts by the keys, so rows of similar names are shuffled side by side,
+    # which compresses them better than a hash in front (whose short prefix sorts a little faster).
     return (df.withColumn("_rid", F.when(~has_keys, F.monotonically_increasing_id()))
-              .withColumn("_h", F.hash(*keys, "_rid"))
-              .groupBy("_h", *keys, "_rid").agg(F.max(order).alias("_b"))
+              .groupBy(*keys, "_rid").agg(F.max(order).alias("_b"))
               .select(*[F.col(c) if c in keys else
                         (F.col("_b._ts") if c == ts_col else F.col("_b." + c)).alias(c)
                         for c in df.columns]))
@@ -136,6 +135,12 @@ def clean(df: DataFrame, category_map: dict | None = None, use_nfkc: bool = True
     """
     k = normalize_keys(df, category_map, use_nfkc)
     med = category_medians(k, approx_median)
+    # a price that is its key isn't carried beside it (a zero is: as a key it has no sign)
+    own = isinstance(k.schema["price"].dataType, T.DoubleType) and "_price_number" not in k.columns
+    if own:
+        k = k.withColumn("price", F.when(F.col("price_clean").isNull() | (F.col("price_clean") == 0), F.col("price")))
     d = dedup_latest(k)
+    if own:
+        d = d.withColumn("price", F.coalesce("price", "price_clean"))
     d = map_availability(d, availability_precedence)
     return flag_anomalies(d, medians=med)

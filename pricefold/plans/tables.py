@@ -34,9 +34,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # what depends on the line alone is worked out before the joins, so that few and narrow columns are shuffled
+    ln = F.col("l_linenumber")
+    price = (F.when(F.col("l_discount") == 0, F.lit(0.0))
+              .when(ln == 6, F.col("l_extendedprice"))
+              .otherwise(F.col("l_extendedprice") / F.col("l_quantity")))
+    avail = (F.when(F.col("l_returnflag") == "A", F.lit(1)).when(F.col("l_returnflag") == "N", F.lit(2))
+              .when(F.col("l_linestatus") == "F", F.lit(3)).otherwise(F.lit(0)))
+    plural, no_category = F.coalesce(ln.isin(2, 4), F.lit(False)), F.coalesce(F.col("l_orderkey") % NULL_CATEGORY_MOD == 0, F.lit(False))
     l = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", price.alias("_price"), avail.cast("byte").alias("_avail"),
+        F.when(no_category, F.lit(2)).when(plural, F.lit(1)).otherwise(F.lit(0)).cast("byte").alias("_cat"))
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -44,7 +52,6 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (l.join(p, l.l_partkey == p.p_partkey)
           .join(s, l.l_suppkey == s.s_suppkey)
           .join(n, s.s_nationkey == n.n_nationkey))
-    ln = F.col("l_linenumber")
     bn = F.concat_ws(" ", "p_brand", "p_name")
     name = (F.when(ln == 1, bn)
              .when(ln == 2, F.concat(F.upper("p_brand"), F.lit(" "), F.col("p_name"), F.lit(K.NOISY_EN_SUFFIX)))
@@ -54,22 +61,19 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(ln == 6, F.col("p_name"))
              .otherwise(F.concat(bn, F.lit(" ("), F.col("p_size").cast("string"), F.lit(")"))))
     name = F.when(F.col("l_orderkey") % BLANK_NAME_MOD == 0, F.lit(None).cast("string")).otherwise(name)
-    price = (F.when(F.col("l_discount") == 0, F.lit(0.0))
-              .when(ln == 6, F.col("l_extendedprice"))
-              .otherwise(F.col("l_extendedprice") / F.col("l_quantity")))
     currency = F.when(F.col("l_suppkey") % NULL_CURRENCY_MOD == 0, F.lit(None).cast("string"))\
                 .otherwise(F.lit(K.DEFAULT_CURRENCY))
-    avail = (F.when(F.col("l_returnflag") == "A", F.lit("In Stock"))
-              .when(F.col("l_returnflag") == "N", F.lit("nicht verfügbar"))
-              .when(F.col("l_linestatus") == "F", F.lit("Ausverkauft")))
+    avail = (F.when(F.col("_avail") == 1, F.lit("In Stock"))
+              .when(F.col("_avail") == 2, F.lit("nicht verfügbar"))
+              .when(F.col("_avail") == 3, F.lit("Ausverkauft")))
     url = F.when(F.col("l_orderkey") % BLANK_URL_MOD == 0, F.lit(""))\
            .otherwise(F.concat(F.lit(URL_PREFIX), F.col("l_orderkey").cast("string"), F.lit("-"),
                                ln.cast("string")))
-    cat = (F.when(F.col("l_orderkey") % NULL_CATEGORY_MOD == 0, F.lit(None).cast("string"))
-            .when(ln.isin(2, 4), F.concat(F.lower("p_type"), F.lit("s")))
+    cat = (F.when(F.col("_cat") == 2, F.lit(None).cast("string"))
+            .when(F.col("_cat") == 1, F.concat(F.lower("p_type"), F.lit("s")))
             .otherwise(F.col("p_type")))
     return j.select(
-        name.alias("product_name"), price.alias("price"), currency.alias("currency"),
+        name.alias("product_name"), F.col("_price").alias("price"), currency.alias("currency"),
         avail.alias("availability"), F.col("s_name").alias("seller"), F.col("n_name").alias("source"),
         url.alias("url"), F.col("l_shipdate").alias("scrape_timestamp"), cat.alias("category"))
 

@@ -55,3 +55,29 @@ def test_clean_is_partition_invariant(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     key = lambda r: tuple("" if x is None else str(x) for x in r)
     assert sorted(a, key=key) == sorted(b, key=key)
+
+
+def test_dedup_shuffles_narrow_rows_and_keeps_the_raw_price(spark):
+    """The price that is its key isn't carried beside it, no hash stands before the names, and raw prices come out unchanged."""
+    import math
+    given = {"a": 5.0, "b": -0.0, "c": 0.0, "d": -1.0, "e": float("nan"), "f": None}
+    rows = [(n, p, "s", t, "pc", "In Stock") for n, p in given.items() for t in ("2024-01-01", "2024-01-02")] + [(None, 7.0, "s", None, "pc", None)]
+    df = spark.createDataFrame(rows, "product_name string, price double, source string, scrape_timestamp string, category string, availability string")
+    out = cleaning.clean(df)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["product_name"], []).append(r["price"])
+    assert got.pop(None) == [7.0]
+    for name, price in given.items():
+        complete = price is not None and price >= 0
+        assert len(got[name]) == (1 if complete else 2)
+        assert all(repr(p) == repr(price) for p in got[name]), name
+    assert math.copysign(1, got["b"][0]) == -1
+    aggregate = next(l for l in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "max(struct(_ts" in l)
+    assert "Aggregate [product_name_clean" in aggregate
+
+
+def test_lines_are_priced_before_the_listing_joins(spark):
+    from pricefold.plans import tables
+    plan = tables.listings(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert all("AS _price" in l or "Relation" in l for l in plan.splitlines() if "l_quantity" in l)
