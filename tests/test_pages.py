@@ -1,5 +1,7 @@
 """Page extraction profiles on small HTML strings, and the blocked-page filter."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from pricefold.sources import pages
@@ -75,3 +77,32 @@ def test_deep_pages_and_open_tags():
     assert [x.get_text() for x in items] == ["1", "23", "4"]
     cells = pages.select(pages.parse_html("<table><tr><td>a<td>b<tr><td>c</table>"), "tr")
     assert [x.get_text() for x in cells] == ["ab", "c"]
+
+
+def _tree(node):
+    return [(c.tag, c.attrs, _tree(c)) if isinstance(c, pages._Node) else c for c in node.children]
+
+
+def test_plain_markup_gives_the_parsers_tree():
+    rng = random.Random(3)
+    parts = ["<div>", "</div>", "<p>", "</p>", "<ul>", "<li class='a b'>", "</li>", "</ul>", "<BR>", "<img src=\"x y\" alt>", "<span class=\"\">",
+             "</span >", "</span>", "a &amp; b", " &euro;5 &nbsp", "&copy", "text\n", "é\x0b ", "<a href=\"/dp/1?x=1&y=2\">", "<A Href='/p/1' HREF=\"2\">", "</a>",
+             "<td>", "<tr>", "<table>", "</table>", "<br/>", "<!-- c -->", "<script>", "</script>", "<style>", "1 < 2", "<b", ">", "<i x=y>",
+             "<title>", "</title>", "<h2 data-x-1=\"it's\"\n id='\"'>", "</h2>", "<h2\x0bid=1>", "<a b=\"c\"d=\"e\">", "<!doctype html>", "</", "<option>"]
+    plain = 0
+    for k in range(6000):
+        some = parts if k % 2 else parts[:18] + parts[19:25]
+        html = "".join(rng.choice(some) for _ in range(rng.randrange(12)))
+        parser = pages._Builder()
+        parser.feed(html)
+        parser.close()
+        assert _tree(pages.parse_html(html)) == _tree(parser.root), html
+        plain += pages._parse_plain(html) is not None
+    assert plain > 1500
+
+
+def test_plain_pages_need_no_character_parser(monkeypatch):
+    monkeypatch.setattr(pages._Builder, "feed", None)
+    html = ('<ul><li class="s-card"><div class=\'s-card__title\'>Item &amp; Co</div><div class="s-card__attribute-row">EUR 5</div>'
+            '<a href="https://www.ebay.de/itm/1">x</a><li class="s-card"></ul>')
+    assert pages.extract_page(html, "u", pages.PROFILES["ebay_de"]) == [(0, "Item & Co", "EUR 5", None, "https://www.ebay.de/itm/1", "eBay DE")]
