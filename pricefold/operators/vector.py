@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as TX
+from ..session import cut_lineage, written
 from . import embedding_store, quality
 from .encoder import Encoder
 from .joins import spread
@@ -238,13 +239,15 @@ def match_listings(listings: DataFrame, catalog: DataFrame, threshold: float | N
         vectors = encoder(names).select("product_id", "category", "embedding")
     vectors = vectors.join(numbered, "product_id").withColumnRenamed("_ord", "ord")
     key = [F.coalesce(F.col(name_col), F.lit("")).alias("_name"), F.coalesce(F.col(category_col), F.lit("")).alias("_cat")]
-    distinct = listings.select(*key).distinct().withColumn("_acc", TX.is_accessory(F.lower("_name")))
+    distinct = cut_lineage(listings.select(*key).distinct()).withColumn("_acc", TX.is_accessory(F.lower("_name")))
     query = F.concat_ws("\u0001", "_cat", "_name")
     texts = distinct.where("not _acc").select(query.alias("query_id"), F.col("_cat").alias("category"),
                                               TX.encoder_text(F.col("_name"), F.col("_cat")).alias("text"))
     found = match_vectors(encoder(texts).select("query_id", "category", "embedding"), vectors, threshold, plan)
     product = reps.select(F.col("product_id").alias("_pid"), "canonical_name", F.col("category").alias("product_category"))
     found = found.join(product, F.col("product_id") == F.col("_pid"), "left").drop("_pid")
+    # of a known size: where it is small, the listings needn't be shuffled to meet it
+    found = written(found, "matches")
     keyed = listings.select("*", *key).withColumn("query_id", query)
     out = keyed.join(found, "query_id", "left")
     accessory = F.col("match_method").isNull()

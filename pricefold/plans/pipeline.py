@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, fuzzy, matching, merging, vector
+from ..session import written
 from . import tables
 
 METHODS = ("rule", "fuzzy", "vector")
@@ -37,7 +38,11 @@ def matched_listings(spark: SparkSession, sf_dir: str, method: str = "rule", **o
 
 def unified_prices(spark: SparkSession, sf_dir: str, method: str = "rule", **options) -> DataFrame:
     """Scalar part of the unified price records (A2) for every matched product."""
-    m = matching.matched_only(matched_listings(spark, sf_dir, method, **options))
+    listings = cleaned_listings(spark, sf_dir).select("product_name_clean", "category", "price_clean", "is_anomaly")
+    if method != "rule":
+        # these matchers read the listings twice, for the different names and for the result; cleaning is done once
+        listings = written(listings, "cleaned")
+    m = matching.matched_only(match_catalog(listings, tables.catalog(spark, sf_dir), method, **options))
     return merging.product_stats(m, matched_by=method).select(
         "product_id", "canonical_name", "category", "price_min", "price_max", "price_mean",
         "offer_count", "anomaly_count", "matched_by")
