@@ -845,7 +845,7 @@ def q_match_vector_outcomes(spark, sf):
     """J4's outcomes per different listing: filtered, without candidates, or scored (pooled without a category)."""
     c = pipeline.cleaned_listings(spark, sf).select(F.coalesce("product_name_clean", F.lit("")).alias("product_name_clean"),
                                                     F.coalesce("category", F.lit("")).alias("category")).distinct()
-    m = vector.match_listings(c, tables.catalog(spark, sf))
+    m = vector.match_listings(written(c, "names"), tables.catalog(spark, sf))
     outcome = F.when(F.col("match_method").isin("accessory_filter", "no_candidates"), F.col("match_method")).otherwise(F.lit("scored"))
     return m.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
