@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import text as TX
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 from .fuzzy_index import best_indexed
 from .joins import MAX_SHARED_BYTES, frame_bytes, spread
 from .matching import POOL_KEY
@@ -341,4 +341,10 @@ def attach(listings: DataFrame, matches: DataFrame, name_col: str = "product_nam
 
 def match_fuzzy(listings: DataFrame, catalog: DataFrame, threshold: float = K.FUZZY_THRESHOLD,
                 plan: str = "auto") -> DataFrame:
-    return attach(listings, match_queries(listings, catalog, threshold, plan=plan))
+    """Listings with the FuzzyMatchResult columns of their names; each different raw name is normalised once."""
+    names = cut_lineage(listings.select(F.col("product_name_clean").alias("_name"), F.col("category").alias("_cat")).distinct())
+    matches = match_queries(names, catalog, threshold, "_name", "_cat", plan)
+    # of a known size: where it is small, the listings needn't be shuffled to meet it
+    found = written(attach(names, matches, "_name", "_cat"), "matches")
+    same = F.col("product_name_clean").eqNullSafe(F.col("_name")) & F.col("category").eqNullSafe(F.col("_cat"))
+    return listings.join(found, same, "left").drop("_name", "_cat")
