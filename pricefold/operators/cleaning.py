@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import cleaning as C
+from ..session import cut_lineage
+from .joins import shared
 
 DEDUP_KEYS = ("product_name_clean", "source", "price_clean")
 
@@ -67,6 +69,7 @@ def category_medians(df: DataFrame, approx: bool = False, accuracy: int = MEDIAN
     bracket = rows.groupBy("category").agg(F.percentile_approx("_p", [0.5 - wide, 0.5 + wide], accuracy).alias("_b"),
                                            F.count(F.lit(1)).alias("_n"))
     bracket = bracket.select(F.col("category").alias("_c"), F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_n")
+    bracket = shared(cut_lineage(bracket))
     near = rows.join(bracket, F.col("category").eqNullSafe(F.col("_c"))).where("_p <= _hi")
     # one row per category for all that is below, one per value inside
     value = F.when(F.col("_p") >= F.col("_lo"), F.col("_p"))
@@ -83,10 +86,10 @@ def category_medians(df: DataFrame, approx: bool = False, accuracy: int = MEDIAN
 def flag_anomalies(df: DataFrame, approx_median: bool = False,
                    medians: DataFrame | None = None) -> DataFrame:
     """A1: ``price > 3*median`` or ``price < median/3`` (strict); median <= 0 or
-    null price -> False.  One row per category is joined back; Spark picks a
-    broadcast from the measured size."""
+    null price -> False.  One row per category is joined back, worked out first
+    and sent whole where it is measured to be small."""
     med = medians if medians is not None else category_medians(df, approx_median)
-    out = df.join(med, "category", "left")
+    out = df.join(shared(cut_lineage(med)), "category", "left")
     m = F.col("category_median")
     p = F.col("price_clean")
     flag = F.when(p.isNull() | m.isNull() | (m <= 0), F.lit(False))\

@@ -26,6 +26,17 @@ def frame_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row.cast("long"))).first()[0] or 0
 
 
+def shared(df: DataFrame, most: int = MAX_SHARED_BYTES) -> DataFrame:
+    """``df`` (flat, and cheap to read) to be sent whole to all executors where its rows are measured to take at most
+    ``most`` bytes there; else Spark picks the join. A join's other side then isn't shuffled, which Spark, planning
+    from files' sizes or without any, may find out only when that is done."""
+    row = F.lit(64)
+    for f in df.schema.fields:
+        row = row + (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + 16 if isinstance(f.dataType, T.StringType) else F.lit(16))
+    size = df.agg(F.sum(row.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
+
+
 def spread(df: DataFrame, *cols, per_core: int = 4) -> DataFrame:
     """Hash-spread rows that feed CPU-heavy Python work over all cores.
 

@@ -19,6 +19,11 @@ from .. import constants as K
 from ..functions.text import non_blank
 from .ranking import with_position
 
+#: What price records take of matched listings.
+TAKEN = ["product_id", "canonical_name", "product_category", "source", "price_clean", "currency", "availability_clean", "seller", "url",
+         "scrape_timestamp", "is_anomaly"]
+
+
 def exact_mean2(x) -> F.Column:
     """Mean rounded HALF_UP to 2 decimals, independent of summation order:
     prices are taken as integers of 1e-9 (exact for prices of up to nine

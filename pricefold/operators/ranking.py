@@ -1,6 +1,6 @@
 """Positions within a key without one task that orders all of it.
 
-Rows of a (key, part) are numbered by a window where they are few. The rows of a part beyond a bound are
+Rows of a key are numbered by a window where they are few, and else those of a (key, part). The rows of a part beyond a bound are
 range-partitioned by their order instead: each partition numbers its own stretch of a part, and prefix
 sums over the stretches' counts move it on. Rows equal in all order columns are interchangeable; a salt
 that is written with them spreads them, too.
@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, written
+from .joins import shared
 
-#: Rows of a (key, part) that one task may order, and rows of a stretch of a larger one.
+#: Rows of a key, or of a (key, part), that one task may order, and rows of a stretch of a larger one.
 MOST, STRETCH = 1_000_000, 250_000
 
 
@@ -31,13 +32,27 @@ def _same(columns: dict) -> Column:
 
 
 def with_position(rows: DataFrame, key: str, part: Column, order: list[Column], most: int | None = None) -> DataFrame:
-    """``rows`` with ``position`` (from 1) within ``key``: by ``part`` descending (null last), then ``order``."""
+    """``rows`` with ``position`` (from 1) within ``key``: by ``part`` descending (null last), then ``order``.
+
+    Only keys of more than ``most`` rows are taken apart, and only their rows are written first."""
     most = MOST if most is None else most
-    parts = cut_lineage(rows.withColumn("_part", part).withColumn("_salt", F.rand(11)))
+    large = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(F.col(key).alias("_k"))
+    large = cut_lineage(large)
+    few = rows if large.isEmpty() else rows.join(shared(large), _same({key: "_k"}), "left_anti")
+    number = F.row_number().over(Window.partitionBy(key).orderBy(part.desc_nulls_last(), *order))
+    few = few.withColumn("position", number.cast("long"))
+    if large.isEmpty():
+        return few
+    many = rows.join(shared(large), _same({key: "_k"}), "left_semi")
+    return few.unionByName(_in_parts(written(many.withColumn("_part", part).withColumn("_salt", F.rand(11)), "many"), key, order, most))
+
+
+def _in_parts(parts: DataFrame, key: str, order: list[Column], most: int) -> DataFrame:
+    """``parts`` (with _part and _salt) with ``position`` from counts per (key, _part) and the order within them."""
     counts = parts.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n"))
     counts = cut_lineage(_before(counts, [key], F.col("_part").desc_nulls_last(), "_n", "_before")
                          .select(F.col(key).alias("_k"), F.col("_part").alias("_p"), "_n", "_before"))
-    rows = parts.join(counts, _same({key: "_k", "_part": "_p"})).drop("_k", "_p")
+    rows = parts.join(shared(counts), _same({key: "_k", "_part": "_p"})).drop("_k", "_p")
     few = rows.where(F.col("_n") <= most).withColumn("_i", F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)))
     large = counts.where(F.col("_n") > most).agg(F.sum("_n")).first()[0]
     if large:
@@ -48,7 +63,7 @@ def with_position(rows: DataFrame, key: str, part: Column, order: list[Column],
 def _in_stretches(rows: DataFrame, key: str, order: list[Column], n: int) -> DataFrame:
     """``rows`` with ``_i`` (from 1) within (key, _part) by ``order``."""
     ranged = rows.repartitionByRange(max(2, -(-n // STRETCH)), F.col(key), F.col("_part"), *order, F.col("_salt"))
-    ranged = cut_lineage(ranged.withColumn("_s", F.spark_partition_id()))   # which stretch a row is in lasts
+    ranged = written(ranged.withColumn("_s", F.spark_partition_id()), "ranged")   # which stretch a row is in lasts
     counts = ranged.groupBy(key, "_part", "_s").agg(F.count(F.lit(1)).alias("_m"))
     counts = _before(counts, [key, "_part"], F.col("_s").asc(), "_m", "_off")
     counts = counts.select(F.col(key).alias("_k"), F.col("_part").alias("_p"), F.col("_s").alias("_t"), "_off")

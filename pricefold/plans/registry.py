@@ -1148,7 +1148,7 @@ SELECT product_id, row_number() OVER (PARTITION BY product_id ORDER BY scrape_ti
 FROM o"""))
 def q_unified_offers(spark, sf):
     """A2 offers: one row per offer of each matched product, with its position."""
-    m = written(matching.matched_only(pipeline.matched_listings(spark, sf)), "matched")
+    m = written(matching.matched_only(pipeline.matched_listings(spark, sf)).select(*merging.TAKEN), "matched")
     return TX.sanitize_frame(merging.product_offers(m))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..operators.joins import shared
 from ..session import table_path
 
 # FIXED VALUES for the listing view: the name variant per l_linenumber mirrors
@@ -48,10 +49,9 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # part / supplier / nation are dimensions: shuffle-free when AQE sees them small.
-    j = (l.join(p, l.l_partkey == p.p_partkey)
-          .join(s, l.l_suppkey == s.s_suppkey)
-          .join(n, s.s_nationkey == n.n_nationkey))
+    # sellers with their countries are few to the lines: with them sent whole, lines are shuffled once, for their parts
+    s = shared(s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", "s_name", "n_name"))
+    j = l.join(p, l.l_partkey == p.p_partkey).join(s, l.l_suppkey == s.s_suppkey)
     bn = F.concat_ws(" ", "p_brand", "p_name")
     name = (F.when(ln == 1, bn)
              .when(ln == 2, F.concat(F.upper("p_brand"), F.lit(" "), F.col("p_name"), F.lit(K.NOISY_EN_SUFFIX)))
