@@ -1042,12 +1042,13 @@ def q_publish_round_trip(spark, sf):
     """All listings written to the partitioned target and read back from the files.
 
     Partitions are by the source's first letter, category and year; the rows are
-    dealt by them first, so each partition is a file or a few."""
+    dealt by them first, so each partition is a file or a few, and get the partition
+    columns after that. Files are packed: as plain JSON they are many times their tables."""
     l = tables.listings(spark, sf)
     target = new_folder(spark, "published")
-    rows = l.withColumns({"_source": F.lower(F.substring("source", 1, 1)), "_category": F.coalesce(F.lower("category"), F.lit("none")),
-                          "_run_date": F.concat(F.date_format("scrape_timestamp", "yyyy"), F.lit("-01-01")), "_file": F.lit("f")})
-    RAW.publish(rows.repartition("_source", "_category", "_run_date"), target)
+    parts = {"_source": F.lower(F.substring("source", 1, 1)), "_category": F.coalesce(F.lower("category"), F.lit("none")),
+             "_run_date": F.concat(F.date_format("scrape_timestamp", "yyyy"), F.lit("-01-01"))}
+    RAW.publish(l.repartition(*parts.values()).withColumns({**parts, "_file": F.lit("f")}), target, compression="gzip")
     back = spark.read.schema("product_name string, price double, currency string, url string, source_key string, "
                              "category_key string, year int, month int, day int").json(target)
     return back.groupBy("source_key", "category_key", "year").agg(

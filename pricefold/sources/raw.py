@@ -16,11 +16,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from ..session import shuffles_freed
 from .tree import Tree
 
 RAW_RECORD = T.StructType([
@@ -222,20 +223,31 @@ def save(spark: SparkSession, records: DataFrame, table: str, batch: int | None
     write_partitioned(out, table, PARTS, "parquet")
 
 
+#: Records of a file that is compressed, which one task has to read whole.
+COMPRESSED_RECORDS = 500_000
+
+
+def packed(writer: DataFrameWriter, compression: str | None, records: int = COMPRESSED_RECORDS) -> DataFrameWriter:
+    """``writer`` with its text files compressed by that codec (``gzip``: .json.gz), or plain without one."""
+    return writer.option("compression", compression).option("maxRecordsPerFile", records) if compression else writer
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols, fmt: str = "json",
-                      mode: str = "overwrite") -> None:
+                      mode: str = "overwrite", compression: str | None = None) -> None:
     """Dynamic partition overwrite: only the partitions present in ``df``
     are replaced (S6 save / S7 publish)."""
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
-    if fmt == "json":
-        w = w.option("ignoreNullFields", False)   # explicit nulls, like the reference output
-    w.format(fmt).save(path)
+    with shuffles_freed(df.sparkSession):
+        w = packed(df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols), compression)
+        if fmt == "json":
+            w = w.option("ignoreNullFields", False)   # explicit nulls, like the reference output
+        w.format(fmt).save(path)
 
 
-def publish(records: DataFrame, target: str, dry_run: bool = False):
+def publish(records: DataFrame, target: str, dry_run: bool = False, compression: str | None = None):
     """Write every raw partition to the hive-style target layout
     ``source_key=/category_key=/year=/month=/day=`` (the folder values, the
-    records keep their own fields); dry run returns the target folders."""
+    records keep their own fields); dry run returns the target folders.
+    With ``compression`` the JSON files are packed by that codec."""
     d = F.try_to_date(F.col("_run_date"))
     out = (records.withColumn("source_key", F.col("_source"))
                   .withColumn("category_key", F.col("_category"))
@@ -247,5 +259,5 @@ def publish(records: DataFrame, target: str, dry_run: bool = False):
         return out.select(F.concat_ws("/", F.lit(target.rstrip("/")),
                                       *[F.concat(F.lit(c + "="), F.col(c)) for c in parts])
                           .alias("target")).distinct()
-    write_partitioned(out.drop("_file"), target, parts)
+    write_partitioned(out.drop("_file"), target, parts, compression=compression)
     return None

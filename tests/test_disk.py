@@ -1,4 +1,4 @@
-"""What steps leave on disk: shuffle files go with their step, rows are shuffled once."""
+"""What steps leave on disk: shuffle files go with their step, rows are shuffled once, large text files are packed."""
 
 import contextlib
 import glob
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pricefold.llm import common
 from pricefold.operators import cleaning, joins, ranking
 from pricefold.session import FREE_SHUFFLES, cut_lineage, written
+from pricefold.sources import raw
 
 
 @contextlib.contextmanager
@@ -75,3 +76,14 @@ def test_cleaned_rows_are_not_shuffled_to_meet_the_medians(spark):
     for category, found in prices.items():
         found = sorted(p for p in found if p is not None)
         assert medians[category] == (found[(len(found) - 1) // 2] + found[len(found) // 2]) / 2
+
+
+def test_packed_files_hold_the_same_rows(spark, tmpdir_fresh):
+    rows = [(f"n{k}", float(k), "EUR", f"u{k}", f"s{k % 2}", "c", "2026-04-07", "f") for k in range(50)]
+    df = spark.createDataFrame(rows, "product_name string, price double, currency string, url string, _source string, _category string, _run_date string, _file string")
+    for to, codec in (("plain", None), ("packed", "gzip")):
+        raw.publish(df, f"{tmpdir_fresh}/{to}", compression=codec)
+    plain, packed = (sorted(map(str, spark.read.json(f"{tmpdir_fresh}/{to}").collect())) for to in ("plain", "packed"))
+    assert plain == packed and len(plain) == 50
+    files = {to: glob.glob(f"{tmpdir_fresh}/{to}*/**/part-*", recursive=True) for to in ("plain", "packed")}
+    assert all(f.endswith(".json") for f in files["plain"]) and all(f.endswith(".json.gz") for f in files["packed"])
