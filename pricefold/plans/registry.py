@@ -1062,13 +1062,13 @@ SELECT product_id, count(*) AS offers, count(*) AS offer_count, min(canonical_na
 FROM matched WHERE product_id IS NOT NULL GROUP BY product_id"""))
 def q_sink_round_trip(spark, sf):
     """Nested unified records written by category and day, and read back with their offers."""
-    m = written(matching.matched_only(pipeline.matched_listings(spark, sf)), "matched")
+    m = written(matching.matched_only(pipeline.matched_listings(spark, sf)).select(*merging.TAKEN), "matched")
     root = new_folder(spark, "unified")
-    SINKS.write_unified(merging.unified_records(m), root)
+    SINKS.write_unified(merging.unified_records(m), root, compression="gzip")
     back = spark.read.schema("product_id long, canonical_name string, offer_count long, prices array<struct<price:double>>, "
                              "category_key string").json(root + "/unified")
     SINKS.write_flat(back.select("product_id", "canonical_name", "offer_count", "category_key", F.size("prices").alias("offers"),
-                                 F.array_min(F.transform("prices", lambda o: o["price"])).alias("least_offer")), root, "flat")
+                                 F.array_min(F.transform("prices", lambda o: o["price"])).alias("least_offer")), root, "flat", compression="gzip")
     flat = spark.read.schema("product_id long, canonical_name string, offer_count long, category_key string, offers long, "
                              "least_offer double").json(root + "/processed/flat")
     return flat.select("product_id", "offers", "offer_count", "canonical_name", "category_key", "least_offer")

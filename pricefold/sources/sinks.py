@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sanitize_frame
 from ..operators import reporting
-from .raw import write_partitioned
+from .raw import packed, write_partitioned
 
 CATALOG_FLAT_FIELDS = ["product_name", "currency", "price_min", "price_max", "price_mean",
                        "offer_count", "matched_by"]
@@ -21,24 +21,24 @@ def _today() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date()
 
 
-def write_unified(unified: DataFrame, root: str, run_date: dt.date | None = None) -> None:
+def write_unified(unified: DataFrame, root: str, run_date: dt.date | None = None, compression: str | None = None) -> None:
     """``unified/category=/year=/month=/day=`` JSON, NaN/Inf -> null,
-    timestamps as ISO text (P26)."""
+    timestamps as ISO text (P26); packed by ``compression`` where one is given."""
     d = run_date or _today()
     # O1: records sorted by product id inside each output partition
     out = sanitize_frame(unified.sortWithinPartitions("product_id")).withColumn("category_key", F.col("category")) \
         .withColumn("year", F.lit(f"{d.year:04d}")).withColumn("month", F.lit(f"{d.month:02d}")) \
         .withColumn("day", F.lit(f"{d.day:02d}"))
-    write_partitioned(out, root.rstrip("/") + "/unified", ["category_key", "year", "month", "day"])
+    write_partitioned(out, root.rstrip("/") + "/unified", ["category_key", "year", "month", "day"], compression=compression)
 
 
 def write_flat(df: DataFrame, root: str, name: str, fmt: str = "json",
-               run_date: dt.date | None = None) -> None:
+               run_date: dt.date | None = None, compression: str | None = None) -> None:
     """``processed/{name}/run_date=YYYY-MM-DD/`` as JSON lines or CSV with
-    header; UTF-8, non-ASCII kept."""
+    header; UTF-8, non-ASCII kept; packed by ``compression`` where one is given."""
     d = (run_date or _today()).isoformat()
     out = sanitize_frame(df).withColumn("run_date", F.lit(d))
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date")
+    w = packed(out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date"), compression)
     path = f"{root.rstrip('/')}/processed/{name}"
     if fmt == "csv":
         w.option("header", True).csv(path)

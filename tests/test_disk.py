@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricefold.llm import common
-from pricefold.operators import cleaning, joins, ranking
+from pricefold.operators import cleaning, joins, merging, ranking
 from pricefold.session import FREE_SHUFFLES, cut_lineage, written
-from pricefold.sources import raw
+from pricefold.sources import raw, sinks
 
 
 @contextlib.contextmanager
@@ -83,7 +83,20 @@ def test_packed_files_hold_the_same_rows(spark, tmpdir_fresh):
     df = spark.createDataFrame(rows, "product_name string, price double, currency string, url string, _source string, _category string, _run_date string, _file string")
     for to, codec in (("plain", None), ("packed", "gzip")):
         raw.publish(df, f"{tmpdir_fresh}/{to}", compression=codec)
+        sinks.write_flat(df, f"{tmpdir_fresh}/{to}-flat", "x", compression=codec)
     plain, packed = (sorted(map(str, spark.read.json(f"{tmpdir_fresh}/{to}").collect())) for to in ("plain", "packed"))
     assert plain == packed and len(plain) == 50
+    assert spark.read.json(f"{tmpdir_fresh}/packed-flat/processed/x").count() == 50
     files = {to: glob.glob(f"{tmpdir_fresh}/{to}*/**/part-*", recursive=True) for to in ("plain", "packed")}
     assert all(f.endswith(".json") for f in files["plain"]) and all(f.endswith(".json.gz") for f in files["packed"])
+
+
+def test_packed_unified_records(spark, tmpdir_fresh):
+    rows = [(p, f"p{p}", "c", "src", float(k), "EUR", "in_stock", "s", f"u{k}", f"2026-01-0{k % 9 + 1}", False) for p in range(5) for k in range(20)]
+    m = spark.createDataFrame(rows, "product_id long, canonical_name string, product_category string, source string, price_clean double, "
+                              "currency string, availability_clean string, seller string, url string, scrape_timestamp string, is_anomaly boolean")
+    assert m.columns == merging.TAKEN
+    sinks.write_unified(merging.unified_records(m), tmpdir_fresh, compression="gzip")
+    back = spark.read.json(f"{tmpdir_fresh}/unified")
+    assert {(r["product_id"], len(r["prices"]), r["offer_count"]) for r in back.collect()} == {(p, 20, 20) for p in range(5)}
+    assert glob.glob(f"{tmpdir_fresh}/unified/**/*.json.gz", recursive=True)
