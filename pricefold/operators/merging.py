@@ -2,9 +2,9 @@
 
 The layout does not depend on size: a header row per product (or group) with
 its statistics, which are partial aggregates, and an offer row per offer with
-its position.  Positions come from counts per (product, day) plus the order
-within a day, and a day beyond a bound is ordered in stretches (``ranking``),
-so a product with very many offers is spread, also where all are of one day.
+its position.  Positions of a product with very many offers come from counts per
+(product, day) plus the order within a day, and a day beyond a bound is ordered in
+stretches (``ranking``), so it is spread, also where all are of one day.
 ``nested`` folds the offer rows into the one nested record per product that a
 JSON sink wants; only that step needs all offers of a product in one row.
 """
